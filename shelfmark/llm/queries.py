@@ -3,19 +3,27 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import ngram_join
+from . import line_dedup, ngram_join
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: lines, deleted lines (count and numbers), and the MD5 of what is kept."""
+    out = line_dedup.dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_lines", "n_deleted", "deleted", F.md5("text").alias("kept_md5"))
+
+
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_classes(_table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
+    "op4_line_dedup": op4_line_dedup,
     "op10_ngram_join": op10_ngram_join,
 }
 
