@@ -48,7 +48,7 @@ def put_file(path: str, data: bytes) -> None:
     """
     system, name = filesystem(path)
     part = f"{name}.{uuid.uuid4().hex}.tmp"
-    with system.open_output_stream(part) as out:
+    with system.open_output_stream(part, compression=None) as out:
         out.write(data)
     system.move(part, name)
 

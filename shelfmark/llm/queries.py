@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, ngram_join
+from . import line_dedup, ngram_join, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,13 +18,33 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_deleted", "deleted", F.md5("text").alias("kept_md5"))
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per page, as read back from the normalised archives."""
+    return warc.read_records(warc.archive(_table(spark, sf_dir, "pages"))).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_classes(_table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
     "op4_line_dedup": op4_line_dedup,
+    "op7_warc": op7_warc,
     "op10_ngram_join": op10_ngram_join,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op7_warc": """
+        WITH p AS (
+            SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages
+        ), d AS (
+            SELECT page_id, octet_length(payload) AS payload_bytes, sha256(payload) AS payload_digest FROM p
+        ), m AS (
+            SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS lo FROM d
+        )
+        SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+               CASE WHEN payload_bytes >= 100 AND page_id IS DISTINCT FROM lo AND lo IS NOT NULL THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN payload_bytes >= 100 AND page_id IS DISTINCT FROM lo THEN lo END AS refers_to
+        FROM m
+    """,
+}
