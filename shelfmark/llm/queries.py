@@ -5,13 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, ngram_join, warc
+from . import line_dedup, ngram_join, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.learn(docs, _table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select("doc_id", F.coalesce(toxicity.held_out(), F.lit(False)).alias("held_out"), "score", "predicted", "n_hits")
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: lines, deleted lines (count and numbers), and the MD5 of what is kept."""
     out = line_dedup.dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -28,6 +34,7 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_toxicity": op2_toxicity,
     "op4_line_dedup": op4_line_dedup,
     "op7_warc": op7_warc,
     "op10_ngram_join": op10_ngram_join,
