@@ -16,11 +16,10 @@ def ship(spark: SparkSession) -> SparkSession:
     sc = spark.sparkContext
     if sc.applicationId not in _SHIPPED:
         top = Path(__file__).resolve().parent
-        with tempfile.TemporaryDirectory() as folder:
-            name = Path(folder, "shelfmark.zip")
-            with zipfile.ZipFile(name, "w") as z:
-                for p in sorted(top.rglob("*.py")):
-                    z.write(p, f"{top.name}/{p.relative_to(top)}")
-            sc.addPyFile(str(name))
+        name = Path(tempfile.mkdtemp(prefix="spark-code-"), "shelfmark.zip")  # stays: executors fetch it later
+        with zipfile.ZipFile(name, "w") as z:
+            for p in sorted(top.rglob("*.py")):
+                z.write(p, f"{top.name}/{p.relative_to(top)}")
+        sc.addPyFile(str(name))
         _SHIPPED.add(sc.applicationId)
     return spark
