@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, ngram_join, toxicity, warc
+from ..ship import ship
+from . import line_dedup, ngram_join, token_files, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return ship(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,6 +25,17 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_deleted", "deleted", F.md5("text").alias("kept_md5"))
 
 
+def _tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document, as read back from the token files."""
+    return token_files.read_files(*token_files.token_files(_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json")))
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per page, as read back from the normalised archives."""
     return warc.read_records(warc.archive(_table(spark, sf_dir, "pages"))).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -36,6 +48,7 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_toxicity": op2_toxicity,
     "op4_line_dedup": op4_line_dedup,
+    "op5_token_files": op5_token_files,
     "op7_warc": op7_warc,
     "op10_ngram_join": op10_ngram_join,
 }
