@@ -90,8 +90,8 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-#: One odd multiplier for each place in a shingle; five words make a shingle unless told otherwise.
-PLACES = np.array([0x9E3779B97F4A7C15 * (2 * i + 1) & (2**64 - 1) | 1 for i in range(16)], dtype=np.uint64)
+#: One odd multiplier for each place in a shingle, with no small relations between them.
+PLACES = mix64(np.arange(1, 65, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
 
 def shingle_set(text: str | None, size: int = 5) -> np.ndarray:
@@ -107,8 +107,8 @@ def shingle_set(text: str | None, size: int = 5) -> np.ndarray:
     ids = np.fromiter(map(WORDS.__getitem__, words), np.uint64, n)
     width = min(size, n)
     h = np.full(n - width + 1, np.uint64(width))
-    for i in range(width):
-        h += mix64(ids[i : n - width + 1 + i] * PLACES[i])
+    for i in range(width):  # word hashes are uniform, so their weighted sum is too
+        h += ids[i : n - width + 1 + i] * PLACES[i]
     return np.unique(mix64(h))
 
 

@@ -123,52 +123,55 @@ def sketched(docs: DataFrame, size: int = 5) -> DataFrame:
                     s = first
                 prefixes.append(s[:want])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(key, pa.int64()), pa.array(m1, pa.int64()), pa.array(m2, pa.int64()), _as_lists(prefixes)],
-                ["doc_id", "n", "k", "m1", "m2", "prefix"],
+                [batch.column("doc_id"), batch.column("th"), pa.array(n, pa.int64()), pa.array(key, pa.int64()), pa.array(m1, pa.int64()), pa.array(m2, pa.int64()), _as_lists(prefixes)],
+                ["doc_id", "th", "n", "k", "m1", "m2", "prefix"],
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(sketch, f"doc_id {kind}, n long, k long, m1 long, m2 long, prefix array<long>")
+    return docs.select("doc_id", "text", _text_hash()).mapInArrow(sketch, f"doc_id {kind}, th long, n long, k long, m1 long, m2 long, prefix array<long>")
 
 
-def sets_of(docs: DataFrame, keys: DataFrame, size: int) -> DataFrame:
-    """(k, tokens) for the set keys asked for: (k) in ``keys``, once each.
+def _text_hash():
+    return F.xxhash64("text").alias("th")
 
-    A bit filter of bounded size (Spark's bitmap aggregate) keeps other documents from
-    leaving the scan; the join that follows is exact.
+
+def sets_of(docs: DataFrame, sketch: DataFrame, keys: DataFrame, size: int, folder: str) -> DataFrame:
+    """(k, tokens) for the set keys (k) asked for, each from one of its texts.
+
+    A bit filter of bounded size (Spark's bitmap aggregate) on the hashes of those texts
+    keeps other documents from being cut into shingles; the join that follows is exact.
     """
     bits = 32768
-    slot = F.pmod("k", F.lit(FILTER_BUCKETS * bits))
-    rows = keys.select((slot / bits).cast("long").alias("b"), (slot % bits).cast("long").alias("p")).groupBy("b").agg(F.bitmap_construct_agg("p").alias("m")).collect()
-    shared = docs.sparkSession.sparkContext.broadcast({r.b: bytes(r.m) for r in rows})
+    texts = written(sketch.select("k", "th").join(keys, "k", "left_semi").groupBy("k").agg(F.min("th").alias("th")), f"{folder}-texts")
+    slot = F.pmod("th", F.lit(FILTER_BUCKETS * bits))
+    rows = texts.select((slot / bits).cast("long").alias("b"), (slot % bits).cast("long").alias("p")).groupBy("b").agg(F.bitmap_construct_agg("p").alias("m")).collect()
+    maps = np.zeros((FILTER_BUCKETS, bits // 8), np.uint8)
+    for r in rows:
+        maps[r.b, : len(r.m)] = np.frombuffer(bytes(r.m), np.uint8)
+    shared = docs.sparkSession.sparkContext.broadcast(maps.reshape(-1))
 
     def only(batches):
         maps = shared.value
         for batch in batches:
-            ks, sets = [], []
-            for text in _texts(batch):
-                s = shingle_set(text, size)
-                if not len(s):
-                    continue
-                k = set_key(s)
-                b, p = divmod(k % (FILTER_BUCKETS * bits), bits)
-                if b in maps and maps[b][p >> 3] >> (p & 7) & 1:
-                    ks.append(k)
-                    sets.append(s)
-            yield pa.RecordBatch.from_arrays([pa.array(ks, pa.int64()), _as_lists(sets)], ["k", "tokens"])
+            at = batch.column("th").to_numpy() % (FILTER_BUCKETS * bits)
+            some = batch.take(pa.array(np.flatnonzero(maps[at >> 3] >> (at & 7) & 1)))
+            sets = [shingle_set(text, size) for text in _texts(some)]
+            yield pa.RecordBatch.from_arrays([some.column("th"), _as_lists(sets)], ["th", "tokens"])
 
-    found = docs.select("text").mapInArrow(only, "k long, tokens array<long>")
-    return found.join(keys.select("k").distinct(), "k", "left_semi").groupBy("k").agg(F.first("tokens").alias("tokens"))
+    found = docs.select("text", _text_hash()).mapInArrow(only, "th long, tokens array<long>")
+    once = found.join(texts, "th").groupBy("k").agg(F.first("tokens").alias("tokens"))
+    return written(once, f"{folder}-sets")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, size: int, folder: str) -> DataFrame:
+def verified(pairs: DataFrame, docs: DataFrame, sketch: DataFrame, size: int, folder: str) -> DataFrame:
     """The (a, b) of ``pairs`` whose whole sets reach the threshold."""
     keys = pairs.select(F.col("a").alias("k")).union(pairs.select("b")).distinct()
-    sets = written(sets_of(docs, keys, size), f"{folder}-sets")
-    left = pairs.join(sets.select(F.col("k").alias("b"), F.col("tokens").alias("tb")), "b")
+    sets = sets_of(docs, sketch, keys, size, folder)
+    left = pairs.select("a", "b").join(sets.select(F.col("k").alias("b"), F.col("tokens").alias("tb")), "b")
     both = left.join(sets.select(F.col("k").alias("a"), F.col("tokens").alias("ta")), "a")
     inter = F.size(F.array_intersect("ta", "tb"))
-    return both.select("a", "b", inter.alias("i"), (F.size("ta") + F.size("tb") - inter).alias("u")).filter(F.col("i") * DEN >= F.col("u") * NUM).select("a", "b")
+    links = both.select("a", "b", inter.alias("i"), (F.size("ta") + F.size("tb") - inter).alias("u")).filter(F.col("i") * DEN >= F.col("u") * NUM)
+    return written(links.select("a", "b"), f"{folder}-links")
 
 
 def fits(n, m):
@@ -192,7 +195,7 @@ def similar_groups(sketch: DataFrame, docs: DataFrame, size: int, folder: str) -
     """(k, g): groups of similar sets, from verified links to the group's first set.
 
     Sets meet where a min-hash value and a size band agree; each is compared with the
-    smallest of its bucket only.
+    first of its bucket only.
     """
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(DEN / NUM)))
     sets = sketch.filter("n > 0").select("k", F.explode(F.array(F.struct(F.lit(1).alias("s"), F.col("m1").alias("m")), F.struct(F.lit(2).alias("s"), F.col("m2").alias("m")))).alias("x"), band.alias("band"), "n")
@@ -201,10 +204,31 @@ def similar_groups(sketch: DataFrame, docs: DataFrame, size: int, folder: str) -
     firsts = written(sets.groupBy(*keys).agg(F.min("k").alias("a"), F.max("k").alias("z")).filter("a <> z").drop("z"), f"{folder}/firsts")
     pairs = sets.join(firsts, keys).filter("k <> a").select("a", F.col("k").alias("b")).distinct()
     pairs = written(pairs, f"{folder}/star-pairs")
-    links = verified(pairs, docs, size, f"{folder}/star")
+    links = verified(pairs, docs, sketch, size, f"{folder}/star")
     return written(components(links, f"{folder}/star-cc").select(F.col("node").alias("k"), F.col("component").alias("g")), f"{folder}/groups")
 
 
+def grouped(rows: DataFrame, groups: DataFrame) -> DataFrame:
+    """``rows`` with their group; a set in no group is one of its own."""
+    return rows.join(groups, "k", "left").select("token", "k", "n", F.coalesce("g", "k").alias("g"))
+
+
+def led_groups(rows: DataFrame, groups: DataFrame, docs: DataFrame, sketch: DataFrame, size: int, folder: str) -> DataFrame:
+    """Groups after merging those whose leaders on a token qualify: one leader a group and token.
+
+    Strays of a large group of near copies join it here, so that it stands in the matrix once.
+    """
+    leaders = written(rows.groupBy("token", "g").agg(F.min(F.struct("k", "n")).alias("l")), f"{folder}/leaders")
+    first = leaders.groupBy("token").agg(F.min(F.struct("g", "l")).alias("f"), F.max("g").alias("z")).filter("f.g <> z")
+    first = written(first.select("token", F.col("f.g").alias("h"), F.col("f.l.k").alias("b"), F.col("f.l.n").alias("nb")), f"{folder}/first-leaders")
+    met = leaders.join(first, "token").filter("g <> h").select(F.col("l.k").alias("a"), F.col("l.n").alias("na"), "b", "nb").filter(fits(F.col("na"), F.col("nb")))
+    # tokens on which other members lead are not counted here, so some pairs are left for later
+    pairs = met.groupBy("a", "b", "na", "nb").agg(F.count("*").alias("o")).filter(F.col("o") >= least_shared(F.col("na"), F.col("nb")))
+    links = verified(written(pairs.select("a", "b"), f"{folder}/led-pairs"), docs, sketch, size, f"{folder}/led")
+    edges = groups.select(F.col("k").alias("a"), F.col("g").alias("b")).union(links)
+    return written(components(edges, f"{folder}/led-cc").select(F.col("node").alias("k"), F.col("component").alias("g")), f"{folder}/led-groups")
+
+
 def jaccard_classes(docs: DataFrame, size: int = 5) -> DataFrame:
     """Per row of ``docs(doc_id, text)``: doc_id, n_shingles, component_id.
 
@@ -220,8 +244,8 @@ def jaccard_classes(docs: DataFrame, size: int = 5) -> DataFrame:
     tokens = sketch.select(F.explode("prefix").alias("token"), "k", "n")
     shared = written(tokens.groupBy("token").agg(F.count("*").alias("c")).filter("c > 1").select("token"), f"{folder}/shared")
     rows = written(tokens.join(shared, "token").distinct(), f"{folder}/rows")
-    rows = rows.join(groups, "k", "left").select("token", "k", "n", F.coalesce("g", "k").alias("g"))
-    rows = written(rows, f"{folder}/grouped")
+    groups = led_groups(grouped(rows, groups), groups, docs, sketch, size, folder)
+    rows = written(grouped(rows, groups), f"{folder}/grouped")
 
     # Token-group matrix: each group's token union, for tokens that more than one group has.
     several = written(rows.groupBy("token").agg(F.min("g").alias("lo"), F.max("g").alias("hi")).filter("lo <> hi").select("token"), f"{folder}/several")
@@ -243,7 +267,7 @@ def jaccard_classes(docs: DataFrame, size: int = 5) -> DataFrame:
     members = rows.select("token", F.col("g").alias("h"), F.col("k").alias("b"), F.col("n").alias("nb"))
     pairs = asking.join(members, ["token", "h"]).filter(fits(F.col("na"), F.col("nb"))).groupBy("a", "b", "na", "nb").agg(F.count("*").alias("o"))
     pairs = written(pairs.filter(F.col("o") >= least_shared(F.col("na"), F.col("nb"))).select("a", "b"), f"{folder}/pairs")
-    links = verified(pairs, docs, size, f"{folder}/rest")
+    links = verified(pairs, docs, sketch, size, f"{folder}/rest")
 
     edges = groups.select(F.col("k").alias("a"), F.col("g").alias("b")).union(links)
     classes = components(edges, f"{folder}/cc")
