@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..ship import ship
-from . import line_dedup, ngram_join, token_files, toxicity, warc
+from . import line_dedup, ngram_join, piece_lattice, token_counts, token_files, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,11 +36,20 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_files(*token_files.token_files(_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json")))
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(_table(spark, sf_dir, "documents"), _tokenizer("piece_bpe_32k.model"))
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per page, as read back from the normalised archives."""
     return warc.read_records(warc.archive(_table(spark, sf_dir, "pages"))).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op9_piece_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = _tokenizer("piece_bpe_32k.model")
+    return piece_lattice.digests(piece_lattice.decode(piece_lattice.encode(_table(spark, sf_dir, "documents"), model), model))
+
+
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_classes(_table(spark, sf_dir, "documents"))
 
@@ -49,7 +58,9 @@ QUERIES = {
     "op2_toxicity": op2_toxicity,
     "op4_line_dedup": op4_line_dedup,
     "op5_token_files": op5_token_files,
+    "op6_token_counts": op6_token_counts,
     "op7_warc": op7_warc,
+    "op9_piece_lattice": op9_piece_lattice,
     "op10_ngram_join": op10_ngram_join,
 }
 
