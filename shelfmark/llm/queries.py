@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..ship import ship
-from . import line_dedup, ngram_join, piece_lattice, token_counts, token_files, toxicity, warc
+from . import decontam, line_dedup, ngram_join, piece_lattice, token_counts, token_files, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,11 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).select("doc_id", F.coalesce(toxicity.held_out(), F.lit(False)).alias("held_out"), "score", "predicted", "n_hits")
 
 
+def op3_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per leaked item of a document: how alike they are."""
+    return decontam.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: lines, deleted lines (count and numbers), and the MD5 of what is kept."""
     out = line_dedup.dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -56,6 +61,7 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_toxicity": op2_toxicity,
+    "op3_decontam": op3_decontam,
     "op4_line_dedup": op4_line_dedup,
     "op5_token_files": op5_token_files,
     "op6_token_counts": op6_token_counts,
