@@ -6,13 +6,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..ship import ship
-from . import decontam, line_dedup, ngram_join, piece_lattice, token_counts, token_files, toxicity, warc
+from . import decontam, flac, license_scan, line_dedup, ngram_join, piece_lattice, token_counts, token_files, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return ship(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per licence text found in a document: where, and how much of the template is there."""
+    return license_scan.scan(_table(spark, sf_dir, "documents"))
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.learn(docs, _table(spark, sf_dir, "labels"))
@@ -50,6 +55,11 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_records(warc.archive(_table(spark, sf_dir, "pages"))).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op8_flac(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: digests of its stored stream and of what that decodes to."""
+    return flac.features(flac.stored(_table(spark, sf_dir, "documents")))
+
+
 def op9_piece_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = _tokenizer("piece_bpe_32k.model")
     return piece_lattice.digests(piece_lattice.decode(piece_lattice.encode(_table(spark, sf_dir, "documents"), model), model))
@@ -60,12 +70,14 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_license_scan": op1_license_scan,
     "op2_toxicity": op2_toxicity,
     "op3_decontam": op3_decontam,
     "op4_line_dedup": op4_line_dedup,
     "op5_token_files": op5_token_files,
     "op6_token_counts": op6_token_counts,
     "op7_warc": op7_warc,
+    "op8_flac": op8_flac,
     "op9_piece_lattice": op9_piece_lattice,
     "op10_ngram_join": op10_ngram_join,
 }
