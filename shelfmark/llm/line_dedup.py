@@ -174,9 +174,10 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """
     gone = repeated_lines(docs, min_words)
     names = docs.columns
-    docs = docs.select(F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(names)]).alias("row"), F.col("doc_id").alias("d"), _text_hash().alias("h"), F.col("text").alias("t"))
+    docs = docs.select(F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(names) if c != "text"]).alias("row"), F.col("doc_id").alias("d"), _text_hash().alias("h"), F.col("text").alias("t"))
     kind = docs.schema["row"].dataType.simpleString()
-    found = docs.join(gone, docs["d"].eqNullSafe(gone["doc_id"]) & (docs["h"] == gone["th"]), "left").select("row", "t", "seqs")
+    # always by a shuffle: what is deleted grows with the corpus, and small inputs plan alike
+    found = docs.join(gone.hint("merge"), docs["d"].eqNullSafe(gone["doc_id"]) & (docs["h"] == gone["th"]), "left").select("row", "t", "seqs")
 
     def cut(batches):
         for batch in batches:
