@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import StringType
 
 from . import vocab
 from .keys import _c, domain_label, domain_name_key, domain_of, first_by, norm
@@ -110,7 +111,7 @@ def product_hint(url: Column | str) -> Column:
     return _c(url).rlike(r"(?i)/(products?|instruments?|synths?|synthesizers?|keyboards?|modules?|gear)/[^/]+")
 
 
-@pandas_udf("string")
+@pandas_udf(StringType())
 def _unescape(text: pd.Series) -> pd.Series:
     return text.map(lambda x: None if x is None else html.unescape(x))
 
