@@ -40,24 +40,34 @@ END_ID = 2
 BLOCK_TOKENS, FILE_TOKENS = 1 << 20, 1 << 24
 CACHE_UNITS = 600_000
 UNIT = re.compile(r"\s*\S+|\s+")
-PLAIN = re.compile(r"\s\s|^\s|[^\S \n]")
+PLAIN = re.compile(r"\s\s|^\s|\s$|[^\S \n]")
+#: Signs that, behind letters and before white space, are always a part of their own.
+SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 HEAD = struct.Struct("<4sIIII")
 
 LENGTHS = np.array([[(c >> 2 * i & 3) + 1 for i in range(4)] for c in range(256)], np.uint8)
 
 
-def units(text: str, special: tuple[str, ...] = ()) -> list[str]:
-    """Parts of a text that the tokenizer encodes independently of one another."""
+def units(text: str, special: tuple[str, ...] = ()) -> tuple[str, list[str]]:
+    """(first part, the parts after it) of a text, which the tokenizer encodes independently.
+
+    A later part is a unit without its white space where that is one space, and else
+    the whole unit; no other part begins with a character that isn't white space.
+    """
     if any(s in text for s in special):
-        return [text]
+        return text, []
     if PLAIN.search(text):
-        return UNIT.findall(text)
+        first, *rest = UNIT.findall(text)
+        return first, [u[1:] if u[0] == " " and u[1:2].strip() else u for u in rest]
     first, *rest = text.replace("\n", " \n").split(" ")
-    return [first, *(u if u[:1] == "\n" else " " + u for u in rest)]
+    return first, rest
 
 
 class Encoder:
-    """text -> ids as little-endian uint32 bytes, remembering CACHE_UNITS units at most."""
+    """text -> ids as little-endian uint32 bytes, remembering CACHE_UNITS units at most.
+
+    ``known`` has later parts as ``units`` gives them, ``bare`` texts as they are.
+    """
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -65,19 +75,66 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = tuple(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
+        names = sorted(self.tokenizer.get_vocab().items(), key=lambda x: x[1])
+        self.led = np.array([n.startswith("Ġ") for n, _ in names])  # ids of tokens that begin with a space
         self.known: dict[str, bytes] = {}
+        self.bare: dict[str, bytes] = {}
+
+    def learn_bare(self, texts: set[str]) -> None:
+        new = list(texts.difference(self.bare))
+        for u, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
+            self.bare[u] = struct.pack(f"<{len(e.ids)}I", *e.ids)
+
+    def learn_words(self, words: list[str]) -> None:
+        """Words of letters, each behind a space, in one text: a token with a space begins each."""
+        for i in range(0, len(words), 20_000):
+            some = words[i : i + 20_000]
+            ids = np.array(self.tokenizer.encode(" " + " ".join(some), add_special_tokens=False).ids, "<u4")
+            at = (4 * np.append(np.flatnonzero(self.led[ids]), len(ids))).tolist()
+            raw = ids.tobytes()
+            if len(at) != len(some) + 1:
+                raise ValueError("a word's first token doesn't begin with its space")
+            self.known.update(zip(some, map(raw.__getitem__, map(slice, at, at[1:])), strict=True))
+
+    def learn(self, parts: set[str]) -> None:
+        """Add later parts: letters, then signs, are encoded apart, other parts as they are."""
+        known, words, ends, whole, made = self.known, set(), set(), set(), []
+        for u in parts:
+            line, core = u[:1] == "\n", u[1:] if u[:1] == "\n" else u
+            word = core.rstrip(SIGNS)
+            if not word.isalpha():
+                whole.add(u if u[:1].isspace() else " " + u)
+                made.append((u, None, None, None))
+                continue
+            end = core[len(word) :]
+            if line:
+                ends.update(("\n", word))
+            elif word not in known:
+                words.add(word)
+            if end:
+                ends.add(end)
+            made.append((u, line, word, end))
+        self.learn_words(list(words))
+        self.learn_bare(ends | whole)
+        bare = self.bare
+        for u, line, word, end in made:
+            if word is None:
+                known[u] = bare[u if u[:1].isspace() else " " + u]
+            else:
+                known[u] = (bare["\n"] + bare[word] if line else known[word]) + (bare[end] if end else b"")
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        parts = [units(t, self.special) if t else [] for t in texts]
-        new = list({u for p in parts for u in p if u not in self.known})
-        if len(self.known) + len(new) > CACHE_UNITS:
-            self.known, new = {}, list({u for p in parts for u in p})
-        for i in range(0, len(new), 20_000):
-            some = new[i : i + 20_000]
-            for u, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                self.known[u] = struct.pack(f"<{len(e.ids)}I", *e.ids)
-        known = self.known
-        return [b"".join([known[u] for u in p]) for p in parts]
+        parts = [units(t, self.special) if t else None for t in texts]
+        if len(self.known) + len(self.bare) > CACHE_UNITS:
+            self.known, self.bare = {}, {}
+        self.learn_bare({p[0] for p in parts if p and p[0]})
+        new: set[str] = set()
+        for p in parts:
+            if p:
+                new.update(set(p[1]).difference(self.known))
+        self.learn(new)
+        known, bare = self.known.__getitem__, self.bare
+        return [(bare[p[0]] if p[0] else b"") + b"".join(map(known, p[1])) if p else b"" for p in parts]
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -126,8 +183,8 @@ def frequency_ranks(tokens: DataFrame) -> np.ndarray:
         total = np.zeros(1, np.int64)
         unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
-            for x in batch.column("ids"):
-                n = np.bincount(_longer(unpack(x.as_py())))
+            for i in range(0, batch.num_rows, 256):
+                n = np.bincount(np.concatenate([_longer(unpack(x)) for x in batch.column("ids").slice(i, 256).to_pylist()]))
                 if len(n) > len(total):
                     n, total = total, n
                 total[: len(n)] += n
