@@ -108,7 +108,7 @@ def detach_dead(products: DataFrame, run_date: str, mark: str = "source detached
     note = F.coalesce("review_note", F.lit(""))
     hit = (F.col("review_status") == "needs_review") & note.rlike("(?i)dead") & ~is_blank("source_url") & ~F.contains(note, F.lit(mark))
     words = F.when(F.col("name").rlike(r"[()+/,]"), F.lit(f"{run_date}: {mark}, name looks like a variant")).otherwise(F.lit(f"{run_date}: {mark}"))
-    return products.withColumn("review_note", F.when(hit, F.concat(note, F.lit(" | "), words)).otherwise(F.col("review_note"))).withColumn("source_url", F.when(~F.coalesce(hit, F.lit(False)), F.col("source_url")))
+    return products.withColumns({"review_note": F.when(hit, F.concat(note, F.lit(" | "), words)).otherwise(F.col("review_note")), "source_url": F.when(~F.coalesce(hit, F.lit(False)), F.col("source_url"))})
 
 
 def source_shape(products: DataFrame, domains: DataFrame, fewest: int = 5, ratio: float = 0.5) -> DataFrame:

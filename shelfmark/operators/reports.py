@@ -97,12 +97,12 @@ def spec_summary(specs: DataFrame) -> DataFrame:
 
 
 def maker_links(links: DataFrame, products: DataFrame) -> DataFrame:
-    """A10: (maker_id, product_id, url, link_type, position): a maker's own links, then its products'."""
+    """A10: (id, maker_id, product_id, url, link_type, position): a maker's own links, then its products'."""
     own = products.select(F.col("id").alias("_p"), F.col("maker_id").alias("_m"))
     rows = links.join(own, F.col("product_id") == F.col("_p"), "left").withColumn("maker_id", F.coalesce("maker_id", "_m")).filter("maker_id is not null")
     state = F.when(F.col("status") == "live", 0).when(F.col("status") == "redirected", 1).when(F.col("status") == "unchecked", 2).when(F.col("status") == "blocked", 3).otherwise(4)
     w = Window.partitionBy("maker_id").orderBy(F.col("product_id").isNotNull(), state, F.col("link_type").asc_nulls_last(), "url", F.col("product_id").asc_nulls_first(), "id")
-    return rows.select("maker_id", "product_id", "url", "link_type", F.row_number().over(w).alias("position"))
+    return rows.select("id", "maker_id", "product_id", "url", "link_type", F.row_number().over(w).alias("position"))
 
 
 def az_index(makers: DataFrame) -> DataFrame:
