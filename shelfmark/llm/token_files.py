@@ -40,7 +40,9 @@ END_ID = 2
 BLOCK_TOKENS, FILE_TOKENS = 1 << 20, 1 << 24
 CACHE_UNITS = 600_000
 UNIT = re.compile(r"\s*\S+|\s+")
-PLAIN = re.compile(r"\s\s|^\s|\s$|[^\S \n]")
+#: White space other than the space and the line feed, as ASCII and others.
+SPACES = tuple(map(chr, (9, 11, 12, 13, 28, 29, 30, 31)))
+WIDE_SPACES = tuple(map(chr, (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 #: Signs that, behind letters and before white space, are always a part of their own.
 SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 HEAD = struct.Struct("<4sIIII")
@@ -48,6 +50,13 @@ HEAD = struct.Struct("<4sIIII")
 LENGTHS = np.array([[(c >> 2 * i & 3) + 1 for i in range(4)] for c in range(256)], np.uint8)
 
 
+def plain(text: str) -> bool:
+    """Whether single spaces and line feeds within it are all the white space of a text."""
+    if text[0].isspace() or text[-1].isspace() or any(x in text for x in ("  ", " \n", "\n ", "\n\n")):
+        return False
+    return not any(x in text for x in (SPACES if text.isascii() else SPACES + WIDE_SPACES))
+
+
 def units(text: str, special: tuple[str, ...] = ()) -> tuple[str, list[str]]:
     """(first part, the parts after it) of a text, which the tokenizer encodes independently.
 
@@ -56,7 +65,7 @@ def units(text: str, special: tuple[str, ...] = ()) -> tuple[str, list[str]]:
     """
     if any(s in text for s in special):
         return text, []
-    if PLAIN.search(text):
+    if not plain(text):
         first, *rest = UNIT.findall(text)
         return first, [u[1:] if u[0] == " " and u[1:2].strip() else u for u in rest]
     first, *rest = text.replace("\n", " \n").split(" ")
