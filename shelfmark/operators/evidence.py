@@ -92,7 +92,7 @@ def close_queue(queue: DataFrame, entries: DataFrame) -> DataFrame:
 
     Of an entry's names the first with a row that isn't done closes that row.
     """
-    names = entries.select(F.monotonically_increasing_id().alias("_e"), "confidence", F.posexplode("names").alias("pos", "name")).filter(~is_blank("name"))
+    names = entries.select(F.xxhash64("names").alias("_e"), "confidence", F.posexplode("names").alias("pos", "name")).filter(~is_blank("name"))
     names = names.select("_e", "confidence", "pos", F.lower(F.trim("name")).alias("_l"))
     open_rows = queue.filter("status <> 'done'").select("id", F.lower(F.trim("name")).alias("_l"))
     first = names.join(open_rows, "_l").groupBy("_e").agg(F.min_by(F.struct("id", "confidence"), F.struct("pos", "id")).alias("b"))
