@@ -35,8 +35,11 @@ COMMON = 32
 ORDER_TOKENS = 500_000
 #: Tokens counted together before their counts leave a task.
 BLOCK_TOKENS = 4_000_000
-#: Buckets of 32768 bits in the filter of documents whose sets are asked for (at most 8 MB).
+#: Buckets of 32768 bits in a bit filter (8 MB), which spares later joins most rows.
 FILTER_BUCKETS = 2048
+FILTER_BITS = FILTER_BUCKETS * 32768
+#: Sizes within a band differ by this ratio at most; a group stands in the matrix once for each band.
+BAND = 1.15
 LONG_LIST = pa.list_(pa.int64())
 
 
@@ -135,26 +138,56 @@ def _text_hash():
     return F.xxhash64("text").alias("th")
 
 
+def bit_filter(keys: DataFrame, key: str) -> np.ndarray:
+    """Bits at the keys modulo the filter's size, by Spark's bitmap aggregate; FILTER_BUCKETS * 4 KB at most.
+
+    Keys that aren't there may pass, so an exact join follows.
+    """
+    slot = F.pmod(key, F.lit(FILTER_BITS))
+    rows = keys.select((slot / 32768).cast("long").alias("b"), (slot % 32768).cast("long").alias("p")).groupBy("b").agg(F.bitmap_construct_agg("p").alias("m")).collect()
+    maps = np.zeros((FILTER_BUCKETS, 4096), np.uint8)
+    for r in rows:
+        maps[r.b, : len(r.m)] = np.frombuffer(bytes(r.m), np.uint8)
+    return maps.reshape(-1)
+
+
+def passing(maps: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    at = keys % FILTER_BITS
+    return (maps[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+
+
+def shared_tokens(sketch: DataFrame, folder: str) -> DataFrame:
+    """(token, k, n): the prefix tokens that two rows at least have, once for each set."""
+    tokens = sketch.select(F.explode("prefix").alias("token"))
+    shared = written(tokens.groupBy("token").agg(F.count("*").alias("c")).filter("c > 1").select("token"), f"{folder}/shared")
+    maps = sketch.sparkSession.sparkContext.broadcast(bit_filter(shared, "token"))
+
+    def only(batches):
+        for batch in batches:
+            lists = batch.column("prefix")
+            flat, ends = lists.values.to_numpy(), lists.offsets.to_numpy()
+            keep = np.flatnonzero(passing(maps.value, flat))
+            row = np.searchsorted(ends, keep, "right") - 1
+            at = pa.array(row)
+            yield pa.RecordBatch.from_arrays([pa.array(flat[keep]), batch.column("k").take(at), batch.column("n").take(at)], ["token", "k", "n"])
+
+    some = sketch.filter("n > 0").select("prefix", "k", "n").mapInArrow(only, "token long, k long, n long")
+    return written(some.join(shared, "token").distinct(), f"{folder}/rows")
+
+
 def sets_of(docs: DataFrame, sketch: DataFrame, keys: DataFrame, size: int, folder: str) -> DataFrame:
     """(k, tokens) for the set keys (k) asked for, each from one of its texts.
 
     A bit filter of bounded size (Spark's bitmap aggregate) on the hashes of those texts
     keeps other documents from being cut into shingles; the join that follows is exact.
     """
-    bits = 32768
     texts = written(sketch.select("k", "th").join(keys, "k", "left_semi").groupBy("k").agg(F.min("th").alias("th")), f"{folder}-texts")
-    slot = F.pmod("th", F.lit(FILTER_BUCKETS * bits))
-    rows = texts.select((slot / bits).cast("long").alias("b"), (slot % bits).cast("long").alias("p")).groupBy("b").agg(F.bitmap_construct_agg("p").alias("m")).collect()
-    maps = np.zeros((FILTER_BUCKETS, bits // 8), np.uint8)
-    for r in rows:
-        maps[r.b, : len(r.m)] = np.frombuffer(bytes(r.m), np.uint8)
-    shared = docs.sparkSession.sparkContext.broadcast(maps.reshape(-1))
+    shared = docs.sparkSession.sparkContext.broadcast(bit_filter(texts, "th"))
 
     def only(batches):
         maps = shared.value
         for batch in batches:
-            at = batch.column("th").to_numpy() % (FILTER_BUCKETS * bits)
-            some = batch.take(pa.array(np.flatnonzero(maps[at >> 3] >> (at & 7) & 1)))
+            some = batch.take(pa.array(np.flatnonzero(passing(maps, batch.column("th").to_numpy()))))
             sets = [shingle_set(text, size) for text in _texts(some)]
             yield pa.RecordBatch.from_arrays([some.column("th"), _as_lists(sets)], ["th", "tokens"])
 
@@ -240,32 +273,31 @@ def jaccard_classes(docs: DataFrame, size: int = 5) -> DataFrame:
     sketch = written(sketched(docs, size), f"{folder}/sketch")
     groups = similar_groups(sketch, docs, size, folder)
 
-    # The matrix needs only tokens that two sets at least have in their prefixes.
-    tokens = sketch.select(F.explode("prefix").alias("token"), "k", "n")
-    shared = written(tokens.groupBy("token").agg(F.count("*").alias("c")).filter("c > 1").select("token"), f"{folder}/shared")
-    rows = written(tokens.join(shared, "token").distinct(), f"{folder}/rows")
+    rows = shared_tokens(sketch, folder)
     groups = led_groups(grouped(rows, groups), groups, docs, sketch, size, folder)
     rows = written(grouped(rows, groups), f"{folder}/grouped")
 
-    # Token-group matrix: each group's token union, for tokens that more than one group has.
+    # Token-group matrix: the token union of each group and size band, for tokens of several groups.
     several = written(rows.groupBy("token").agg(F.min("g").alias("lo"), F.max("g").alias("hi")).filter("lo <> hi").select("token"), f"{folder}/several")
-    rows = written(rows.join(several, "token"), f"{folder}/open")
-    matrix = rows.select("token", F.col("g").alias("h")).distinct()
-    sizes = rows.groupBy(F.col("g").alias("h")).agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
-    matrix = written(matrix.join(sizes, "h"), f"{folder}/matrix")
+    rows = rows.join(several, "token").withColumn("band", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(BAND))))
+    rows = written(rows, f"{folder}/open")
+    matrix = rows.select("token", F.col("g").alias("h"), F.col("band").alias("hband")).distinct()
+    sizes = rows.groupBy(F.col("g").alias("h"), F.col("band").alias("hband")).agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
+    matrix = written(matrix.join(sizes, ["h", "hband"]), f"{folder}/matrix")
     n, lo, hi = F.col("n"), F.col("lo"), F.col("hi")
     meets = (hi * DEN >= n * NUM) & (lo * NUM <= n * DEN)
-    bound = rows.join(matrix, "token").filter((F.col("g") > F.col("h")) & meets).groupBy("k", "n", "g", "h", "lo", "hi").agg(F.count("*").alias("o"))
-    # least_shared falls on both sides of m = n, so its least value over the group's sizes is at an end
+    asking = rows.select("token", "k", "n", "g")
+    bound = asking.join(matrix, "token").filter((F.col("g") > F.col("h")) & meets).groupBy("k", "n", "g", "h", "hband", "lo", "hi").agg(F.count("*").alias("o"))
+    # least_shared rises to m = n and falls after, so its least value over a band is at an end
     smallest = F.greatest(lo, F.ceil(n * NUM / DEN))
     largest = F.least(hi, F.floor(n * DEN / NUM))
-    opened = bound.filter(F.col("o") >= F.least(least_shared(n, smallest), least_shared(n, largest))).select("k", "g", "h")
+    opened = bound.filter(F.col("o") >= F.least(least_shared(n, smallest), least_shared(n, largest))).select("k", "h", "hband")
     opened = written(opened, f"{folder}/opened")
 
     # Members of the opened groups, by the tokens they share with the query.
-    asking = rows.join(opened, ["k", "g"]).select("token", F.col("k").alias("a"), F.col("n").alias("na"), "h")
-    members = rows.select("token", F.col("g").alias("h"), F.col("k").alias("b"), F.col("n").alias("nb"))
-    pairs = asking.join(members, ["token", "h"]).filter(fits(F.col("na"), F.col("nb"))).groupBy("a", "b", "na", "nb").agg(F.count("*").alias("o"))
+    asking = asking.join(opened, "k").select("token", F.col("k").alias("a"), F.col("n").alias("na"), "h", "hband")
+    members = rows.select("token", F.col("g").alias("h"), F.col("band").alias("hband"), F.col("k").alias("b"), F.col("n").alias("nb"))
+    pairs = asking.join(members, ["token", "h", "hband"]).filter(fits(F.col("na"), F.col("nb"))).groupBy("a", "b", "na", "nb").agg(F.count("*").alias("o"))
     pairs = written(pairs.filter(F.col("o") >= least_shared(F.col("na"), F.col("nb"))).select("a", "b"), f"{folder}/pairs")
     links = verified(pairs, docs, sketch, size, f"{folder}/rest")
 
