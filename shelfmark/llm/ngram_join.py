@@ -38,6 +38,8 @@ BLOCK_TOKENS = 4_000_000
 #: Buckets of 32768 bits in a bit filter (8 MB), which spares later joins most rows.
 FILTER_BUCKETS = 2048
 FILTER_BITS = FILTER_BUCKETS * 32768
+#: Frequency classes of a set's tokens that give min-hash values.
+CLASSES = 3
 #: Sizes within a band differ by this ratio at most; a group stands in the matrix once for each band.
 BAND = 1.15
 LONG_LIST = pa.list_(pa.int64())
@@ -98,40 +100,46 @@ def set_key(s: np.ndarray) -> int:
 
 
 def sketched(docs: DataFrame, size: int = 5) -> DataFrame:
-    """Per document: set size and key, two min-hash values, and the prefix in the order."""
+    """Per document: set size and key, min-hash values, and the prefix in the order.
+
+    Min-hash values are taken of the frequency classes that most of its tokens are in, so
+    that near copies meet by what they share with one another, not by a common passage.
+    """
     common, level = token_order(docs, size)
     shared = docs.sparkSession.sparkContext.broadcast((common, level))
 
     def sketch(batches):
         common, level = shared.value
         for batch in batches:
-            n, key, m1, m2, prefixes = [], [], [], [], []
+            n, key, rare, mins, prefixes = [], [], [], [], []
             for text in _texts(batch):
                 s = shingle_set(text, size)
                 n.append(len(s))
                 if not len(s):
-                    key.append(None), m1.append(None), m2.append(None), prefixes.append(s)
+                    key.append(None), rare.append(0), mins.append(s), prefixes.append(s)
                     continue
                 key.append(set_key(s))
-                m1.append(int(s[0]) - 2**63)
-                m2.append(int((s * np.uint64(0xD6E8FEB86659FD93)).min()) - 2**63)
                 want = prefix_length(len(s))
+                rank = np.zeros(len(s), np.int64)
                 if len(common):
                     at = np.minimum(np.searchsorted(common, s), len(common) - 1)
-                    is_common = common[at] == s
-                    first = s[~is_common]
-                    if len(first) < want:
-                        last, lv = s[is_common], level[at[is_common]]
-                        first = np.concatenate([first, last[np.lexsort((last, lv))]])
-                    s = first
-                prefixes.append(s[:want])
+                    rank = np.where(common[at] == s, level[at], 0)
+                held = np.bincount(rank)
+                rare.append(int(held[0]))
+                classes = [s[rank == c] for c in np.argsort(-held, kind="stable")[:CLASSES] if held[c]]
+                mins.append(np.array([m for c in classes for m in (c[0], (c * np.uint64(0xD6E8FEB86659FD93)).min())], np.uint64))
+                first = s[rank == 0]
+                if len(first) < want:
+                    last, by = s[rank > 0], rank[rank > 0]
+                    first = np.concatenate([first, last[np.lexsort((last, by))]])
+                prefixes.append(first[:want])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("th"), pa.array(n, pa.int64()), pa.array(key, pa.int64()), pa.array(m1, pa.int64()), pa.array(m2, pa.int64()), _as_lists(prefixes)],
-                ["doc_id", "th", "n", "k", "m1", "m2", "prefix"],
+                [batch.column("doc_id"), batch.column("th"), pa.array(n, pa.int64()), pa.array(key, pa.int64()), pa.array(rare, pa.int64()), _as_lists(mins), _as_lists(prefixes)],
+                ["doc_id", "th", "n", "k", "rare", "mins", "prefix"],
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text", _text_hash()).mapInArrow(sketch, f"doc_id {kind}, th long, n long, k long, m1 long, m2 long, prefix array<long>")
+    return docs.select("doc_id", "text", _text_hash()).mapInArrow(sketch, f"doc_id {kind}, th long, n long, k long, rare long, mins array<long>, prefix array<long>")
 
 
 def _text_hash():
@@ -157,7 +165,7 @@ def passing(maps: np.ndarray, keys: np.ndarray) -> np.ndarray:
 
 
 def shared_tokens(sketch: DataFrame, folder: str) -> DataFrame:
-    """(token, k, n): the prefix tokens that two rows at least have, once for each set."""
+    """(token, k, n, rare): the prefix tokens that two rows at least have, once for each set."""
     tokens = sketch.select(F.explode("prefix").alias("token"))
     shared = written(tokens.groupBy("token").agg(F.count("*").alias("c")).filter("c > 1").select("token"), f"{folder}/shared")
     maps = sketch.sparkSession.sparkContext.broadcast(bit_filter(shared, "token"))
@@ -169,9 +177,9 @@ def shared_tokens(sketch: DataFrame, folder: str) -> DataFrame:
             keep = np.flatnonzero(passing(maps.value, flat))
             row = np.searchsorted(ends, keep, "right") - 1
             at = pa.array(row)
-            yield pa.RecordBatch.from_arrays([pa.array(flat[keep]), batch.column("k").take(at), batch.column("n").take(at)], ["token", "k", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(flat[keep]), batch.column("k").take(at), batch.column("n").take(at), batch.column("rare").take(at)], ["token", "k", "n", "rare"])
 
-    some = sketch.filter("n > 0").select("prefix", "k", "n").mapInArrow(only, "token long, k long, n long")
+    some = sketch.filter("n > 0").select("prefix", "k", "n", "rare").mapInArrow(only, "token long, k long, n long, rare long")
     return written(some.join(shared, "token").distinct(), f"{folder}/rows")
 
 
@@ -227,15 +235,15 @@ def least_shared(n, m):
 def similar_groups(sketch: DataFrame, docs: DataFrame, size: int, folder: str) -> DataFrame:
     """(k, g): groups of similar sets, from verified links to the group's first set.
 
-    Sets meet where a min-hash value and a size band agree; each is compared with the
-    first of its bucket only.
+    Sets meet where a min-hash value and a size band agree; each is compared with one of
+    its bucket only, that with the fewest rare tokens: of near copies the least edited.
     """
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(DEN / NUM)))
-    sets = sketch.filter("n > 0").select("k", F.explode(F.array(F.struct(F.lit(1).alias("s"), F.col("m1").alias("m")), F.struct(F.lit(2).alias("s"), F.col("m2").alias("m")))).alias("x"), band.alias("band"), "n")
-    keys = ["s", "m", "band"]
-    sets = sets.select("k", "n", "x.s", "x.m", "band")
-    firsts = written(sets.groupBy(*keys).agg(F.min("k").alias("a"), F.max("k").alias("z")).filter("a <> z").drop("z"), f"{folder}/firsts")
-    pairs = sets.join(firsts, keys).filter("k <> a").select("a", F.col("k").alias("b")).distinct()
+    keys = ["m", "band"]
+    sets = sketch.filter("n > 0").select("k", "rare", band.alias("band"), F.explode("mins").alias("m"))
+    firsts = written(sets.groupBy(*keys).agg(F.min(F.struct("rare", "k"))["k"].alias("a"), F.min("k").alias("y"), F.max("k").alias("z")).filter("y <> z").drop("y", "z"), f"{folder}/firsts")
+    # one value in common may be a passage's; pairs left out here are looked at by the matrix
+    pairs = sets.join(firsts, keys).filter("k <> a").groupBy("a", F.col("k").alias("b")).agg(F.count("*").alias("c")).filter("c > 1").select("a", "b")
     pairs = written(pairs, f"{folder}/star-pairs")
     links = verified(pairs, docs, sketch, size, f"{folder}/star")
     return written(components(links, f"{folder}/star-cc").select(F.col("node").alias("k"), F.col("component").alias("g")), f"{folder}/groups")
@@ -243,7 +251,7 @@ def similar_groups(sketch: DataFrame, docs: DataFrame, size: int, folder: str) -
 
 def grouped(rows: DataFrame, groups: DataFrame) -> DataFrame:
     """``rows`` with their group; a set in no group is one of its own."""
-    return rows.join(groups, "k", "left").select("token", "k", "n", F.coalesce("g", "k").alias("g"))
+    return rows.join(groups, "k", "left").select("token", "k", "n", "rare", F.coalesce("g", "k").alias("g"))
 
 
 def led_groups(rows: DataFrame, groups: DataFrame, docs: DataFrame, sketch: DataFrame, size: int, folder: str) -> DataFrame:
@@ -251,8 +259,8 @@ def led_groups(rows: DataFrame, groups: DataFrame, docs: DataFrame, sketch: Data
 
     Strays of a large group of near copies join it here, so that it stands in the matrix once.
     """
-    leaders = written(rows.groupBy("token", "g").agg(F.min(F.struct("k", "n")).alias("l")), f"{folder}/leaders")
-    first = leaders.groupBy("token").agg(F.min(F.struct("g", "l")).alias("f"), F.max("g").alias("z")).filter("f.g <> z")
+    leaders = written(rows.groupBy("token", "g").agg(F.min(F.struct("rare", "k", "n")).alias("l")), f"{folder}/leaders")
+    first = leaders.groupBy("token").agg(F.min(F.struct("l", "g")).alias("f"), F.min("g").alias("y"), F.max("g").alias("z")).filter("y <> z")
     first = written(first.select("token", F.col("f.g").alias("h"), F.col("f.l.k").alias("b"), F.col("f.l.n").alias("nb")), f"{folder}/first-leaders")
     met = leaders.join(first, "token").filter("g <> h").select(F.col("l.k").alias("a"), F.col("l.n").alias("na"), "b", "nb").filter(fits(F.col("na"), F.col("nb")))
     # tokens on which other members lead are not counted here, so some pairs are left for later
