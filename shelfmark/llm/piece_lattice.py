@@ -32,6 +32,7 @@ from .common import filesystem, make_dir, put_file, shared_dir, written
 from .pieces import SPACE, Pieces, load, units
 
 LONG = 64
+UNITS_A_PART = 30_000
 UNITS_AT_ONCE = 500_000
 
 
@@ -78,24 +79,23 @@ def _bytes_of(char: Column, first: int) -> Column:
 
 def segmented(words: DataFrame, pieces: Pieces) -> DataFrame:
     """(unit, ids): the best segmentation of every unit, for distinct ``words`` (unit)."""
-    short = words.filter(F.length("unit") <= LONG)
+    # small parts, so that a part's edges are grouped in memory
+    parts = max(1, -(-words.count() // UNITS_A_PART))
+    short = words.filter(F.length("unit") <= LONG).repartition(parts, "unit")
     starts = short.select("unit", F.explode(F.sequence(F.lit(0), F.length("unit") - 1)).alias("s"))
     spans = starts.select("unit", "s", F.explode(F.sequence(F.lit(1), F.least(F.lit(pieces.longest), F.length("unit") - F.col("s")))).alias("k"))
-    parts = spans.select("unit", "s", "k", F.substr("unit", F.col("s") + 1, F.col("k")).alias("piece"))
-    table = piece_table(words.sparkSession, pieces)
-    edges = parts.join(F.broadcast(table), "piece", "left").filter("id is not null or k = 1")
-    unknown = F.array(F.lit(pieces.unk)) if pieces.bytes_at is None else _bytes_of(F.col("piece"), pieces.bytes_at)
-    edge = F.struct((F.col("s") + F.col("k")).alias("e"), "s", F.coalesce("score", F.lit(pieces.unk_score)).alias("score"), F.when(F.col("id").isNull(), unknown).otherwise(F.array("id")).alias("ids"))
+    substrings = spans.select("unit", "s", "k", F.substr("unit", F.col("s") + 1, F.col("k")).alias("piece"))
+    edges = substrings.join(F.broadcast(piece_table(words.sparkSession, pieces)), "piece", "left").filter("id is not null or k = 1")
+    edge = F.struct((F.col("s") + F.col("k")).alias("e"), "s", F.coalesce("id", F.lit(-1)).alias("id"), F.coalesce("score", F.lit(pieces.unk_score)).alias("score"))
     lattice = edges.groupBy("unit").agg(F.array_sort(F.collect_list(edge)).alias("edges"))
 
-    state = "array<struct<score:double,s:int,ids:array<int>>>"
-    start = F.array(F.struct(F.lit(0.0).alias("score"), F.lit(-1).alias("s"), F.array().cast("array<int>").alias("ids"))).cast(state)
+    state = "array<struct<score:double,s:int,id:int>>"
+    start = F.array(F.struct(F.lit(0.0).alias("score"), F.lit(-1).alias("s"), F.lit(-1).alias("id"))).cast(state)
 
     def fold(best: Column, x: Column) -> Column:
         score = F.get(best, x["s"])["score"] + x["score"]
-        here = F.array(F.struct(score.alias("score"), x["s"].alias("s"), x["ids"].alias("ids"))).cast(state)
-        later = F.size(best) > x["e"]
-        return F.when(~later, F.concat(best, here)).when(score > F.get(best, x["e"])["score"], F.concat(F.slice(best, 1, x["e"]), here)).otherwise(best)
+        here = F.array(F.struct(score.alias("score"), x["s"].alias("s"), x["id"].alias("id"))).cast(state)
+        return F.when(F.size(best) <= x["e"], F.concat(best, here)).when(score > F.get(best, x["e"])["score"], F.concat(F.slice(best, 1, x["e"]), here)).otherwise(best)
 
     best = lattice.select("unit", F.aggregate("edges", start, fold).alias("best"))
     path = "struct<at:int,ids:array<int>>"
@@ -103,7 +103,9 @@ def segmented(words: DataFrame, pieces: Pieces) -> DataFrame:
 
     def back(a: Column, _: Column) -> Column:
         step = F.get(F.col("best"), a["at"])
-        return F.when(a["at"] <= 0, a).otherwise(F.struct(step["s"].alias("at"), F.concat(step["ids"], a["ids"]).alias("ids")).cast(path))
+        unknown = F.array(F.lit(pieces.unk)) if pieces.bytes_at is None else _bytes_of(F.substr(F.col("unit"), a["at"], F.lit(1)), pieces.bytes_at)
+        ids = F.when(step["id"] >= 0, F.array(step["id"])).otherwise(unknown)
+        return F.when(a["at"] <= 0, a).otherwise(F.struct(step["s"].alias("at"), F.concat(ids, a["ids"]).alias("ids")).cast(path))
 
     found = best.select("unit", F.aggregate(F.sequence(F.lit(1), F.length("unit")), end, back)["ids"].alias("ids"))
 
@@ -189,7 +191,8 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
     folder, pieces = shared_dir(spark), load(model)
     docs = in_blocks(docs, folder)
     found = written(block_units(docs), f"{folder}/units")
-    words = written(segmented(found.select("unit").distinct(), pieces), f"{folder}/segmented")
+    words = written(found.select("unit").distinct(), f"{folder}/words")
+    words = written(segmented(words, pieces), f"{folder}/segmented")
     write_blocks(found.distinct().join(words, "unit"), f"{folder}/blocks")
     kind = docs.schema["doc_id"].dataType.simpleString()
 
