@@ -4,14 +4,14 @@ Around each occurrence of one of a template's telling words a window of the text
 aligned with the template: words that are unique in both anchor the alignment, the
 longest increasing subsequence of the anchors stays, and the gaps between are aligned
 the same way.  Coverage is the share of the template's words that are aligned; windows
-that reach COVERAGE are reported, the best first, without overlaps.
+that reach COVERAGE are reported, those with most aligned words first, without overlaps.
 
 Words that are in no template can't be aligned, so a text is reduced to the places of
 the templates' words first; every place of a whole text is looked at.
 
 Defined results: null and blank texts have no licences; a template found twice in a
-text is two rows; equal coverage goes to the longer template, then the earlier place,
-then the first name; repeated rows and ids give repeated rows; only doc_id and text are
+text is two rows; of windows with as many aligned words that of higher coverage is
+taken, then the earlier place, then the first name; repeated rows and ids give repeated rows; only doc_id and text are
 read.
 """
 
@@ -154,9 +154,9 @@ class Scanner:
                     covered = len(pairs) / len(t.words)
                     if covered >= self.coverage:
                         a, b = first + pairs[0][1], first + pairs[-1][1]
-                        hits.append((-covered, -len(t.words), found[a][2], order, found[b][3]))
+                        hits.append((-len(pairs), -covered, found[a][2], order, found[b][3]))
         taken: list[tuple[str, float, int, int]] = []
-        for covered, _, start, order, end in sorted(hits):
+        for _, covered, start, order, end in sorted(hits):
             if all(end <= s or start >= e for _, _, s, e in taken):
                 taken.append((self.templates[order].name, round(-covered, 6), start, end))
         return sorted(taken, key=lambda x: x[2])
