@@ -32,7 +32,7 @@ from .common import filesystem, make_dir, put_file, shared_dir, written
 from .pieces import SPACE, Pieces, load, units
 
 LONG = 64
-UNITS_A_PART = 30_000
+UNITS_A_PART = 60_000
 UNITS_AT_ONCE = 500_000
 
 
@@ -77,11 +77,12 @@ def _bytes_of(char: Column, first: int) -> Column:
     return F.transform(F.sequence(F.lit(1), F.length(text) - 1, F.lit(2)), lambda i: F.conv(F.substr(text, i, F.lit(2)), 16, 10).cast("int") + first)
 
 
-def segmented(words: DataFrame, pieces: Pieces) -> DataFrame:
-    """(unit, ids): the best segmentation of every unit, for distinct ``words`` (unit)."""
-    # small parts, so that a part's edges are grouped in memory
-    parts = max(1, -(-words.count() // UNITS_A_PART))
-    short = words.filter(F.length("unit") <= LONG).repartition(parts, "unit")
+def segmented(found: DataFrame, pieces: Pieces) -> DataFrame:
+    """(unit, ids): the best segmentation of every distinct unit of ``found`` (unit)."""
+    # small parts, so that a part's edges are grouped in memory; one shuffle serves both steps
+    parts = max(1, -(-found.count() // UNITS_A_PART))
+    words = found.select("unit").repartition(parts, "unit").distinct()
+    short = words.filter(F.length("unit") <= LONG)
     starts = short.select("unit", F.explode(F.sequence(F.lit(0), F.length("unit") - 1)).alias("s"))
     spans = starts.select("unit", "s", F.explode(F.sequence(F.lit(1), F.least(F.lit(pieces.longest), F.length("unit") - F.col("s")))).alias("k"))
     substrings = spans.select("unit", "s", "k", F.substr("unit", F.col("s") + 1, F.col("k")).alias("piece"))
@@ -191,9 +192,8 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
     folder, pieces = shared_dir(spark), load(model)
     docs = in_blocks(docs, folder)
     found = written(block_units(docs), f"{folder}/units")
-    words = written(found.select("unit").distinct(), f"{folder}/words")
-    words = written(segmented(words, pieces), f"{folder}/segmented")
-    write_blocks(found.distinct().join(words, "unit"), f"{folder}/blocks")
+    words = written(segmented(found, pieces), f"{folder}/segmented")
+    write_blocks(found.join(words, "unit"), f"{folder}/blocks")
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def look_up(batches):
