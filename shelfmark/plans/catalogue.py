@@ -728,3 +728,124 @@ def _(t):
 def _(t):
     out = readers.publish(t.makers, t.maker_names, t.products, t.relations, t.logos)
     return out.select("maker_id", "canonical_name", F.coalesce(F.size("instruments"), F.lit(0)).cast("long").alias("n_products"), F.array_join(F.transform("instruments", lambda x: x["name"]), "|").alias("names"))
+
+
+# More scalars, classifiers, extraction and evidence
+
+
+@query("n8_slug_titles", "SELECT p_partkey AS id, array_to_string(list_transform(string_split(p_name, ' '), lambda w: CASE WHEN length(w) <= 3 AND w NOT IN ('new', 'old') THEN upper(w) ELSE upper(w[1]) || w[2:] END), ' ') AS title FROM part")
+def _(t):
+    return t.part.select(F.col("p_partkey").alias("id"), keys.title_case_slug(F.translate("p_name", " ", "-")).alias("title"))
+
+
+@query("n9_models", "SELECT p_partkey AS id, upper(replace(p_name, ' ', '-') || '-' || p_size) AS model, upper(replace(p_name, ' ', '')) AS family FROM part")
+def _(t):
+    model = keys.tidy_model(F.concat(F.translate("p_name", " ", "-"), F.lit("-"), F.col("p_size").cast("string")))
+    return t.part.select(F.col("p_partkey").alias("id"), model.alias("model"), keys.collapse_variant(F.concat(F.regexp_replace("p_name", " ", ""), F.lit("bk"))).alias("family"))
+
+
+@query("n14_doc_models", "SELECT p_partkey AS id, p_name AS model, 'Service Manual' AS doc_type FROM part")
+def _(t):
+    doc = keys.doc_model("p_type", F.concat(F.lower("p_type"), F.lit("_"), F.translate("p_name", " ", "_"), F.lit("_SERVICE_MANUAL.pdf")))
+    return t.part.select(F.col("p_partkey").alias("id"), doc.alias("d")).select("id", "d.model", "d.doc_type")
+
+
+@query("r16_identify", "SELECT id AS maker_id, CASE WHEN id % 2 = 0 THEN 'Q' || (id * 10 + 2) ELSE 'Q' || (id * 10 + 1) END AS qid FROM makers", "makers")
+def _(t):
+    makers = t.makers.select(F.col("id").alias("maker_id"), F.col("canonical_name").alias("name"), "official_website")
+    none = F.array().cast("array<string>")
+    own = makers.select("maker_id", F.lit(1).alias("rank"), F.concat(F.lit("Q"), (F.col("maker_id") * 10 + 1).cast("string")).alias("qid"), F.col("name").alias("label"), none.alias("aliases"), F.when(F.col("maker_id") % 2 == 0, F.array(F.lit("school"))).otherwise(F.array(F.lit("company"))).alias("types"), none.alias("industry"), none.alias("websites"))
+    site = makers.select("maker_id", F.lit(2), F.concat(F.lit("Q"), (F.col("maker_id") * 10 + 2).cast("string")), F.lit("Other"), none, none, none, F.when(F.col("maker_id") % 2 == 0, F.array("official_website")).otherwise(none))
+    return resolve.identify(makers, own.union(site), ["school"], ["company"]).select("maker_id", "qid")
+
+
+@query("c3_route_links", "SELECT DISTINCT CASE WHEN product_id IS NULL THEN maker_id END AS maker_id, product_id, url FROM links", "links")
+def _(t):
+    pages = t.links.select("maker_id", F.lit("Nobody").alias("maker"), "product_id", F.array(F.struct("url", "label")).alias("links"))
+    return classify.route_links(pages).select("maker_id", "product_id", "url")
+
+
+@query("c9_sitemap_products", "SELECT p_type || '/' || p_brand AS path, replace(p_name, ' ', '-') AS slug, CASE WHEN p_type = 'ECONOMY' THEN 'kept' ELSE 'skipped' END AS status FROM part GROUP BY 1, 2, 3")
+def _(t):
+    urls = t.part.select(F.concat(F.lit("https://x.example.com/"), "p_type", F.lit("/products/"), "p_brand", F.lit("/"), F.translate("p_name", " ", "-")).alias("url"))
+    config = t.part.filter("p_type = 'ECONOMY'").select(F.concat_ws("/", "p_type", "p_brand").alias("path")).distinct().withColumn("category", F.lit("Tool"))
+    return classify.sitemap_products(urls, config, r"/([^/]+)/products/([^/]+)/([^/]+)/?$").select("path", "slug", "status")
+
+
+@query("c10_c17_types", "SELECT p_partkey AS id, CASE WHEN p_size % 2 = 0 THEN 'module' ELSE 'manual' END AS decision FROM part WHERE p_type IN ('ECONOMY', 'SMALL') AND p_brand <> 'Brand#1'")
+def _(t):
+    rows = t.part.select(F.col("p_partkey").alias("id"), F.col("p_type").alias("product_type"), F.when(F.col("p_size") % 2 == 0, F.col("p_size")).alias("external_id"), F.array("p_brand").alias("types"))
+    return classify.split_hardware(classify.filter_types(rows, reject=["Brand#1"]), ["ECONOMY", "SMALL"]).select("id", "decision")
+
+
+@query("c11_c12_documents", "SELECT p_partkey AS id, CASE WHEN p_partkey % 2 = 0 THEN p_brand ELSE 'Vermona' END AS brand, CASE WHEN p_partkey % 2 = 0 THEN 'folder' ELSE 'section' END AS reason, 'service_mod' AS link_type FROM part")
+def _(t):
+    folder = F.when(F.col("p_partkey") % 2 == 0, F.concat(F.lit("Archiv_Hans_Ohms/"), F.replace("p_brand", F.lit("#"), F.lit("%23")))).otherwise(F.lit("files"))
+    url = F.concat(F.lit("https://b.example.de/"), folder, F.lit("/a.pdf"))
+    section = F.lit("dokumente_vermona-schaltplaene")
+    brand = classify.brand_of(url, section, ["Framus"], {"vermona-schaltplaene": "Vermona"})
+    return t.part.select(F.col("p_partkey").alias("id"), brand.alias("b"), classify.doc_link_type(section).alias("link_type")).select("id", "b.brand", "b.reason", "link_type")
+
+
+@query("c14_domain_verdicts", """SELECT domain, CASE WHEN product_urls % 5 = 0 THEN 'manual' WHEN sitemap_urls % 3 = 0 THEN 'harvestable' WHEN product_urls % 2 = 0 THEN 'html_only' ELSE 'blocked_bot' END AS verdict FROM domains""", "domains")
+def _(t):
+    probes = t.domains.select("domain", F.lit("").alias("robots_text"), F.when(F.col("sitemap_urls") % 3 == 0, 200).otherwise(404).alias("sitemap_code"), F.lit("<loc>x</loc>").alias("sitemap_text"), F.when(F.col("product_urls") % 2 == 0, 200).otherwise(403).alias("home_code"), F.lit(None).cast("string").alias("error"))
+    manual = t.domains.filter("product_urls % 5 = 0").select("domain", F.lit("manual").alias("verdict"))
+    return classify.domain_verdict(probes, manual)
+
+
+@query("c16_label_candidates", """SELECT p_brand AS name, n FROM (SELECT p_brand, count(*) AS n FROM part GROUP BY 1) WHERE n >= 3 AND p_brand NOT IN ('Brand#1', 'Brand#2')""")
+def _(t):
+    labels = t.part.groupBy("p_brand").agg(F.count("*").alias("n")).select(F.concat("p_brand", F.lit(" ("), F.col("n").cast("string"), F.lit(")")).alias("label"))
+    known = t.nation.filter("n_nationkey in (1, 2)").select(F.concat(F.lit("Brand#"), F.col("n_nationkey").cast("string")).alias("name"))
+    return classify.label_candidates(labels, known)
+
+
+@query("x2_x4_cached_pages", "SELECT p_partkey AS id, p_partkey % 50 = 0 AS dead, CASE WHEN p_partkey % 50 <> 0 THEN 1950 + p_size END AS year, CASE WHEN p_partkey % 50 <> 0 THEN p_type END AS device, CASE WHEN p_partkey % 50 <> 0 AND p_size % 2 = 0 THEN 'analog' END AS technology FROM part")
+def _(t):
+    live = F.concat(F.lit("Device:\n"), "p_type", F.lit("\nProduced:\n"), (F.col("p_size") + 1950).cast("string"), F.lit(" - later\nTechnology:\n"), F.when(F.col("p_size") % 2 == 0, "Analog").otherwise("Steam"))
+    pages = t.part.select(F.col("p_partkey").alias("id"), F.when(F.col("p_partkey") % 50 == 0, "No such synth").otherwise(live).alias("text"))
+    return extract.read_specs(pages).select("id", "dead", "year", "device", "technology")
+
+
+@query("x5_spec_blocks", "SELECT p_partkey AS id, 'keys' AS field, CAST(p_size AS VARCHAR) AS value FROM part UNION ALL SELECT p_partkey, 'body_type', p_type FROM part")
+def _(t):
+    text = F.concat(F.lit("About\nTECHNICAL SPECIFICATIONS\nKeys: "), F.col("p_size").cast("string"), F.lit("\nBody type:\n"), "p_type", F.lit("\nKeys: 0"))
+    return extract.spec_blocks(t.part.select(F.col("p_partkey").alias("id"), text.alias("text")), "id").select("id", "field", "value")
+
+
+@query("x12_specs_long", "SELECT p_partkey AS id, 'body_type' AS field, p_type AS value FROM part UNION ALL SELECT p_partkey, 'size', CAST(p_size AS VARCHAR) FROM part")
+def _(t):
+    specs = F.create_map(F.lit("Body Type"), F.col("p_type"), F.lit("Size"), F.col("p_size").cast("string"), F.lit("Empty"), F.lit(" "))
+    return extract.specs_long(t.part.select(F.col("p_partkey").alias("id"), specs.alias("specs")), "id").select("id", "field", "value")
+
+
+@query("k3_flatten_conflict", "SELECT p_partkey AS id, 'year: ' || p_size || ' (u1) vs ' || p_brand || ' -- ' || p_type AS conflict FROM part")
+def _(t):
+    values = F.array(F.struct(F.col("p_size").cast("string").alias("value"), F.lit("u1").alias("url")), F.struct(F.col("p_brand").alias("value"), F.lit(None).cast("string").alias("url")))
+    return t.part.select(F.col("p_partkey").alias("id"), evidence.flatten_conflict(F.lit("year"), values, F.col("p_type")).alias("conflict"))
+
+
+@query("k7_close_queue", "SELECT id, CASE WHEN status <> 'done' AND id % 2 = 0 AND contains(name, 'Supplier') THEN 'done' ELSE status END AS status FROM queue", "queue")
+def _(t):
+    entries = t.supplier.filter("s_suppkey % 2 = 0").select(F.array(F.lit("nobody"), F.upper("s_name")).alias("names"), F.lit("confirmed").alias("confidence"))
+    return evidence.close_queue(t.queue, entries).select("id", "status")
+
+
+@query("k13_fill_from_cache", """SELECT p.id, coalesce(p.year, c.year) AS year, CASE WHEN c.dead THEN 'needs_review' ELSE p.review_status END AS review_status FROM products p
+    LEFT JOIN (SELECT source_url, min(1900 + id % 90) AS year, bool_or(id % 100 = 0) AS dead FROM products WHERE source_url IS NOT NULL GROUP BY 1) c ON c.source_url = p.source_url""", "products")
+def _(t):
+    none = F.lit(None).cast("string")
+    pages = t.products.filter("source_url is not null").select(F.col("source_url").alias("url"), (F.col("id") % 100 == 0).alias("dead"), (F.col("id") % 90 + 1900).alias("year"), none.alias("device"), none.alias("technology"))
+    return evidence.fill_from_cache(t.products, pages).select("id", "year", "review_status")
+
+
+@query("s4_sitemap_urls", "SELECT 'd' || p_size AS domain, 'https://d' || p_size || '/' || p_partkey AS url FROM part")
+def _(t):
+    size = F.col("p_size").cast("string")
+    sub = F.concat(F.lit("https://d"), size, F.lit("/sub.xml"))
+    domain = F.concat(F.lit("d"), size)
+    loc = F.concat(F.lit("<loc>https://d"), size, F.lit("/"), F.col("p_partkey").cast("string"), F.lit("</loc>"))
+    subs = t.part.groupBy(domain.alias("domain"), sub.alias("url")).agg(F.array_join(F.collect_list(loc), "").alias("body"))
+    index = subs.select("domain", F.concat(F.lit("https://"), "domain", F.lit("/sitemap.xml")), F.concat(F.lit("<sitemapindex><loc>"), "url", F.lit("</loc></sitemapindex>")))
+    return readers.sitemap_urls(subs.union(index))
