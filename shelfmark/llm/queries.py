@@ -96,4 +96,51 @@ SQL: dict[str, str] = {
                CASE WHEN payload_bytes >= 100 AND page_id IS DISTINCT FROM lo THEN lo END AS refers_to
         FROM m
     """,
+    "op4_line_dedup": r"""
+        WITH raw AS (
+            SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS no FROM documents WHERE text <> ''
+        ), numbered AS (
+            SELECT *, trim(line, ' ' || chr(9) || chr(13)) AS own, trim(line, ' ' || chr(9) || chr(13)) <> '' AS full_line FROM raw
+        ), p AS (
+            SELECT doc_id, no, own, row_number() OVER (PARTITION BY doc_id ORDER BY no) - 1 AS seq, len(string_split_regex(own, '\s+')) AS w FROM numbered WHERE full_line
+        ), c AS (
+            SELECT *, sum(w) OVER (PARTITION BY doc_id ORDER BY seq) AS upto FROM p
+        ), spans AS (
+            SELECT a.doc_id, a.seq AS s, min(b.seq) AS e FROM c a JOIN c b ON a.doc_id = b.doc_id AND b.seq BETWEEN a.seq AND a.seq + 49 AND b.upto - a.upto + a.w >= 50 GROUP BY 1, 2
+            UNION SELECT b.doc_id, max(a.seq), b.seq FROM c a JOIN c b ON a.doc_id = b.doc_id AND b.seq BETWEEN a.seq AND a.seq + 49 AND b.upto - a.upto + a.w >= 50 GROUP BY 1, b.seq
+        ), runs AS (
+            SELECT x.doc_id, x.s, x.e, string_agg(c.own, chr(10) ORDER BY c.seq) AS run FROM spans x JOIN c ON c.doc_id = x.doc_id AND c.seq BETWEEN x.s AND x.e GROUP BY 1, 2, 3
+        ), firsts AS (
+            SELECT *, first_value(doc_id) OVER o AS first_doc, first_value(s) OVER o AS first_s FROM runs WINDOW o AS (PARTITION BY run ORDER BY doc_id, s)
+        ), gone AS (
+            SELECT DISTINCT doc_id, unnest(range(s, e + 1)) AS seq FROM firsts WHERE doc_id <> first_doc OR s >= first_s + e - s + 1
+        ), cut AS (
+            SELECT doc_id, count(*) AS n, string_agg(seq, ',' ORDER BY seq) AS deleted FROM gone GROUP BY 1
+        ), kept AS (
+            SELECT n.doc_id, count(p.seq) AS n_lines, coalesce(string_agg(n.line, chr(10) ORDER BY n.no) FILTER (g.seq IS NULL), '') AS text
+            FROM numbered n LEFT JOIN p ON p.doc_id = n.doc_id AND p.no = n.no LEFT JOIN gone g ON g.doc_id = n.doc_id AND g.seq = p.seq GROUP BY 1
+        )
+        SELECT d.doc_id, coalesce(k.n_lines, 0) AS n_lines, coalesce(cut.n, 0) AS n_deleted, cut.deleted, md5(coalesce(k.text, d.text)) AS kept_md5
+        FROM documents d LEFT JOIN kept k ON k.doc_id = d.doc_id LEFT JOIN cut ON cut.doc_id = d.doc_id
+    """,
+    "op10_ngram_join": r"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents
+        ), s AS (
+            SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+                ELSE list_distinct(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))) END AS sh FROM w
+        ), n AS (
+            SELECT doc_id, len(sh) AS n FROM s
+        ), t AS (
+            SELECT doc_id, unnest(sh) AS g FROM s
+        ), e AS (
+            SELECT p.a, p.b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS i FROM t x JOIN t y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY 1, 2) p
+            JOIN n x ON x.doc_id = p.a JOIN n y ON y.doc_id = p.b WHERE 100 * p.i >= 75 * (x.n + y.n - p.i)
+        ), u AS (
+            SELECT a, b FROM e UNION ALL SELECT b, a FROM e
+        ), c(id, root) AS (
+            SELECT doc_id, doc_id FROM n UNION SELECT u.b, c.root FROM c JOIN u ON u.a = c.id
+        )
+        SELECT n.doc_id, n.n AS n_shingles, min(c.root) AS component_id FROM n JOIN c ON c.id = n.doc_id GROUP BY 1, 2
+    """,
 }
