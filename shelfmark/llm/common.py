@@ -12,15 +12,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+_OWN: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """A new folder name under ``spark.checkpoint.dir``, which all executors share.
 
-    Where the setting is absent (tests on one machine) a temporary folder is set.
+    Where the setting is absent (tests on one machine) it is below a temporary folder.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="spark-llm-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        app = spark.sparkContext.applicationId
+        if app not in _OWN:
+            _OWN[app] = "file://" + tempfile.mkdtemp(prefix="spark-llm-")
+        base = _OWN[app]
     return f"{base.rstrip('/')}/llm-{uuid.uuid4().hex}"
 
 
