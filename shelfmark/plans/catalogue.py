@@ -849,3 +849,53 @@ def _(t):
     subs = t.part.groupBy(domain.alias("domain"), sub.alias("url")).agg(F.array_join(F.collect_list(loc), "").alias("body"))
     index = subs.select("domain", F.concat(F.lit("https://"), "domain", F.lit("/sitemap.xml")), F.concat(F.lit("<sitemapindex><loc>"), "url", F.lit("</loc></sitemapindex>")))
     return readers.sitemap_urls(subs.union(index))
+
+
+@query("x7_table_rows", "SELECT p_partkey AS id, p_brand AS first_cell, 'https://h.example.com/' || p_partkey AS href FROM part WHERE p_size % 2 = 0")
+def _(t):
+    cells = [F.concat(F.lit("<td>"), "p_brand", F.lit("</td><td><a href='https://h.example.com/"), F.col("p_partkey").cast("string"), F.lit("'>x</a></td>"))]
+    row = F.concat(*cells, F.lit("<td>3</td><td>4</td><td>5</td><td>6</td>"), F.when(F.col("p_size") % 2 == 0, "<td>7</td>").otherwise(""))
+    pages = t.part.select(F.col("p_partkey").alias("id"), F.concat(F.lit("<table><tbody><tr>"), row, F.lit("</tr></tbody></table>")).alias("html"))
+    return extract.table_rows(pages, "id").select("id", F.get("cells", F.lit(0)).alias("first_cell"), "href")
+
+
+@query("x10_post_taxonomy", "SELECT p_partkey AS id, p_name AS title, p_type AS category, p_brand AS tag, 1950 + p_size AS year FROM part")
+def _(t):
+    link = lambda rel, c: F.concat(F.lit(f'<a rel="{rel}" href="#">'), c, F.lit("</a>"))
+    html = F.concat(F.lit("<title>"), "p_name", F.lit("</title>"), link("category", F.col("p_type")), link("tag", F.col("p_brand")), link("tag", (F.col("p_size") + 1950).cast("string")))
+    found = extract.post_taxonomy(t.part.select(F.col("p_partkey").alias("id"), html.alias("html")), "id")
+    return found.select("id", "title", F.array_join("categories", ",").alias("category"), F.array_join("tags", ",").alias("tag"), "year")
+
+
+@query("x11_logo_candidates", "SELECT page_id, 'https://x.example.com/' || page_id || '/logo.png' AS logo FROM pages")
+def _(t):
+    html = F.concat(F.lit('<img alt="logo" src="'), F.col("page_id").cast("string"), F.lit('/logo.png">'))
+    pages = t.pages.select("page_id", F.lit("https://x.example.com/").alias("url"), F.concat(F.regexp_replace("html", "(?i)<img[^>]*>", ""), html).alias("html"))
+    return extract.logo_candidates(pages, "page_id").select("page_id", "logo")
+
+
+@query("q3_mark_queue", dictionary_sql(f"""SELECT q.id, CASE WHEN q.status <> 'found' OR b.maker_id IS NULL AND c.id IS NULL THEN q.status WHEN b.maker_id IS NULL THEN 'needs_review' WHEN m.scope = 'out_of_scope' THEN 'done' WHEN m.confidence <> 'unresearched' THEN 'needs_review' ELSE q.status END AS status
+    FROM queue q LEFT JOIN by_key b ON b.key = {NORM.format('q.name')} AND b.key <> '' LEFT JOIN makers m ON m.id = b.maker_id
+    LEFT JOIN (SELECT DISTINCT q.id FROM queue q JOIN names n ON contains(' ' || {SPACED.format('q.name')} || ' ', ' ' || {SPACED.format('n.name')} || ' ')) c ON c.id = q.id""", "queue"))
+def _(t):
+    classes = audit.classify_queue(t.queue, t.makers, t.dictionary())
+    kinds = audit.stub_kind(t.relations, ["successor"], ["owned_by"])
+    return audit.mark_queue(t.queue, classes, kinds, "2024-01-01").select("id", "status")
+
+
+@query("s5_feed", "SELECT 'https://p.example.com/' || p_partkey AS url, p_name AS title, p_brand AS label FROM part")
+def _(t):
+    key = F.col("p_partkey").cast("string")
+    text = lambda c: F.struct(c.alias("$t"))
+    entry = F.struct(text(F.col("p_name")).alias("title"), text(F.lit("<b>x</b>")).alias("summary"), text(F.lit("2020")).alias("published"), F.array(F.struct(F.col("p_brand").alias("term"))).alias("category"), F.array(F.struct(F.lit("alternate").alias("rel"), F.concat(F.lit("https://p.example.com/"), key).alias("href"))).alias("link"))
+    feeds = t.part.select(F.to_json(F.struct(F.struct(F.array(entry).alias("entry")).alias("feed"))).alias("body"))
+    return readers.flatten_feed(feeds).select("url", "title", F.array_join("labels", ",").alias("label"))
+
+
+@query("s6_bindings", "SELECT p_name || ' ' || p_partkey AS label, 'Q' || p_partkey AS qid, 1950 + p_size AS year FROM part")
+def _(t):
+    value = lambda c: F.struct(c.alias("value"))
+    key = F.col("p_partkey").cast("string")
+    binding = F.struct(value(F.concat(F.lit("http://w.example.com/Q"), key)).alias("item"), value(F.concat("p_name", F.lit(" "), key)).alias("itemLabel"), value(F.col("p_brand")).alias("makerLabel"), value(F.concat((F.col("p_size") + 1950).cast("string"), F.lit("-01-01"))).alias("date"))
+    body = F.to_json(F.struct(F.struct(F.array(binding).alias("bindings")).alias("results")))
+    return readers.flatten_bindings(t.part.select(body.alias("body"))).select("label", "qid", "year")
