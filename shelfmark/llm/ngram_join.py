@@ -22,7 +22,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import components, shared_dir, shingle_set, written
@@ -270,14 +270,9 @@ def led_groups(rows: DataFrame, groups: DataFrame, docs: DataFrame, sketch: Data
     return written(components(edges, f"{folder}/led-cc").select(F.col("node").alias("k"), F.col("component").alias("g")), f"{folder}/led-groups")
 
 
-def jaccard_classes(docs: DataFrame, size: int = 5) -> DataFrame:
-    """Per row of ``docs(doc_id, text)``: doc_id, n_shingles, component_id.
-
-    ``component_id`` is the smallest doc_id reachable over links, the own one included.
-    """
-    spark: SparkSession = docs.sparkSession
+def _classified(docs: DataFrame, size: int, folder: str) -> DataFrame:
+    """(doc_id, th, n, c) per row of ``docs(doc_id, text)``: text hash, set size and class, null without words."""
     docs = docs.select("doc_id", "text")
-    folder = shared_dir(spark)
     sketch = written(sketched(docs, size), f"{folder}/sketch")
     groups = similar_groups(sketch, docs, size, folder)
 
@@ -311,26 +306,38 @@ def jaccard_classes(docs: DataFrame, size: int = 5) -> DataFrame:
 
     edges = groups.select(F.col("k").alias("a"), F.col("g").alias("b")).union(links)
     classes = components(edges, f"{folder}/cc")
-    ids = sketch.select("doc_id", "n", "k").join(classes.withColumnRenamed("node", "k"), "k", "left").withColumn("c", F.coalesce("component", "k"))
-    ids = written(ids.select("doc_id", "n", "c"), f"{folder}/ids")
+    ids = sketch.select("doc_id", "th", "n", "k").join(classes.withColumnRenamed("node", "k"), "k", "left").withColumn("c", F.coalesce("component", "k"))
+    return written(ids.select("doc_id", "th", "n", "c"), f"{folder}/ids")
+
+
+def jaccard_classes(docs: DataFrame, size: int = 5) -> DataFrame:
+    """Per row of ``docs(doc_id, text)``: doc_id, n_shingles, component_id.
+
+    ``component_id`` is the smallest doc_id reachable over links, the own one included.
+    """
+    folder = shared_dir(docs.sparkSession)
+    ids = _classified(docs, size, folder).select("doc_id", "n", "c")
     least = written(ids.filter(F.col("c").isNotNull()).groupBy("c").agg(F.min("doc_id").alias("least")), f"{folder}/least")
     return ids.join(least, "c", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("c").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """One document of each class stays, the one with the smallest id; columns as given.
+    """One row of each class stays, that with the smallest (doc_id, text hash); columns as given.
 
-    Documents without words are in no class and stay.  Of rows that repeat the smallest
-    id of a class of two or more rows, the one with the least text hash stays.
+    A null id comes after all others.  Rows are told apart by doc_id and text, so a
+    repeated or null id drops no row of another class.  Documents without words are in no
+    class and stay; of rows that repeat both id and text, one stays.
     """
-    classes = jaccard_classes(docs)
-    stay = classes.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    kept = docs.join(stay, docs["doc_id"].eqNullSafe(stay["doc_id"]), "left_semi")
-    with_words = F.length(F.regexp_replace(F.coalesce("text", F.lit("")), "[\\x20\\x09-\\x0D]+", "")) > 0
-    many = kept.filter(with_words).groupBy("doc_id").agg(F.count("*").alias("_copies")).filter("_copies > 1")
-    if not many.take(1):
-        return kept
-    # repeated ids: rows of the same id in one class count once
-    first = kept.filter(with_words).groupBy("doc_id").agg(F.min(F.xxhash64("text")).alias("_least"))
-    single = kept.filter(with_words).join(first, "doc_id").filter(F.xxhash64("text") == F.col("_least")).drop("_least").select(*docs.columns).dropDuplicates(["doc_id"])
-    return single.unionByName(kept.filter(~with_words))
+    folder = shared_dir(docs.sparkSession)
+    ids = _classified(docs, 5, folder)
+    rows = ids.filter(F.col("c").isNotNull()).groupBy("c", "doc_id", "th").agg(F.count("*").alias("copies"))
+    first = rows.groupBy("c").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "th", "copies")).alias("f")).select("f.doc_id", "f.th", "f.copies")
+    blank = ids.filter(F.col("c").isNull()).select("doc_id", "th", F.lit(1).cast("long").alias("copies")).distinct()
+    stay = written(first.union(blank), f"{folder}/stay").select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"), F.col("copies").alias("_copies"))
+    same = docs["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_th"))
+    repeated = stay.filter("_copies > 1")
+    if not repeated.take(1):
+        return docs.join(stay, same, "left_semi")
+    repeated = written(repeated, f"{folder}/repeated")
+    once = docs.join(repeated, same).dropDuplicates(["_id", "_th"]).select(*(docs[c] for c in docs.columns))
+    return docs.join(stay.filter("_copies = 1"), same, "left_semi").unionByName(once)

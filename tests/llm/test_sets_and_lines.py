@@ -65,6 +65,26 @@ def test_keep_one_keeps_columns(spark):
     assert out.columns == ["doc_id", "text", "k"] and sorted(r.doc_id for r in out.collect()) == [1, 3, 4]
 
 
+def test_keep_one_of_null_and_repeated_ids(spark):
+    """Each class keeps one row, whatever ids its rows share with other classes."""
+    rng = random.Random(11)
+    a, b, c, d, e, f = (" ".join(prose(rng, 40, 100_000)) for _ in range(6))
+    rows = [(None, a), (None, b), (None, a + " z"), (1, c), (1, d), (2, c + " z"), (1, e), (0, e + " z"), (None, d), (3, f), (3, f), (None, None), (None, ""), (1, None), (1, " "), (None, f)]
+    out = [tuple(r) for r in ngram_join.keep_one(frame(spark, rows)).collect()]
+    null_a = [x for x in out if x[1] in (a, a + " z")]
+    assert len(null_a) == 1
+    expected = [(None, b), (1, c), (1, d), (0, e + " z"), (3, f), (None, None), (None, ""), (1, None), (1, " ")]
+    assert sorted(out, key=str) == sorted(null_a + expected, key=str)
+
+
+def test_keep_one_of_null_ids_without_copies(spark):
+    rng = random.Random(12)
+    a, b, c = (" ".join(prose(rng, 40, 100_000)) for _ in range(3))
+    rows = [(None, a), (None, b), (4, b + " z"), (4, c)]
+    out = [tuple(r) for r in ngram_join.keep_one(frame(spark, rows)).collect()]
+    assert sorted(out, key=str) == sorted([(None, a), (4, b + " z"), (4, c)], key=str)
+
+
 def test_components(spark, tmp_path):
     edges = [(1, 2), (2, 3), (5, 4), (9, 9), (4, 6), (3, 1)] + [(100 + i, 101 + i) for i in range(20)]
     got = dict(tuple(r) for r in components(spark.createDataFrame(edges, "a long, b long"), str(tmp_path / "cc")).collect())
