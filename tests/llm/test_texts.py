@@ -104,6 +104,21 @@ def test_decontamination(spark):
     assert decontam.leaks(frame(spark, ["x"]), bench.limit(0)).count() == 0
 
 
+def test_clean_drops_leaked_rows_only(spark):
+    """Rows that share a null or repeated id with a leaked row stay."""
+    rng = random.Random(4)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(rng.randrange(3, 8))) for _ in range(500)]
+
+    def text(n):
+        return " ".join(rng.choice(words) for _ in range(n))
+
+    item = text(30)
+    leaked = [(None, item), (7, text(40) + " " + item), (7, text(40) + " " + item)]
+    good = [(None, text(60)), (7, text(60)), (None, None), (7, ""), (8, text(60)), (8, text(60))] + [(i, text(60)) for i in range(20, 40)]
+    kept = decontam.clean(spark.createDataFrame(leaked + good, "doc_id long, text string"), spark.createDataFrame([(1, item)], "item_id long, text string"))
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted(good, key=str)
+
+
 def test_common_words():
     rng = random.Random(0)
     for _ in range(200):
