@@ -232,6 +232,16 @@ def least_shared(n, m):
     return F.greatest(need - F.greatest(rest(n), rest(m)), F.lit(1))
 
 
+def least_shared_within(n, lo, hi):
+    """The least ``least_shared`` over the set sizes from ``lo`` to ``hi``, which must be such that fit.
+
+    It never falls with m up to m = n.  After that a step to m + 1 adds 1 at most, where
+    the rest of the longer set stays, and two steps or more add nothing; so the least
+    value is at ``lo``, ``hi`` or ``hi - 1``.
+    """
+    return F.least(least_shared(n, lo), least_shared(n, hi), least_shared(n, F.greatest(lo, hi - 1)))
+
+
 def similar_groups(sketch: DataFrame, docs: DataFrame, size: int, folder: str) -> DataFrame:
     """(k, g): groups of similar sets, from verified links to the group's first set.
 
@@ -291,10 +301,9 @@ def _classified(docs: DataFrame, size: int, folder: str) -> DataFrame:
     meets = (hi * DEN >= n * NUM) & (lo * NUM <= n * DEN)
     asking = rows.select("token", "k", "n", "g")
     bound = asking.join(matrix, "token").filter((F.col("g") > F.col("h")) & meets).groupBy("k", "n", "g", "h", "hband", "lo", "hi").agg(F.count("*").alias("o"))
-    # least_shared rises to m = n and falls after, so its least value over a band is at an end
     smallest = F.greatest(lo, F.ceil(n * NUM / DEN))
     largest = F.least(hi, F.floor(n * DEN / NUM))
-    opened = bound.filter(F.col("o") >= F.least(least_shared(n, smallest), least_shared(n, largest))).select("k", "h", "hband")
+    opened = bound.filter(F.col("o") >= least_shared_within(n, smallest, largest)).select("k", "h", "hband")
     opened = written(opened, f"{folder}/opened")
 
     # Members of the opened groups, by the tokens they share with the query.

@@ -54,6 +54,52 @@ def test_jaccard_classes_match_brute_force(spark):
     assert sorted(got, key=str) == brute_classes(rows)
 
 
+def test_bound_is_the_least_of_its_sizes(spark):
+    """For each n and each range of fitting sizes within a band, the bound is the least of least_shared."""
+    import math
+
+    def least(n, m):
+        rest = max(-(-3 * n // 4), -(-3 * m // 4)) - 1
+        return max(-(-3 * (n + m) // 7) - rest, 1)
+
+    cases = []
+    for n in range(1, 121):
+        for lo in range(-(-3 * n // 4), 4 * n // 3 + 1):
+            low = least(n, lo)
+            for hi in range(lo, 4 * n // 3 + 1):
+                if math.log(hi) // math.log(ngram_join.BAND) > math.log(lo) // math.log(ngram_join.BAND):
+                    break
+                low = min(low, least(n, hi))
+                cases.append((n, lo, hi, low))
+    df = spark.createDataFrame(cases, "n long, lo long, hi long, low long")
+    assert df.filter(ngram_join.least_shared_within(df["n"], df["lo"], df["hi"]) != df["low"]).count() == 0
+
+
+def test_link_to_a_size_inside_a_group(spark):
+    """A query of 100 tokens is linked to a group's member of 103 only, which needs a shared token less than those of 102 and 104."""
+    from shelfmark.llm.common import shingle_set
+
+    def key(words):
+        return ngram_join.set_key(shingle_set(" ".join(words), 1))
+
+    # own tokens come first in the order; the group has both min-hash values of an own token, so that it is found as one
+    order = sorted((f"w{i}" for i in range(4000)), key=lambda w: int(shingle_set(w, 1)[0]))
+    shared = order[1000:1087]
+    second = min(order[:1087], key=lambda w: int(shingle_set(w, 1)[0]) * 0xD6E8FEB86659FD93 % 2**64)
+    assert second not in shared
+    others = [w for w in order[:1000] if w != second]
+    for at in range(0, 900, 30):
+        own = others[at : at + 29]
+        query, middle = own[:13] + shared, own[13:28] + [second] + shared
+        less, more = middle[:-1], middle + own[28:]
+        if key(query) > min(map(key, (less, middle, more))):
+            rows = [(1, " ".join(less)), (2, " ".join(middle)), (3, " ".join(more)), (4, " ".join(query))]
+            got = {r.doc_id: r.component_id for r in ngram_join.jaccard_classes(frame(spark, rows), 1).collect()}
+            assert got == {1: 1, 2: 1, 3: 1, 4: 1}
+            return
+    raise AssertionError("no case was built")
+
+
 def test_jaccard_classes_of_nothing(spark):
     assert ngram_join.jaccard_classes(frame(spark, [])).count() == 0
     assert [tuple(r) for r in ngram_join.jaccard_classes(frame(spark, [(1, None)])).collect()] == [(1, 0, 1)]
