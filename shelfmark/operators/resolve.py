@@ -80,14 +80,26 @@ def resolve_unique_prefix(df: DataFrame, name: str, dictionary: DataFrame, short
     return out.withColumn("match_kind", kind).withColumn("maker_id", F.coalesce("maker_id", "_m")).drop("_key", "_m")
 
 
-def _heads(words: Column, most: int) -> Column:
+def _heads(words: Column, most: Column | int) -> Column:
     n = F.least(F.size(words), F.lit(most))
     return F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda i: F.struct(i.alias("n"), F.array_join(F.slice(words, F.lit(1), i), " ").alias("head")))
 
 
-def match_title(df: DataFrame, title: str, dictionary: DataFrame, key: str, most: int = 6) -> DataFrame:
+def _word_counts(df: DataFrame, words: Column) -> DataFrame:
+    """One row with _counts: the distinct word counts that occur, in order."""
+    return df.agg(F.sort_array(F.collect_set(F.size(words))).alias("_counts"))
+
+
+def _heads_of(words: Column, counts: Column) -> Column:
+    """Heads of as many words as ``counts`` says, where there are so many."""
+    return F.transform(F.filter(counts, lambda c: c <= F.size(words)), lambda i: F.struct(i.alias("n"), F.array_join(F.slice(words, F.lit(1), i), " ").alias("head")))
+
+
+def match_title(df: DataFrame, title: str, dictionary: DataFrame, key: str) -> DataFrame:
     """(key, maker_id, n_words) by the longest known name that a title begins with."""
-    heads = df.select(key, F.explode(_heads(F.split(F.lower(F.trim(F.col(title))), " +"), most)).alias("h")).select(key, "h.n", F.col("h.head").alias("_lower"))
+    counts = _word_counts(dictionary.filter("exact"), F.split("lower_name", " +"))
+    rows = df.select(key, F.split(F.lower(F.trim(F.col(title))), " +").alias("_words")).crossJoin(F.broadcast(counts))
+    heads = rows.select(key, F.explode(_heads_of(F.col("_words"), F.col("_counts"))).alias("h")).select(key, "h.n", F.col("h.head").alias("_lower"))
     return heads.join(_exact(dictionary, "maker_id"), "_lower").groupBy(key).agg(F.max_by("maker_id", "n").alias("maker_id"), F.max("n").alias("n_words"))
 
 
@@ -103,21 +115,23 @@ def split_slug(df: DataFrame, slug: str, dictionary: DataFrame, key: str, most:
     return out.select(key, "maker_id", F.when(F.col("maker_id").isNotNull(), F.col("model")).otherwise(F.col(slug)).alias("model"), F.when(F.col("maker_id").isNotNull(), "matched").otherwise("no maker").alias("status"))
 
 
-def contained_name(df: DataFrame, name: str, dictionary: DataFrame, key: str, most: int = 6) -> DataFrame:
+def contained_name(df: DataFrame, name: str, dictionary: DataFrame, key: str) -> DataFrame:
     """(key, maker_id, contained): longest known name within a name as whole words; no exact hits."""
     known = dictionary.select(spaced_key("name").alias("_gram"), "maker_id").filter("_gram <> ''").groupBy("_gram").agg(F.min("maker_id").alias("maker_id"))
-    words = F.split(spaced_key(name), " ")
+    words = F.split("_all", " ")
     n = F.size(words)
-    grams = F.flatten(F.transform(F.sequence(F.lit(1), n), lambda i: F.transform(F.sequence(F.lit(1), F.least(F.lit(most), n - i + 1)), lambda k: F.array_join(F.slice(words, i, k), " "))))
-    rows = df.select(key, spaced_key(name).alias("_all"), F.explode(grams).alias("_gram")).filter("_gram <> _all and _gram <> ''")
+    # only as many words as known names have
+    grams = F.flatten(F.transform(F.sequence(F.lit(1), n), lambda i: F.transform(F.filter("_counts", lambda c: c <= n - i + 1), lambda k: F.array_join(F.slice(words, i, k), " "))))
+    rows = df.select(key, spaced_key(name).alias("_all")).crossJoin(F.broadcast(_word_counts(known, F.split("_gram", " "))))
+    rows = rows.select(key, "_all", F.explode(grams).alias("_gram")).filter("_gram <> _all and _gram <> ''")
     hits = rows.join(known, "_gram")
     return hits.groupBy(key).agg(F.max_by(F.struct("maker_id", "_gram"), F.struct(F.length("_gram"), "_gram")).alias("b")).select(key, "b.maker_id", F.col("b._gram").alias("contained"))
 
 
-def name_variants(df: DataFrame, name: str, dictionary: DataFrame, key: str, most: int = 6) -> DataFrame:
+def name_variants(df: DataFrame, name: str, dictionary: DataFrame, key: str) -> DataFrame:
     """(key, variants): known longer names that begin with a name and a space, joined by " | "."""
     words = F.split(F.lower(F.trim("name")), " +")
-    known = dictionary.select("name", F.explode(_heads(words, most)).alias("h"), F.size(words).alias("_n")).filter("h.n < _n").select("name", F.col("h.head").alias("_lower"))
+    known = dictionary.select("name", F.explode(_heads(words, F.size(words))).alias("h"), F.size(words).alias("_n")).filter("h.n < _n").select("name", F.col("h.head").alias("_lower"))
     rows = df.select(key, F.lower(F.trim(F.col(name))).alias("_lower")).join(known, "_lower")
     return rows.groupBy(key).agg(F.array_join(F.array_sort(F.collect_set("name")), " | ").alias("variants"))
 
@@ -178,15 +192,17 @@ def relink(links: DataFrame, products: DataFrame, sources: Sequence[str] | None
     return rows.select("id", "maker_id", F.coalesce("_p1", "_p2", "_p3").alias("product_id"), kind.alias("match_kind"))
 
 
-def match_contained(links: DataFrame, products: DataFrame, shortest: int = 3, longest: int = 24) -> DataFrame:
+def match_contained(links: DataFrame, products: DataFrame, shortest: int = 3) -> DataFrame:
     """(id, product_id): longest product key of the same maker within a label's key.
 
-    Substrings of the label's key, of the lengths that product keys have, meet product keys.
+    Substrings of the label's key, of the lengths that the maker's product keys have, meet product keys.
     """
     keys = product_keys(products).filter(F.length("model_key") >= shortest)
-    label = norm("label")
-    spans = F.flatten(F.transform(F.sequence(F.lit(1), F.length(label)), lambda i: F.when(F.length(label) - i + 1 >= shortest, F.transform(F.sequence(F.lit(shortest), F.least(F.lit(longest), F.length(label) - i + 1)), lambda k: F.substr(label, i, k))).otherwise(F.array().cast("array<string>"))))
-    rows = links.filter(F.length(label) >= shortest).select("id", "maker_id", F.explode(F.array_distinct(spans)).alias("model_key"))
+    lengths = keys.groupBy("maker_id").agg(F.collect_set(F.length("model_key")).alias("_lengths"))
+    rows = links.select("id", "maker_id", norm("label").alias("_label")).filter(F.length("_label") >= shortest).join(lengths, "maker_id")
+    n = F.length("_label")
+    spans = F.flatten(F.transform(F.filter("_lengths", lambda k: k <= n), lambda k: F.transform(F.sequence(F.lit(1), n - k + 1), lambda i: F.substr("_label", i, k))))
+    rows = rows.select("id", "maker_id", F.explode(F.array_distinct(spans)).alias("model_key"))
     return rows.join(keys, ["maker_id", "model_key"]).groupBy("id").agg(F.max_by("product_id", F.struct(F.length("model_key"), "model_key")).alias("product_id"))
 
 
