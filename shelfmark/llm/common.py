@@ -35,6 +35,14 @@ def written(df: DataFrame, path: str, codec: str = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop(spark: SparkSession, *paths: str) -> None:
+    """Delete scratch folders that nothing reads any more."""
+    jvm = spark.sparkContext._jvm
+    for path in paths:
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def filesystem(path: str):
     """(pyarrow file system, path in it) for a folder given as a URI or a plain path."""
     from pyarrow import fs

@@ -2,198 +2,281 @@
 
 The distinct units of the corpus are exploded into their substrings of bounded length;
 an equi-join with the piece table (the vocabulary, so small enough to broadcast) leaves
-the edges of each unit's lattice; grouped by unit, in order of their ends, they are
-folded by Spark's higher-order ``aggregate`` into the best path: of equal scores the
-edge that starts first stays, as in SentencePiece.  A character without a piece becomes
-its bytes.  The fold copies its state, so units of more than LONG characters take the
-same recurrence in Python instead.
-
-The segmented units go back to the documents by blocks.  A block is what one scan task
-reads of a file; its distinct units fit in memory whatever the corpus holds, and their
-segmentation is written as one file a block, which the second scan of the block reads.
-
-Scores are those of the model file and make a unigram segmentation; for a model that
-was made by merging pairs, merging can give another one.
-
-Defined results: null and empty texts have no pieces; decoding gives the text back but
-for "▁" in it, which becomes a space; repeated rows are encoded alike; columns other
-than doc_id and text are not read by ``encode``.
+the edges of each unit's lattice; grouped by unit they are folded by Spark's
+higher-order ``aggregate`` into the ends of the unit's pieces.
+
+For a unigram model the fold is Viterbi over edges in order of their ends: of equal
+scores the edge that starts first stays.  For a model made by merging pairs no sum of
+scores gives the library's ids, so the fold takes the edges in merge order and keeps
+those whose ends are still ends of pieces, as ``pieces`` explains.  Units of any length
+take the same way; the fold copies its state, so its time grows with the square of a
+unit's length.
+
+Units travel packed: a row holds those of one block and one bucket, so that what is
+written and shuffled is a few bytes a unit.  A block is a fixed number of rows of a file,
+whatever splits it is read in; a bucket is a hash of the unit, and one task has all
+of a bucket.  The segmented units come back to the documents as one file a block.
+
+Defined results: null and empty texts have no pieces; a character without a piece becomes
+its bytes; decoding gives the text back but for "▁" in it, which becomes a space; repeated
+rows are encoded alike, and rows with null ids as others; columns other than doc_id and
+text are not read by ``encode``.
 """
 
 from __future__ import annotations
 
+import zlib
+from collections.abc import Iterable, Iterator
+
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import filesystem, make_dir, put_file, shared_dir, written
+from .common import drop, filesystem, make_dir, put_file, shared_dir, written
 from .pieces import SPACE, Pieces, load, units
 
-LONG = 64
-UNITS_A_PART = 60_000
-UNITS_AT_ONCE = 500_000
+#: Rows of a block, and distinct units that are held before they leave a task.
+BLOCK_ROWS, UNITS_AT_ONCE = 4096, 500_000
+#: Buckets for each of the session's shuffle partitions.
+SPREAD = 4
 
 
 def in_blocks(docs: DataFrame, folder: str) -> DataFrame:
-    """doc_id, text and block: a key of the file part that a row is read from."""
-    part = F.xxhash64("_metadata.file_path", "_metadata.file_block_start").alias("block")
+    """doc_id, text and block: a key of the file and its BLOCK_ROWS rows that a row is one of."""
+    part = F.xxhash64("_metadata.file_path", F.floor(F.col("_metadata.row_index") / BLOCK_ROWS)).alias("block")
     try:
         return docs.select("doc_id", "text", part)
     except AnalysisException:  # not read from files as they are
         return written(docs.select("doc_id", "text"), f"{folder}/docs").select("doc_id", "text", part)
 
 
-def block_units(docs: DataFrame) -> DataFrame:
-    """(block, unit): the distinct units of each block, or nearly (flushed when many)."""
+def block_units(docs: DataFrame, buckets: int) -> DataFrame:
+    """(bucket, block, units): the distinct units of each block, or nearly, sorted, with a space between."""
 
-    def split(batches):
-        held: dict[int, set[str]] = {}
+    def split(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, held = None, set()
 
         def out():
-            rows = [(b, u) for b, us in held.items() for u in us]
+            parts: list[list[str]] = [[] for _ in range(buckets)]
+            for u in sorted(held):
+                parts[zlib.crc32(u.encode()) % buckets].append(u)
             held.clear()
-            return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.string())], ["block", "unit"])
+            rows = [(i, " ".join(us)) for i, us in enumerate(parts) if us]
+            return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([block] * len(rows), pa.int64()), pa.array([r[1] for r in rows], pa.string())], ["bucket", "block", "units"])
 
         for batch in batches:
-            for block, text in zip(batch.column("block").to_pylist(), batch.column("text"), strict=True):
-                held.setdefault(block, set()).update(units(text.as_py()))
-                if sum(map(len, held.values())) > UNITS_AT_ONCE:
+            for own, text in zip(batch.column("block").to_pylist(), batch.column("text"), strict=True):
+                if held and (own != block or len(held) > UNITS_AT_ONCE):
                     yield out()
+                block = own
+                held.update(units(text.as_py()))
         if held:
             yield out()
 
-    return docs.select("block", "text").mapInArrow(split, "block long, unit string")
+    return docs.select("block", "text").mapInArrow(split, "bucket int, block long, units string")
 
 
 def piece_table(spark: SparkSession, pieces: Pieces) -> DataFrame:
-    rows = [(p, pieces.ids[p], s) for p, s in pieces.scores.items()]
-    return spark.createDataFrame(rows, "piece string, id int, score double")
+    """(piece, rank, score): rank orders merges; single characters are no merges."""
+    ranks = pieces.ranks()
+    rows = [(p, ranks.get(p), s) for p, s in pieces.scores.items() if p in ranks or not pieces.merges]
+    return spark.createDataFrame(rows, "piece string, rank long, score double")
+
+
+def longest_from(spark: SparkSession, pieces: Pieces) -> DataFrame:
+    """(head, longest): for each two first characters of pieces, the length of the longest."""
+    longest: dict[str, int] = {}
+    for p in pieces.scores:
+        if len(p) > 1:
+            longest[p[:2]] = max(longest.get(p[:2], 0), len(p))
+    return spark.createDataFrame(list(longest.items()), "head string, longest int")
+
+
+def edges_of(words: DataFrame, pieces: Pieces) -> DataFrame:
+    """(bucket, unit, s, k, rank, score): the lattice's edges, from place s over k characters.
+
+    Edges of one character are left out where merges are wanted: they hold from the start.
+    """
+    spark = words.sparkSession
+    starts = words.select("bucket", "unit", F.explode(F.sequence(F.lit(0), F.length("unit") - 1)).alias("s"))
+    heads = starts.withColumn("head", F.substr("unit", F.col("s") + 1, F.lit(2)))
+    kind = "inner" if pieces.merges else "left"
+    heads = heads.join(F.broadcast(longest_from(spark, pieces)), "head", kind)
+    most = F.least(F.coalesce("longest", F.lit(1)), F.length("unit") - F.col("s"))
+    heads = heads.filter(F.length("unit") - F.col("s") > 1) if pieces.merges else heads
+    spans = heads.select("bucket", "unit", "s", F.explode(F.sequence(F.lit(2 if pieces.merges else 1), most)).alias("k"))
+    substrings = spans.select("bucket", "unit", "s", "k", F.substr("unit", F.col("s") + 1, F.col("k")).alias("piece"))
+    edges = substrings.join(F.broadcast(piece_table(spark, pieces)), "piece", kind)
+    return edges if pieces.merges else edges.filter("score is not null or k = 1")
+
+
+def merged(words: DataFrame, pieces: Pieces) -> DataFrame:
+    """(bucket, unit, ends): one byte for each place of a unit, "1" where a piece begins; by merge order.
+
+    An edge is one number: rank, start and length from its high bits down, so sorting
+    numbers puts edges in merge order.
+    """
+    edge = F.shiftleft("rank", 44).bitwiseOR(F.shiftleft(F.col("s").cast("long"), 8)).bitwiseOR(F.col("k").cast("long"))
+    lattice = edges_of(words, pieces).groupBy("bucket", "unit").agg(F.sort_array(F.collect_list(edge)).alias("edges"))
+    one, zeros = F.lit(b"1"), F.lit(b"0" * 255)
+
+    def fold(ends: Column, x: Column) -> Column:
+        s, k = F.shiftright(x, 8).bitwiseAND(2**36 - 1).cast("int"), x.bitwiseAND(255).cast("int")
+        apart = (F.substr(ends, s + 1, F.lit(1)) == one) & (F.substr(ends, s + k + 1, F.lit(1)) == one)
+        return F.when(apart, F.overlay(ends, F.substr(zeros, F.lit(1), k - 1), s + 2, k - 1)).otherwise(ends)
+
+    start = F.encode(F.repeat(F.lit("1"), F.length("unit") + 1), "US-ASCII")
+    return lattice.select("bucket", "unit", F.aggregate("edges", start, fold).alias("ends"))
+
+
+def best_sums(words: DataFrame, pieces: Pieces) -> DataFrame:
+    """(bucket, unit, ends) by the best sum of scores: Viterbi."""
+    edge = F.struct((F.col("s") + F.col("k")).alias("e"), "s", F.coalesce("score", F.lit(pieces.unk_score)).alias("score"))
+    lattice = edges_of(words, pieces).groupBy("bucket", "unit").agg(F.array_sort(F.collect_list(edge)).alias("edges"))
+    state = "array<struct<score:double,s:int>>"
+    start = F.array(F.struct(F.lit(0.0).alias("score"), F.lit(-1).alias("s"))).cast(state)
 
+    def fold(best: Column, x: Column) -> Column:
+        score = F.get(best, x["s"])["score"] + x["score"]
+        here = F.array(F.struct(score.alias("score"), x["s"].alias("s"))).cast(state)
+        return F.when(F.size(best) <= x["e"], F.concat(best, here)).when(score > F.get(best, x["e"])["score"], F.concat(F.slice(best, 1, x["e"]), here)).otherwise(best)
 
-def _bytes_of(char: Column, first: int) -> Column:
-    text = F.hex(F.encode(char, "UTF-8"))
-    return F.transform(F.sequence(F.lit(1), F.length(text) - 1, F.lit(2)), lambda i: F.conv(F.substr(text, i, F.lit(2)), 16, 10).cast("int") + first)
+    best = lattice.select("bucket", "unit", F.aggregate("edges", start, fold).alias("best"))
+    path = "struct<at:int,ends:binary>"
+    last = F.struct(F.length("unit").alias("at"), F.lit(b"1").alias("ends")).cast(path)
 
+    def back(a: Column, _: Column) -> Column:
+        s = F.get(F.col("best"), a["at"])["s"]
+        span = F.overlay(F.encode(F.repeat(F.lit("0"), a["at"] - s), "US-ASCII"), F.lit(b"1"), F.lit(1), F.lit(1))
+        return F.when(a["at"] <= 0, a).otherwise(F.struct(s.alias("at"), F.concat(span, a["ends"]).alias("ends")).cast(path))
 
-def segmented(found: DataFrame, pieces: Pieces) -> DataFrame:
-    """(unit, ids): the best segmentation of every distinct unit of ``found`` (unit)."""
-    # small parts, so that a part's edges are grouped in memory; one shuffle serves both steps
-    parts = max(1, -(-found.count() // UNITS_A_PART))
-    words = found.select("unit").repartition(parts, "unit").distinct()
-    short = words.filter(F.length("unit") <= LONG)
-    starts = short.select("unit", F.explode(F.sequence(F.lit(0), F.length("unit") - 1)).alias("s"))
-    spans = starts.select("unit", "s", F.explode(F.sequence(F.lit(1), F.least(F.lit(pieces.longest), F.length("unit") - F.col("s")))).alias("k"))
-    substrings = spans.select("unit", "s", "k", F.substr("unit", F.col("s") + 1, F.col("k")).alias("piece"))
-    edges = substrings.join(F.broadcast(piece_table(words.sparkSession, pieces)), "piece", "left").filter("id is not null or k = 1")
-    edge = F.struct((F.col("s") + F.col("k")).alias("e"), "s", F.coalesce("id", F.lit(-1)).alias("id"), F.coalesce("score", F.lit(pieces.unk_score)).alias("score"))
-    lattice = edges.groupBy("unit").agg(F.array_sort(F.collect_list(edge)).alias("edges"))
+    return best.select("bucket", "unit", F.aggregate(F.sequence(F.lit(1), F.length("unit")), last, back)["ends"].alias("ends"))
 
-    state = "array<struct<score:double,s:int,id:int>>"
-    start = F.array(F.struct(F.lit(0.0).alias("score"), F.lit(-1).alias("s"), F.lit(-1).alias("id"))).cast(state)
 
-    def fold(best: Column, x: Column) -> Column:
-        score = F.get(best, x["s"])["score"] + x["score"]
-        here = F.array(F.struct(score.alias("score"), x["s"].alias("s"), x["id"].alias("id"))).cast(state)
-        return F.when(F.size(best) <= x["e"], F.concat(best, here)).when(score > F.get(best, x["e"])["score"], F.concat(F.slice(best, 1, x["e"]), here)).otherwise(best)
+def segmented(packed: DataFrame, pieces: Pieces, buckets: int) -> DataFrame:
+    """(bucket, unit, ends) of every distinct unit of ``packed`` that has an edge: one shuffle."""
+    words = packed.select("bucket", "units").repartitionById(buckets, F.col("bucket"))
+    words = words.select("bucket", F.explode(F.split("units", " ")).alias("unit")).distinct()
+    return (merged if pieces.merges else best_sums)(words, pieces)
 
-    best = lattice.select("unit", F.aggregate("edges", start, fold).alias("best"))
-    path = "struct<at:int,ids:array<int>>"
-    end = F.struct(F.length("unit").alias("at"), F.array().cast("array<int>").alias("ids")).cast(path)
 
-    def back(a: Column, _: Column) -> Column:
-        step = F.get(F.col("best"), a["at"])
-        unknown = F.array(F.lit(pieces.unk)) if pieces.bytes_at is None else _bytes_of(F.substr(F.col("unit"), a["at"], F.lit(1)), pieces.bytes_at)
-        ids = F.when(step["id"] >= 0, F.array(step["id"])).otherwise(unknown)
-        return F.when(a["at"] <= 0, a).otherwise(F.struct(step["s"].alias("at"), F.concat(ids, a["ids"]).alias("ids")).cast(path))
+def _packed_ids(rows: list[tuple[str, list[int]]]) -> bytes:
+    """Units, how many ids each has, and their ids."""
+    names = " ".join([r[0] for r in rows]).encode()
+    counts, ids = np.array([len(r[1]) for r in rows], "<u4"), np.array([i for r in rows for i in r[1]], "<u4")
+    sizes = np.array([len(names), len(counts), len(ids)], "<u4")
+    # small numbers: their bytes are put together by significance
+    planes = [np.ascontiguousarray(a.view(np.uint8).reshape(-1, 4).T).tobytes() for a in (counts, ids)]
+    return zstandard.compress(sizes.tobytes() + names + b"".join(planes), 3)
+
 
-    found = best.select("unit", F.aggregate(F.sequence(F.lit(1), F.length("unit")), end, back)["ids"].alias("ids"))
+def _unpacked_ids(packed: bytes) -> Iterator[tuple[str, bytes]]:
+    """(unit, ids as little-endian 32-bit numbers)."""
+    raw = zstandard.decompress(packed)
+    size, n, m = np.frombuffer(raw[:12], "<u4").tolist()
+    names = raw[12 : 12 + size].decode().split(" ")
+    counts, ids = (np.ascontiguousarray(np.frombuffer(raw[a:z], np.uint8).reshape(4, -1).T).reshape(-1) for a, z in ((12 + size, 12 + size + 4 * n), (12 + size + 4 * n, 12 + size + 4 * (n + m))))
+    ends = (4 * np.concatenate([[0], np.cumsum(counts.view("<u4"), dtype=np.int64)])).tolist()
+    return zip(names, map(ids.tobytes().__getitem__, map(slice, ends, ends[1:])), strict=False)
 
-    def long_units(batches):
+
+def write_buckets(found: DataFrame, folder: str, pieces: Pieces) -> None:
+    """A file of units and their ids for each bucket of ``found``, which has a bucket in one task."""
+    make_dir(folder)
+    shared = found.sparkSession.sparkContext.broadcast(pieces)
+
+    def write(batches):
+        held: dict[int, list[tuple[str, list[int]]]] = {}
+        own, known = shared.value, {}
         for batch in batches:
-            ids = [best_path(u.as_py(), pieces) for u in batch.column("unit")]
-            yield pa.RecordBatch.from_arrays([batch.column("unit"), pa.array(ids, pa.list_(pa.int32()))], ["unit", "ids"])
-
-    return found.union(words.filter(F.length("unit") > LONG).mapInArrow(long_units, "unit string, ids array<int>"))
-
-
-def best_path(unit: str, pieces: Pieces) -> list[int]:
-    """The fold's recurrence on one unit, with steps kept outside the state."""
-    best, steps, scores, longest = [0.0], [(0, [])], pieces.scores, pieces.longest
-    for e in range(1, len(unit) + 1):
-        top, step = None, None
-        for s in range(max(0, e - longest), e):
-            score = scores.get(unit[s:e])
-            if score is None:
-                if e - s > 1:
-                    continue
-                score, ids = pieces.unk_score, None
-            else:
-                ids = unit[s:e]
-            if top is None or best[s] + score > top:
-                top, step = best[s] + score, (s, ids)
-        best.append(top)
-        steps.append(step)
-    out, at = [], len(unit)
-    while at:
-        s, piece = steps[at]
-        out.append([pieces.ids[piece]] if piece else pieces.unknown(unit[at - 1]))
-        at = s
-    return [i for ids in reversed(out) for i in ids]
-
-
-def write_blocks(found: DataFrame, folder: str) -> None:
-    """One Arrow file for each block of ``found`` (block, unit, ids)."""
+            for bucket, unit, ends in zip(*(batch.column(c).to_pylist() for c in ("bucket", "unit", "ends")), strict=True):
+                at, ids = 0, []
+                while at < len(unit):
+                    end = ends.index(b"1", at + 1)
+                    part = unit[at:end]
+                    got = known.get(part)
+                    if got is None:
+                        got = known[part] = own.ids_of(part)  # parts are pieces or single characters
+                    ids += got
+                    at = end
+                held.setdefault(bucket, []).append((unit, ids))
+        for bucket, rows in held.items():
+            put_file(f"{folder}/{bucket}", _packed_ids(sorted(rows)))
+        yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int32())], ["bucket"])
+
+    written(found.select("bucket", "unit", "ends").mapInArrow(write, "bucket int"), f"{folder}-list")
+
+
+def _read_file(path: str) -> bytes:
+    system, name = filesystem(path)
+    with system.open_input_stream(name, compression=None) as f:
+        return f.read()
+
+
+def write_blocks(packed: DataFrame, buckets: int, words: str, folder: str, pieces: Pieces) -> None:
+    """A file for each block of ``packed`` with its units and their ids, looked up by buckets and gathered by blocks."""
     make_dir(folder)
+    shared = packed.sparkSession.sparkContext.broadcast(pieces)
+
+    def look_up(batches):
+        bucket, known, own = None, {}, shared.value
+        for batch in batches:
+            for b, block, names in zip(*(batch.column(c).to_pylist() for c in ("bucket", "block", "units")), strict=True):
+                if b != bucket:
+                    bucket, known = b, {u: np.frombuffer(x, "<u4").tolist() for u, x in _unpacked_ids(_read_file(f"{words}/{b}"))}
+                rows = [(u, known[u] if u in known else [i for c in u for i in own.ids_of(c)]) for u in names.split(" ")]
+                yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([_packed_ids(rows)], pa.binary())], ["block", "part"])
 
     def write(batches):
-        block, rows = None, []
+        block, parts = None, []
 
         def close():
-            sink = pa.BufferOutputStream()
-            table = pa.Table.from_batches(rows)
-            with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
-                out.write_table(table)
-            put_file(f"{folder}/{block}.arrow", sink.getvalue().to_pybytes())
+            put_file(f"{folder}/{block}", np.array([len(parts), *map(len, parts)], "<u4").tobytes() + b"".join(parts))
             return pa.RecordBatch.from_arrays([pa.array([block], pa.int64())], ["block"])
 
         for batch in batches:
-            blocks = batch.column("block").to_numpy()
-            cuts = [0, *(np.flatnonzero(np.diff(blocks)) + 1).tolist(), len(blocks)]
-            for a, b in zip(cuts, cuts[1:], strict=False):
-                if a == b:
-                    continue
-                if rows and blocks[a] != block:
+            for own, part in zip(batch.column("block").to_pylist(), batch.column("part").to_pylist(), strict=True):
+                if parts and own != block:
                     yield close()
-                    rows = []
-                block = int(blocks[a])
-                rows.append(batch.slice(a, b - a).select(["unit", "ids"]))
-        if rows:
+                    parts = []
+                block = own
+                parts.append(part)
+        if parts:
             yield close()
 
-    parts = int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    written(found.select("block", "unit", "ids").repartition(parts, "block").sortWithinPartitions("block").mapInArrow(write, "block long"), f"{folder}-list")
+    by_bucket = packed.repartitionById(buckets, F.col("bucket")).sortWithinPartitions("bucket", "block")
+    parts = by_bucket.mapInArrow(look_up, "block long, part binary")
+    n = int(packed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    written(parts.repartition(n, "block").sortWithinPartitions("block").mapInArrow(write, "block long"), f"{folder}-list")
 
 
 def _read_block(folder: str, block: int) -> dict[str, bytes]:
-    system, name = filesystem(f"{folder}/{block}.arrow")
-    with system.open_input_stream(name) as f, pa.ipc.open_stream(f.read()) as stream:
-        table = stream.read_all().combine_chunks()
-    ids = table.column("ids").combine_chunks()
-    flat = ids.values.to_numpy().astype("<i4").tobytes()
-    ends = (4 * ids.offsets.to_numpy()).tolist()
-    return {u: flat[a:b] for u, a, b in zip(table.column("unit").to_pylist(), ends, ends[1:], strict=False)}
+    raw = _read_file(f"{folder}/{block}")
+    n = int(np.frombuffer(raw[:4], "<u4")[0])
+    at, known = 4 + 4 * n, {}
+    for size in np.frombuffer(raw[4:at], "<u4").tolist():
+        known.update(_unpacked_ids(raw[at : at + size]))
+        at += size
+    return known
 
 
 def encode(docs: DataFrame, model: str) -> DataFrame:
     """(doc_id, text, ids): every text's piece ids; ``model`` is the path of a model file."""
+    return encode_with(docs, load(model))
+
+
+def encode_with(docs: DataFrame, pieces: Pieces) -> DataFrame:
     spark = docs.sparkSession
-    folder, pieces = shared_dir(spark), load(model)
+    folder = shared_dir(spark)
     docs = in_blocks(docs, folder)
-    found = written(block_units(docs), f"{folder}/units")
-    words = written(segmented(found, pieces), f"{folder}/segmented")
-    write_blocks(found.join(words, "unit"), f"{folder}/blocks")
+    buckets = SPREAD * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    packed = written(block_units(docs, buckets), f"{folder}/units")
+    write_buckets(segmented(packed, pieces, buckets), f"{folder}/words", pieces)
+    write_blocks(packed, buckets, f"{folder}/words", f"{folder}/blocks", pieces)
+    drop(spark, f"{folder}/units", f"{folder}/words")
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def look_up(batches):
@@ -203,8 +286,9 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
             for own, text in zip(batch.column("block").to_pylist(), batch.column("text"), strict=True):
                 text = text.as_py()
                 if text and own != block:
+                    known = {}
                     block, known = own, _read_block(f"{folder}/blocks", own)
-                ids.append(np.frombuffer(b"".join([known[u] for u in units(text)]), "<i4"))
+                ids.append(np.frombuffer(b"".join(map(known.__getitem__, units(text))), "<i4"))
             ends = np.zeros(len(ids) + 1, np.int32)
             np.cumsum([len(x) for x in ids], out=ends[1:])
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids) if ids else np.empty(0, np.int32), pa.int32()))
@@ -220,14 +304,17 @@ def decoder(pieces: Pieces):
         raw[pieces.bytes_at : pieces.bytes_at + 256] = [bytes([b]) for b in range(256)]
 
     def decode(ids) -> str:
-        return b"".join([raw[i] for i in ids]).decode("utf-8", "replace").removeprefix(" ")
+        return b"".join(map(raw.__getitem__, ids)).decode("utf-8", "replace").removeprefix(" ")
 
     return decode
 
 
 def decode(encoded: DataFrame, model: str) -> DataFrame:
     """``encoded`` (doc_id, text, ids) with ``decoded``, the text that the ids stand for."""
-    pieces = load(model)
+    return decode_with(encoded, load(model))
+
+
+def decode_with(encoded: DataFrame, pieces: Pieces) -> DataFrame:
     shared = encoded.sparkSession.sparkContext.broadcast(pieces)
 
     def run(batches):
