@@ -1,16 +1,24 @@
-"""Token counts by a count-only Viterbi over a unigram vocabulary.
+"""Token counts by a count-only Viterbi over the pieces of a SentencePiece model.
 
 An Aho-Corasick automaton lists the pieces that end at each place of a unit, longest
-first; the dynamic programme keeps only the best score and its piece count.  Ties are
-settled as unigram tokenizers do: of equal scores the piece that starts first stays.
-A character without a piece costs the least score minus ten and counts as its bytes.
+first; the dynamic programme keeps for each place the best way to it and its piece
+count, no path.  What is best is the model's rule (``pieces`` explains the two kinds):
+
+* unigram scores are summed, and of equal sums the piece that starts first stays; a
+  character without a piece costs the least score minus ten;
+* merge ranks order merges.  A sequence of pieces is what merging gives just if each two
+  neighbours, merged alone, stay these two pieces, and each beginning of a unit has one
+  such sequence; so the programme keeps a place's last piece, and the one piece that stays
+  apart from the last one before it is the best.
+
+A character without a piece counts as its bytes.
 
 Each Python worker remembers the counts of up to CACHE_UNITS units, so a word is
 segmented once for all its uses there.
 
 Defined results: null and empty texts have no tokens; scores are summed in double
-precision within a unit; rows that repeat are counted alike; columns other than doc_id
-and text are not read.
+precision within a unit; rows that repeat are counted alike, rows with null ids as
+others; columns other than doc_id and text are not read.
 """
 
 from __future__ import annotations
@@ -22,6 +30,7 @@ from pyspark.sql import DataFrame
 from .pieces import Pieces, load, units
 
 CACHE_UNITS = 600_000
+CACHE_PAIRS = 500_000
 
 
 class Counter:
@@ -29,13 +38,58 @@ class Counter:
 
     def __init__(self, pieces: Pieces):
         self.pieces, self.unk = pieces, pieces.unk_score
+        self.ranks = pieces.ranks() if pieces.merges else {}
+        self.longest = pieces.longest
         self.automaton = ahocorasick.Automaton()
         for piece, score in pieces.scores.items():
-            self.automaton.add_word(piece, (len(piece), score))
+            if len(piece) > 1 or not pieces.merges:
+                self.automaton.add_word(piece, piece if pieces.merges else (len(piece), score))
         self.automaton.make_automaton()
         self.known: dict[str, int] = {}
-
-    def segment(self, unit: str) -> int:
+        self.apart: dict[str, bool] = {}
+        self.segment = self.merge if pieces.merges else self.best_sum
+
+    def merged(self, part: str) -> list[int]:
+        """The ends of a short part's pieces, by trying its edges in merge order."""
+        n, edges = len(part), []
+        for s in range(n - 1):
+            for e in range(s + 2, min(n, s + self.longest) + 1):
+                rank = self.ranks.get(part[s:e])
+                if rank is not None:
+                    edges.append((rank, s, e))
+        ends = set(range(1, n))
+        for _, s, e in sorted(edges):
+            if (s == 0 or s in ends) and (e == n or e in ends):
+                ends.difference_update(range(s + 1, e))
+        return sorted(ends)
+
+    def stay(self, a: str, b: str) -> bool:
+        """Whether two neighbouring pieces, merged alone, stay these two."""
+        key = f"{a} {b}"
+        found = self.apart.get(key)
+        if found is None:
+            if len(self.apart) >= CACHE_PAIRS:
+                self.apart.clear()
+            found = self.apart[key] = self.merged(a + b) == [len(a)]
+        return found
+
+    def merge(self, unit: str) -> int:
+        ends: dict[int, list[str]] = {}
+        for end, piece in self.automaton.iter(unit):
+            ends.setdefault(end + 1, []).append(piece)
+        scores, last, counts = self.pieces.scores, [""], [0]
+        for end, char in enumerate(unit, 1):
+            for piece in ends.get(end, ()):
+                s = end - len(piece)
+                if not s or self.stay(last[s], piece):
+                    break
+            else:
+                piece, s = char, end - 1
+            last.append(piece)
+            counts.append(counts[s] + (1 if piece in scores else len(self.pieces.unknown(piece))))
+        return counts[-1]
+
+    def best_sum(self, unit: str) -> int:
         best: list[tuple[float, int]] = [(0.0, 0)]
         ends: dict[int, list[tuple[int, float]]] = {}
         for end, found in self.automaton.iter(unit):

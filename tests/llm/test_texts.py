@@ -165,26 +165,47 @@ def test_blocks_of_large_ranks():
 
 
 @pytest.fixture(scope="module")
-def unigram():
+def own_unigram():
+    """A small unigram table of its own, and the library's encoder of it."""
     from tokenizers import Regex, Tokenizer, models, normalizers, pre_tokenizers
 
-    table = pieces.load(PIECES)
-    t = Tokenizer(models.Unigram([(n, table.scores.get(n, 0.0)) for n in table.names], unk_id=table.unk, byte_fallback=True))
+    rng = random.Random(5)
+    scores = {c: -6.0 - rng.random() for c in "abcde▁"} | {p: -float(rng.randrange(2, 9)) for p in ("ab", "bc", "abc", "▁a", "▁ab", "cde", "de", "dd", "ddd", "▁▁", "é")}
+    names = ("<unk>", *(f"<0x{b:02X}>" for b in range(256)), *scores)
+    table = pieces.Pieces(scores, {n: i for i, n in enumerate(names)}, names, 1, 0)
+    t = Tokenizer(models.Unigram([(n, scores.get(n, 0.0)) for n in names], unk_id=0, byte_fallback=True))
     t.normalizer = normalizers.Sequence([normalizers.Prepend("▁"), normalizers.Replace(" ", "▁")])
     t.pre_tokenizer = pre_tokenizers.Split(Regex("▁*[^▁\n]+|▁+|\n"), "isolated")
-    return t
+    return table, t
 
 
-def test_counts_and_pieces_match_the_library(spark, unigram):
-    texts = [t for t in ODD if not t or "<" not in t] + ["naïve  café 東京 " * 30, "z" * 5000]
-    docs = frame(spark, texts)
-    ids = {r.doc_id: list(r.ids) for r in piece_lattice.encode(docs, PIECES).collect()}
-    counts = {r.doc_id: r.n_tokens for r in token_counts.token_counts(docs, PIECES).collect()}
+def test_unigram_sums_match_the_library(spark, own_unigram):
+    table, library = own_unigram
+    rng = random.Random(6)
+    texts = [None, "", " ", "x", "é dd\nddd", "d" * 700] + ["".join(rng.choice("abcdexé  \n") for _ in range(rng.randrange(1, 60))) for _ in range(200)]
+    ids = {r.doc_id: list(r.ids) for r in piece_lattice.encode_with(frame(spark, texts), table).collect()}
+    counter = token_counts.Counter(table)
     for i, t in enumerate(texts):
-        expected = unigram.encode(t, add_special_tokens=False).ids if t else []
-        assert ids[i] == expected and counts[i] == len(expected), repr(t)[:40]
-    out = piece_lattice.decode(piece_lattice.encode(docs, PIECES), PIECES).collect()
-    assert all(r.decoded == (r.text or "").replace("▁", " ") for r in out)
+        expected = library.encode(t, add_special_tokens=False).ids if t else []
+        assert ids[i] == expected and counter.count(t) == len(expected), repr(t)
+
+
+def test_merges_match_the_library(spark):
+    """Ids, counts and decoded texts are those of the model's own library."""
+    import sentencepiece
+
+    library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    rng = random.Random(7)
+    names = list(pieces.load(PIECES).scores)
+    mixed = ["".join(rng.choice(names).replace("▁", " ") for _ in range(rng.randrange(1, 12))) for _ in range(300)]
+    texts = [*(t for t in ODD if not t or "▁" not in t), "naïve  café 東京 " * 30, "z" * 5000, "a" + " " * 45 + "b", *mixed]
+    rows = [*enumerate(texts), (None, "null id"), (3, texts[3]), (3, "other")]
+    docs = spark.createDataFrame([(*r, "k", 1) for r in rows], "doc_id long, text string, block string, bucket int")
+    got = piece_lattice.decode(piece_lattice.encode(docs, PIECES), PIECES).collect()
+    assert sorted(((r.doc_id or -1, r.text or "", list(r.ids)) for r in got)) == sorted((i or -1, t or "", library.encode(t or "")) for i, t in rows)
+    assert all(r.decoded == (r.text or "") for r in got)
+    counts = sorted((r.doc_id or -1, r.n_tokens) for r in token_counts.token_counts(docs, PIECES).collect())
+    assert counts == sorted((i or -1, len(library.encode(t or ""))) for i, t in rows)
 
 
 def test_pieces_of_nothing(spark):
