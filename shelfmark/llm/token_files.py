@@ -38,15 +38,27 @@ MAGIC = b"RVB1"
 END_ID = 2
 #: Tokens of a block, about, and tokens after which a task begins another file.
 BLOCK_TOKENS, FILE_TOKENS = 1 << 20, 1 << 24
-CACHE_UNITS = 600_000
+CACHE_UNITS = 900_000
 UNIT = re.compile(r"\s*\S+|\s+")
 #: White space other than the space and the line feed, as ASCII and others.
 SPACES = tuple(map(chr, (9, 11, 12, 13, 28, 29, 30, 31)))
 WIDE_SPACES = tuple(map(chr, (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 #: Signs that, behind letters and before white space, are always a part of their own.
 SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+#: From here on, letters of later versions of Unicode may not be letters to the library.
+LATER_LETTERS = "\u0250"
 HEAD = struct.Struct("<4sIIII")
 
+
+def byte_names() -> dict[int, str]:
+    """Names of bytes in a byte-level vocabulary: printing Latin-1 as it is, the rest from U+0100 on."""
+    plain = [b for b in range(256) if chr(b).isprintable() and not chr(b).isspace()]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(0x100 + i) for i, b in enumerate(rest)}
+
+
+BYTE_NAMES = byte_names()
+
 LENGTHS = np.array([[(c >> 2 * i & 3) + 1 for i in range(4)] for c in range(256)], np.uint8)
 
 
@@ -75,7 +87,8 @@ def units(text: str, special: tuple[str, ...] = ()) -> tuple[str, list[str]]:
 class Encoder:
     """text -> ids as little-endian uint32 bytes, remembering CACHE_UNITS units at most.
 
-    ``known`` has later parts as ``units`` gives them, ``bare`` texts as they are.
+    ``known`` has later parts as ``units`` gives them, ``bare`` texts as they are.  When
+    half of the units are new since the last turn, those not used since then are forgotten.
     """
 
     def __init__(self, path: str):
@@ -86,7 +99,9 @@ class Encoder:
         self.special = tuple(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
         names = sorted(self.tokenizer.get_vocab().items(), key=lambda x: x[1])
         self.led = np.array([n.startswith("Ġ") for n, _ in names])  # ids of tokens that begin with a space
+        self.model = self.tokenizer.model
         self.known: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self.bare: dict[str, bytes] = {}
 
     def learn_bare(self, texts: set[str]) -> None:
@@ -95,20 +110,41 @@ class Encoder:
             self.bare[u] = struct.pack(f"<{len(e.ids)}I", *e.ids)
 
     def learn_words(self, words: list[str]) -> None:
-        """Words of letters, each behind a space, in one text: a token with a space begins each."""
-        for i in range(0, len(words), 20_000):
-            some = words[i : i + 20_000]
-            ids = np.array(self.tokenizer.encode(" " + " ".join(some), add_special_tokens=False).ids, "<u4")
+        """Words of letters, each behind a space, which the pre-tokenizer leaves whole.
+
+        The library's model takes those of old letters directly, in the names of their
+        bytes; others go in one text, where a token with a space begins each.
+        """
+        known, tokenize, others = self.known, self.model.tokenize, []
+        for w in words:
+            if w.isascii():
+                name = "Ġ" + w
+            elif max(w) < LATER_LETTERS:
+                name = "Ġ" + w.encode().decode("latin-1").translate(BYTE_NAMES)
+            else:
+                others.append(w)
+                continue
+            ids = [t.id for t in tokenize(name)]
+            known[w] = struct.pack(f"<{len(ids)}I", *ids)
+        for i in range(0, len(others), 2000):
+            some = others[i : i + 2000]
+            ids = np.array(self.tokenizer.encode_batch_fast([" " + " ".join(some)], add_special_tokens=False)[0].ids, "<u4")
             at = (4 * np.append(np.flatnonzero(self.led[ids]), len(ids))).tolist()
             raw = ids.tobytes()
             if len(at) != len(some) + 1:
                 raise ValueError("a word's first token doesn't begin with its space")
-            self.known.update(zip(some, map(raw.__getitem__, map(slice, at, at[1:])), strict=True))
+            known.update(zip(some, map(raw.__getitem__, map(slice, at, at[1:])), strict=True))
 
     def learn(self, parts: set[str]) -> None:
         """Add later parts: letters, then signs, are encoded apart, other parts as they are."""
+        words = [u for u in parts if u.isalpha()]
+        self.learn_words(words)
+        if len(words) == len(parts):
+            return
         known, words, ends, whole, made = self.known, set(), set(), set(), []
         for u in parts:
+            if u in known:
+                continue
             line, core = u[:1] == "\n", u[1:] if u[:1] == "\n" else u
             word = core.rstrip(SIGNS)
             if not word.isalpha():
@@ -123,6 +159,7 @@ class Encoder:
             if end:
                 ends.add(end)
             made.append((u, line, word, end))
+        self.recall(words)
         self.learn_words(list(words))
         self.learn_bare(ends | whole)
         bare = self.bare
@@ -132,15 +169,25 @@ class Encoder:
             else:
                 known[u] = (bare["\n"] + bare[word] if line else known[word]) + (bare[end] if end else b"")
 
+    def recall(self, parts: set[str]) -> None:
+        """Take from ``parts`` those that were known before the last turn."""
+        if self.old:
+            back = parts & self.old.keys()
+            self.known.update(zip(back, map(self.old.__getitem__, back), strict=True))
+            parts -= back
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         parts = [units(t, self.special) if t else None for t in texts]
-        if len(self.known) + len(self.bare) > CACHE_UNITS:
-            self.known, self.bare = {}, {}
+        if len(self.known) > CACHE_UNITS // 2:
+            self.known, self.old = {}, self.known
+        if len(self.bare) > CACHE_UNITS // 4:
+            self.bare = {}
         self.learn_bare({p[0] for p in parts if p and p[0]})
         new: set[str] = set()
         for p in parts:
             if p:
                 new.update(set(p[1]).difference(self.known))
+        self.recall(new)
         self.learn(new)
         known, bare = self.known.__getitem__, self.bare
         return [(bare[p[0]] if p[0] else b"") + b"".join(map(known, p[1])) if p else b"" for p in parts]
