@@ -13,9 +13,10 @@ take the same way; the fold copies its state, so its time grows with the square
 unit's length.
 
 Units travel packed: a row holds those of one block and one bucket, so that what is
-written and shuffled is a few bytes a unit.  A block is a fixed number of rows of a file,
-whatever splits it is read in; a bucket is a hash of the unit, and one task has all
-of a bucket.  The segmented units come back to the documents as one file a block.
+written and shuffled is a few bytes a unit; back they travel as ids alone, which name
+their unit.  A block is a fixed number of rows of a file, whatever splits it is read in;
+a bucket is a hash of the unit, and one task segments a bucket.  The segmented units
+come back to the documents as one file a block.
 
 Defined results: null and empty texts have no pieces; a character without a piece becomes
 its bytes; decoding gives the text back but for "▁" in it, which becomes a space; repeated
@@ -25,6 +26,7 @@ text are not read by ``encode``.
 
 from __future__ import annotations
 
+import struct
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -38,8 +40,8 @@ from pyspark.sql import functions as F
 from .common import drop, filesystem, make_dir, put_file, shared_dir, written
 from .pieces import SPACE, Pieces, load, units
 
-#: Rows of a block, and distinct units that are held before they leave a task.
-BLOCK_ROWS, UNITS_AT_ONCE = 4096, 500_000
+#: Rows of a block, distinct units that are held before they leave a task, and documents looked up together.
+BLOCK_ROWS, UNITS_AT_ONCE, DOCS_AT_ONCE = 4096, 500_000, 500
 #: Buckets for each of the session's shuffle partitions.
 SPREAD = 4
 
@@ -156,31 +158,71 @@ def best_sums(words: DataFrame, pieces: Pieces) -> DataFrame:
     return best.select("bucket", "unit", F.aggregate(F.sequence(F.lit(1), F.length("unit")), last, back)["ends"].alias("ends"))
 
 
+def distinct_units(packed: DataFrame) -> DataFrame:
+    """(bucket, units) as in ``packed``, whose rows are sorted by bucket: each unit about once a bucket."""
+
+    def unite(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bucket, held = None, set()
+
+        def out():
+            row = pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([" ".join(sorted(held))], pa.string())], ["bucket", "units"])
+            held.clear()
+            return row
+
+        for batch in batches:
+            for own, names in zip(batch.column("bucket").to_pylist(), batch.column("units"), strict=True):
+                if held and (own != bucket or len(held) > UNITS_AT_ONCE):
+                    yield out()
+                bucket = own
+                held.update(names.as_py().split(" "))
+        if held:
+            yield out()
+
+    return packed.select("bucket", "units").mapInArrow(unite, "bucket int, units string")
+
+
 def segmented(packed: DataFrame, pieces: Pieces, buckets: int) -> DataFrame:
     """(bucket, unit, ends) of every distinct unit of ``packed`` that has an edge: one shuffle."""
-    words = packed.select("bucket", "units").repartitionById(buckets, F.col("bucket"))
+    words = distinct_units(packed).repartitionById(buckets, F.col("bucket"))
     words = words.select("bucket", F.explode(F.split("units", " ")).alias("unit")).distinct()
     return (merged if pieces.merges else best_sums)(words, pieces)
 
 
-def _packed_ids(rows: list[tuple[str, list[int]]]) -> bytes:
-    """Units, how many ids each has, and their ids."""
-    names = " ".join([r[0] for r in rows]).encode()
+def _planes(a: np.ndarray) -> bytes:
+    """Bytes of small 32-bit numbers, put together by significance."""
+    return np.ascontiguousarray(a.view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def _from_planes(raw: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).reshape(-1).view("<u4")
+
+
+def _packed_ids(rows: list[tuple[str, list[int]]], unk: int) -> bytes:
+    """How many ids each unit has, and the ids; names only of units with an unknown character."""
+    names = " ".join([u if unk in ids else "" for u, ids in rows]).encode()
     counts, ids = np.array([len(r[1]) for r in rows], "<u4"), np.array([i for r in rows for i in r[1]], "<u4")
     sizes = np.array([len(names), len(counts), len(ids)], "<u4")
-    # small numbers: their bytes are put together by significance
-    planes = [np.ascontiguousarray(a.view(np.uint8).reshape(-1, 4).T).tobytes() for a in (counts, ids)]
-    return zstandard.compress(sizes.tobytes() + names + b"".join(planes), 3)
+    return zstandard.compress(sizes.tobytes() + names + _planes(counts) + _planes(ids), 3)
 
 
-def _unpacked_ids(packed: bytes) -> Iterator[tuple[str, bytes]]:
-    """(unit, ids as little-endian 32-bit numbers)."""
+def _unpacked_ids(packed: bytes, raw_names: list[bytes]) -> Iterator[tuple[str, list[int]]]:
+    """(unit, ids) of each unit; ``raw_names`` are the bytes of each id."""
     raw = zstandard.decompress(packed)
     size, n, m = np.frombuffer(raw[:12], "<u4").tolist()
-    names = raw[12 : 12 + size].decode().split(" ")
-    counts, ids = (np.ascontiguousarray(np.frombuffer(raw[a:z], np.uint8).reshape(4, -1).T).reshape(-1) for a, z in ((12 + size, 12 + size + 4 * n), (12 + size + 4 * n, 12 + size + 4 * (n + m))))
-    ends = (4 * np.concatenate([[0], np.cumsum(counts.view("<u4"), dtype=np.int64)])).tolist()
-    return zip(names, map(ids.tobytes().__getitem__, map(slice, ends, ends[1:])), strict=False)
+    at = 12 + size
+    counts, ids = _from_planes(raw[at : at + 4 * n]), _from_planes(raw[at + 4 * n : at + 4 * (n + m)]).tolist()
+    end = 0
+    for name, k in zip(raw[12:at].decode().split(" "), counts.tolist(), strict=True):
+        own = ids[end : end + k]
+        end += k
+        yield name or b"".join(map(raw_names.__getitem__, own)).decode(), own
+
+
+def raw_names(pieces: Pieces) -> list[bytes]:
+    raw = [n.encode() for n in pieces.names]
+    if pieces.bytes_at is not None:
+        raw[pieces.bytes_at : pieces.bytes_at + 256] = [bytes([b]) for b in range(256)]
+    return raw
 
 
 def write_buckets(found: DataFrame, folder: str, pieces: Pieces) -> None:
@@ -204,7 +246,7 @@ def write_buckets(found: DataFrame, folder: str, pieces: Pieces) -> None:
                     at = end
                 held.setdefault(bucket, []).append((unit, ids))
         for bucket, rows in held.items():
-            put_file(f"{folder}/{bucket}", _packed_ids(sorted(rows)))
+            put_file(f"{folder}/{bucket}", _packed_ids(sorted(rows), own.unk))
         yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int32())], ["bucket"])
 
     written(found.select("bucket", "unit", "ends").mapInArrow(write, "bucket int"), f"{folder}-list")
@@ -216,19 +258,20 @@ def _read_file(path: str) -> bytes:
         return f.read()
 
 
-def write_blocks(packed: DataFrame, buckets: int, words: str, folder: str, pieces: Pieces) -> None:
-    """A file for each block of ``packed`` with its units and their ids, looked up by buckets and gathered by blocks."""
+def write_blocks(packed: DataFrame, words: str, folder: str, pieces: Pieces) -> None:
+    """A file for each block of ``packed``, which is sorted by bucket, with the ids of its units."""
     make_dir(folder)
     shared = packed.sparkSession.sparkContext.broadcast(pieces)
 
     def look_up(batches):
-        bucket, known, own = None, {}, shared.value
+        own, bucket, known = shared.value, None, {}
+        raw = raw_names(own)
         for batch in batches:
             for b, block, names in zip(*(batch.column(c).to_pylist() for c in ("bucket", "block", "units")), strict=True):
                 if b != bucket:
-                    bucket, known = b, {u: np.frombuffer(x, "<u4").tolist() for u, x in _unpacked_ids(_read_file(f"{words}/{b}"))}
+                    bucket, known = b, dict(_unpacked_ids(_read_file(f"{words}/{b}"), raw))
                 rows = [(u, known[u] if u in known else [i for c in u for i in own.ids_of(c)]) for u in names.split(" ")]
-                yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([_packed_ids(rows)], pa.binary())], ["block", "part"])
+                yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([_packed_ids(rows, own.unk)], pa.binary())], ["block", "part"])
 
     def write(batches):
         block, parts = None, []
@@ -247,18 +290,18 @@ def write_blocks(packed: DataFrame, buckets: int, words: str, folder: str, piece
         if parts:
             yield close()
 
-    by_bucket = packed.repartitionById(buckets, F.col("bucket")).sortWithinPartitions("bucket", "block")
-    parts = by_bucket.mapInArrow(look_up, "block long, part binary")
+    parts = packed.mapInArrow(look_up, "block long, part binary")
     n = int(packed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     written(parts.repartition(n, "block").sortWithinPartitions("block").mapInArrow(write, "block long"), f"{folder}-list")
 
 
-def _read_block(folder: str, block: int) -> dict[str, bytes]:
-    raw = _read_file(f"{folder}/{block}")
-    n = int(np.frombuffer(raw[:4], "<u4")[0])
+def _read_block(folder: str, block: int, raw: list[bytes]) -> dict[str, bytes]:
+    data = _read_file(f"{folder}/{block}")
+    n = int(np.frombuffer(data[:4], "<u4")[0])
     at, known = 4 + 4 * n, {}
-    for size in np.frombuffer(raw[4:at], "<u4").tolist():
-        known.update(_unpacked_ids(raw[at : at + size]))
+    for size in np.frombuffer(data[4:at], "<u4").tolist():
+        for unit, ids in _unpacked_ids(data[at : at + size], raw):
+            known[unit] = struct.pack(f"<{len(ids)}i", *ids)
         at += size
     return known
 
@@ -268,40 +311,49 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
     return encode_with(docs, load(model))
 
 
-def encode_with(docs: DataFrame, pieces: Pieces) -> DataFrame:
+def round_trips(docs: DataFrame, model: str) -> DataFrame:
+    """(doc_id, text, ids, decoded): ``encode`` and ``decode`` in one pass of Python workers."""
+    return encode_with(docs, load(model), decoded=True)
+
+
+def encode_with(docs: DataFrame, pieces: Pieces, decoded: bool = False) -> DataFrame:
     spark = docs.sparkSession
     folder = shared_dir(spark)
     docs = in_blocks(docs, folder)
     buckets = SPREAD * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    packed = written(block_units(docs, buckets), f"{folder}/units")
+    packed = block_units(docs, buckets).repartitionById(buckets, F.col("bucket")).sortWithinPartitions("bucket", "block")
+    packed = written(packed, f"{folder}/units")
     write_buckets(segmented(packed, pieces, buckets), f"{folder}/words", pieces)
-    write_blocks(packed, buckets, f"{folder}/words", f"{folder}/blocks", pieces)
+    write_blocks(packed, f"{folder}/words", f"{folder}/blocks", pieces)
     drop(spark, f"{folder}/units", f"{folder}/words")
-    kind = docs.schema["doc_id"].dataType.simpleString()
+    kind, shared = docs.schema["doc_id"].dataType.simpleString(), spark.sparkContext.broadcast(pieces)
 
     def look_up(batches):
-        block, known = None, {}
+        block, known, raw = None, {}, raw_names(shared.value)
+        one = decoder(shared.value)
         for batch in batches:
-            ids = []
-            for own, text in zip(batch.column("block").to_pylist(), batch.column("text"), strict=True):
-                text = text.as_py()
-                if text and own != block:
-                    known = {}
-                    block, known = own, _read_block(f"{folder}/blocks", own)
-                ids.append(np.frombuffer(b"".join(map(known.__getitem__, units(text))), "<i4"))
-            ends = np.zeros(len(ids) + 1, np.int32)
-            np.cumsum([len(x) for x in ids], out=ends[1:])
-            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids) if ids else np.empty(0, np.int32), pa.int32()))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text"), lists], ["doc_id", "text", "ids"])
-
-    return docs.mapInArrow(look_up, f"doc_id {kind}, text string, ids array<int>")
+            for i in range(0, batch.num_rows, DOCS_AT_ONCE):
+                some, ids = batch.slice(i, DOCS_AT_ONCE), []
+                for own, text in zip(some.column("block").to_pylist(), some.column("text"), strict=True):
+                    text = text.as_py()
+                    if text and own != block:
+                        known = {}
+                        block, known = own, _read_block(f"{folder}/blocks", own, raw)
+                    ids.append(b"".join(map(known.__getitem__, units(text))))
+                ends = np.zeros(len(ids) + 1, np.int32)
+                np.cumsum([len(x) // 4 for x in ids], out=ends[1:])
+                flat = np.frombuffer(b"".join(ids), "<i4")
+                columns = [some.column("doc_id"), some.column("text"), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))]
+                if decoded:
+                    columns.append(pa.array([one(flat[a:z].tolist()) for a, z in zip(ends.tolist(), ends[1:].tolist(), strict=False)], pa.string()))
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text", "ids", "decoded"][: len(columns)])
+
+    return docs.mapInArrow(look_up, f"doc_id {kind}, text string, ids array<int>" + ", decoded string" * decoded)
 
 
 def decoder(pieces: Pieces):
     """ids -> text: pieces joined, bytes put together, "▁" as spaces, the dummy prefix dropped."""
-    raw = [n.replace(SPACE, " ").encode() for n in pieces.names]
-    if pieces.bytes_at is not None:
-        raw[pieces.bytes_at : pieces.bytes_at + 256] = [bytes([b]) for b in range(256)]
+    raw = [n.replace(SPACE.encode(), b" ") for n in raw_names(pieces)]
 
     def decode(ids) -> str:
         return b"".join(map(raw.__getitem__, ids)).decode("utf-8", "replace").removeprefix(" ")
@@ -320,8 +372,10 @@ def decode_with(encoded: DataFrame, pieces: Pieces) -> DataFrame:
     def run(batches):
         one = decoder(shared.value)
         for batch in batches:
-            texts = [one(ids.values.to_numpy().tolist()) if len(ids) else "" for ids in batch.column("ids")]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, "decoded"])
+            for i in range(0, batch.num_rows, DOCS_AT_ONCE):
+                some = batch.slice(i, DOCS_AT_ONCE)
+                texts = [one(ids.values.to_numpy().tolist()) if len(ids) else "" for ids in some.column("ids")]
+                yield pa.RecordBatch.from_arrays([*some.columns, pa.array(texts, pa.string())], [*batch.schema.names, "decoded"])
 
     kind = encoded.schema["doc_id"].dataType.simpleString()
     return encoded.select("doc_id", "text", "ids").mapInArrow(run, f"doc_id {kind}, text string, ids array<int>, decoded string")

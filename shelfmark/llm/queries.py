@@ -61,8 +61,7 @@ def op8_flac(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_piece_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = _tokenizer("piece_bpe_32k.model")
-    return piece_lattice.digests(piece_lattice.decode(piece_lattice.encode(_table(spark, sf_dir, "documents"), model), model))
+    return piece_lattice.digests(piece_lattice.round_trips(_table(spark, sf_dir, "documents"), _tokenizer("piece_bpe_32k.model")))
 
 
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

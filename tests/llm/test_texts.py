@@ -204,6 +204,8 @@ def test_merges_match_the_library(spark):
     got = piece_lattice.decode(piece_lattice.encode(docs, PIECES), PIECES).collect()
     assert sorted(((r.doc_id or -1, r.text or "", list(r.ids)) for r in got)) == sorted((i or -1, t or "", library.encode(t or "")) for i, t in rows)
     assert all(r.decoded == (r.text or "") for r in got)
+    again = piece_lattice.round_trips(docs, PIECES).collect()
+    assert sorted(map(str, again)) == sorted(map(str, got))
     counts = sorted((r.doc_id or -1, r.n_tokens) for r in token_counts.token_counts(docs, PIECES).collect())
     assert counts == sorted((i or -1, len(library.encode(t or ""))) for i, t in rows)
 
