@@ -45,8 +45,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     ship(spark)
-    model = public_tokenizers.path("piece_bpe_32k.model")
-    return piece_lattice.digests(piece_lattice.decode(piece_lattice.encode(docs, model), model))
+    return piece_lattice.digests(piece_lattice.round_trips(docs, public_tokenizers.path("piece_bpe_32k.model")))
 
 
 STAGES = [
