@@ -5,9 +5,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
-import xxhash
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -72,28 +73,6 @@ def make_dir(path: str) -> str:
     return path
 
 
-class WordHashes(dict):
-    """word (bytes) -> 64-bit hash, remembering up to ``limit`` words."""
-
-    def __init__(self, limit: int = 400_000):
-        super().__init__()
-        self.limit = limit
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.limit:
-            self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
-        return h
-
-
-WORDS = WordHashes()
-
-
-def words_of(text: str) -> list[bytes]:
-    """Lower-case A-Z and split at ASCII white space (space, tab to carriage return)."""
-    return text.encode("utf-8", "surrogatepass").lower().split()
-
-
 def mix64(x: np.ndarray) -> np.ndarray:
     """Bijective 64-bit finaliser."""
     x = x ^ (x >> np.uint64(30))
@@ -107,34 +86,99 @@ def mix64(x: np.ndarray) -> np.ndarray:
 PLACES = mix64(np.arange(1, 65, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
 
-def shingle_set(text: str | None, size: int = 5) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the ``size``-word shingles of a text.
-
-    A text with fewer words has one shingle, its whole word sequence; a text
+_RNG = np.random.default_rng(20240229)
+#: A random number for each byte, that of a-z for A-Z also; an odd multiplier and its inverse.
+BYTES = _RNG.integers(1, 2**64, 256, np.uint64)
+BYTES[65:91] = BYTES[97:123]
+POWER = int(_RNG.integers(1, 2**63)) * 2 + 1
+INVERSE = pow(POWER, -1, 2**64)
+BLANK = np.isin(np.arange(256), (32, 9, 10, 11, 12, 13))
+#: Bytes whose words are hashed together.
+CHUNK = 1 << 20
+_POWERS: list[np.ndarray] = [np.ones(0, np.uint64)] * 2
+
+
+def _powers(n: int) -> list[np.ndarray]:
+    """The first n powers of POWER and of INVERSE, at least."""
+    if len(_POWERS[0]) < n:
+        for i, x in enumerate((POWER, INVERSE)):
+            steps = np.full(n, x, np.uint64)
+            steps[0] = 1
+            _POWERS[i] = np.cumprod(steps)
+    return _POWERS
+
+
+def _word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each word, without regard to the case of A-Z: a polynomial in its bytes' numbers, mixed."""
+    out, i = np.empty(len(starts), np.uint64), 0
+    while i < len(starts):
+        j = max(i + 1, int(np.searchsorted(ends, starts[i] + CHUNK, "right")))
+        at, size = int(starts[i]), int(ends[j - 1] - starts[i])
+        power, inverse = _powers(size)
+        sums = np.zeros(size + 1, np.uint64)
+        np.cumsum(BYTES[data[at : at + size]] * power[:size], out=sums[1:])
+        first, last = starts[i:j] - at, ends[i:j] - at
+        out[i:j] = mix64((sums[last] - sums[first]) * inverse[first])
+        i = j
+    return out
+
+
+def shingle_sets(texts: pa.Array, size: int = 5) -> Iterator[np.ndarray]:
+    """Per text the sorted distinct 64-bit hashes of its ``size``-word shingles.
+
+    Words are split at ASCII white space (space, tab to carriage return), A-Z taken as
+    a-z.  A text with fewer words has one shingle, its whole word sequence; a text
     without words, or a null text, has none.
     """
-    words = words_of(text) if text else []
-    n = len(words)
-    if not n:
-        return np.empty(0, np.uint64)
-    ids = np.fromiter(map(WORDS.__getitem__, words), np.uint64, n)
-    width = min(size, n)
-    h = np.full(n - width + 1, np.uint64(width))
-    for i in range(width):  # word hashes are uniform, so their weighted sum is too
-        h += ids[i : n - width + 1 + i] * PLACES[i]
-    return np.unique(mix64(h))
-
-
-def components(edges: DataFrame, folder: str, most: int = 40) -> DataFrame:
+    texts = texts.fill_null("")
+    for i in range(0, len(texts), 256):
+        some = texts.slice(i, 256)
+        kind = np.int64 if pa.types.is_large_string(some.type) else np.int32
+        offsets = np.frombuffer(some.buffers()[1], kind)[some.offset : some.offset + len(some) + 1].astype(np.int64)
+        raw = some.buffers()[2]
+        data = np.frombuffer(raw, np.uint8)[offsets[0] : offsets[-1]] if raw is not None else np.empty(0, np.uint8)
+        offsets -= offsets[0]
+        full = ~BLANK[data]
+        before, after = np.ones(len(data), bool), np.ones(len(data), bool)
+        before[1:], after[:-1] = ~full[:-1], ~full[1:]
+        inner = offsets[(offsets > 0) & (offsets < len(data))]  # where texts meet
+        before[inner] = after[inner - 1] = True
+        starts = np.flatnonzero(full & before)
+        words = _word_hashes(data, starts, np.flatnonzero(full & after) + 1)
+        n = len(words)
+        rolled = np.full(max(0, n - size + 1), np.uint64(size))
+        for j in range(size if len(rolled) else 0):  # word hashes are uniform, so their weighted sum is too
+            rolled += words[j : n - size + 1 + j] * PLACES[j]
+        rolled = mix64(rolled)
+        cuts = np.searchsorted(starts, offsets).tolist()
+        for a, z in zip(cuts, cuts[1:], strict=False):
+            if z - a >= size:
+                s = np.sort(rolled[a : z - size + 1])
+                yield s[np.append(True, s[1:] != s[:-1])]
+            elif z > a:
+                width = z - a
+                yield mix64(np.array([(words[a:z] * PLACES[:width]).sum(dtype=np.uint64)], np.uint64) + np.uint64(width))
+            else:
+                yield np.empty(0, np.uint64)
+
+
+def shingle_set(text: str | None, size: int = 5) -> np.ndarray:
+    """``shingle_sets`` of one text."""
+    return next(shingle_sets(pa.array([text], pa.string()), size))
+
+
+def components(edges: DataFrame, folder: str) -> DataFrame:
     """(node, component) of every node in ``edges(a, b)``: the smallest node reachable.
 
     Alternating large-star and small-star steps; each round is written out.  No
-    neighbour list is ever gathered, so a hub costs its links only.
+    neighbour list is ever gathered, so a hub costs its links only.  It ends when a round
+    changes nothing, after a number of rounds that grows with the logarithm of the nodes.
     """
     e = edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     e = written(e, f"{folder}/cc0")
-    before = None
-    for step in range(1, most + 1):
+    before, step = None, 0
+    while True:
+        step += 1
         both = e.select(F.col("u").alias("x"), F.col("v").alias("y")).union(e.select("v", "u"))
         low = both.groupBy("x").agg(F.least(F.min("y"), F.col("x")).alias("m"))
         large = both.filter("y > x").join(low, "x").select(F.col("y").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
@@ -146,6 +190,5 @@ def components(edges: DataFrame, folder: str, most: int = 40) -> DataFrame:
         if state == before:
             break
         before = state
-    else:
-        raise RuntimeError("connected components did not settle")
+        drop(edges.sparkSession, f"{folder}/cc{step - 1}")
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).union(e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, shared_dir, shingle_set, written
+from .common import components, drop, shared_dir, shingle_sets, written
 
 #: Similarity of 0.75 as a ratio of integers: 100 * intersection >= 75 * union.
 NUM, DEN = 75, 100
@@ -34,7 +34,7 @@ COMMON = 32
 #: Tokens whose counts are kept for the order; only speed depends on it.
 ORDER_TOKENS = 500_000
 #: Tokens counted together before their counts leave a task.
-BLOCK_TOKENS = 4_000_000
+BLOCK_TOKENS = 2_000_000
 #: Buckets of 32768 bits in a bit filter (8 MB), which spares later joins most rows.
 FILTER_BUCKETS = 2048
 FILTER_BITS = FILTER_BUCKETS * 32768
@@ -45,11 +45,6 @@ BAND = 1.15
 LONG_LIST = pa.list_(pa.int64())
 
 
-def _texts(batch: pa.RecordBatch, name: str = "text"):
-    for x in batch.column(name):
-        yield x.as_py()
-
-
 def _as_lists(parts: list[np.ndarray]) -> pa.Array:
     offsets = np.zeros(len(parts) + 1, np.int32)
     np.cumsum([len(p) for p in parts], out=offsets[1:])
@@ -69,9 +64,9 @@ def repeated_tokens(docs: DataFrame, size: int) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(tokens[keep].view(np.int64)), pa.array(counts[keep].astype(np.int64))], ["token", "n"])
 
         for batch in batches:
-            for text in _texts(batch):
-                held.append(shingle_set(text, size))
-                n += len(held[-1])
+            for s in shingle_sets(batch.column("text"), size):
+                held.append(s)
+                n += len(s)
                 if n >= BLOCK_TOKENS:
                     yield out()
                     held, n = [], 0
@@ -112,8 +107,7 @@ def sketched(docs: DataFrame, size: int = 5) -> DataFrame:
         common, level = shared.value
         for batch in batches:
             n, key, rare, mins, prefixes = [], [], [], [], []
-            for text in _texts(batch):
-                s = shingle_set(text, size)
+            for s in shingle_sets(batch.column("text"), size):
                 n.append(len(s))
                 if not len(s):
                     key.append(None), rare.append(0), mins.append(s), prefixes.append(s)
@@ -134,18 +128,22 @@ def sketched(docs: DataFrame, size: int = 5) -> DataFrame:
                     first = np.concatenate([first, last[np.lexsort((last, by))]])
                 prefixes.append(first[:want])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("th"), pa.array(n, pa.int64()), pa.array(key, pa.int64()), pa.array(rare, pa.int64()), _as_lists(mins), _as_lists(prefixes)],
-                ["doc_id", "th", "n", "k", "rare", "mins", "prefix"],
+                [batch.column("doc_id"), batch.column("th"), batch.column("row"), pa.array(n, pa.int64()), pa.array(key, pa.int64()), pa.array(rare, pa.int64()), _as_lists(mins), _as_lists(prefixes)],
+                ["doc_id", "th", "row", "n", "k", "rare", "mins", "prefix"],
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text", _text_hash()).mapInArrow(sketch, f"doc_id {kind}, th long, n long, k long, rare long, mins array<long>, prefix array<long>")
+    return docs.select("doc_id", "text", _text_hash(), _row_hash()).mapInArrow(sketch, f"doc_id {kind}, th long, row long, n long, k long, rare long, mins array<long>, prefix array<long>")
 
 
 def _text_hash():
     return F.xxhash64("text").alias("th")
 
 
+def _row_hash():
+    return F.xxhash64("doc_id", "text").alias("row")
+
+
 def bit_filter(keys: DataFrame, key: str) -> np.ndarray:
     """Bits at the keys modulo the filter's size, by Spark's bitmap aggregate; FILTER_BUCKETS * 4 KB at most.
 
@@ -164,55 +162,72 @@ def passing(maps: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return (maps[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
 
 
-def shared_tokens(sketch: DataFrame, folder: str) -> DataFrame:
-    """(token, k, n, rare): the prefix tokens that two rows at least have, once for each set."""
-    tokens = sketch.select(F.explode("prefix").alias("token"))
+def once_each(sketch: DataFrame, rows: np.ndarray) -> DataFrame:
+    """(k, n, rare, mins, prefix) of rows that ``rows``, a bit filter, lets pass: one for each set, or few."""
+    shared = sketch.sparkSession.sparkContext.broadcast(rows)
+
+    def only(batches):
+        for batch in batches:
+            some = batch.take(pa.array(np.flatnonzero(passing(shared.value, batch.column("row").to_numpy()))))
+            yield some.select(["k", "n", "rare", "mins", "prefix"])
+
+    some = sketch.filter("n > 0").select("row", "k", "n", "rare", "mins", "prefix")
+    return some.mapInArrow(only, "k long, n long, rare long, mins array<long>, prefix array<long>")
+
+
+def shared_tokens(sets: DataFrame, folder: str) -> DataFrame:
+    """(token, k, n, rare): the prefix tokens that two rows of ``sets`` at least have, once for each set."""
+    tokens = sets.select(F.explode("prefix").alias("token"))
     shared = written(tokens.groupBy("token").agg(F.count("*").alias("c")).filter("c > 1").select("token"), f"{folder}/shared")
-    maps = sketch.sparkSession.sparkContext.broadcast(bit_filter(shared, "token"))
+    maps = sets.sparkSession.sparkContext.broadcast(bit_filter(shared, "token"))
 
     def only(batches):
         for batch in batches:
             lists = batch.column("prefix")
-            flat, ends = lists.values.to_numpy(), lists.offsets.to_numpy()
+            ends = lists.offsets.to_numpy()
+            flat = lists.values.to_numpy()[ends[0] : ends[-1]]
             keep = np.flatnonzero(passing(maps.value, flat))
-            row = np.searchsorted(ends, keep, "right") - 1
-            at = pa.array(row)
+            at = pa.array(np.searchsorted(ends - ends[0], keep, "right") - 1)
             yield pa.RecordBatch.from_arrays([pa.array(flat[keep]), batch.column("k").take(at), batch.column("n").take(at), batch.column("rare").take(at)], ["token", "k", "n", "rare"])
 
-    some = sketch.filter("n > 0").select("prefix", "k", "n", "rare").mapInArrow(only, "token long, k long, n long, rare long")
+    some = sets.select("prefix", "k", "n", "rare").mapInArrow(only, "token long, k long, n long, rare long")
     return written(some.join(shared, "token").distinct(), f"{folder}/rows")
 
 
-def sets_of(docs: DataFrame, sketch: DataFrame, keys: DataFrame, size: int, folder: str) -> DataFrame:
-    """(k, tokens) for the set keys (k) asked for, each from one of its texts.
+def sets_of(docs: DataFrame, firsts: DataFrame, keys: DataFrame, size: int, folder: str) -> DataFrame:
+    """(k, tokens) for the set keys (k) asked for, each from its first row, of ``firsts`` (k, row).
 
-    A bit filter of bounded size (Spark's bitmap aggregate) on the hashes of those texts
-    keeps other documents from being cut into shingles; the join that follows is exact.
+    A bit filter of bounded size (Spark's bitmap aggregate) on the hashes of those rows
+    keeps other texts from being cut into shingles; the join that follows is exact.
     """
-    texts = written(sketch.select("k", "th").join(keys, "k", "left_semi").groupBy("k").agg(F.min("th").alias("th")), f"{folder}-texts")
-    shared = docs.sparkSession.sparkContext.broadcast(bit_filter(texts, "th"))
+    wanted = written(firsts.join(keys, "k", "left_semi"), f"{folder}-wanted")
+    shared = docs.sparkSession.sparkContext.broadcast(bit_filter(wanted, "row"))
 
     def only(batches):
         maps = shared.value
         for batch in batches:
-            some = batch.take(pa.array(np.flatnonzero(passing(maps, batch.column("th").to_numpy()))))
-            sets = [shingle_set(text, size) for text in _texts(some)]
-            yield pa.RecordBatch.from_arrays([some.column("th"), _as_lists(sets)], ["th", "tokens"])
-
-    found = docs.select("text", _text_hash()).mapInArrow(only, "th long, tokens array<long>")
-    once = found.join(texts, "th").groupBy("k").agg(F.first("tokens").alias("tokens"))
+            some = batch.take(pa.array(np.flatnonzero(passing(maps, batch.column("row").to_numpy()))))
+            for i in range(0, some.num_rows, 500):
+                part = some.slice(i, 500)
+                yield pa.RecordBatch.from_arrays([part.column("row"), _as_lists(list(shingle_sets(part.column("text"), size)))], ["row", "tokens"])
+
+    found = docs.select("text", _row_hash()).mapInArrow(only, "row long, tokens array<long>")
+    # rows that repeat an id and its text are one
+    once = found.join(wanted, "row").groupBy("k").agg(F.first("tokens").alias("tokens"))
     return written(once, f"{folder}-sets")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, sketch: DataFrame, size: int, folder: str) -> DataFrame:
+def verified(pairs: DataFrame, docs: DataFrame, firsts: DataFrame, size: int, folder: str) -> DataFrame:
     """The (a, b) of ``pairs`` whose whole sets reach the threshold."""
     keys = pairs.select(F.col("a").alias("k")).union(pairs.select("b")).distinct()
-    sets = sets_of(docs, sketch, keys, size, folder)
+    sets = sets_of(docs, firsts, keys, size, folder)
     left = pairs.select("a", "b").join(sets.select(F.col("k").alias("b"), F.col("tokens").alias("tb")), "b")
     both = left.join(sets.select(F.col("k").alias("a"), F.col("tokens").alias("ta")), "a")
     inter = F.size(F.array_intersect("ta", "tb"))
     links = both.select("a", "b", inter.alias("i"), (F.size("ta") + F.size("tb") - inter).alias("u")).filter(F.col("i") * DEN >= F.col("u") * NUM)
-    return written(links.select("a", "b"), f"{folder}-links")
+    links = written(links.select("a", "b"), f"{folder}-links")
+    drop(docs.sparkSession, f"{folder}-sets")
+    return links
 
 
 def fits(n, m):
@@ -242,7 +257,7 @@ def least_shared_within(n, lo, hi):
     return F.least(least_shared(n, lo), least_shared(n, hi), least_shared(n, F.greatest(lo, hi - 1)))
 
 
-def similar_groups(sketch: DataFrame, docs: DataFrame, size: int, folder: str) -> DataFrame:
+def similar_groups(sets: DataFrame, docs: DataFrame, firsts: DataFrame, size: int, folder: str) -> DataFrame:
     """(k, g): groups of similar sets, from verified links to the group's first set.
 
     Sets meet where a min-hash value and a size band agree; each is compared with one of
@@ -250,12 +265,13 @@ def similar_groups(sketch: DataFrame, docs: DataFrame, size: int, folder: str) -
     """
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(DEN / NUM)))
     keys = ["m", "band"]
-    sets = sketch.filter("n > 0").select("k", "rare", band.alias("band"), F.explode("mins").alias("m"))
-    firsts = written(sets.groupBy(*keys).agg(F.min(F.struct("rare", "k"))["k"].alias("a"), F.min("k").alias("y"), F.max("k").alias("z")).filter("y <> z").drop("y", "z"), f"{folder}/firsts")
+    sets = sets.select("k", "rare", band.alias("band"), F.explode("mins").alias("m"))
+    hubs = sets.groupBy(*keys).agg(F.min(F.struct("rare", "k"))["k"].alias("a"), F.min("k").alias("y"), F.max("k").alias("z"))
+    hubs = written(hubs.filter("y <> z").drop("y", "z"), f"{folder}/hubs")
     # one value in common may be a passage's; pairs left out here are looked at by the matrix
-    pairs = sets.join(firsts, keys).filter("k <> a").groupBy("a", F.col("k").alias("b")).agg(F.count("*").alias("c")).filter("c > 1").select("a", "b")
+    pairs = sets.join(hubs, keys).filter("k <> a").groupBy("a", F.col("k").alias("b")).agg(F.count("*").alias("c")).filter("c > 1").select("a", "b")
     pairs = written(pairs, f"{folder}/star-pairs")
-    links = verified(pairs, docs, sketch, size, f"{folder}/star")
+    links = verified(pairs, docs, firsts, size, f"{folder}/star")
     return written(components(links, f"{folder}/star-cc").select(F.col("node").alias("k"), F.col("component").alias("g")), f"{folder}/groups")
 
 
@@ -264,7 +280,7 @@ def grouped(rows: DataFrame, groups: DataFrame) -> DataFrame:
     return rows.join(groups, "k", "left").select("token", "k", "n", "rare", F.coalesce("g", "k").alias("g"))
 
 
-def led_groups(rows: DataFrame, groups: DataFrame, docs: DataFrame, sketch: DataFrame, size: int, folder: str) -> DataFrame:
+def led_groups(rows: DataFrame, groups: DataFrame, docs: DataFrame, firsts: DataFrame, size: int, folder: str) -> DataFrame:
     """Groups after merging those whose leaders on a token qualify: one leader a group and token.
 
     Strays of a large group of near copies join it here, so that it stands in the matrix once.
@@ -275,7 +291,7 @@ def led_groups(rows: DataFrame, groups: DataFrame, docs: DataFrame, sketch: Data
     met = leaders.join(first, "token").filter("g <> h").select(F.col("l.k").alias("a"), F.col("l.n").alias("na"), "b", "nb").filter(fits(F.col("na"), F.col("nb")))
     # tokens on which other members lead are not counted here, so some pairs are left for later
     pairs = met.groupBy("a", "b", "na", "nb").agg(F.count("*").alias("o")).filter(F.col("o") >= least_shared(F.col("na"), F.col("nb")))
-    links = verified(written(pairs.select("a", "b"), f"{folder}/led-pairs"), docs, sketch, size, f"{folder}/led")
+    links = verified(written(pairs.select("a", "b"), f"{folder}/led-pairs"), docs, firsts, size, f"{folder}/led")
     edges = groups.select(F.col("k").alias("a"), F.col("g").alias("b")).union(links)
     return written(components(edges, f"{folder}/led-cc").select(F.col("node").alias("k"), F.col("component").alias("g")), f"{folder}/led-groups")
 
@@ -284,10 +300,13 @@ def _classified(docs: DataFrame, size: int, folder: str) -> DataFrame:
     """(doc_id, th, n, c) per row of ``docs(doc_id, text)``: text hash, set size and class, null without words."""
     docs = docs.select("doc_id", "text")
     sketch = written(sketched(docs, size), f"{folder}/sketch")
-    groups = similar_groups(sketch, docs, size, folder)
+    # each set is looked at once, whatever its copies
+    firsts = written(sketch.filter("n > 0").groupBy("k").agg(F.min("row").alias("row")), f"{folder}/first-rows")
+    sets = once_each(sketch, bit_filter(firsts, "row"))
+    groups = similar_groups(sets, docs, firsts, size, folder)
 
-    rows = shared_tokens(sketch, folder)
-    groups = led_groups(grouped(rows, groups), groups, docs, sketch, size, folder)
+    rows = shared_tokens(sets, folder)
+    groups = led_groups(grouped(rows, groups), groups, docs, firsts, size, folder)
     rows = written(grouped(rows, groups), f"{folder}/grouped")
 
     # Token-group matrix: the token union of each group and size band, for tokens of several groups.
@@ -311,7 +330,7 @@ def _classified(docs: DataFrame, size: int, folder: str) -> DataFrame:
     members = rows.select("token", F.col("g").alias("h"), F.col("band").alias("hband"), F.col("k").alias("b"), F.col("n").alias("nb"))
     pairs = asking.join(members, ["token", "h", "hband"]).filter(fits(F.col("na"), F.col("nb"))).groupBy("a", "b", "na", "nb").agg(F.count("*").alias("o"))
     pairs = written(pairs.filter(F.col("o") >= least_shared(F.col("na"), F.col("nb"))).select("a", "b"), f"{folder}/pairs")
-    links = verified(pairs, docs, sketch, size, f"{folder}/rest")
+    links = verified(pairs, docs, firsts, size, f"{folder}/rest")
 
     edges = groups.select(F.col("k").alias("a"), F.col("g").alias("b")).union(links)
     classes = components(edges, f"{folder}/cc")
