@@ -84,113 +84,86 @@ def units(text: str, special: tuple[str, ...] = ()) -> tuple[str, list[str]]:
     return first, rest
 
 
-class Encoder:
-    """text -> ids as little-endian uint32 bytes, remembering CACHE_UNITS units at most.
+class _Bare(dict):
+    """text -> ids of a text as it is, found when first asked for."""
+
+    def __init__(self, tokenizer):
+        super().__init__()
+        self.tokenizer = tokenizer
+
+    def __missing__(self, text: str) -> bytes:
+        ids = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+        got = self[text] = struct.pack(f"<{len(ids)}I", *ids)
+        return got
+
 
-    ``known`` has later parts as ``units`` gives them, ``bare`` texts as they are.  When
-    half of the units are new since the last turn, those not used since then are forgotten.
+class _Parts(dict):
+    """Later part, as ``units`` gives it -> its ids, found when first asked for.
+
+    Letters, then signs, are encoded apart, other parts as they are.  The library's model
+    takes a word of old letters directly, in the names of its bytes, behind a space: the
+    pre-tokenizer leaves it whole.
     """
 
+    def __init__(self, tokenizer, bare: _Bare):
+        super().__init__()
+        self.tokenize, self.bare, self.old = tokenizer.model.tokenize, bare, {}
+
+    def word(self, w: str) -> bytes:
+        if w.isascii():
+            name = "Ġ" + w
+        elif max(w) < LATER_LETTERS:
+            name = "Ġ" + w.encode().decode("latin-1").translate(BYTE_NAMES)
+        else:
+            return self.bare[" " + w]
+        ids = [t.id for t in self.tokenize(name)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def __missing__(self, u: str) -> bytes:
+        got = self.old.get(u)
+        if got is None:
+            if u.isalpha():
+                got = self.word(u)
+            else:
+                core = u[1:] if u[0] == "\n" else u
+                word = core.rstrip(SIGNS)
+                if not word.isalpha():
+                    got = self.bare[u if u[0].isspace() else " " + u]
+                else:
+                    got = self.bare["\n"] + self.bare[word] if u[0] == "\n" else self[word]
+                    if len(core) > len(word):
+                        got += self.bare[core[len(word) :]]
+        self[u] = got
+        return got
+
+    def turn(self) -> None:
+        """Forget what wasn't asked for since the last turn."""
+        self.old = dict(self)
+        self.clear()
+
+
+class Encoder:
+    """text -> ids as little-endian uint32 bytes, remembering CACHE_UNITS parts at most, about."""
+
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = tuple(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
-        names = sorted(self.tokenizer.get_vocab().items(), key=lambda x: x[1])
-        self.led = np.array([n.startswith("Ġ") for n, _ in names])  # ids of tokens that begin with a space
-        self.model = self.tokenizer.model
-        self.known: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-        self.bare: dict[str, bytes] = {}
-
-    def learn_bare(self, texts: set[str]) -> None:
-        new = list(texts.difference(self.bare))
-        for u, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            self.bare[u] = struct.pack(f"<{len(e.ids)}I", *e.ids)
-
-    def learn_words(self, words: list[str]) -> None:
-        """Words of letters, each behind a space, which the pre-tokenizer leaves whole.
-
-        The library's model takes those of old letters directly, in the names of their
-        bytes; others go in one text, where a token with a space begins each.
-        """
-        known, tokenize, others = self.known, self.model.tokenize, []
-        for w in words:
-            if w.isascii():
-                name = "Ġ" + w
-            elif max(w) < LATER_LETTERS:
-                name = "Ġ" + w.encode().decode("latin-1").translate(BYTE_NAMES)
-            else:
-                others.append(w)
-                continue
-            ids = [t.id for t in tokenize(name)]
-            known[w] = struct.pack(f"<{len(ids)}I", *ids)
-        for i in range(0, len(others), 2000):
-            some = others[i : i + 2000]
-            ids = np.array(self.tokenizer.encode_batch_fast([" " + " ".join(some)], add_special_tokens=False)[0].ids, "<u4")
-            at = (4 * np.append(np.flatnonzero(self.led[ids]), len(ids))).tolist()
-            raw = ids.tobytes()
-            if len(at) != len(some) + 1:
-                raise ValueError("a word's first token doesn't begin with its space")
-            known.update(zip(some, map(raw.__getitem__, map(slice, at, at[1:])), strict=True))
-
-    def learn(self, parts: set[str]) -> None:
-        """Add later parts: letters, then signs, are encoded apart, other parts as they are."""
-        words = [u for u in parts if u.isalpha()]
-        self.learn_words(words)
-        if len(words) == len(parts):
-            return
-        known, words, ends, whole, made = self.known, set(), set(), set(), []
-        for u in parts:
-            if u in known:
-                continue
-            line, core = u[:1] == "\n", u[1:] if u[:1] == "\n" else u
-            word = core.rstrip(SIGNS)
-            if not word.isalpha():
-                whole.add(u if u[:1].isspace() else " " + u)
-                made.append((u, None, None, None))
-                continue
-            end = core[len(word) :]
-            if line:
-                ends.update(("\n", word))
-            elif word not in known:
-                words.add(word)
-            if end:
-                ends.add(end)
-            made.append((u, line, word, end))
-        self.recall(words)
-        self.learn_words(list(words))
-        self.learn_bare(ends | whole)
-        bare = self.bare
-        for u, line, word, end in made:
-            if word is None:
-                known[u] = bare[u if u[:1].isspace() else " " + u]
-            else:
-                known[u] = (bare["\n"] + bare[word] if line else known[word]) + (bare[end] if end else b"")
-
-    def recall(self, parts: set[str]) -> None:
-        """Take from ``parts`` those that were known before the last turn."""
-        if self.old:
-            back = parts & self.old.keys()
-            self.known.update(zip(back, map(self.old.__getitem__, back), strict=True))
-            parts -= back
+        self.bare = _Bare(self.tokenizer)
+        self.known = _Parts(self.tokenizer, self.bare)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        parts = [units(t, self.special) if t else None for t in texts]
         if len(self.known) > CACHE_UNITS // 2:
-            self.known, self.old = {}, self.known
+            self.known.turn()
         if len(self.bare) > CACHE_UNITS // 4:
-            self.bare = {}
-        self.learn_bare({p[0] for p in parts if p and p[0]})
-        new: set[str] = set()
-        for p in parts:
-            if p:
-                new.update(set(p[1]).difference(self.known))
-        self.recall(new)
-        self.learn(new)
-        known, bare = self.known.__getitem__, self.bare
-        return [(bare[p[0]] if p[0] else b"") + b"".join(map(known, p[1])) if p else b"" for p in parts]
+            self.bare.clear()
+        known, out = self.known.__getitem__, []
+        for t in texts:
+            first, rest = units(t, self.special) if t else ("", [])
+            out.append((self.bare[first] if first else b"") + b"".join(map(known, rest)))
+        return out
 
 
 _ENCODERS: dict[str, Encoder] = {}
