@@ -12,7 +12,7 @@ from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import StringType
 
 from . import vocab
-from .keys import _c, domain_label, domain_name_key, domain_of, first_by, norm
+from .keys import _c, domain_label, domain_name_key, domain_of, first_by, norm, nulls_last, prefixes
 
 
 def is_official(domain: Column | str, name: Column | str, suffixes: Sequence[str] = vocab.OFFICIAL_SUFFIXES) -> Column:
@@ -59,14 +59,14 @@ def route_links(pages: DataFrame, own_domain: str | None = None) -> DataFrame:
     to_maker = (F.col("link_type") == "manufacturer_official") | F.col("product_id").isNull()
     rows = rows.withColumn("owner_maker", F.when(to_maker, F.col("maker_id"))).withColumn("owner_product", F.when(~to_maker, F.col("product_id")))
     keys = ["owner_maker", "owner_product", "url"]
-    return first_by(rows, keys, F.col("label").asc_nulls_last(), F.col("domain"), F.col("link_type")).select(F.col("owner_maker").alias("maker_id"), F.col("owner_product").alias("product_id"), "url", "label", "domain", "link_type")
+    return first_by(rows, keys, *nulls_last("label"), F.col("domain"), F.col("link_type")).select(F.col("owner_maker").alias("maker_id"), F.col("owner_product").alias("product_id"), "url", "label", "domain", "link_type")
 
 
 def product_like(df: DataFrame, url: str, dictionary: DataFrame, key: str) -> DataFrame:
     """C4: (key, signal): why a URL looks like a product page, null if it doesn't.
 
     The regex rules need no join; segments and slug heads meet maker keys by equality,
-    and segments of five letters or more by their first five.
+    and beginnings of five letters or more of either meet the other by equality.
     """
     path = F.url_decode(F.regexp_replace(F.regexp_extract(F.col(url), r"^[^:/?#]+://[^/?#]*([^?#]*)", 1), r"\+", "%2B"))
     segments = F.filter(F.split(path, "/"), lambda s: s != "")
@@ -94,7 +94,9 @@ def product_like(df: DataFrame, url: str, dictionary: DataFrame, key: str) -> Da
     by_segment = parts.filter("k <> ''").join(keys, "k", "left_semi").select(key)
     five = words.select(key, norm("seg").alias("n")).filter(F.length("n") >= 5)
     long_keys = keys.filter(F.length("k") >= 5)
-    by_start = five.join(long_keys, F.substring("n", 1, 5) == F.substring("k", 1, 5)).filter(F.startswith("k", "n") | F.startswith("n", "k")).select(key)
+    begins = five.join(long_keys.select(F.explode(prefixes("k", 5)).alias("n")).distinct(), "n", "left_semi").select(key)
+    begun = five.select(key, F.explode(prefixes("n", 5)).alias("k")).join(long_keys, "k", "left_semi").select(key)
+    by_start = begins.union(begun)
     segment = by_segment.union(by_start).distinct().withColumn("_b", F.lit(True))
 
     slug = F.filter(F.split(F.lower("last"), "[-_ ]+"), lambda p: p != "")
@@ -198,7 +200,7 @@ def link_health(probes: DataFrame) -> DataFrame:
     A HEAD answered 403, 405 or 501 gives way to the GET row; otherwise HEAD is enough.
     """
     give_way = (F.col("method") == "HEAD") & F.col("http_code").isin(403, 405, 501)
-    best = first_by(probes, ["url"], give_way.asc(), F.when(F.col("method") == "HEAD", 0).otherwise(1), F.col("http_code").asc_nulls_last(), F.col("final_url").asc_nulls_last(), F.col("error").asc_nulls_last())
+    best = first_by(probes, ["url"], give_way, F.when(F.col("method") == "HEAD", 0).otherwise(1), *nulls_last("http_code"), *nulls_last("final_url"), *nulls_last("error"))
     code, cut = F.col("http_code"), lambda c: F.regexp_replace(c, "/+$", "")
     moved = F.col("final_url").isNotNull() & (F.col("final_url") != "") & (cut(F.col("final_url")) != cut(F.col("url")))
     status = (

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import vocab
@@ -15,9 +15,10 @@ def _c(c: Column | str) -> Column:
 
 
 def is_blank(c: Column | str) -> Column:
-    """Null, empty or white space only; a number counts as blank when it is 0."""
+    """Null, empty or white space only; a number counts as blank when it is 0, the text "0" doesn't."""
     text = F.trim(_c(c).cast("string"))
-    return text.isNull() | text.isin("", "0")
+    zero = (F.typeof(_c(c)) != "string") & text.rlike(r"^-?0(\.0+)?$")
+    return text.isNull() | (text == "") | zero
 
 
 def norm(c: Column | str) -> Column:
@@ -172,6 +173,20 @@ def doc_model(folder: Column | str, file: Column | str, tokens: Sequence[str] =
 
 
 def first_by(df: DataFrame, keys: Sequence[str], *order: Column) -> DataFrame:
-    """One row for each key, the first in ``order``, which must be total."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_n", F.row_number().over(w)).filter("_n = 1").drop("_n")
+    """One row for each key, the first in ``order``, ascending (nulls first) and total.
+
+    An aggregate that combines before the shuffle, so a famous key costs a row a task.
+    """
+    row = F.min_by(F.struct(*df.columns), F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)]))
+    return df.groupBy(*keys).agg(row.alias("_first")).select("_first.*")
+
+
+def nulls_last(c: Column | str) -> tuple[Column, Column]:
+    """Two columns for ``first_by`` that put nulls behind other values."""
+    return _c(c).isNull(), _c(c)
+
+
+def prefixes(c: Column | str, shortest: int) -> Column:
+    """The beginnings of a text from ``shortest`` characters on, itself included; none of a shorter text."""
+    n = F.length(_c(c))
+    return F.when(n >= shortest, F.transform(F.sequence(F.lit(shortest), n), lambda k: F.substr(_c(c), F.lit(1), k))).otherwise(F.array().cast("array<string>"))

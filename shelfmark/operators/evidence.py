@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import vocab
-from ..functions.keys import domain_of, first_by, is_blank, norm, value_key
+from ..functions.keys import domain_of, first_by, is_blank, norm, nulls_last, value_key
 from .resolve import resolve_maker, source_key
 
 
@@ -69,7 +69,7 @@ def merge_makers(makers: DataFrame, entries: DataFrame, fields: Sequence[str], k
 
 def append_new(df: DataFrame, existing: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
     """Rows of ``df`` whose keys (null-safe) aren't in ``existing``; once each key."""
-    once = first_by(df, keys, *[F.col(c).asc_nulls_last() for c in (order or [c for c in df.columns if c not in keys] or keys)])
+    once = first_by(df, keys, *[x for c in (order or [c for c in df.columns if c not in keys] or keys) for x in nulls_last(c)])
     held = existing.select(*[F.col(k).alias(f"_h{i}") for i, k in enumerate(keys)]).distinct()
     condition = F.lit(True)
     for i, k in enumerate(keys):

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.keys import base_name, domain_of, first_by, is_blank, norm, spaced_key, title_case_slug
+from ..functions.keys import base_name, domain_of, first_by, is_blank, norm, prefixes, spaced_key, title_case_slug
 from ..functions.vocab import STOP_TAGS
 
 
@@ -69,12 +69,12 @@ def find_maker(df: DataFrame, name: str, makers: DataFrame, names: DataFrame) ->
 
 
 def resolve_unique_prefix(df: DataFrame, name: str, dictionary: DataFrame, shortest: int = 4) -> DataFrame:
-    """R2, else the one maker whose key begins with the name's, if there is exactly one."""
+    """R2, else the maker of the one known key that begins with the name's, if there is exactly one."""
     found = resolve_maker(df, name, dictionary).withColumn("_key", norm(name))
-    keys = dictionary.filter(F.length("key") > shortest - 1).select(F.col("key").alias("k"), F.col("maker_id").alias("m")).distinct()
+    keys = dictionary.filter("by_key").select("key", "maker_id").groupBy("key").agg(F.min("maker_id").alias("_m"))
+    heads = keys.select(F.explode(prefixes("key", shortest)).alias("_key"), "_m")
     asked = found.filter(F.col("maker_id").isNull() & (F.length("_key") >= shortest)).select("_key").distinct()
-    pairs = asked.join(keys, F.substring("_key", 1, shortest) == F.substring("k", 1, shortest)).filter(F.startswith("k", "_key"))
-    only = pairs.groupBy("_key").agg(F.min("m").alias("_m"), F.max("m").alias("_z")).filter("_m = _z").drop("_z")
+    only = heads.join(asked, "_key").groupBy("_key").agg(F.min("_m").alias("_m"), F.count("*").alias("_n")).filter("_n = 1").drop("_n")
     out = found.join(only, "_key", "left")
     kind = F.coalesce("match_kind", F.when(F.col("maker_id").isNull() & F.col("_m").isNotNull(), F.lit("prefix")))
     return out.withColumn("match_kind", kind).withColumn("maker_id", F.coalesce("maker_id", "_m")).drop("_key", "_m")
@@ -137,11 +137,15 @@ def name_variants(df: DataFrame, name: str, dictionary: DataFrame, key: str) ->
 
 
 def is_known_prefix(df: DataFrame, name: str, dictionary: DataFrame, key: str, shortest: int = 3) -> DataFrame:
-    """(key) of names whose compact key begins a known key or begins with one."""
-    known = dictionary.select(F.col("key").alias("k")).filter(F.length("k") >= shortest).distinct()
-    rows = df.select(key, norm(name).alias("_key")).filter(F.length("_key") >= shortest)
-    pairs = rows.join(known, F.substring("_key", 1, shortest) == F.substring("k", 1, shortest))
-    return pairs.filter(F.startswith("k", "_key") | F.startswith("_key", "k")).select(key).distinct()
+    """(key) of names that are known: no compact key at all, a known key, or from
+    ``shortest`` characters on one that begins a known key or begins with one."""
+    known = dictionary.select("key").filter("key <> ''").distinct()
+    long = known.filter(F.length("key") >= shortest)
+    rows = df.select(key, F.coalesce(norm(name), F.lit("")).alias("_key"))
+    # each way by an equality: a name meets the beginnings of known keys, its beginnings meet known keys
+    same = rows.join(known.union(long.select(F.explode(prefixes("key", shortest)))).distinct(), F.col("_key") == F.col("key"), "left_semi").select(key)
+    begun = rows.select(key, F.explode(prefixes("_key", shortest)).alias("_key")).join(long, F.col("_key") == F.col("key"), "left_semi").select(key)
+    return rows.filter("_key = ''").select(key).union(same).union(begun).distinct()
 
 
 def source_key(url: Column | str) -> Column:
@@ -293,10 +297,14 @@ def new_products(found: DataFrame, products: DataFrame) -> DataFrame:
 
 
 def brand_from_tags(posts: DataFrame, dictionary: DataFrame, out_of_scope: Sequence[str] = ()) -> DataFrame:
-    """(post_id, maker_id, tag, model): first tag that is a held maker, cut off the title's start."""
+    """(post_id, maker_id, tag, model): first tag that is a held maker; each tag in turn is cut off the title's start."""
     rows = posts.filter(~F.coalesce(F.lower(F.get("categories", F.lit(0))).isin(*out_of_scope), F.lit(False))) if out_of_scope else posts
-    tags = rows.select("post_id", "title", F.posexplode("tags").alias("pos", "tag"))
+
+    def cut(title: Column, tag: Column) -> Column:
+        rest = F.substr(title, F.length(tag) + 1)
+        return F.when(F.startswith(F.lower(title), F.lower(tag)) & rest.rlike(r"^\s"), F.regexp_replace(rest, r"^\s+", "")).otherwise(title)
+
+    known = F.filter(F.coalesce("tags", F.array().cast("array<string>")), lambda x: x.isNotNull())
+    tags = rows.select("post_id", F.aggregate(known, F.col("title"), cut).alias("model"), F.posexplode("tags").alias("pos", "tag"))
     hits = resolve_maker(tags, "tag", dictionary).filter("maker_id is not null")
-    best = hits.groupBy("post_id").agg(F.min_by(F.struct("maker_id", "tag", "title"), "pos").alias("b")).select("post_id", "b.*")
-    starts = F.startswith(F.lower("title"), F.concat(F.lower("tag"), F.lit(" ")))
-    return best.select("post_id", "maker_id", "tag", F.when(starts, F.trim(F.substr(F.col("title"), F.length("tag") + 1))).otherwise(F.col("title")).alias("model"))
+    return hits.groupBy("post_id").agg(F.min_by(F.struct("maker_id", "tag", "model"), "pos").alias("b")).select("post_id", "b.*")

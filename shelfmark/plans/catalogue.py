@@ -136,9 +136,9 @@ def _(t):
     return resolve.find_maker(t.queue, "name", t.makers, t.maker_names).select("id", "maker_id")
 
 
-@query("r4_unique_prefix", dictionary_sql(f"""SELECT q.id, coalesce(a.maker_id, b.maker_id, CASE WHEN p.lo = p.hi THEN p.lo END) AS maker_id
+@query("r4_unique_prefix", dictionary_sql(f"""SELECT q.id, coalesce(a.maker_id, b.maker_id, p.maker_id) AS maker_id
     FROM queue q LEFT JOIN by_name a ON a.lower_name = lower(trim(q.name)) LEFT JOIN by_key b ON b.key = {NORM.format('q.name')} AND b.key <> ''
-    LEFT JOIN (SELECT q.id, min(n.maker_id) AS lo, max(n.maker_id) AS hi FROM queue q JOIN names n ON starts_with({NORM.format('n.name')}, {NORM.format('q.name')}) AND length({NORM.format('q.name')}) >= 4 GROUP BY q.id) p ON p.id = q.id""", "queue"))
+    LEFT JOIN (SELECT q.id, min(k.maker_id) AS maker_id FROM queue q JOIN by_key k ON starts_with(k.key, {NORM.format('q.name')}) AND length({NORM.format('q.name')}) >= 4 GROUP BY q.id HAVING count(*) = 1) p ON p.id = q.id""", "queue"))
 def _(t):
     return resolve.resolve_unique_prefix(t.queue, "name", t.dictionary()).select("id", "maker_id")
 
@@ -167,9 +167,9 @@ def _(t):
     return resolve.name_variants(t.part.select(F.col("p_partkey").alias("id"), "p_brand"), "p_brand", t.dictionary(), "id")
 
 
-@query("r9_known_prefix", dictionary_sql(f"""SELECT DISTINCT q.id FROM queue q JOIN by_key b ON length(b.key) >= 3 AND length({NORM.format('q.name')}) >= 3 AND (starts_with(b.key, {NORM.format('q.name')}) OR starts_with({NORM.format('q.name')}, b.key))""", "queue"))
+@query("r9_known_prefix", dictionary_sql(f"""SELECT DISTINCT q.id FROM (SELECT id, {NORM.format('name')} AS k FROM asked) q LEFT JOIN by_key b ON b.key = q.k OR length(b.key) >= 3 AND length(q.k) >= 3 AND (starts_with(b.key, q.k) OR starts_with(q.k, b.key)) WHERE q.k = '' OR b.key IS NOT NULL""", "asked"))
 def _(t):
-    return resolve.is_known_prefix(t.queue, "name", t.dictionary(), "id")
+    return resolve.is_known_prefix(t.asked, "name", t.dictionary(), "id")
 
 
 PRODUCT_KEYS = f"(SELECT maker_id, {NORM.format('name')} AS k, min(id) AS product_id FROM products GROUP BY 1, 2)"
@@ -195,7 +195,7 @@ SQL["r11_relink"] = with_tables(f"""SELECT p_partkey AS id, CAST(substr(p_brand,
     CASE WHEN k.product_id IS NULL THEN NULL WHEN p_partkey % 2 = 0 THEN 'mark' ELSE 'key' END AS match_kind FROM part LEFT JOIN {PRODUCT_KEYS} k ON k.maker_id = CAST(substr(p_brand, 7) AS BIGINT) AND k.k = {NORM.format('p_name')}""", "products")
 
 
-@query("r12_match_contained", f"""SELECT p_partkey AS id, max_by(k.product_id, row(length(k.k), k.k)) AS product_id FROM part JOIN {PRODUCT_KEYS} k ON k.maker_id = CAST(substr(p_brand, 7) AS BIGINT) AND length(k.k) BETWEEN 3 AND 24 AND contains('manual' || {NORM.format('p_name')} || 'pdf', k.k) GROUP BY 1""", "products")
+@query("r12_match_contained", f"""SELECT p_partkey AS id, max_by(k.product_id, row(length(k.k), k.k)) AS product_id FROM part JOIN {PRODUCT_KEYS} k ON k.maker_id = CAST(substr(p_brand, 7) AS BIGINT) AND length(k.k) >= 3 AND contains('manual' || {NORM.format('p_name')} || 'pdf', k.k) GROUP BY 1""", "products")
 def _(t):
     links = t.part.select(F.col("p_partkey").alias("id"), F.substring("p_brand", 7, 9).cast("long").alias("maker_id"), F.concat(F.lit("Manual: "), "p_name", F.lit(".pdf")).alias("label"))
     return resolve.match_contained(links, t.products)
@@ -245,10 +245,14 @@ def _(t):
     return resolve.new_products(found.union(found.withColumn("slug", F.concat("slug", F.lit("-0")))), t.products)
 
 
-@query("r20_brand_from_tags", dictionary_sql("SELECT p_partkey AS post_id, CAST(substr(p_brand, 7) AS BIGINT) AS maker_id, 'Old Brand ' || substr(p_brand, 7) AS tag, p_name AS model FROM part"))
+@query("r20_brand_from_tags", dictionary_sql(r"""SELECT p_partkey AS post_id, CAST(CASE p_partkey % 4 WHEN 1 THEN '1' ELSE substr(p_brand, 7) END AS BIGINT) AS maker_id,
+    CASE p_partkey % 4 WHEN 0 THEN 'Old Brand ' || substr(p_brand, 7) WHEN 1 THEN 'Brand#1' ELSE 'old brand ' || substr(p_brand, 7) END AS tag,
+    CASE p_partkey % 4 WHEN 0 THEN p_name WHEN 1 THEN 'Nobody ' || p_name ELSE regexp_replace(p_name, '^Brand#1\s+', '', 'i') END AS model FROM part WHERE p_partkey % 4 <> 3"""))
 def _(t):
-    brand = F.concat(F.lit("Old Brand "), F.substring("p_brand", 7, 9))
-    posts = t.part.select(F.col("p_partkey").alias("post_id"), F.concat(brand, F.lit(" "), F.col("p_name")).alias("title"), F.array(F.lit("news"), brand, F.lit("Brand#1")).alias("tags"), F.array(F.lit("reviews")).alias("categories"))
+    brand, kind = F.concat(F.lit("Old Brand "), F.substring("p_brand", 7, 9)), F.col("p_partkey") % 4
+    title = F.when(kind == 1, F.concat(F.lit("Nobody "), F.col("p_name"))).otherwise(F.concat(brand, F.lit("  "), F.col("p_name")))
+    tags = F.when(kind == 0, F.array(F.lit("news"), brand, F.lit("Brand#1"))).when(kind == 1, F.array(F.lit("news"), F.lit("Brand#1"), brand)).otherwise(F.array(F.lower(brand), F.lit("Brand#1")))
+    posts = t.part.select(F.col("p_partkey").alias("post_id"), title.alias("title"), tags.alias("tags"), F.array(F.when(kind == 3, "Downloads").otherwise("reviews")).alias("categories"))
     return resolve.brand_from_tags(posts, t.dictionary(), ("downloads",))
 
 
@@ -460,9 +464,9 @@ def _(t):
     return evidence.apply_long_names(t.makers, pairs)[0].select("id", "canonical_name")
 
 
-@query("k20_stubs", "SELECT id, CASE WHEN country IS NULL AND short_history IS NULL AND id NOT IN (SELECT entity_id FROM claims WHERE entity_id % 2 = 0) THEN 'unresearched' ELSE confidence END AS confidence FROM makers", "makers", "claims")
+@query("k20_stubs", "SELECT id, CASE WHEN country IS NULL AND short_history IS NULL AND id NOT IN (SELECT entity_id FROM claims) THEN 'unresearched' ELSE confidence END AS confidence FROM makers", "makers", "claims")
 def _(t):
-    return evidence.mark_stubs(t.makers, t.claims.filter("entity_id % 2 = 0")).select("id", "confidence")
+    return evidence.mark_stubs(t.makers, t.claims).select("id", "confidence")
 
 
 @query("k21_tag_scope", "SELECT id, CASE WHEN starts_with(canonical_name, 'Brand#1') OR canonical_name = 'Brand#2' THEN 'out_of_scope' ELSE scope END AS scope FROM makers", "makers")

@@ -56,6 +56,8 @@ PROJECTIONS = {
                CASE WHEN s_suppkey % 4 = 0 THEN 'brand-' || CAST(s_suppkey % 25 AS VARCHAR(10)) WHEN s_suppkey % 4 = 1 THEN 'New Brand ' || CAST(s_suppkey % 25 AS VARCHAR(10)) || ' Audio' WHEN s_suppkey % 4 = 2 THEN 'OLD BRAND ' || CAST(s_suppkey % 25 AS VARCHAR(10)) ELSE s_name END AS name,
                CASE WHEN s_suppkey % 7 = 0 THEN 'done' ELSE 'found' END AS status, CAST(NULL AS VARCHAR(100)) AS notes, CAST(s_nationkey AS INT) AS priority
         FROM {supplier}""",
+    "asked": """
+        SELECT id, CASE WHEN id % 7 = 0 THEN 'b' || CAST(id % 2 AS VARCHAR(10)) WHEN id % 7 = 1 THEN '?!' WHEN id % 7 = 2 THEN 'Bra' WHEN id % 7 = 3 THEN 'The Brand#6 Company Of Eight Words In All Ltd' ELSE name END AS name FROM {queue}""",
     "specs": """
         SELECT CAST(l_orderkey AS BIGINT) * 10 + l_linenumber AS id, l_partkey AS product_id,
                CASE WHEN l_linenumber = 1 THEN 'oscillators' WHEN l_linenumber = 2 THEN 'memory' ELSE 'polyphony' END AS field,
