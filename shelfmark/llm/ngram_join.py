@@ -42,6 +42,8 @@ FILTER_BITS = FILTER_BUCKETS * 32768
 CLASSES = 3
 #: Sizes within a band differ by this ratio at most; a group stands in the matrix once for each band.
 BAND = 1.15
+#: Pairs of one leading set that a task verifies together, about.
+PAIRS_A_PART = 500
 LONG_LIST = pa.list_(pa.int64())
 
 
@@ -194,40 +196,46 @@ def shared_tokens(sets: DataFrame, folder: str) -> DataFrame:
     return written(some.join(shared, "token").distinct(), f"{folder}/rows")
 
 
-def sets_of(docs: DataFrame, firsts: DataFrame, keys: DataFrame, size: int, folder: str) -> DataFrame:
-    """(k, tokens) for the set keys (k) asked for, each from its first row, of ``firsts`` (k, row).
+def verified(pairs: DataFrame, docs: DataFrame, firsts: DataFrame, size: int, folder: str) -> DataFrame:
+    """The (a, b) of ``pairs`` whose whole sets reach the threshold.
 
-    A bit filter of bounded size (Spark's bitmap aggregate) on the hashes of those rows
-    keeps other texts from being cut into shingles; the join that follows is exact.
+    Each ``a`` leads one part or more of PAIRS_A_PART pairs, about, so that one with many
+    pairs is no hot key.  The text of each set's first row, of ``firsts`` (k, row), goes to
+    the parts it is in, the leader's first, and is cut into shingles there.  A bit filter
+    of bounded size (Spark's bitmap aggregate) on the rows' hashes keeps other texts from
+    the join, which is exact.
     """
-    wanted = written(firsts.join(keys, "k", "left_semi"), f"{folder}-wanted")
+    parts = F.ceil(F.col("c") / PAIRS_A_PART)
+    leads = pairs.groupBy("a").agg(F.count("*").alias("c"))
+    led = pairs.select("a", "b").join(leads, "a").select("a", F.pmod(F.xxhash64("b"), parts).alias("part"), F.col("b").alias("k"), F.lit(True).alias("led"))
+    leads = leads.select("a", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("part"), F.col("a").alias("k"), F.lit(False).alias("led"))
+    wanted = written(led.union(leads).join(firsts, "k"), f"{folder}-wanted")
     shared = docs.sparkSession.sparkContext.broadcast(bit_filter(wanted, "row"))
 
     def only(batches):
-        maps = shared.value
         for batch in batches:
-            some = batch.take(pa.array(np.flatnonzero(passing(maps, batch.column("row").to_numpy()))))
-            for i in range(0, some.num_rows, 500):
-                part = some.slice(i, 500)
-                yield pa.RecordBatch.from_arrays([part.column("row"), _as_lists(list(shingle_sets(part.column("text"), size)))], ["row", "tokens"])
-
-    found = docs.select("text", _row_hash()).mapInArrow(only, "row long, tokens array<long>")
-    # rows that repeat an id and its text are one
-    once = found.join(wanted, "row").groupBy("k").agg(F.first("tokens").alias("tokens"))
-    return written(once, f"{folder}-sets")
+            yield batch.take(pa.array(np.flatnonzero(passing(shared.value, batch.column("row").to_numpy()))))
 
+    def compare(batches):
+        lead, own = None, None
+        for batch in batches:
+            found_a, found_b = [], []
+            sets = shingle_sets(batch.column("text"), size)
+            for a, part, led, k, s in zip(*(batch.column(c).to_pylist() for c in ("a", "part", "led", "k")), sets, strict=True):
+                if not led:
+                    lead, own = (a, part), s
+                    continue
+                if lead != (a, part):
+                    raise ValueError("a part has no leader")
+                both = np.count_nonzero(own[np.minimum(np.searchsorted(own, s), len(own) - 1)] == s)
+                if both * DEN >= (len(own) + len(s) - both) * NUM:
+                    found_a.append(a), found_b.append(k)
+            yield pa.RecordBatch.from_arrays([pa.array(found_a, pa.int64()), pa.array(found_b, pa.int64())], ["a", "b"])
 
-def verified(pairs: DataFrame, docs: DataFrame, firsts: DataFrame, size: int, folder: str) -> DataFrame:
-    """The (a, b) of ``pairs`` whose whole sets reach the threshold."""
-    keys = pairs.select(F.col("a").alias("k")).union(pairs.select("b")).distinct()
-    sets = sets_of(docs, firsts, keys, size, folder)
-    left = pairs.select("a", "b").join(sets.select(F.col("k").alias("b"), F.col("tokens").alias("tb")), "b")
-    both = left.join(sets.select(F.col("k").alias("a"), F.col("tokens").alias("ta")), "a")
-    inter = F.size(F.array_intersect("ta", "tb"))
-    links = both.select("a", "b", inter.alias("i"), (F.size("ta") + F.size("tb") - inter).alias("u")).filter(F.col("i") * DEN >= F.col("u") * NUM)
-    links = written(links.select("a", "b"), f"{folder}-links")
-    drop(docs.sparkSession, f"{folder}-sets")
-    return links
+    texts = docs.select(_row_hash(), "text").mapInArrow(only, "row long, text string").join(wanted, "row").select("a", "part", "led", "k", "text")
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    links = texts.repartition(n, "a", "part").sortWithinPartitions("a", "part", "led").mapInArrow(compare, "a long, b long")
+    return written(links, f"{folder}-links")
 
 
 def fits(n, m):
@@ -306,6 +314,8 @@ def _classified(docs: DataFrame, size: int, folder: str) -> DataFrame:
     groups = similar_groups(sets, docs, firsts, size, folder)
 
     rows = shared_tokens(sets, folder)
+    ids = written(sketch.select("doc_id", "th", "n", "k"), f"{folder}/keys")
+    drop(docs.sparkSession, f"{folder}/sketch")
     groups = led_groups(grouped(rows, groups), groups, docs, firsts, size, folder)
     rows = written(grouped(rows, groups), f"{folder}/grouped")
 
@@ -334,7 +344,7 @@ def _classified(docs: DataFrame, size: int, folder: str) -> DataFrame:
 
     edges = groups.select(F.col("k").alias("a"), F.col("g").alias("b")).union(links)
     classes = components(edges, f"{folder}/cc")
-    ids = sketch.select("doc_id", "th", "n", "k").join(classes.withColumnRenamed("node", "k"), "k", "left").withColumn("c", F.coalesce("component", "k"))
+    ids = ids.join(classes.withColumnRenamed("node", "k"), "k", "left").withColumn("c", F.coalesce("component", "k"))
     return written(ids.select("doc_id", "th", "n", "c"), f"{folder}/ids")
 
 
