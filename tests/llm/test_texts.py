@@ -31,12 +31,51 @@ def test_licence_scan(spark):
     for r in license_scan.scan(frame(spark, texts)).collect():
         got.setdefault(r.doc_id, []).append(r.license)
     assert got == {0: ["MIT"], 1: ["Apache-2.0", "Proprietary"], 5: ["MIT", "MIT"]}
-    long = license_scan.TEMPLATES["Apache-2.0-header"].replace("may not", "must not")
+    long = license_scan.TEMPLATES["Apache-2.0/notice"].replace("may not", "must not")
     (hit,) = license_scan.Scanner(license_scan.TEMPLATES).scan("x " + long + " y")
-    assert hit[0] == "Apache-2.0-header" and 0.9 < hit[1] < 1
+    assert hit[0] == "Apache-2.0/notice" and 0.9 < hit[1] < 1
     assert license_scan.scan(frame(spark, [])).count() == 0
 
 
+def common_length(a, b):
+    table = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    for i, x in enumerate(a):
+        for j, y in enumerate(b):
+            table[i + 1][j + 1] = table[i][j] + 1 if x == y else max(table[i][j + 1], table[i + 1][j])
+    return table[-1][-1]
+
+
+def test_patience_against_brute_force():
+    """An alignment is common words in order; without unique words, or without common ones twice, it is a longest one."""
+    rng = random.Random(11)
+    for _ in range(400):
+        a, b = ([rng.choice("abcdefghij"[: rng.randrange(2, 11)]) for _ in range(rng.randrange(0, 14))] for _ in range(2))
+        pairs = license_scan.patience(a, b)
+        assert all(a[i] == b[j] for i, j in pairs) and all(i < k and j < m for (i, j), (k, m) in zip(pairs, pairs[1:], strict=False))
+        assert len(license_scan.longest_common(a, b)) == common_length(a, b) >= len(pairs)
+        if len(set(a)) == len(a) and len(set(b)) == len(b) or not any(a.count(x) == 1 == b.count(x) for x in a) and (a[:1] != b[:1] and a[-1:] != b[-1:]):
+            assert len(pairs) == common_length(a, b)
+
+
+def test_licences_against_brute_force(spark):
+    """Each whole text is found under its id at its place, among other words, in long and repeated texts."""
+    rng = random.Random(12)
+    noise = ["".join(rng.choice("qxzkjv") for _ in range(5)) for _ in range(300)]
+    rows, expected = [], []
+    for n, (name, text) in enumerate(license_scan.TEMPLATES.items()):
+        before = "İ " * (n % 3) + " ".join(rng.choice(noise) for _ in range(20 if n != 4 else 40_000)) + "\n"
+        license_, _, kind = name.partition("/")
+        rows.append((n, before + text.replace(". ", ".\n * ") + "\n" + " ".join(rng.choice(noise) for _ in range(10)), "x"))
+        expected.append((n, license_, kind, 1.0, len(before)))
+    rows += [rows[0], (None, rows[1][1], "y")]
+    expected += [expected[0], (None, *expected[1][1:])]
+    got = license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string, license string")).collect()
+    assert sorted([(r.doc_id, r.license, r.kind, r.coverage, r.start) for r in got], key=str) == sorted(expected, key=str)
+    for r in got:
+        text = rows[r.doc_id if r.doc_id is not None else 1][1]
+        assert license_scan.words_of(text[r.start : r.end])[-1][0] == license_scan.words_of(license_scan.TEMPLATES[f"{r.license}/{r.kind}"])[-1][0]
+
+
 def test_fold_and_hits():
     assert toxicity.fold("ID1OT 1d10t іdiot $tupid a$$$ 19") == "idiot idiot idiot stupid a$$$ 19"
     model = toxicity.Model({"clown": 2.0, "idio*": 3.0, "idiotic": 4.0})
