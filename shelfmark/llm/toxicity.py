@@ -1,15 +1,19 @@
 """Toxicity: a weighted lexicon, learned from labels, matched by Aho-Corasick.
 
-Texts are folded first: lower case, homoglyphs to Latin letters, digits and signs that
-stand for letters within a word to those letters.  The lexicon holds whole words and
-word beginnings; its weights are log ratios of how often toxic and clean labelled
-documents have them.  One automaton finds lexicon entries and exception phrases; a hit
+Texts are folded first: lower case, compatibility letters and accents to plain letters,
+homoglyphs to Latin letters, digits and signs that stand for letters beside a letter to
+those letters.  The lexicon holds whole words and word beginnings; its weights are log
+ratios of how often toxic and clean labelled documents have them.  Exception phrases are
+an entry with the word before or after it that clean labelled documents have and toxic
+ones have ten times less.  One automaton finds entries and exceptions; a hit
 within an exception phrase doesn't count.  A logistic curve, fitted on the same labelled
 rows, turns the summed weights and the text's length into a score from 0 to 1: the same
 hits weigh less in a longer text.
 
 Only labelled rows with crc32(doc_id as text) mod 4 <> 2 are learned from, at most
-about MAX_LABELS of them, chosen by a hash of the id.  Labels, language, source and id
+about MAX_LABELS of them, chosen by a hash of the id, and written once.  An entry must be
+in a 500th of the toxic ones, so there are at most 500 times as many candidates as such
+a document has words and beginnings on average.  Labels, language, source and id
 are never inputs of a score.
 
 Defined results: null and blank texts score what no hits at length 0 score; labels other
@@ -22,6 +26,7 @@ from __future__ import annotations
 
 import math
 import re
+import unicodedata
 from collections import Counter
 from dataclasses import dataclass, field
 
@@ -31,12 +36,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import shared_dir, written
+
 #: Labelled rows that are learned from, about; with more, a share of them by hash.
 MAX_LABELS = 200_000
-#: Entries of the lexicon, and candidates for it, at most (those in most toxic documents).
-MAX_ENTRIES, MAX_CANDIDATES = 5_000, 200_000
-MIN_DOCS, MIN_WEIGHT = 5, 1.2
-#: Among MAX_CANDIDATES entries this much surprise hardly comes by chance.
+#: Toxic documents that have an entry: this many at least, and one in RARE at least.
+MIN_DOCS, RARE, MIN_WEIGHT = 5, 500, 1.2
+#: Among a million entries this much surprise hardly comes by chance.
 MIN_SURPRISE = 30.0
 THRESHOLD = 0.3
 SHORTEST, LONGEST = 4, 8
@@ -47,14 +53,20 @@ LOOKALIKES = {
     "а": "a", "е": "e", "о": "o", "р": "p", "с": "c", "у": "y", "х": "x", "і": "i", "ј": "j", "ѕ": "s", "ԁ": "d", "һ": "h", "к": "k", "м": "m", "т": "t", "в": "b", "н": "h",
     "α": "a", "ε": "e", "ο": "o", "ρ": "p", "ι": "i", "κ": "k", "ν": "v", "τ": "t", "υ": "u", "ı": "i", "ɑ": "a", "ɡ": "g", "ӏ": "l",
 }
-FOLD = str.maketrans(LOOKALIKES | {chr(0xFF41 + i): chr(97 + i) for i in range(26)} | {chr(0xFF10 + i): chr(48 + i) for i in range(10)} | {c: None for c in "​‌‍⁠﻿­"})
+INVISIBLE = (0x200B, 0x200C, 0x200D, 0x2060, 0xFEFF, 0xAD)
+MARKS = range(0x300, 0x370)
+FOLD = str.maketrans(LOOKALIKES) | dict.fromkeys((*INVISIBLE, *MARKS))
 #: Digits and signs that stand for letters (fixed values).
 SIGNS = str.maketrans("013457@$", "oieastas")
-SIGN_RUN = re.compile(r"[013457@$]+(?=[^\W\d_])")
+SIGN_RUN = re.compile(r"[013457@$]+")
 WORD = re.compile(r"[^\W\d_]+")
+_BEFORE, _AFTER = re.compile(r"\b[^\W\d_]+ $"), re.compile(r" [^\W\d_]+\b")
+
 
-#: Phrases in which a listed word is harmless.
-EXCEPTIONS = ("class clown", "clown fish", "trash can", "trash bin", "trash bag", "trash collection", "pond scum", "sore loser award")
+def _as_letters(m: re.Match) -> str:
+    text, a, z = m.string, m.start(), m.end()
+    beside = a and text[a - 1].isalpha() or z < len(text) and text[z].isalpha()
+    return m[0].translate(SIGNS) if beside else m[0]
 
 
 def fold(text: str | None) -> str:
@@ -62,8 +74,8 @@ def fold(text: str | None) -> str:
         return ""
     text = text.lower()
     if not text.isascii():
-        text = text.translate(FOLD)
-    return SIGN_RUN.sub(lambda m: m[0].translate(SIGNS), text)
+        text = unicodedata.normalize("NFKD", text).lower().translate(FOLD)
+    return SIGN_RUN.sub(_as_letters, text)
 
 
 @dataclass
@@ -72,7 +84,7 @@ class Model:
 
     weights: dict[str, float] = field(default_factory=dict)
     curve: tuple[float, ...] | None = None
-    exceptions: tuple[str, ...] = EXCEPTIONS
+    exceptions: tuple[str, ...] = ()
 
     def automaton(self):
         a = ahocorasick.Automaton()
@@ -167,7 +179,7 @@ def candidates(rows: DataFrame) -> list[str]:
 
     counted = rows.filter("toxic = 1").select("text").mapInArrow(count, "entry string, n long").groupBy("entry").agg(F.sum("n").alias("n"))
     toxic = rows.filter("toxic = 1").count()
-    found = counted.filter(F.col("n") >= max(MIN_DOCS, toxic // 500)).orderBy(F.desc("n"), "entry").limit(MAX_CANDIDATES)
+    found = counted.filter(F.col("n") >= max(MIN_DOCS, toxic // RARE))
     return [r.entry for r in found.select("entry").collect()]
 
 
@@ -233,8 +245,41 @@ def chosen(table: dict[str, list[int]], total: list[int]) -> dict[str, float]:
         if surprise(*table[e][2:], *total[2:]) < MIN_SURPRISE or any(taken.get(e[:n] + "*", -9) > w - 0.7 for n in range(SHORTEST, min(LONGEST, len(e.rstrip("*"))) + 1)):
             continue
         taken[e] = w
-    most = sorted(taken, key=lambda e: (-table[e][1] * taken[e], e))[:MAX_ENTRIES]
-    return {e: taken[e] for e in most}
+    return taken
+
+
+def phrases(text: str, found: list[tuple[int, int, float]]) -> set[str]:
+    """Each hit's whole word with the word before it, and with the word after it, one space between."""
+    out = set()
+    for start, end, _ in found:
+        while end < len(text) and text[end].isalpha():
+            end += 1
+        if (m := _BEFORE.search(text, max(0, start - 40), start)) is not None:
+            out.add(m[0] + text[start:end])
+        if (m := _AFTER.match(text, end)) is not None:
+            out.add(text[start:end] + m[0])
+    return out
+
+
+def exceptions(rows: DataFrame, model: Model, total: list[int]) -> tuple[str, ...]:
+    """Phrases around entries that MIN_DOCS clean documents have, toxic ones ten times less."""
+
+    def count(batches):
+        automaton, seen = model.automaton(), Counter()
+        for batch in batches:
+            for text, toxic in zip(batch.column("text"), batch.column("toxic").to_pylist(), strict=True):
+                folded = fold(text.as_py())
+                if found := hits(automaton, folded):
+                    seen.update((p, toxic) for p in phrases(folded, found))
+        yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in seen], pa.string()), pa.array([k[1] for k in seen], pa.int32()), pa.array(list(seen.values()), pa.int64())], ["phrase", "toxic", "n"])
+
+    if not model.weights:
+        return ()
+    counted = rows.mapInArrow(count, "phrase string, toxic int, n long").groupBy("phrase")
+    counted = counted.agg(F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("c"), F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("t"))
+    clean, toxic = total[2:]
+    found = counted.filter((F.col("c") >= MIN_DOCS) & (10 * F.col("t") * clean < F.col("c") * toxic))
+    return tuple(sorted(r.phrase for r in found.select("phrase").collect()))
 
 
 def fitted_curve(rows: DataFrame, model: Model) -> tuple[float, ...] | None:
@@ -272,8 +317,10 @@ def fitted_curve(rows: DataFrame, model: Model) -> tuple[float, ...] | None:
 
 
 def learn(docs: DataFrame, labels: DataFrame) -> Model:
-    rows = training_rows(docs, labels)
-    model = Model(chosen(*counts(rows, candidates(rows))))
+    rows = written(training_rows(docs, labels), f"{shared_dir(docs.sparkSession)}/labelled")
+    table, total = counts(rows, candidates(rows))
+    model = Model(chosen(table, total))
+    model.exceptions = exceptions(rows, model, total)
     model.curve = fitted_curve(rows, model)
     return model
 

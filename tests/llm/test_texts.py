@@ -77,11 +77,63 @@ def test_licences_against_brute_force(spark):
 
 
 def test_fold_and_hits():
-    assert toxicity.fold("ID1OT 1d10t іdiot $tupid a$$$ 19") == "idiot idiot idiot stupid a$$$ 19"
-    model = toxicity.Model({"clown": 2.0, "idio*": 3.0, "idiotic": 4.0})
+    assert toxicity.fold("ID1OT 1d10t іdiot $tupid a$$ 19 1d10t5 cl0wn5 Ídiot 𝖎𝖉𝖎𝖔𝖙 ｉｄiot i\u200bdiot 10 @") == "idiot idiot idiot stupid ass 19 idiots clowns idiot idiot idiot idiot 10 @"
+    model = toxicity.Model({"clown": 2.0, "idio*": 3.0, "idiotic": 4.0}, exceptions=("class clown",))
     found = toxicity.hits(model.automaton(), toxicity.fold("class clown, Clown! idiotic idiom xidiot clowns"))
     assert [w for _, _, w in found] == [2.0, 4.0, 3.0]
-    assert toxicity.hits(toxicity.Model(exceptions=()).automaton(), "x") == []
+    assert toxicity.hits(toxicity.Model().automaton(), "x") == []
+    text = "a big clown show, clown. idiots here"
+    assert toxicity.phrases(text, toxicity.hits(model.automaton(), text)) == {"big clown", "clown show", "idiots here"}
+
+
+def naive_hits(model, text):
+    """Each start of a word, its longest entry, by trying all; none within an exception."""
+    spans = [(i, i + len(p)) for p in model.exceptions for i in range(len(text)) if text.startswith(p, i) and not text[i - 1 : i].isalpha() and not text[i + len(p) : i + len(p) + 1].isalpha()]
+    out = []
+    for i in range(len(text)):
+        if text[i - 1 : i].isalpha() and i:
+            continue
+        fits = []
+        for entry, weight in model.weights.items():
+            word = entry.rstrip("*")
+            if text.startswith(word, i) and (entry.endswith("*") or not text[i + len(word) : i + len(word) + 1].isalpha()):
+                fits.append((len(word), not entry.endswith("*"), weight))
+        if fits:
+            n, _, weight = max(fits)
+            if not any(a <= i and i + n <= z for a, z in spans):
+                out.append((i, i + n, weight))
+    return out
+
+
+def test_hits_against_a_naive_matcher():
+    rng = random.Random(21)
+    for _ in range(400):
+        words = {"".join(rng.choice("ab") for _ in range(rng.randrange(1, 5))) + rng.choice(["", "", "*"]): float(i) for i in range(rng.randrange(1, 8))}
+        phrases = {" ".join("".join(rng.choice("ab") for _ in range(rng.randrange(1, 3))) for _ in range(2)) for _ in range(2)}
+        model = toxicity.Model(words, exceptions=tuple(phrases))
+        text = "".join(rng.choice("aab b.1") for _ in range(rng.randrange(0, 60)))
+        assert toxicity.hits(model.automaton(), text) == naive_hits(model, text), (words, phrases, text)
+
+
+def test_toxicity_learns_exceptions(spark):
+    """A word that clean documents have in one phrase only doesn't count there; repeated and very long texts are scored alike."""
+    rng = random.Random(22)
+    rows, labels = [], []
+    for i in range(900):
+        words = ["".join(rng.choice("abcdef") for _ in range(6)) for _ in range(30)]
+        if i % 3 == 0:
+            words.insert(7, "vileword")
+        elif i % 3 == 1 and i % 2:
+            words.insert(9, "mild vileword")
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(i % 3 == 0), 1))
+    long = "word " * 100_000
+    rows += [(2000, long + "vileword"), (2001, long), (2002, "mild vileword"), (2002, "mild vileword")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = toxicity.learn(docs, spark.createDataFrame(labels, "doc_id long, toxic int, quality int"))
+    assert "vileword" in model.weights and "mild vileword" in model.exceptions
+    got = {r.doc_id: r for r in toxicity.score(docs, model).collect()}
+    assert all(got[i].predicted == int(i % 3 == 0) for i in range(900)) and got[2002].n_hits == got[2001].n_hits == 0 and got[2000].n_hits == 1
 
 
 def test_toxicity_learns_from_its_rows_only(spark):
