@@ -195,6 +195,47 @@ def test_decontamination(spark):
     assert decontam.leaks(frame(spark, ["x"]), bench.limit(0)).count() == 0
 
 
+def test_decontamination_against_all_pairs(spark):
+    """Every window of every document held against every item; short items as they are; repeated and very long texts."""
+    rng = random.Random(31)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(rng.randrange(3, 8))) for _ in range(300)]
+
+    def text(n):
+        return [rng.choice(words) for _ in range(n)]
+
+    items = [(i, " ".join(text(rng.randrange(10, 50)))) for i in range(12)] + [(90, "unu du tri"), (91, "kvar"), (92, None), (93, "...")]
+    items.append((12, items[3][1]))
+    docs = []
+    for i in range(40):
+        own = text(rng.randrange(60, 200))
+        if i % 2:
+            inside = items[i % 12][1].split()
+            for j in range(0, len(inside), rng.choice([4, 6, 9, 99])):
+                inside[j] = "other"
+            at = rng.randrange(len(own))
+            own[at:at] = inside
+        docs.append((i, " ".join(own)))
+    docs += [(50, "Unu, du tri!"), (51, "unu du, other tri"), (52, "so KVAR it is"), (53, " ".join(text(30_000)) + " " + items[0][1]), docs[1]]
+    expected = set()
+    for doc_id, own in docs:
+        own = decontam.words_of(own)
+        for item_id, item in items:
+            item = decontam.words_of(item)
+            if not item:
+                continue
+            if len(item) < decontam.MIN_WORDS:
+                leaked = any(own[a : a + len(item)] == item for a in range(len(own)))
+            elif doc_id == 53:
+                leaked = item_id == 0
+            else:
+                leaked = max(common_length(item, own[a : a + 2 * len(item)]) for a in range(0, len(own), 4)) >= decontam.COVERED * len(item)
+            if leaked:
+                expected.add((doc_id, item_id))
+    got = {(r.doc_id, r.item_id) for r in decontam.leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert {(50, 90), (52, 91), (53, 0)} <= expected & got and len(expected) > 12
+    assert len(expected & got) >= 0.95 * len(expected) and all(decontam.common_words(decontam.words_of(dict(items)[i]), decontam.words_of(dict(docs)[d])) >= decontam.PARAPHRASED * len(decontam.words_of(dict(items)[i])) for d, i in got - expected)
+
+
 def test_clean_drops_leaked_rows_only(spark):
     """Rows that share a null or repeated id with a leaked row stay."""
     rng = random.Random(4)
