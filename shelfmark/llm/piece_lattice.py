@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import drop, filesystem, make_dir, put_file, shared_dir, written
-from .pieces import SPACE, Pieces, load, units
+from .pieces import SPACE, Pieces, load, parts, units, units_of
 
 #: Rows of a block, distinct units that are held before they leave a task, and documents looked up together.
 BLOCK_ROWS, UNITS_AT_ONCE, DOCS_AT_ONCE = 4096, 500_000, 500
@@ -59,23 +59,31 @@ def block_units(docs: DataFrame, buckets: int) -> DataFrame:
     """(bucket, block, units): the distinct units of each block, or nearly, sorted, with a space between."""
 
     def split(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, held = None, set()
+        block, held, odd = None, set(), set()
 
         def out():
-            parts: list[list[str]] = [[] for _ in range(buckets)]
-            for u in sorted(held):
-                parts[zlib.crc32(u.encode()) % buckets].append(u)
+            for p in held:
+                odd.update(units_of(p))
             held.clear()
-            rows = [(i, " ".join(us)) for i, us in enumerate(parts) if us]
+            dealt: list[list[str]] = [[] for _ in range(buckets)]
+            for u in sorted(odd):
+                dealt[zlib.crc32(u.encode()) % buckets].append(u)
+            odd.clear()
+            rows = [(i, " ".join(us)) for i, us in enumerate(dealt) if us]
             return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([block] * len(rows), pa.int64()), pa.array([r[1] for r in rows], pa.string())], ["bucket", "block", "units"])
 
         for batch in batches:
             for own, text in zip(batch.column("block").to_pylist(), batch.column("text"), strict=True):
-                if held and (own != block or len(held) > UNITS_AT_ONCE):
+                if (held or odd) and (own != block or len(held) + len(odd) > UNITS_AT_ONCE):
                     yield out()
                 block = own
-                held.update(units(text.as_py()))
-        if held:
+                if text := text.as_py():
+                    plain = parts(text)
+                    if plain is None:
+                        odd.update(units(text))
+                    else:
+                        held.update(plain)
+        if held or odd:
             yield out()
 
     return docs.select("block", "text").mapInArrow(split, "bucket int, block long, units string")
@@ -197,32 +205,63 @@ def _from_planes(raw: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).reshape(-1).view("<u4")
 
 
-def _packed_ids(rows: list[tuple[str, list[int]]], unk: int) -> bytes:
-    """How many ids each unit has, and the ids; names only of units with an unknown character."""
-    names = " ".join([u if unk in ids else "" for u, ids in rows]).encode()
-    counts, ids = np.array([len(r[1]) for r in rows], "<u4"), np.array([i for r in rows for i in r[1]], "<u4")
-    sizes = np.array([len(names), len(counts), len(ids)], "<u4")
-    return zstandard.compress(sizes.tobytes() + names + _planes(counts) + _planes(ids), 3)
+class Names:
+    """The bytes that each id stands for, for joining many at once; the last place is a space."""
+
+    def __init__(self, pieces: Pieces, spaces: bool = False):
+        raw = [n.replace(SPACE, " ").encode() if spaces else n.encode() for n in pieces.names] + [b" "]
+        if pieces.bytes_at is not None:
+            raw[pieces.bytes_at : pieces.bytes_at + 256] = [bytes([b]) for b in range(256)]
+        self.sizes = np.array([len(r) for r in raw], np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.flat, self.space = np.frombuffer(b"".join(raw), np.uint8), len(raw) - 1
+
+    def join(self, ids: np.ndarray) -> tuple[bytes, np.ndarray]:
+        """The ids' bytes one after the other, and where each id's end."""
+        sizes = self.sizes[ids]
+        ends = np.cumsum(sizes)
+        at = np.repeat(self.starts[ids] - (ends - sizes), sizes) + np.arange(int(ends[-1]) if len(ends) else 0)
+        return self.flat[at].tobytes(), ends
+
 
+def _packed_ids(ids: list[bytes], names: str = "") -> bytes:
+    """How many ids each unit has, and the ids (little-endian, 32 bits); the units' names if ids don't tell them."""
+    flat, raw = np.frombuffer(b"".join(ids), "<u4"), names.encode()
+    counts = np.fromiter(map(len, ids), "<u4", len(ids)) // np.uint32(4)
+    sizes = np.array([len(raw), len(counts), len(flat)], "<u4")
+    return zstandard.compress(sizes.tobytes() + raw + _planes(counts) + _planes(flat), 3)
 
-def _unpacked_ids(packed: bytes, raw_names: list[bytes]) -> Iterator[tuple[str, list[int]]]:
-    """(unit, ids) of each unit; ``raw_names`` are the bytes of each id."""
+
+def _unpacked_ids(packed: bytes, names: Names) -> tuple[list[str], list[bytes]]:
+    """The units, and the ids of each."""
     raw = zstandard.decompress(packed)
     size, n, m = np.frombuffer(raw[:12], "<u4").tolist()
     at = 12 + size
-    counts, ids = _from_planes(raw[at : at + 4 * n]), _from_planes(raw[at + 4 * n : at + 4 * (n + m)]).tolist()
-    end = 0
-    for name, k in zip(raw[12:at].decode().split(" "), counts.tolist(), strict=True):
-        own = ids[end : end + k]
-        end += k
-        yield name or b"".join(map(raw_names.__getitem__, own)).decode(), own
+    counts, flat = _from_planes(raw[at : at + 4 * n]), _from_planes(raw[at + 4 * n : at + 4 * (n + m)])
+    ends = np.cumsum(counts, dtype=np.int64)
+    known = raw[12:at].decode() or names.join(np.insert(flat, ends[:-1], names.space))[0].decode()
+    data, cuts = flat.tobytes(), [0, *(4 * ends).tolist()]
+    return known.split(" "), list(map(data.__getitem__, map(slice, cuts, cuts[1:])))
+
+
+class _Ids(dict):
+    """unit -> its ids; units that have no edge are single characters apart."""
+
+    def __init__(self, pieces: Pieces):
+        super().__init__()
+        self.pieces = pieces
 
+    def __missing__(self, unit: str) -> bytes:
+        ids = [i for c in unit for i in self.pieces.ids_of(c)]
+        got = self[unit] = struct.pack(f"<{len(ids)}I", *ids)
+        return got
 
-def raw_names(pieces: Pieces) -> list[bytes]:
-    raw = [n.encode() for n in pieces.names]
-    if pieces.bytes_at is not None:
-        raw[pieces.bytes_at : pieces.bytes_at + 256] = [bytes([b]) for b in range(256)]
-    return raw
+    def odd(self, names: list[str]) -> str:
+        """The units with a space between, if an unknown character hides the name of one."""
+        if self.pieces.bytes_at is not None:
+            return ""
+        unknown = struct.pack("<I", self.pieces.unk)
+        return " ".join(names) if any(unknown in (x[i : i + 4] for i in range(0, len(x), 4)) for x in map(self.__getitem__, names)) else ""
 
 
 def write_buckets(found: DataFrame, folder: str, pieces: Pieces) -> None:
@@ -231,22 +270,23 @@ def write_buckets(found: DataFrame, folder: str, pieces: Pieces) -> None:
     shared = found.sparkSession.sparkContext.broadcast(pieces)
 
     def write(batches):
-        held: dict[int, list[tuple[str, list[int]]]] = {}
-        own, known = shared.value, {}
+        held: dict[int, list[tuple[str, bytes]]] = {}
+        known = _Ids(shared.value)
+        for piece in known.pieces.scores:
+            known[piece] = struct.pack("<I", known.pieces.ids[piece])
+        of = known.__getitem__
         for batch in batches:
             for bucket, unit, ends in zip(*(batch.column(c).to_pylist() for c in ("bucket", "unit", "ends")), strict=True):
                 at, ids = 0, []
                 while at < len(unit):
                     end = ends.index(b"1", at + 1)
-                    part = unit[at:end]
-                    got = known.get(part)
-                    if got is None:
-                        got = known[part] = own.ids_of(part)  # parts are pieces or single characters
-                    ids += got
+                    ids.append(of(unit[at:end]))
                     at = end
-                held.setdefault(bucket, []).append((unit, ids))
+                held.setdefault(bucket, []).append((unit, b"".join(ids)))
         for bucket, rows in held.items():
-            put_file(f"{folder}/{bucket}", _packed_ids(sorted(rows), own.unk))
+            rows.sort()
+            # small files that are read whole: names as they are
+            put_file(f"{folder}/{bucket}", _packed_ids([r[1] for r in rows], " ".join([r[0] for r in rows])))
         yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int32())], ["bucket"])
 
     written(found.select("bucket", "unit", "ends").mapInArrow(write, "bucket int"), f"{folder}-list")
@@ -258,20 +298,28 @@ def _read_file(path: str) -> bytes:
         return f.read()
 
 
+def _has_file(path: str) -> bool:
+    system, name = filesystem(path)
+    return system.get_file_info(name).is_file
+
+
 def write_blocks(packed: DataFrame, words: str, folder: str, pieces: Pieces) -> None:
     """A file for each block of ``packed``, which is sorted by bucket, with the ids of its units."""
     make_dir(folder)
     shared = packed.sparkSession.sparkContext.broadcast(pieces)
 
     def look_up(batches):
-        own, bucket, known = shared.value, None, {}
-        raw = raw_names(own)
+        own, bucket, known = shared.value, None, None
+        names = Names(own)
         for batch in batches:
-            for b, block, names in zip(*(batch.column(c).to_pylist() for c in ("bucket", "block", "units")), strict=True):
+            for b, block, us in zip(*(batch.column(c).to_pylist() for c in ("bucket", "block", "units")), strict=True):
                 if b != bucket:
-                    bucket, known = b, dict(_unpacked_ids(_read_file(f"{words}/{b}"), raw))
-                rows = [(u, known[u] if u in known else [i for c in u for i in own.ids_of(c)]) for u in names.split(" ")]
-                yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([_packed_ids(rows, own.unk)], pa.binary())], ["block", "part"])
+                    bucket, known = b, _Ids(own)
+                    if _has_file(f"{words}/{b}"):  # none if no unit of the bucket has an edge
+                        known.update(zip(*_unpacked_ids(_read_file(f"{words}/{b}"), names), strict=True))
+                us = us.split(" ")
+                part = _packed_ids(list(map(known.__getitem__, us)), known.odd(us))
+                yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([part], pa.binary())], ["block", "part"])
 
     def write(batches):
         block, parts = None, []
@@ -295,15 +343,33 @@ def write_blocks(packed: DataFrame, words: str, folder: str, pieces: Pieces) ->
     written(parts.repartition(n, "block").sortWithinPartitions("block").mapInArrow(write, "block long"), f"{folder}-list")
 
 
-def _read_block(folder: str, block: int, raw: list[bytes]) -> dict[str, bytes]:
-    data = _read_file(f"{folder}/{block}")
-    n = int(np.frombuffer(data[:4], "<u4")[0])
-    at, known = 4 + 4 * n, {}
-    for size in np.frombuffer(data[4:at], "<u4").tolist():
-        for unit, ids in _unpacked_ids(data[at : at + size], raw):
-            known[unit] = struct.pack(f"<{len(ids)}i", *ids)
-        at += size
-    return known
+class _Block(dict):
+    """part -> ids, of a block's units; ``others`` has the units that are no part of one unit."""
+
+    def __init__(self, path: str, names: Names):
+        super().__init__()
+        self.others: dict[str, bytes] = {}
+        data = _read_file(path)
+        n = int(np.frombuffer(data[:4], "<u4")[0])
+        at = 4 + 4 * n
+        for size in np.frombuffer(data[4:at], "<u4").tolist():
+            for unit, ids in zip(*_unpacked_ids(data[at : at + size], names), strict=True):
+                if unit[0] == SPACE and unit[1:2] != SPACE:
+                    self[unit[1:]] = ids
+                else:
+                    self.others[unit] = ids
+            at += size
+
+    def __missing__(self, part: str) -> bytes:
+        got = self[part] = b"".join(map(self.of_unit, units_of(part)))
+        return got
+
+    def of_unit(self, unit: str) -> bytes:
+        return self.others[unit] if unit in self.others else self[unit[1:]]
+
+    def of_text(self, text: str) -> bytes:
+        plain = parts(text)
+        return b"".join(map(self.of_unit, units(text))) if plain is None else b"".join(map(self.__getitem__, plain))
 
 
 def encode(docs: DataFrame, model: str) -> DataFrame:
@@ -329,34 +395,35 @@ def encode_with(docs: DataFrame, pieces: Pieces, decoded: bool = False) -> DataF
     kind, shared = docs.schema["doc_id"].dataType.simpleString(), spark.sparkContext.broadcast(pieces)
 
     def look_up(batches):
-        block, known, raw = None, {}, raw_names(shared.value)
-        one = decoder(shared.value)
+        block, known, names, one = None, None, Names(shared.value), decoder(shared.value)
         for batch in batches:
             for i in range(0, batch.num_rows, DOCS_AT_ONCE):
                 some, ids = batch.slice(i, DOCS_AT_ONCE), []
                 for own, text in zip(some.column("block").to_pylist(), some.column("text"), strict=True):
                     text = text.as_py()
                     if text and own != block:
-                        known = {}
-                        block, known = own, _read_block(f"{folder}/blocks", own, raw)
-                    ids.append(b"".join(map(known.__getitem__, units(text))))
+                        known = None  # before the next is there
+                        block, known = own, _Block(f"{folder}/blocks/{own}", names)
+                    ids.append(known.of_text(text) if text else b"")
                 ends = np.zeros(len(ids) + 1, np.int32)
                 np.cumsum([len(x) // 4 for x in ids], out=ends[1:])
                 flat = np.frombuffer(b"".join(ids), "<i4")
                 columns = [some.column("doc_id"), some.column("text"), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))]
                 if decoded:
-                    columns.append(pa.array([one(flat[a:z].tolist()) for a, z in zip(ends.tolist(), ends[1:].tolist(), strict=False)], pa.string()))
+                    columns.append(pa.array(one(flat, ends), pa.string()))
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text", "ids", "decoded"][: len(columns)])
 
     return docs.mapInArrow(look_up, f"doc_id {kind}, text string, ids array<int>" + ", decoded string" * decoded)
 
 
 def decoder(pieces: Pieces):
-    """ids -> text: pieces joined, bytes put together, "▁" as spaces, the dummy prefix dropped."""
-    raw = [n.replace(SPACE.encode(), b" ") for n in raw_names(pieces)]
+    """(ids, ends) -> a text for each two ends: pieces joined, bytes put together, "▁" as spaces, the dummy prefix dropped."""
+    names = Names(pieces, spaces=True)
 
-    def decode(ids) -> str:
-        return b"".join(map(raw.__getitem__, ids)).decode("utf-8", "replace").removeprefix(" ")
+    def decode(ids: np.ndarray, ends: np.ndarray) -> list[str]:
+        data, at = names.join(ids)
+        cuts = np.append(0, at)[ends].tolist()
+        return [data[a:z].decode("utf-8", "replace").removeprefix(" ") for a, z in zip(cuts, cuts[1:], strict=False)]
 
     return decode
 
@@ -374,7 +441,9 @@ def decode_with(encoded: DataFrame, pieces: Pieces) -> DataFrame:
         for batch in batches:
             for i in range(0, batch.num_rows, DOCS_AT_ONCE):
                 some = batch.slice(i, DOCS_AT_ONCE)
-                texts = [one(ids.values.to_numpy().tolist()) if len(ids) else "" for ids in some.column("ids")]
+                lists = some.column("ids").fill_null([])
+                ends = lists.offsets.to_numpy()
+                texts = one(lists.values.to_numpy()[ends[0] : ends[-1]], ends - ends[0])
                 yield pa.RecordBatch.from_arrays([*some.columns, pa.array(texts, pa.string())], [*batch.schema.names, "decoded"])
 
     kind = encoded.schema["doc_id"].dataType.simpleString()

@@ -74,19 +74,26 @@ def load(path: str) -> Pieces:
     return Pieces(scores, {x: i for i, x in enumerate(names)}, names, first_byte, model.unk_id(), whole)
 
 
+def parts(text: str) -> list[str] | None:
+    """A text cut before every space and line feed, the spaces left out; None if it has odd spaces.
+
+    Each part stands for the units that ``units_of`` gives.
+    """
+    if "  " in text or SPACE in text or text[0] == " " or text[-1] == " " or "\n " in text or " \n" in text:
+        return None
+    return text.replace("\n", " \n").split(" ")
+
+
+def units_of(part: str) -> list[str]:
+    if part[:1] == "\n":
+        return ["\n", part[1:]] if len(part) > 1 else ["\n"]
+    return [SPACE + part]
+
+
 def units(text: str | None) -> list[str]:
     if not text:
         return []
-    if "  " in text or SPACE in text or text[0] == " " or text[-1] == " " or "\n " in text or " \n" in text:
+    plain = parts(text)
+    if plain is None:
         return _UNIT.findall(SPACE + text.replace(" ", SPACE))
-    out: list[str] = []
-    for i, line in enumerate(text.split("\n")):
-        if i:
-            out.append("\n")
-        if line:
-            first, *rest = line.split(" ")
-            out.append(first if i else SPACE + first)
-            out += [SPACE + w for w in rest]
-        elif not i:
-            out.append(SPACE)
-    return out
+    return [u for p in plain for u in units_of(p)]

@@ -13,7 +13,7 @@ count, no path.  What is best is the model's rule (``pieces`` explains the two k
 
 A character without a piece counts as its bytes.
 
-Each Python worker remembers the counts of up to CACHE_UNITS units, so a word is
+Each Python worker remembers the counts of about CACHE_UNITS units, so a word is
 segmented once for all its uses there.
 
 Defined results: null and empty texts have no tokens; scores are summed in double
@@ -27,14 +27,26 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .pieces import Pieces, load, units
+from .pieces import Pieces, load, parts, units, units_of
 
 CACHE_UNITS = 600_000
 CACHE_PAIRS = 500_000
 
 
+class _Known(dict):
+    """part -> number of pieces, found when first asked for."""
+
+    def __init__(self, of):
+        super().__init__()
+        self.of = of
+
+    def __missing__(self, part):
+        got = self[part] = self.of(part)
+        return got
+
+
 class Counter:
-    """unit -> number of pieces."""
+    """text -> number of pieces, remembering CACHE_UNITS parts at most, about."""
 
     def __init__(self, pieces: Pieces):
         self.pieces, self.unk = pieces, pieces.unk_score
@@ -45,9 +57,10 @@ class Counter:
             if len(piece) > 1 or not pieces.merges:
                 self.automaton.add_word(piece, piece if pieces.merges else (len(piece), score))
         self.automaton.make_automaton()
-        self.known: dict[str, int] = {}
         self.apart: dict[str, bool] = {}
         self.segment = self.merge if pieces.merges else self.best_sum
+        self.units = _Known(self.segment)
+        self.known = _Known(lambda part: sum(map(self.segment, units_of(part))))
 
     def merged(self, part: str) -> list[int]:
         """The ends of a short part's pieces, by trying its edges in merge order."""
@@ -109,15 +122,13 @@ class Counter:
         return best[-1][1]
 
     def count(self, text: str | None) -> int:
-        known, total = self.known, 0
-        for unit in units(text):
-            n = known.get(unit)
-            if n is None:
-                if len(known) >= CACHE_UNITS:
-                    known.clear()
-                n = known[unit] = self.segment(unit)
-            total += n
-        return total
+        if not text:
+            return 0
+        plain = parts(text)
+        known = self.units if plain is None else self.known
+        if len(known) > CACHE_UNITS:
+            known.clear()
+        return sum(map(known.__getitem__, units(text) if plain is None else plain))
 
 
 _COUNTERS: dict[str, Counter] = {}
