@@ -34,7 +34,9 @@ COMMON = 32
 #: Tokens whose counts are kept for the order; only speed depends on it.
 ORDER_TOKENS = 500_000
 #: Tokens counted together before their counts leave a task.
-BLOCK_TOKENS = 2_000_000
+BLOCK_TOKENS = 1_000_000
+#: Rows of an Arrow batch that are worked on together.
+ROWS_AT_ONCE = 1000
 #: Buckets of 32768 bits in a bit filter (8 MB), which spares later joins most rows.
 FILTER_BUCKETS = 2048
 FILTER_BITS = FILTER_BUCKETS * 32768
@@ -54,6 +56,12 @@ def _as_lists(parts: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.view(np.int64)))
 
 
+def _slices(batches):
+    for batch in batches:
+        for i in range(0, batch.num_rows, ROWS_AT_ONCE):
+            yield batch.slice(i, ROWS_AT_ONCE)
+
+
 def repeated_tokens(docs: DataFrame, size: int) -> DataFrame:
     """(token, n): how many documents hold a token, of blocks in which it repeats."""
 
@@ -107,7 +115,7 @@ def sketched(docs: DataFrame, size: int = 5) -> DataFrame:
 
     def sketch(batches):
         common, level = shared.value
-        for batch in batches:
+        for batch in _slices(batches):
             n, key, rare, mins, prefixes = [], [], [], [], []
             for s in shingle_sets(batch.column("text"), size):
                 n.append(len(s))
@@ -177,14 +185,19 @@ def once_each(sketch: DataFrame, rows: np.ndarray) -> DataFrame:
     return some.mapInArrow(only, "k long, n long, rare long, mins array<long>, prefix array<long>")
 
 
-def shared_tokens(sets: DataFrame, folder: str) -> DataFrame:
-    """(token, k, n, rare): the prefix tokens that two rows of ``sets`` at least have, once for each set."""
-    tokens = sets.select(F.explode("prefix").alias("token"))
+def shared_tokens(sketch: DataFrame, rows: np.ndarray, folder: str) -> DataFrame:
+    """(token, k, n, rare): the prefix tokens that two sets at least have, once for each set.
+
+    As in ``once_each`` the bit filter ``rows`` leaves one row of each set, or few.
+    """
+    tokens = once_each(sketch, rows).select(F.explode("prefix").alias("token"))
     shared = written(tokens.groupBy("token").agg(F.count("*").alias("c")).filter("c > 1").select("token"), f"{folder}/shared")
-    maps = sets.sparkSession.sparkContext.broadcast(bit_filter(shared, "token"))
+    spark = sketch.sparkSession.sparkContext
+    maps, once = spark.broadcast(bit_filter(shared, "token")), spark.broadcast(rows)
 
     def only(batches):
         for batch in batches:
+            batch = batch.take(pa.array(np.flatnonzero(passing(once.value, batch.column("row").to_numpy()))))
             lists = batch.column("prefix")
             ends = lists.offsets.to_numpy()
             flat = lists.values.to_numpy()[ends[0] : ends[-1]]
@@ -192,7 +205,8 @@ def shared_tokens(sets: DataFrame, folder: str) -> DataFrame:
             at = pa.array(np.searchsorted(ends - ends[0], keep, "right") - 1)
             yield pa.RecordBatch.from_arrays([pa.array(flat[keep]), batch.column("k").take(at), batch.column("n").take(at), batch.column("rare").take(at)], ["token", "k", "n", "rare"])
 
-    some = sets.select("prefix", "k", "n", "rare").mapInArrow(only, "token long, k long, n long, rare long")
+    # one pass of Python workers, so both filters are in it
+    some = sketch.filter("n > 0").select("row", "prefix", "k", "n", "rare").mapInArrow(only, "token long, k long, n long, rare long")
     return written(some.join(shared, "token").distinct(), f"{folder}/rows")
 
 
@@ -213,12 +227,12 @@ def verified(pairs: DataFrame, docs: DataFrame, firsts: DataFrame, size: int, fo
     shared = docs.sparkSession.sparkContext.broadcast(bit_filter(wanted, "row"))
 
     def only(batches):
-        for batch in batches:
+        for batch in _slices(batches):
             yield batch.take(pa.array(np.flatnonzero(passing(shared.value, batch.column("row").to_numpy()))))
 
     def compare(batches):
         lead, own = None, None
-        for batch in batches:
+        for batch in _slices(batches):
             found_a, found_b = [], []
             sets = shingle_sets(batch.column("text"), size)
             for a, part, led, k, s in zip(*(batch.column(c).to_pylist() for c in ("a", "part", "led", "k")), sets, strict=True):
@@ -310,10 +324,10 @@ def _classified(docs: DataFrame, size: int, folder: str) -> DataFrame:
     sketch = written(sketched(docs, size), f"{folder}/sketch")
     # each set is looked at once, whatever its copies
     firsts = written(sketch.filter("n > 0").groupBy("k").agg(F.min("row").alias("row")), f"{folder}/first-rows")
-    sets = once_each(sketch, bit_filter(firsts, "row"))
-    groups = similar_groups(sets, docs, firsts, size, folder)
+    once = bit_filter(firsts, "row")
+    groups = similar_groups(once_each(sketch, once), docs, firsts, size, folder)
 
-    rows = shared_tokens(sets, folder)
+    rows = shared_tokens(sketch, once, folder)
     ids = written(sketch.select("doc_id", "th", "n", "k"), f"{folder}/keys")
     drop(docs.sparkSession, f"{folder}/sketch")
     groups = led_groups(grouped(rows, groups), groups, docs, firsts, size, folder)
