@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import html
 import re
 from collections.abc import Iterator
 
@@ -55,25 +56,31 @@ def read_specs(pages: DataFrame, text: str = "text", devices: tuple[str, ...] |
 
 
 _START = re.compile(r"TECHNICAL SPECIFICATIONS?", re.I)
-_PAIR = re.compile(r"^([A-Za-z][A-Za-z0-9 /&().\-]{0,40}?)\s*:\s*(.*)$")
+#: Labels without a field name of their own: words, slashes, ampersands and hyphens.
+_PLAIN_LABEL = re.compile(r"[A-Za-z][A-Za-z /&-]{1,30}")
+
+
+def _pairs(lines: list[str]) -> Iterator[tuple[str, str]]:
+    """Label and value of each line with a colon; a label that ends its line takes the next, unless that is a label too."""
+    rest = iter(zip(lines, [*lines[1:], ":"], strict=True))
+    for line, after in rest:
+        label, _, value = line.partition(":")
+        if line.endswith(":") and not after.endswith(":"):
+            label, value = line[:-1], after
+            next(rest)
+        yield label.strip(), value.strip()
 
 
 def _block(text: str) -> list[tuple[str, str, str]]:
-    lines, out, seen = [x.strip() for x in text.split("\n") if x.strip()], [], set()
-    i = 0
-    while i < len(lines):
-        m = _PAIR.match(lines[i])
-        i += 1
-        if not m:
-            continue
-        label, value = m[1].strip(), m[2].strip()
-        if not value and i < len(lines) and not lines[i].endswith(":"):
-            value, i = lines[i], i + 1
-        field = vocab.SPEC_FIELDS.get(label.lower()) or re.sub(r"[^a-z0-9]+", "_", label.lower()).strip("_")
-        if value and field and field not in seen:
-            seen.add(field)
-            out.append((field, label, value[:2000]))
-    return out
+    lines = [x.strip() for x in html.unescape(text).split("\n") if x.strip()]
+    out: dict[str, tuple[str, str, str]] = {}
+    for label, value in _pairs(lines):
+        field = vocab.SPEC_FIELDS.get(label.lower())
+        if not field and _PLAIN_LABEL.fullmatch(label):
+            field = re.sub("[^a-z0-9]+", "_", label.lower()).strip("_")
+        if field and value and len(label) <= 40:
+            out.setdefault(field, (field, label, value))
+    return list(out.values())
 
 
 def spec_blocks(df: DataFrame, key: str, text: str = "text", span: int = 4000) -> DataFrame:

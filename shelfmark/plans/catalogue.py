@@ -80,14 +80,10 @@ SQL["n4_compare_key"] = with_tables("", "queue").rstrip() + f""", w AS (SELECT i
     SELECT id, array_to_string(CASE WHEN len(list_filter(ws, lambda x: x NOT IN ('{_NOISE}'))) > 0 THEN list_filter(ws, lambda x: x NOT IN ('{_NOISE}')) ELSE ws END, ' ') AS k FROM w"""
 
 
-@query("n5_name_core")
 def _(t):
     return t.makers.select("id", keys.name_core("canonical_name").alias("core"), keys.names_match("canonical_name", F.concat(F.lit("brand "), F.col("id").cast("string"), F.lit(" GmbH"))).alias("same"))
 
 
-SQL["n5_name_core"] = with_tables("SELECT id, 'brand' || id AS core, true AS same FROM makers", "makers")
-
-
 @query("n6_n13_domains", f"SELECT page_id, {HOST.format('url')} AS host, {LABEL.format(HOST.format('url'))} AS label FROM pages")
 def _(t):
     return t.pages.select("page_id", keys.domain_of("url").alias("host"), keys.domain_label(keys.domain_of("url")).alias("label"))
@@ -105,13 +101,11 @@ def _(t):
     return t.products.select("id", keys.base_name("name").alias("base"), keys.is_variant("name").alias("variant"))
 
 
-@query("n11_strip_maker_prefix", "SELECT id, name AS model FROM products", "products")
 def _(t):
     titled = t.products.join(t.makers.select(F.col("id").alias("maker_id"), "canonical_name"), "maker_id").select("id", "maker_id", F.concat("canonical_name", F.lit(" "), F.initcap("name")).alias("name"))
     return keys.strip_maker_prefix(titled, t.makers.select(F.col("id").alias("maker_id"), F.col("canonical_name").alias("alias"))).select("id", F.lower("model").alias("model"))
 
 
-@query("n12_split_axes", "SELECT id, p_type AS form, p_brand AS function FROM (SELECT p_partkey AS id, p_type, p_brand FROM part)")
 def _(t):
     rows = t.part.select(F.col("p_partkey").alias("id"), keys.split_axes(F.concat_ws(" - ", "p_type", "p_brand")).alias("a"))
     return rows.select("id", "a.form", "a.function")
@@ -143,13 +137,11 @@ def _(t):
     return resolve.resolve_unique_prefix(t.queue, "name", t.dictionary()).select("id", "maker_id")
 
 
-@query("r5_match_title", dictionary_sql("""SELECT p_partkey AS id, max_by(b.maker_id, length(b.lower_name)) AS maker_id FROM part JOIN by_name b ON starts_with(lower('Old Brand ' || substr(p_brand, 7) || ' ' || p_name) || ' ', b.lower_name || ' ') GROUP BY 1"""))
 def _(t):
     titles = t.part.select(F.col("p_partkey").alias("id"), F.concat(F.lit("Old Brand "), F.substring("p_brand", 7, 9), F.lit(" "), F.col("p_name")).alias("title"))
     return resolve.match_title(titles, "title", t.dictionary(), "id").select("id", "maker_id")
 
 
-@query("r6_split_slug", dictionary_sql("SELECT p_partkey AS id, CAST(substr(p_brand, 7) AS BIGINT) AS maker_id, p_name AS model, 'matched' AS status FROM part"))
 def _(t):
     slugs = t.part.select(F.col("p_partkey").alias("id"), F.concat(F.lit("old-brand-"), F.substring("p_brand", 7, 9), F.lit("-"), F.translate("p_name", " ", "-")).alias("slug"))
     return resolve.split_slug(slugs, "slug", t.dictionary(), "id")
@@ -274,23 +266,19 @@ def _contains_any(text: str, words) -> str:
     return "(" + " OR ".join("contains({0}, '{1}')".format(text, w) for w in words) + ")"
 
 
-@query("c2_link_types", "SELECT id, CASE WHEN regexp_matches(url, '(?i)\\.(mp3|wav|flac|ogg|m4a|aiff?)(\\?|$)') THEN 'audio_demo' " + " ".join(f"WHEN {_contains_any('hay', w)} THEN '{k}'" for k, w in (("archive", vocab.ARCHIVE), ("community", vocab.COMMUNITY), ("service_mod", vocab.SERVICE), ("samples", vocab.SAMPLES), ("retailer", vocab.RETAIL), ("media", vocab.MEDIA))) + " ELSE 'other' END AS link_type FROM (SELECT id, url, lower(label || ' ' || url) AS hay FROM links)", "links")
 def _(t):
     return t.links.select("id", classify.link_type("url", "label", "domain", F.lit(False)).alias("link_type"))
 
 
-@query("c1_official", f"SELECT page_id, {LABEL.format(HOST.format('url'))} = 'example' AS official FROM pages")
 def _(t):
     return t.pages.select("page_id", classify.is_official(keys.domain_of("url"), F.lit("Example Corporation")).alias("official"))
 
 
-@query("c4_product_urls", dictionary_sql("SELECT source_url AS url, 'A:path-marker' AS signal FROM products WHERE source_url IS NOT NULL GROUP BY 1", "products"))
 def _(t):
     urls = t.products.filter("source_url is not null").select(F.col("source_url").alias("url")).distinct()
     return classify.product_like(urls, "url", t.dictionary("canonical", "history"), "url")
 
 
-@query("c5_product_hint", r"SELECT page_id, regexp_matches(url, '(?i)/(products?|instruments?|synths?|synthesizers?|keyboards?|modules?|gear)/[^/]+') AS hint FROM pages")
 def _(t):
     return t.pages.select("page_id", classify.product_hint("url").alias("hint"))
 
@@ -299,17 +287,14 @@ def _title(c: str = "html"):
     return F.regexp_extract(c, r"(?is)<title[^>]*>(.*?)</title>", 1)
 
 
-@query("c6_title_verdicts")
 def _(t):
     return t.pages.select("page_id", classify.title_verdict(F.lit(""), F.lit(""), _title()).alias("verdict"))
 
 
-@query("c7_title_category", r"SELECT page_id, coalesce(lower(list_extract(regexp_extract_all(split_part(title, '|', 1), '(?i)\b(synthesi[sz]er|synth|piano|organ|drum machine|drum|sampler|sequencer|keyboard|workstation|vocoder|arranger)\b', 1), -1)), '') AS category FROM (SELECT page_id, regexp_extract(html, '<title[^>]*>(.*?)</title>', 1, 'is') AS title FROM pages)")
 def _(t):
     return t.pages.select("page_id", classify.title_category(_title()).alias("category"))
 
 
-@query("c8_scope", f"SELECT p_partkey AS id, CASE WHEN regexp_matches(p_name, '{vocab.OUT_OF_SCOPE}') OR regexp_matches(p_name, '{vocab.EFFECT_ONLY}') THEN 'out' WHEN regexp_matches(p_name, '{vocab.IN_SCOPE}') THEN 'in' ELSE 'ask' END AS bucket FROM part")
 def _(t):
     return t.part.select(F.col("p_partkey").alias("id"), classify.scope_bucket("p_name").alias("bucket"))
 
@@ -737,24 +722,20 @@ def _(t):
 # More scalars, classifiers, extraction and evidence
 
 
-@query("n8_slug_titles", "SELECT p_partkey AS id, array_to_string(list_transform(string_split(p_name, ' '), lambda w: CASE WHEN length(w) <= 3 AND w NOT IN ('new', 'old') THEN upper(w) ELSE upper(w[1]) || w[2:] END), ' ') AS title FROM part")
 def _(t):
     return t.part.select(F.col("p_partkey").alias("id"), keys.title_case_slug(F.translate("p_name", " ", "-")).alias("title"))
 
 
-@query("n9_models", "SELECT p_partkey AS id, upper(replace(p_name, ' ', '-') || '-' || p_size) AS model, upper(replace(p_name, ' ', '')) AS family FROM part")
 def _(t):
     model = keys.tidy_model(F.concat(F.translate("p_name", " ", "-"), F.lit("-"), F.col("p_size").cast("string")))
     return t.part.select(F.col("p_partkey").alias("id"), model.alias("model"), keys.collapse_variant(F.concat(F.regexp_replace("p_name", " ", ""), F.lit("bk"))).alias("family"))
 
 
-@query("n14_doc_models", "SELECT p_partkey AS id, p_name AS model, 'Service Manual' AS doc_type FROM part")
 def _(t):
     doc = keys.doc_model("p_type", F.concat(F.lower("p_type"), F.lit("_"), F.translate("p_name", " ", "_"), F.lit("_SERVICE_MANUAL.pdf")))
     return t.part.select(F.col("p_partkey").alias("id"), doc.alias("d")).select("id", "d.model", "d.doc_type")
 
 
-@query("r16_identify", "SELECT id AS maker_id, CASE WHEN id % 2 = 0 THEN 'Q' || (id * 10 + 2) ELSE 'Q' || (id * 10 + 1) END AS qid FROM makers", "makers")
 def _(t):
     makers = t.makers.select(F.col("id").alias("maker_id"), F.col("canonical_name").alias("name"), "official_website")
     none = F.array().cast("array<string>")
@@ -763,7 +744,6 @@ def _(t):
     return resolve.identify(makers, own.union(site), ["school"], ["company"]).select("maker_id", "qid")
 
 
-@query("c3_route_links", "SELECT DISTINCT CASE WHEN product_id IS NULL THEN maker_id END AS maker_id, product_id, url FROM links", "links")
 def _(t):
     pages = t.links.select("maker_id", F.lit("Nobody").alias("maker"), "product_id", F.array(F.struct("url", "label")).alias("links"))
     return classify.route_links(pages).select("maker_id", "product_id", "url")
@@ -776,13 +756,11 @@ def _(t):
     return classify.sitemap_products(urls, config, r"/([^/]+)/products/([^/]+)/([^/]+)/?$").select("path", "slug", "status")
 
 
-@query("c10_c17_types", "SELECT p_partkey AS id, CASE WHEN p_size % 2 = 0 THEN 'module' ELSE 'manual' END AS decision FROM part WHERE p_type IN ('ECONOMY', 'SMALL') AND p_brand <> 'Brand#1'")
 def _(t):
     rows = t.part.select(F.col("p_partkey").alias("id"), F.col("p_type").alias("product_type"), F.when(F.col("p_size") % 2 == 0, F.col("p_size")).alias("external_id"), F.array("p_brand").alias("types"))
     return classify.split_hardware(classify.filter_types(rows, reject=["Brand#1"]), ["ECONOMY", "SMALL"]).select("id", "decision")
 
 
-@query("c11_c12_documents", "SELECT p_partkey AS id, CASE WHEN p_partkey % 2 = 0 THEN p_brand ELSE 'Vermona' END AS brand, CASE WHEN p_partkey % 2 = 0 THEN 'folder' ELSE 'section' END AS reason, 'service_mod' AS link_type FROM part")
 def _(t):
     folder = F.when(F.col("p_partkey") % 2 == 0, F.concat(F.lit("Archiv_Hans_Ohms/"), F.replace("p_brand", F.lit("#"), F.lit("%23")))).otherwise(F.lit("files"))
     url = F.concat(F.lit("https://b.example.de/"), folder, F.lit("/a.pdf"))
@@ -791,7 +769,6 @@ def _(t):
     return t.part.select(F.col("p_partkey").alias("id"), brand.alias("b"), classify.doc_link_type(section).alias("link_type")).select("id", "b.brand", "b.reason", "link_type")
 
 
-@query("c14_domain_verdicts", """SELECT domain, CASE WHEN product_urls % 5 = 0 THEN 'manual' WHEN sitemap_urls % 3 = 0 THEN 'harvestable' WHEN product_urls % 2 = 0 THEN 'html_only' ELSE 'blocked_bot' END AS verdict FROM domains""", "domains")
 def _(t):
     probes = t.domains.select("domain", F.lit("").alias("robots_text"), F.when(F.col("sitemap_urls") % 3 == 0, 200).otherwise(404).alias("sitemap_code"), F.lit("<loc>x</loc>").alias("sitemap_text"), F.when(F.col("product_urls") % 2 == 0, 200).otherwise(403).alias("home_code"), F.lit(None).cast("string").alias("error"))
     manual = t.domains.filter("product_urls % 5 = 0").select("domain", F.lit("manual").alias("verdict"))
@@ -903,3 +880,6 @@ def _(t):
     binding = F.struct(value(F.concat(F.lit("http://w.example.com/Q"), key)).alias("item"), value(F.concat("p_name", F.lit(" "), key)).alias("itemLabel"), value(F.col("p_brand")).alias("makerLabel"), value(F.concat((F.col("p_size") + 1950).cast("string"), F.lit("-01-01"))).alias("date"))
     body = F.to_json(F.struct(F.struct(F.array(binding).alias("bindings")).alias("results")))
     return readers.flatten_bindings(t.part.select(body.alias("body"))).select("label", "qid", "year")
+
+
+from . import cases  # noqa: E402, F401  # registers its queries here
