@@ -249,3 +249,29 @@ def tag_scope(makers: DataFrame, rules: DataFrame) -> DataFrame:
     return rows.withColumn("scope", F.when(note.isNotNull(), "out_of_scope").otherwise(F.col("scope"))).withColumn("scope_note", F.coalesce(note, "scope_note")).drop("_n1", "_n2")
 
 
+
+
+#: A rule is a name and a function from (makers, products, specs, gazetteer) to facts:
+#: entity_id, field, value, source_url, tier, derived_from.
+def _country_from_city(t: dict[str, DataFrame]) -> DataFrame:
+    found = derive_country(t["makers"], t["gazetteer"]).filter("status = 'derived'")
+    return found.select(F.col("id").alias("entity_id"), F.lit("country").alias("field"), F.col("country").alias("value"), F.lit(None).cast("string").alias("source_url"), F.lit("other").alias("tier"), F.lit("country_from_city").alias("derived_from"))
+
+
+RULES = {
+    "country_from_city": ("makers", "country", _country_from_city),
+    "technology_from_oscillators": ("products", "technology", lambda t: derive_technology(t["specs"], t["products"])),
+}
+
+
+def run_rules(tables: dict[str, DataFrame], claims: DataFrame, names: Sequence[str] = tuple(RULES)) -> tuple[dict[str, DataFrame], DataFrame]:
+    """The rule registry: (``tables`` filled by the named rules, provenance rows to add).
+
+    Each rule reads the tables as they came, so the order of rules doesn't matter.
+    """
+    filled, added = dict(tables), None
+    for name in names:
+        table, field, rule = RULES[name]
+        filled[table], rows = apply_facts(filled[table], rule(tables), claims, [field])
+        added = rows if added is None else added.unionByName(rows)
+    return filled, added

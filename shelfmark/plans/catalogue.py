@@ -317,7 +317,6 @@ def _(t):
     return classify.discovery_funnel(names, t.dictionary(), t.queue)
 
 
-@query("x1_page_text")
 def _(t):
     text = extract.html_to_text("html")
     return t.pages.select("page_id", F.size(F.split(text, "\n")).alias("lines"), F.md5(text).alias("text_md5"))
@@ -333,8 +332,6 @@ def _(t):
     return t.links.select("id", extract.label_year("label", 2024).alias("label_year"))
 
 
-@query("s7_listing_entries", r"""SELECT page_id, count(*) AS entries FROM (SELECT DISTINCT page_id, replace(replace(replace(unnest(regexp_extract_all(html, 'href=["'']([^"'']+)["'']', 1, 'i')), '&#39;', ''''), '&quot;', '"'), '&amp;', '&') AS e FROM pages)
-    WHERE NOT regexp_matches(e, '^(http|mailto|\?|/|#)') AND e NOT IN ('..', '../') AND (ends_with(e, '/') OR regexp_matches(e, '(?i)\.(pdf|zip|jpe?g|gif|png|tiff?|doc|djvu)$')) GROUP BY 1""")
 def _(t):
     return readers.listing_entries(t.pages, "page_id").groupBy("page_id").agg(F.count("*").alias("entries"))
 
@@ -432,8 +429,6 @@ def _(t):
     return evidence.best_value(t.claims)
 
 
-@query("k17_promote_official", """SELECT m.id, 'https://' || d.lo || '/' AS official_website FROM makers m JOIN (SELECT maker_id, min(domain) AS lo, max(domain) AS hi FROM links
-    WHERE link_type = 'manufacturer_official' AND status IN ('live', 'redirected', 'blocked') AND maker_id IS NOT NULL GROUP BY 1) d ON d.maker_id = m.id AND d.lo = d.hi WHERE m.official_website IS NULL""", "makers", "links")
 def _(t):
     return evidence.promote_official(t.makers, t.links.withColumn("final_url", F.lit(None).cast("string")))[0]
 
@@ -514,13 +509,10 @@ def _(t):
     return audit.source_shape(t.products, t.domains)
 
 
-@query("q10_detector_recall", dictionary_sql(f"""SELECT coalesce(domain, '') AS domain, count(*) AS urls, count(*) AS found FROM (SELECT DISTINCT {HOST.format('source_url')} AS domain, source_url FROM products WHERE source_url IS NOT NULL)
-    WHERE domain IN (SELECT h FROM (SELECT {HOST.format('source_url')} AS h, source_url FROM products WHERE source_url IS NOT NULL) GROUP BY 1 HAVING count(DISTINCT source_url) >= 5 AND count(DISTINCT source_url) / count(*) >= 0.5) GROUP BY ROLLUP (domain)""", "products"))
 def _(t):
     return audit.detector_recall(t.products, t.domains, t.dictionary("canonical", "history")).select("domain", "urls", "found")
 
 
-@query("q11_sitemap_yield", dictionary_sql(f"SELECT {HOST.format('source_url')} AS domain, count(DISTINCT source_url) AS total, count(DISTINCT source_url) AS product_like FROM products WHERE source_url IS NOT NULL GROUP BY 1", "products"))
 def _(t):
     urls = t.products.filter("source_url is not null").select(keys.domain_of("source_url").alias("domain"), F.col("source_url").alias("url")).distinct()
     return audit.sitemap_yield(urls, t.dictionary("canonical", "history")).select("domain", "total", "product_like")
@@ -542,7 +534,6 @@ def _(t):
     return audit.drop_chrome(t.links.select("url", "maker_id"), "url", "maker_id", 2)
 
 
-@query("q15_reread_links")
 def _(t):
     title = F.concat("p_name", F.when(F.col("p_partkey") % 3 == 0, " Synthesizer | Shop").when(F.col("p_partkey") % 3 == 1, " Amplifier | Shop").otherwise(""))
     links = t.part.select(F.col("p_partkey").alias("id"), F.concat(F.lit("old-brand-"), (F.col("p_size") % 30).cast("string"), F.lit("-"), F.translate("p_name", " ", "-")).alias("slug"), F.lit("").alias("label"), title.alias("title"))
@@ -703,7 +694,6 @@ def _(t):
     return reports.search(t.makers, "LTD").select("id")
 
 
-@query("a17_logo_work_list", "SELECT id, canonical_name FROM makers WHERE confidence <> 'unresearched' AND id NOT IN (SELECT maker_id FROM logos WHERE has_file)", "makers", "logos")
 def _(t):
     return reports.logo_work_list(t.makers, t.logos.filter("has_file"))
 
@@ -782,32 +772,27 @@ def _(t):
     return classify.label_candidates(labels, known)
 
 
-@query("x2_x4_cached_pages", "SELECT p_partkey AS id, p_partkey % 50 = 0 AS dead, CASE WHEN p_partkey % 50 <> 0 THEN 1950 + p_size END AS year, CASE WHEN p_partkey % 50 <> 0 THEN p_type END AS device, CASE WHEN p_partkey % 50 <> 0 AND p_size % 2 = 0 THEN 'analog' END AS technology FROM part")
 def _(t):
     live = F.concat(F.lit("Device:\n"), "p_type", F.lit("\nProduced:\n"), (F.col("p_size") + 1950).cast("string"), F.lit(" - later\nTechnology:\n"), F.when(F.col("p_size") % 2 == 0, "Analog").otherwise("Steam"))
     pages = t.part.select(F.col("p_partkey").alias("id"), F.when(F.col("p_partkey") % 50 == 0, "No such synth").otherwise(live).alias("text"))
     return extract.read_specs(pages).select("id", "dead", "year", "device", "technology")
 
 
-@query("x5_spec_blocks", "SELECT p_partkey AS id, 'keys' AS field, CAST(p_size AS VARCHAR) AS value FROM part UNION ALL SELECT p_partkey, 'body_type', p_type FROM part")
 def _(t):
     text = F.concat(F.lit("About\nTECHNICAL SPECIFICATIONS\nKeys: "), F.col("p_size").cast("string"), F.lit("\nBody type:\n"), "p_type", F.lit("\nKeys: 0"))
     return extract.spec_blocks(t.part.select(F.col("p_partkey").alias("id"), text.alias("text")), "id").select("id", "field", "value")
 
 
-@query("x12_specs_long", "SELECT p_partkey AS id, 'body_type' AS field, p_type AS value FROM part UNION ALL SELECT p_partkey, 'size', CAST(p_size AS VARCHAR) FROM part")
 def _(t):
     specs = F.create_map(F.lit("Body Type"), F.col("p_type"), F.lit("Size"), F.col("p_size").cast("string"), F.lit("Empty"), F.lit(" "))
     return extract.specs_long(t.part.select(F.col("p_partkey").alias("id"), specs.alias("specs")), "id").select("id", "field", "value")
 
 
-@query("k3_flatten_conflict", "SELECT p_partkey AS id, 'year: ' || p_size || ' (u1) vs ' || p_brand || ' -- ' || p_type AS conflict FROM part")
 def _(t):
     values = F.array(F.struct(F.col("p_size").cast("string").alias("value"), F.lit("u1").alias("url")), F.struct(F.col("p_brand").alias("value"), F.lit(None).cast("string").alias("url")))
     return t.part.select(F.col("p_partkey").alias("id"), evidence.flatten_conflict(F.lit("year"), values, F.col("p_type")).alias("conflict"))
 
 
-@query("k7_close_queue", "SELECT id, CASE WHEN status <> 'done' AND id % 2 = 0 AND contains(name, 'Supplier') THEN 'done' ELSE status END AS status FROM queue", "queue")
 def _(t):
     entries = t.supplier.filter("s_suppkey % 2 = 0").select(F.array(F.lit("nobody"), F.upper("s_name")).alias("names"), F.lit("confirmed").alias("confidence"))
     return evidence.close_queue(t.queue, entries).select("id", "status")
@@ -821,7 +806,6 @@ def _(t):
     return evidence.fill_from_cache(t.products, pages).select("id", "year", "review_status")
 
 
-@query("s4_sitemap_urls", "SELECT 'd' || p_size AS domain, 'https://d' || p_size || '/' || p_partkey AS url FROM part")
 def _(t):
     size = F.col("p_size").cast("string")
     sub = F.concat(F.lit("https://d"), size, F.lit("/sub.xml"))
@@ -832,7 +816,6 @@ def _(t):
     return readers.sitemap_urls(subs.union(index))
 
 
-@query("x7_table_rows", "SELECT p_partkey AS id, p_brand AS first_cell, 'https://h.example.com/' || p_partkey AS href FROM part WHERE p_size % 2 = 0")
 def _(t):
     cells = [F.concat(F.lit("<td>"), "p_brand", F.lit("</td><td><a href='https://h.example.com/"), F.col("p_partkey").cast("string"), F.lit("'>x</a></td>"))]
     row = F.concat(*cells, F.lit("<td>3</td><td>4</td><td>5</td><td>6</td>"), F.when(F.col("p_size") % 2 == 0, "<td>7</td>").otherwise(""))
@@ -840,7 +823,6 @@ def _(t):
     return extract.table_rows(pages, "id").select("id", F.get("cells", F.lit(0)).alias("first_cell"), "href")
 
 
-@query("x10_post_taxonomy", "SELECT p_partkey AS id, p_name AS title, p_type AS category, p_brand AS tag, 1950 + p_size AS year FROM part")
 def _(t):
     link = lambda rel, c: F.concat(F.lit(f'<a rel="{rel}" href="#">'), c, F.lit("</a>"))
     html = F.concat(F.lit("<title>"), "p_name", F.lit("</title>"), link("category", F.col("p_type")), link("tag", F.col("p_brand")), link("tag", (F.col("p_size") + 1950).cast("string")))
@@ -848,7 +830,6 @@ def _(t):
     return found.select("id", "title", F.array_join("categories", ",").alias("category"), F.array_join("tags", ",").alias("tag"), "year")
 
 
-@query("x11_logo_candidates", "SELECT page_id, 'https://x.example.com/' || page_id || '/logo.png' AS logo FROM pages")
 def _(t):
     html = F.concat(F.lit('<img alt="logo" src="'), F.col("page_id").cast("string"), F.lit('/logo.png">'))
     pages = t.pages.select("page_id", F.lit("https://x.example.com/").alias("url"), F.concat(F.regexp_replace("html", "(?i)<img[^>]*>", ""), html).alias("html"))
@@ -864,7 +845,6 @@ def _(t):
     return audit.mark_queue(t.queue, classes, kinds, "2024-01-01").select("id", "status")
 
 
-@query("s5_feed", "SELECT 'https://p.example.com/' || p_partkey AS url, p_name AS title, p_brand AS label FROM part")
 def _(t):
     key = F.col("p_partkey").cast("string")
     text = lambda c: F.struct(c.alias("$t"))
@@ -873,7 +853,6 @@ def _(t):
     return readers.flatten_feed(feeds).select("url", "title", F.array_join("labels", ",").alias("label"))
 
 
-@query("s6_bindings", "SELECT p_name || ' ' || p_partkey AS label, 'Q' || p_partkey AS qid, 1950 + p_size AS year FROM part")
 def _(t):
     value = lambda c: F.struct(c.alias("value"))
     key = F.col("p_partkey").cast("string")
