@@ -106,19 +106,25 @@ ANCHOR = r"""(?is)<a\b[^>]*?href=["']([^"']*)["'][^>]*>(.*?)</a>"""
 
 
 def page_links(df: DataFrame, key: str, html: str = "html", blocks: dict[str, str] | None = None) -> DataFrame:
-    """(key, url, label, block): anchors within the blocks given by name and pattern (group 1); once each href."""
-    blocks = blocks or {"page": r"(?is)^(.*)$"}
+    """(key, url, label, block): anchors within the blocks given by name and pattern (group 1), of the
+    whole page if none are; once each href."""
+    parts = {"page": F.col(html)} if blocks is None else {n: F.array_join(F.regexp_extract_all(F.col(html), F.lit(p), F.lit(1)), "\n") for n, p in blocks.items()}
     rows = None
-    for name, pattern in blocks.items():
-        part = F.array_join(F.regexp_extract_all(F.col(html), F.lit(pattern), F.lit(1)), "\n")
-        urls, labels = F.regexp_extract_all(part, F.lit(ANCHOR), F.lit(1)), F.regexp_extract_all(part, F.lit(ANCHOR), F.lit(2))
-        own = df.select(key, F.posexplode(F.arrays_zip(urls.alias("url"), labels.alias("label"))).alias("pos", "a"))
-        own = own.select(key, F.col("a.url").alias("url"), F.trim(F.regexp_replace(F.regexp_replace("a.label", "<[^>]*>", " "), r"\s+", " ")).alias("label"), F.lit(name).alias("block"), "pos")
+    for name, part in parts.items():
+        own = df.select(key, F.posexplode(F.regexp_extract_all(part, F.lit(ANCHOR), F.lit(0))).alias("pos", "a"))
+        label = F.regexp_replace(F.regexp_replace(F.regexp_extract("a", ANCHOR, 2), "<[^>]*>", " "), r"\s+", " ")
+        own = own.select(key, F.regexp_extract("a", ANCHOR, 1).alias("url"), F.trim(label).alias("label"), F.lit(name).alias("block"), "pos")
         rows = own if rows is None else rows.union(own)
     first = rows.groupBy(key, "url").agg(F.min_by(F.struct("label", "block"), F.struct("block", "pos")).alias("b"))
     return first.select(key, "url", "b.label", "b.block")
 
 
+def page_urls(html: Column | str, page_url: Column | str) -> Column:
+    """The distinct absolute links of a page's anchors, without a shuffle."""
+    hrefs = F.array_distinct(F.regexp_extract_all(_c(html), F.lit(ANCHOR), F.lit(1)))
+    return F.array_distinct(F.transform(hrefs, lambda h: resolve_href(h, page_url)))
+
+
 def page_spec_pairs(df: DataFrame, key: str, html: str = "html") -> DataFrame:
     """(key, label, value) of spans of class term and of class value that follow each other."""
     pair = r"""(?is)<span[^>]*class=["'][^"']*term[^"']*["'][^>]*>(.*?)</span>\s*<span[^>]*class=["'][^"']*value[^"']*["'][^>]*>(.*?)</span>"""

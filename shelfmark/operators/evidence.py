@@ -20,8 +20,8 @@ def field_confidence(claims: DataFrame, entity: str = "entity_id", narrative: Se
     """K1: (entity, field_name, confirmed): an official source, or two URLs (on one value, but for narratives)."""
     rows = claims.filter(~is_blank("source_url"))
     value = F.when(F.col("field_name").isin(*narrative), F.lit("")).otherwise(F.coalesce(value_key("value"), F.lit("")))
-    per_value = rows.groupBy(entity, "field_name", value.alias("_v")).agg(F.countDistinct("source_url").alias("n"), F.max(F.col("source_tier") == official).alias("o"))
-    return per_value.groupBy(entity, "field_name").agg((F.coalesce(F.max("o"), F.lit(False)) | (F.max("n") >= 2)).alias("confirmed"))
+    per_value = rows.groupBy(entity, "field_name", value.alias("_v")).agg((F.min("source_url") < F.max("source_url")).alias("two"), F.max(F.col("source_tier") == official).alias("o"))
+    return per_value.groupBy(entity, "field_name").agg((F.coalesce(F.max("o"), F.lit(False)) | F.max("two")).alias("confirmed"))
 
 
 def roll_up(entries: DataFrame, claims: DataFrame, entity: str = "entity_id", core: Sequence[str] = vocab.CORE_FIELDS) -> DataFrame:

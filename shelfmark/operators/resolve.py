@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.keys import base_name, domain_of, first_by, is_blank, norm, prefixes, spaced_key, title_case_slug
@@ -19,9 +19,8 @@ from ..functions.vocab import STOP_TAGS
 def name_dictionary(makers: DataFrame, names: DataFrame, sources: Sequence[str] = ("canonical", "long", "history"), extra: DataFrame | None = None) -> DataFrame:
     """(name, key, exact, maker_id, source): one maker for each exact spelling and each key.
 
-    On a clash canonical beats long beats history beats extra, then the lowest id.  Rows
-    have ``exact`` true where they win their lower-case spelling and ``by_key`` true
-    where they win their compact key.
+    On a clash canonical beats long beats history beats extra, then the lowest id.  A row
+    with ``exact`` true has won its lower-case spelling, one with ``by_key`` its compact key.
     """
     parts = {
         "canonical": makers.select(F.col("id").alias("maker_id"), F.col("canonical_name").alias("name"), F.lit(0).alias("rank")),
@@ -37,9 +36,10 @@ def name_dictionary(makers: DataFrame, names: DataFrame, sources: Sequence[str]
             rows = part if rows is None else rows.unionByName(part)
     rows = rows.filter(~is_blank("name")).withColumn("lower_name", F.lower(F.trim("name"))).withColumn("key", norm("name"))
     order = [F.col("rank"), F.col("maker_id"), F.col("name")]
-    exact = F.row_number().over(Window.partitionBy("lower_name").orderBy(*order)) == 1
-    by_key = (F.col("key") != "") & (F.row_number().over(Window.partitionBy("key").orderBy(*order)) == 1)
-    return rows.withColumn("exact", exact).withColumn("by_key", by_key).filter("exact or by_key").select("name", "lower_name", "key", "maker_id", "source", "exact", "by_key")
+    kept = ["name", "lower_name", "key", "maker_id", "source"]
+    exact = first_by(rows, ["lower_name"], *order).select(*kept, F.lit(True).alias("exact"), F.lit(False).alias("by_key"))
+    by_key = first_by(rows.filter("key <> ''"), ["key"], *order).select(*kept, F.lit(False).alias("exact"), F.lit(True).alias("by_key"))
+    return exact.union(by_key)
 
 
 def _exact(dictionary: DataFrame, out: str) -> DataFrame:
@@ -199,14 +199,17 @@ def relink(links: DataFrame, products: DataFrame, sources: Sequence[str] | None
 def match_contained(links: DataFrame, products: DataFrame, shortest: int = 3) -> DataFrame:
     """(id, product_id): longest product key of the same maker within a label's key.
 
-    Substrings of the label's key, of the lengths that the maker's product keys have, meet product keys.
+    Where a product key's first characters stand in the label's key, the parts of the lengths that keys
+    so begun have meet product keys.
     """
     keys = product_keys(products).filter(F.length("model_key") >= shortest)
-    lengths = keys.groupBy("maker_id").agg(F.collect_set(F.length("model_key")).alias("_lengths"))
-    rows = links.select("id", "maker_id", norm("label").alias("_label")).filter(F.length("_label") >= shortest).join(lengths, "maker_id")
-    n = F.length("_label")
-    spans = F.flatten(F.transform(F.filter("_lengths", lambda k: k <= n), lambda k: F.transform(F.sequence(F.lit(1), n - k + 1), lambda i: F.substr("_label", i, k))))
-    rows = rows.select("id", "maker_id", F.explode(F.array_distinct(spans)).alias("model_key"))
+    head = F.substring("model_key", 1, shortest)
+    heads = keys.groupBy("maker_id", head.alias("_head")).agg(F.collect_set(F.length("model_key")).alias("_lengths"))
+    rows = links.select("id", "maker_id", norm("label").alias("_label")).filter(F.length("_label") >= shortest)
+    at = F.sequence(F.lit(1), F.length("_label") - shortest + 1)
+    rows = rows.select("id", "maker_id", "_label", F.explode(at).alias("_at"))
+    rows = rows.withColumn("_head", F.substr("_label", F.col("_at"), F.lit(shortest))).join(heads, ["maker_id", "_head"])
+    rows = rows.select("id", "maker_id", F.explode(F.transform("_lengths", lambda k: F.when(F.col("_at") + k - 1 <= F.length("_label"), F.substr("_label", F.col("_at"), k)))).alias("model_key"))
     return rows.join(keys, ["maker_id", "model_key"]).groupBy("id").agg(F.max_by("product_id", F.struct(F.length("model_key"), "model_key")).alias("product_id"))
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import classify, extract, keys, vocab
 from ..operators import audit, evidence, reports, resolve, taxonomy
 from ..sources import readers
-from .tables import table, with_tables
+from .tables import scratch, table, with_tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -26,7 +26,11 @@ class Tables:
         return table(*self._at, name)
 
     def dictionary(self, *sources: str) -> DataFrame:
-        return resolve.name_dictionary(self.makers, self.maker_names, sources or ("canonical", "long", "history"))
+        """The name dictionary, written once for all the joins that read it."""
+        names = resolve.name_dictionary(self.makers, self.maker_names, sources or ("canonical", "long", "history"))
+        folder = scratch(self._at[0])
+        names.write.parquet(folder)
+        return self._at[0].read.schema(names.schema).parquet(folder)
 
 
 def query(name: str, sql: str | None = None, *tables: str):
@@ -256,9 +260,7 @@ ANCHORS = f"""a AS (SELECT page_id, url, unnest(regexp_extract_all(html, '<a\\b[
 
 @query("w2_link_graph", f"WITH {ANCHORS} SELECT domain, count(*) AS links, count(DISTINCT page_id) AS spread FROM (SELECT page_id, {HOST.format('link')} AS domain FROM l) WHERE domain <> '' GROUP BY 1")
 def _(t):
-    pages = t.pages
-    found = extract.page_links(pages, "page_id").join(pages.select("page_id", F.col("url").alias("page_url")), "page_id")
-    links = found.select("page_id", extract.resolve_href("url", "page_url").alias("url")).distinct()
+    links = t.pages.select("page_id", F.explode(extract.page_urls("html", "url")).alias("url"))
     return reports.domain_graph(links.select(keys.domain_of("url").alias("domain"), F.col("page_id").alias("product_id"), F.lit(None).cast("long").alias("maker_id")))
 
 
