@@ -44,6 +44,8 @@ FILTER_BITS = FILTER_BUCKETS * 32768
 CLASSES = 3
 #: Sizes within a band differ by this ratio at most; a group stands in the matrix once for each band.
 BAND = 1.15
+#: Bands between the sizes of two sets that qualify, at most.
+REACH = 3
 #: Pairs of one leading set that a task verifies together, about.
 PAIRS_A_PART = 500
 LONG_LIST = pa.list_(pa.int64())
@@ -186,7 +188,7 @@ def once_each(sketch: DataFrame, rows: np.ndarray) -> DataFrame:
 
 
 def shared_tokens(sketch: DataFrame, rows: np.ndarray, folder: str) -> DataFrame:
-    """(token, k, n, rare): the prefix tokens that two sets at least have, once for each set.
+    """(token, k, n, rare, pos): the prefix tokens that two sets at least have, with their place in it, once for each set.
 
     As in ``once_each`` the bit filter ``rows`` leaves one row of each set, or few.
     """
@@ -203,10 +205,11 @@ def shared_tokens(sketch: DataFrame, rows: np.ndarray, folder: str) -> DataFrame
             flat = lists.values.to_numpy()[ends[0] : ends[-1]]
             keep = np.flatnonzero(passing(maps.value, flat))
             at = pa.array(np.searchsorted(ends - ends[0], keep, "right") - 1)
-            yield pa.RecordBatch.from_arrays([pa.array(flat[keep]), batch.column("k").take(at), batch.column("n").take(at), batch.column("rare").take(at)], ["token", "k", "n", "rare"])
+            pos = pa.array(keep - (ends - ends[0])[at.to_numpy()])
+            yield pa.RecordBatch.from_arrays([pa.array(flat[keep]), batch.column("k").take(at), batch.column("n").take(at), batch.column("rare").take(at), pos], ["token", "k", "n", "rare", "pos"])
 
     # one pass of Python workers, so both filters are in it
-    some = sketch.filter("n > 0").select("row", "prefix", "k", "n", "rare").mapInArrow(only, "token long, k long, n long, rare long")
+    some = sketch.filter("n > 0").select("row", "prefix", "k", "n", "rare").mapInArrow(only, "token long, k long, n long, rare long, pos long")
     return written(some.join(shared, "token").distinct(), f"{folder}/rows")
 
 
@@ -279,6 +282,31 @@ def least_shared_within(n, lo, hi):
     return F.least(least_shared(n, lo), least_shared(n, hi), least_shared(n, F.greatest(lo, hi - 1)))
 
 
+def size_band(n):
+    return F.floor(F.log(F.col(n).cast("double")) / F.log(F.lit(BAND)))
+
+
+def prefix_end(n):
+    """``prefix_length`` of a column."""
+    return n - F.floor((n * NUM + DEN - 1) / DEN) + 1
+
+
+def leading(rows: DataFrame, bands) -> DataFrame:
+    """``rows`` with each of ``bands``, as ``other``, that may hold a partner, where the token leads for it.
+
+    Two sets that qualify share L = ``least_shared`` tokens of their prefixes.  The first
+    of these in the order has L - 1 more behind it in either prefix, so its place is
+    L before the prefix's end at the latest.  Tokens further on open nothing: in a set
+    with enough rare tokens a common passage's are never looked at.
+    """
+    n, other = F.col("n"), F.col("other")
+    # a band's sizes, one more on either side against rounding, as far as they fit
+    lo = F.greatest(F.floor(F.pow(F.lit(BAND), other)) - 1, F.ceil(n * NUM / DEN))
+    hi = F.least(F.ceil(F.pow(F.lit(BAND), other + 1)) + 1, F.floor(n * DEN / NUM))
+    last = prefix_end(n) - least_shared_within(n, lo, hi)
+    return rows.withColumn("other", F.explode(bands)).filter((lo <= hi) & (F.col("pos") <= last))
+
+
 def similar_groups(sets: DataFrame, docs: DataFrame, firsts: DataFrame, size: int, folder: str) -> DataFrame:
     """(k, g): groups of similar sets, from verified links to the group's first set.
 
@@ -299,7 +327,7 @@ def similar_groups(sets: DataFrame, docs: DataFrame, firsts: DataFrame, size: in
 
 def grouped(rows: DataFrame, groups: DataFrame) -> DataFrame:
     """``rows`` with their group; a set in no group is one of its own."""
-    return rows.join(groups, "k", "left").select("token", "k", "n", "rare", F.coalesce("g", "k").alias("g"))
+    return rows.join(groups, "k", "left").select("token", "k", "n", "rare", "pos", F.coalesce("g", "k").alias("g"))
 
 
 def led_groups(rows: DataFrame, groups: DataFrame, docs: DataFrame, firsts: DataFrame, size: int, folder: str) -> DataFrame:
@@ -335,25 +363,34 @@ def _classified(docs: DataFrame, size: int, folder: str) -> DataFrame:
 
     # Token-group matrix: the token union of each group and size band, for tokens of several groups.
     several = written(rows.groupBy("token").agg(F.min("g").alias("lo"), F.max("g").alias("hi")).filter("lo <> hi").select("token"), f"{folder}/several")
-    rows = rows.join(several, "token").withColumn("band", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(BAND))))
-    rows = written(rows, f"{folder}/open")
+    rows = written(rows.join(several, "token").withColumn("band", size_band("n")), f"{folder}/open")
     matrix = rows.select("token", F.col("g").alias("h"), F.col("band").alias("hband")).distinct()
     sizes = rows.groupBy(F.col("g").alias("h"), F.col("band").alias("hband")).agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
     matrix = written(matrix.join(sizes, ["h", "hband"]), f"{folder}/matrix")
+
+    # Who may qualify at all: a set asks groups of its own size band and smaller ones.
+    asking = leading(rows, F.sequence(F.col("band") - REACH, F.col("band"))).select("token", "k", "g", "band", F.col("other").alias("hband"))
+    asked = leading(rows, F.sequence(F.col("band"), F.col("band") + REACH)).select("token", F.col("g").alias("h"), F.col("band").alias("hband"), F.col("other").alias("band"))
+    others = (F.col("g") != F.col("h")) & ((F.col("band") > F.col("hband")) | (F.col("g") > F.col("h")))
+    some = asking.join(asked.distinct(), ["token", "band", "hband"]).filter(others).select("k", "h", "hband").distinct()
+    some = written(some, f"{folder}/candidates")
     n, lo, hi = F.col("n"), F.col("lo"), F.col("hi")
-    meets = (hi * DEN >= n * NUM) & (lo * NUM <= n * DEN)
-    asking = rows.select("token", "k", "n", "g")
-    bound = asking.join(matrix, "token").filter((F.col("g") > F.col("h")) & meets).groupBy("k", "n", "g", "h", "hband", "lo", "hi").agg(F.count("*").alias("o"))
-    smallest = F.greatest(lo, F.ceil(n * NUM / DEN))
-    largest = F.least(hi, F.floor(n * DEN / NUM))
-    opened = bound.filter(F.col("o") >= least_shared_within(n, smallest, largest)).select("k", "h", "hband")
+    smallest, largest = F.greatest(lo, F.ceil(n * NUM / DEN)), F.least(hi, F.floor(n * DEN / NUM))
+    bound = rows.select("token", "k", "n").join(some, "k").join(matrix, ["token", "h", "hband"]).groupBy("k", "n", "h", "hband", "lo", "hi").agg(F.count("*").alias("o"))
+    opened = bound.filter((smallest <= largest) & (F.col("o") >= least_shared_within(n, smallest, largest))).select("k", "h", "hband")
     opened = written(opened, f"{folder}/opened")
 
-    # Members of the opened groups, by the tokens they share with the query.
-    asking = asking.join(opened, "k").select("token", F.col("k").alias("a"), F.col("n").alias("na"), "h", "hband")
-    members = rows.select("token", F.col("g").alias("h"), F.col("band").alias("hband"), F.col("k").alias("b"), F.col("n").alias("nb"))
-    pairs = asking.join(members, ["token", "h", "hband"]).filter(fits(F.col("na"), F.col("nb"))).groupBy("a", "b", "na", "nb").agg(F.count("*").alias("o"))
-    pairs = written(pairs.filter(F.col("o") >= least_shared(F.col("na"), F.col("nb"))).select("a", "b"), f"{folder}/pairs")
+    # Members of the opened groups that share a leading token with the query, then enough of the prefixes.
+    asking = leading(rows, F.sequence(F.col("band") - REACH, F.col("band"))).select("token", F.col("k").alias("a"), "band", F.col("other").alias("hband"), F.col("n").alias("na"), F.col("pos").alias("pa"))
+    asking = asking.join(opened.withColumnRenamed("k", "a"), ["a", "hband"])
+    members = leading(rows, F.sequence(F.col("band"), F.col("band") + REACH)).select("token", F.col("g").alias("h"), F.col("k").alias("b"), F.col("band").alias("hband"), F.col("other").alias("band"), F.col("n").alias("nb"), F.col("pos").alias("pb"))
+    na, nb = F.col("na"), F.col("nb")
+    leads = fits(na, nb) & (F.col("pa") <= prefix_end(na) - least_shared(na, nb)) & (F.col("pb") <= prefix_end(nb) - least_shared(na, nb))
+    pairs = written(asking.join(members, ["token", "h", "hband", "band"]).filter(leads).select("a", "b").distinct(), f"{folder}/met")
+    prefixes = rows.groupBy("k", "n").agg(F.collect_list("token").alias("tokens"))
+    pairs = pairs.join(prefixes.select(F.col("k").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta")), "a").join(prefixes.select(F.col("k").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("tb")), "b")
+    enough = F.size(F.array_intersect("ta", "tb")) >= least_shared(na, nb)
+    pairs = written(pairs.filter(enough).select("a", "b"), f"{folder}/pairs")
     links = verified(pairs, docs, firsts, size, f"{folder}/rest")
 
     edges = groups.select(F.col("k").alias("a"), F.col("g").alias("b")).union(links)
