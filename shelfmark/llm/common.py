@@ -19,10 +19,13 @@ _OWN: dict[str, str] = {}
 def shared_dir(spark: SparkSession) -> str:
     """A new folder name under ``spark.checkpoint.dir``, which all executors share.
 
-    Where the setting is absent (tests on one machine) it is below a temporary folder.
+    Where the setting is absent on a single machine it is below a temporary folder; a
+    cluster has to name one.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         app = spark.sparkContext.applicationId
         if app not in _OWN:
             _OWN[app] = "file://" + tempfile.mkdtemp(prefix="spark-llm-")

@@ -7,11 +7,12 @@ each token.  A table from control byte to lengths decodes a block in numpy.
 
 The ranks are written once beside the files (``ranks.bin``: little-endian uint32 ids,
 most frequent first).  Files are in ascending order of doc_id (null first; equal ids by
-their tokens); ``start`` counts the tokens of all documents before.
+their tokens); ``start`` counts the tokens of all documents before.  Ids of documents are integers.
 
 Encoding looks up units (a run of white space with the run of other characters that
 follows): byte-level BPE of this kind splits before every run of white space, so units
-can be encoded apart, once for each distinct one.
+can be encoded apart.  A worker remembers CACHE_UNITS of them, about, some 200 bytes each;
+half of these are forgotten if they weren't met for as many new ones.
 
 Defined results: null and empty texts have the end id only; repeated rows are repeated
 documents; an empty table gives no files; only doc_id and text are read.
@@ -38,7 +39,7 @@ MAGIC = b"RVB1"
 END_ID = 2
 #: Tokens of a block, about, and tokens after which a task begins another file.
 BLOCK_TOKENS, FILE_TOKENS = 1 << 20, 1 << 24
-CACHE_UNITS = 900_000
+CACHE_UNITS = 1_600_000
 UNIT = re.compile(r"\s*\S+|\s+")
 #: White space other than the space and the line feed, as ASCII and others.
 SPACES = tuple(map(chr, (9, 11, 12, 13, 28, 29, 30, 31)))

@@ -151,10 +151,10 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
 
 
 def normalise(archives: DataFrame, folder: str) -> DataFrame:
-    """(path, at, size, page_id, kind): where each record's own gzip member is.
+    """(path, n): archives with one gzip member a record.
 
-    For every archive in ``path`` a file of the same name with one member a record is
-    written, and a sidecar ``.idx`` with "offset size record-id kind" a line.
+    For every archive in ``path`` a file of the same name is written, and beside it a
+    sidecar ``.idx`` with "offset size record-id kind" a line.
     """
     make_dir(folder)
 
@@ -167,16 +167,20 @@ def normalise(archives: DataFrame, folder: str) -> DataFrame:
                     z = zlib.compressobj(6, zlib.DEFLATED, 31)
                     member = z.compress(record) + z.flush()
                     out.append(member)
-                    index.append((path, at, len(member), head["warc-record-id"], head["warc-type"]))
+                    index.append(f"{at} {len(member)} {head['warc-record-id']} {head['warc-type']}\n")
                     at += len(member)
                 put_file(path, b"".join(out))
-                put_file(path + ".idx", "".join(f"{a} {n} {i} {k}\n" for _, a, n, i, k in index).encode())
-                columns = list(zip(*index, strict=True)) if index else [()] * 5
-                kinds = (pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string())
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["path", "at", "size", "record_id", "kind"])
+                put_file(path + ".idx", "".join(index).encode())
+                yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([len(index)], pa.int64())], ["path", "n"])
 
     spread = archives.select("path").repartition(max(1, int(archives.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "path")
-    return written(spread.mapInArrow(rewrite, "path string, at long, size long, record_id string, kind string"), f"{folder}-index")
+    return written(spread.mapInArrow(rewrite, "path string, n long"), f"{folder}-list")
+
+
+def sidecar(path: str) -> list[tuple[int, int, str, str]]:
+    """(offset, size, record id, kind) of each member of an archive, from the file beside it."""
+    lines = b"".join(_read(path + ".idx")).decode().splitlines()
+    return [(int(at), int(size), record_id, kind) for at, size, record_id, kind in (line.split(" ") for line in lines)]
 
 
 def _page(urn: str | None):
@@ -184,40 +188,39 @@ def _page(urn: str | None):
     return None if text == "None" else int(text)
 
 
-def read_records(index: DataFrame) -> DataFrame:
+def read_records(archives: DataFrame) -> DataFrame:
     """page_id, url, payload (null in revisits), payload_bytes, payload_digest, record_type, refers_to.
 
-    Seeks to each member; a response whose payload doesn't have its digest is an error.
+    Seeks to each member by the archive's sidecar; a response whose payload doesn't have
+    its digest is an error.
     """
 
     def read(batches):
-        for batch in batches:
-            rows, last, f = [], None, None
-            for path, at, size in zip(batch.column("path"), batch.column("at"), batch.column("size"), strict=True):
-                if path.as_py() != last:
-                    last = path.as_py()
-                    system, name = filesystem(last)
-                    f = system.open_input_file(name)
-                f.seek(at.as_py())
-                ((head, record),) = records(iter([zlib.decompress(f.read(size.as_py()), 31)]))
-                n, digest = int(head["x-payload-length"]), head["warc-payload-digest"].removeprefix("sha256:")
-                payload = None
-                if head["warc-type"] == "response":
-                    payload = record[len(record) - len(END) - int(head["content-length"]) : len(record) - len(END)]
-                    if len(payload) != n or hashlib.sha256(payload).hexdigest() != digest:
-                        raise ValueError(f"payload of {head['warc-record-id']} is damaged")
-                rows.append((_page(head["warc-record-id"]), head["warc-target-uri"], payload, n, digest, head["warc-type"], _page(head.get("warc-refers-to"))))
+        for path in (p.as_py() for batch in batches for p in batch.column("path")):
+            rows = []
+            system, name = filesystem(path)
+            with system.open_input_file(name) as f:
+                for at, size, _, _ in sidecar(path):
+                    f.seek(at)
+                    ((head, record),) = records(iter([zlib.decompress(f.read(size), 31)]))
+                    n, digest = int(head["x-payload-length"]), head["warc-payload-digest"].removeprefix("sha256:")
+                    payload = None
+                    if head["warc-type"] == "response":
+                        payload = record[len(record) - len(END) - int(head["content-length"]) : len(record) - len(END)]
+                        if len(payload) != n or hashlib.sha256(payload).hexdigest() != digest:
+                            raise ValueError(f"payload of {head['warc-record-id']} is damaged")
+                    rows.append((_page(head["warc-record-id"]), head["warc-target-uri"], payload, n, digest, head["warc-type"], _page(head.get("warc-refers-to"))))
             columns = list(zip(*rows, strict=True)) if rows else [()] * 7
             kinds = (pa.int64(), pa.string(), pa.binary(), pa.int64(), pa.string(), pa.string(), pa.int64())
             names = ["page_id", "url", "payload", "payload_bytes", "payload_digest", "record_type", "refers_to"]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
-    spread = index.repartition(max(1, int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "path").sortWithinPartitions("path", "at")
-    return spread.select("path", "at", "size").mapInArrow(read, "page_id long, url string, payload binary, payload_bytes long, payload_digest string, record_type string, refers_to long")
+    spread = archives.select("path").repartition(max(1, int(archives.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "path")
+    return spread.mapInArrow(read, "page_id long, url string, payload binary, payload_bytes long, payload_digest string, record_type string, refers_to long")
 
 
 def archive(pages: DataFrame) -> DataFrame:
-    """Write ``pages`` as whole-stream archives, normalise them, and return the index."""
+    """Write ``pages`` as whole-stream archives, normalise them, and return the list of the normalised ones."""
     folder = shared_dir(pages.sparkSession)
     whole = write_archives(with_kind(pages, f"{folder}/kinds"), f"{folder}/whole")
     return normalise(whole, f"{folder}/members")
