@@ -122,3 +122,35 @@ def test_categories(spark):
 def test_empty_tables(spark):
     claims = spark.createDataFrame([], "entity_id int, field_name string, value string, source_url string, source_tier string, id long, fetched_at timestamp")
     assert evidence.field_confidence(claims).count() == evidence.conflicts(claims).count() == evidence.best_value(claims).count() == 0
+
+
+def test_the_text_zero_is_a_value(spark):
+    from shelfmark.functions.keys import first_by, is_blank, nulls_last
+
+    rows = spark.createDataFrame([(1, "0", 0, 0.0), (2, " ", 1, 0.5), (3, None, None, None)], "id long, s string, i int, d double")
+    got = {r.id: tuple(r)[1:] for r in rows.select("id", is_blank("s"), is_blank("i"), is_blank("d")).collect()}
+    assert got == {1: (False, True, True), 2: (True, False, False), 3: (True, True, True)}
+    claims = spark.createDataFrame([(1, 7, "year", "0", "u1", "other", None), (2, 7, "year", "1", "u2", "other", None)], "id long, entity_id long, field_name string, value string, source_url string, source_tier string, fetched_at timestamp")
+    assert [r.n_values for r in evidence.conflicts(claims).collect()] == [2] and [r.value for r in evidence.best_value(claims).collect()] == ["0"]
+    once = first_by(spark.createDataFrame([(1, None, 5), (1, "b", 3), (1, "a", 9), (None, "z", 1)], "k int, v string, w int"), ["k"], *nulls_last("v"))
+    assert sorted(map(tuple, once.collect()), key=str) == [(1, "a", 9), (None, "z", 1)]
+
+
+def test_rule_registry(spark):
+    makers = spark.createDataFrame([(1, None, "Rome"), (2, "Japan", "Rome"), (3, None, "Nowhere")], "id long, country string, city string")
+    products = spark.createDataFrame([(10, "unknown"), (11, "digital")], "id long, technology string")
+    specs = spark.createDataFrame([(10, "oscillators", "2 VCOs", "u"), (11, "oscillators", "2 VCOs", "u")], "product_id long, field string, value string, source_url string")
+    gazetteer = spark.createDataFrame([("rome", "Italy")], "city string, country string")
+    claims = spark.createDataFrame([], "entity_id long, field_name string, derived_from string")
+    filled, added = evidence.run_rules({"makers": makers, "products": products, "specs": specs, "gazetteer": gazetteer}, claims)
+    assert {r.id: r.country for r in filled["makers"].collect()} == {1: "Italy", 2: "Japan", 3: None}
+    assert {r.id: r.technology for r in filled["products"].collect()} == {10: "analog", 11: "digital"}
+    assert {(r.entity_id, r.field_name, r.value) for r in added.collect()} == {(1, "country", "Italy"), (10, "technology", "analog")}
+
+
+def test_audit_sample_is_seeded_and_whole(spark):
+    from shelfmark.operators import audit
+
+    rows = spark.createDataFrame([(f"u{i}", f"d{i % 3}") for i in range(60)] + [("one", "small")], "url string, domain string")
+    a, b = ({r.url for r in audit.audit_sample(rows.repartition(n), 5, 7).collect()} for n in (1, 4))
+    assert a == b and len(a) == 16 and "one" in a and a != {r.url for r in audit.audit_sample(rows, 5, 8).collect()}

@@ -32,3 +32,27 @@ def test_long_product_keys_in_labels(spark):
     products = spark.createDataFrame([(1, 1, "Polyphonic Ensemble Orchestra 5000"), (2, 1, "Polyphonic"), (3, 1, "X5"), (4, 2, "Polyphonic Ensemble")], "id long, maker_id long, name string")
     links = spark.createDataFrame([(1, 1, "Manual: Polyphonic Ensemble Orchestra 5000.pdf"), (2, 1, "Polyphonic Ensemble"), (3, 2, "The polyphonic ensemble"), (4, 1, "X5"), (5, 9, "Polyphonic"), (6, 1, None)], "id long, maker_id long, label string")
     assert sorted(map(tuple, resolve.match_contained(links, products).collect())) == [(1, 1), (2, 2), (3, 4)]
+
+
+def test_known_names_of_any_length(spark):
+    makers = spark.createDataFrame([(1, "VP"), (2, "Korg"), (3, "Moog Music"), (4, "日本")], "id long, canonical_name string")
+    known = resolve.name_dictionary(makers, spark.createDataFrame([], "maker_id long, name string"))
+    asked = ["v.p.", "vp1", "ko", "kor", "korg inc", "moog", "moogmusicinc", "?!", None, "oog"]
+    names = spark.createDataFrame(list(enumerate(asked)), "id long, name string")
+    assert {r.id for r in resolve.is_known_prefix(names, "name", known, "id").collect()} == {0, 3, 4, 5, 6, 7, 8}
+
+
+def test_unique_prefix_counts_keys(spark):
+    makers = spark.createDataFrame([(1, "Kurzweil Music Systems"), (2, "Roland DG"), (3, "Acme Organs")], "id long, canonical_name string")
+    names = spark.createDataFrame([(2, "Roland Europe")], "maker_id long, name string")
+    known = resolve.name_dictionary(makers, names)
+    asked = spark.createDataFrame([(1, "Kurzweil"), (2, "Roland"), (3, "Acm"), (4, "acme organs"), (5, None)], "id long, name string")
+    assert {r.id: (r.maker_id, r.match_kind) for r in resolve.resolve_unique_prefix(asked, "name", known).collect()} == {1: (1, "prefix"), 2: (None, None), 3: (None, None), 4: (3, "exact"), 5: (None, None)}
+
+
+def test_every_tag_is_cut_off_the_title(spark):
+    makers = spark.createDataFrame([(1, "Acme"), (2, "Beta (x)")], "id long, canonical_name string")
+    known = resolve.name_dictionary(makers, spark.createDataFrame([], "maker_id long, name string"))
+    posts = spark.createDataFrame([(1, "Label  ACME TB-3", ["Label", "acme"]), (2, "beta (x) Acme 1", ["Beta (x)", "Acme", None]), (3, "Acmetron 1", ["Acme"]), (4, "Acme", ["Acme"]), (5, "x", ["none"]), (6, "x", None)], "post_id long, title string, tags array<string>")
+    got = {r.post_id: (r.maker_id, r.model) for r in resolve.brand_from_tags(posts.selectExpr("*", "array('news') as categories"), known).collect()}
+    assert got == {1: (1, "TB-3"), 2: (2, "1"), 3: (1, "Acmetron 1"), 4: (1, "Acme")}
