@@ -106,10 +106,12 @@ def maker_links(links: DataFrame, products: DataFrame) -> DataFrame:
 
 
 def az_index(makers: DataFrame) -> DataFrame:
-    """(letter, n, names): makers by first letter, "#" for others."""
+    """(letter, n, canonical_name) in order: makers by first letter, "#" for others, and how many a letter has."""
     first = F.upper(F.substring(F.trim("canonical_name"), 1, 1))
     letter = F.when(first.rlike("^[A-Z]$"), first).otherwise("#")
-    return makers.filter(~is_blank("canonical_name")).groupBy(letter.alias("letter")).agg(F.count("*").alias("n"), F.array_join(F.array_sort(F.collect_list("canonical_name")), ", ").alias("names"))
+    rows = makers.filter(~is_blank("canonical_name")).select(letter.alias("letter"), "canonical_name")
+    counts = rows.groupBy("letter").agg(F.count("*").alias("n"))  # 27 rows
+    return rows.join(F.broadcast(counts), "letter").select("letter", "n", "canonical_name").orderBy("letter", "canonical_name")
 
 
 def review_list(products: DataFrame, makers: DataFrame) -> DataFrame:

@@ -664,9 +664,10 @@ def _(t):
     return reports.maker_links(t.links, t.products).select("id", "position")
 
 
-@query("a11_az_index", "SELECT CASE WHEN regexp_matches(upper(substr(canonical_name, 1, 1)), '^[A-Z]$') THEN upper(substr(canonical_name, 1, 1)) ELSE '#' END AS letter, count(*) AS n, string_agg(canonical_name, ', ' ORDER BY canonical_name) AS names FROM makers GROUP BY 1", "makers")
+@query("a11_az_index", "SELECT letter, count(*) OVER (PARTITION BY letter) AS n, canonical_name FROM (SELECT CASE WHEN regexp_matches(upper(substr(name, 1, 1)), '^[A-Z]$') THEN upper(substr(name, 1, 1)) ELSE '#' END AS letter, name AS canonical_name FROM (SELECT CASE WHEN id % 4 = 0 THEN id || ' ' || canonical_name WHEN id % 4 = 1 THEN 'a' || canonical_name ELSE canonical_name END AS name FROM makers))", "makers")
 def _(t):
-    return reports.az_index(t.makers)
+    name = F.when(F.col("id") % 4 == 0, F.concat(F.col("id").cast("string"), F.lit(" "), "canonical_name")).when(F.col("id") % 4 == 1, F.concat(F.lit("a"), "canonical_name")).otherwise(F.col("canonical_name"))
+    return reports.az_index(t.makers.select(name.alias("canonical_name")))
 
 
 @query("a12_review_list", "SELECT p.id, m.canonical_name AS maker, p.name, p.review_status FROM products p JOIN makers m ON m.id = p.maker_id WHERE p.review_status IS NOT NULL", "products", "makers")
