@@ -22,7 +22,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import components, drop, shared_dir, shingle_sets, written
@@ -188,7 +188,7 @@ def once_each(sketch: DataFrame, rows: np.ndarray) -> DataFrame:
 
 
 def shared_tokens(sketch: DataFrame, rows: np.ndarray, folder: str) -> DataFrame:
-    """(token, k, n, rare, pos): the prefix tokens that two sets at least have, with their place in it, once for each set.
+    """(token, k, n, rare): the prefix tokens that two sets at least have, once for each set.
 
     As in ``once_each`` the bit filter ``rows`` leaves one row of each set, or few.
     """
@@ -205,11 +205,10 @@ def shared_tokens(sketch: DataFrame, rows: np.ndarray, folder: str) -> DataFrame
             flat = lists.values.to_numpy()[ends[0] : ends[-1]]
             keep = np.flatnonzero(passing(maps.value, flat))
             at = pa.array(np.searchsorted(ends - ends[0], keep, "right") - 1)
-            pos = pa.array(keep - (ends - ends[0])[at.to_numpy()])
-            yield pa.RecordBatch.from_arrays([pa.array(flat[keep]), batch.column("k").take(at), batch.column("n").take(at), batch.column("rare").take(at), pos], ["token", "k", "n", "rare", "pos"])
+            yield pa.RecordBatch.from_arrays([pa.array(flat[keep]), batch.column("k").take(at), batch.column("n").take(at), batch.column("rare").take(at)], ["token", "k", "n", "rare"])
 
     # one pass of Python workers, so both filters are in it
-    some = sketch.filter("n > 0").select("row", "prefix", "k", "n", "rare").mapInArrow(only, "token long, k long, n long, rare long, pos long")
+    some = sketch.filter("n > 0").select("row", "prefix", "k", "n", "rare").mapInArrow(only, "token long, k long, n long, rare long")
     return written(some.join(shared, "token").distinct(), f"{folder}/rows")
 
 
@@ -294,9 +293,9 @@ def prefix_end(n):
 def leading(rows: DataFrame, bands) -> DataFrame:
     """``rows`` with each of ``bands``, as ``other``, that may hold a partner, where the token leads for it.
 
-    Two sets that qualify share L = ``least_shared`` tokens of their prefixes.  The first
-    of these in the order has L - 1 more behind it in either prefix, so its place is
-    L before the prefix's end at the latest.  Tokens further on open nothing: in a set
+    Two sets that qualify share L = ``least_shared`` tokens of their prefixes.  In any
+    common order of the prefixes' tokens (``pos``) the first of these has L - 1 more behind
+    it in either prefix, so its place is L before the prefix's end at the latest.  Tokens further on open nothing: in a set
     with enough rare tokens a common passage's are never looked at.
     """
     n, other = F.col("n"), F.col("other")
@@ -327,7 +326,7 @@ def similar_groups(sets: DataFrame, docs: DataFrame, firsts: DataFrame, size: in
 
 def grouped(rows: DataFrame, groups: DataFrame) -> DataFrame:
     """``rows`` with their group; a set in no group is one of its own."""
-    return rows.join(groups, "k", "left").select("token", "k", "n", "rare", "pos", F.coalesce("g", "k").alias("g"))
+    return rows.join(groups, "k", "left").select("token", "k", "n", "rare", F.coalesce("g", "k").alias("g"))
 
 
 def led_groups(rows: DataFrame, groups: DataFrame, docs: DataFrame, firsts: DataFrame, size: int, folder: str) -> DataFrame:
@@ -362,8 +361,12 @@ def _classified(docs: DataFrame, size: int, folder: str) -> DataFrame:
     rows = written(grouped(rows, groups), f"{folder}/grouped")
 
     # Token-group matrix: the token union of each group and size band, for tokens of several groups.
-    several = written(rows.groupBy("token").agg(F.min("g").alias("lo"), F.max("g").alias("hi")).filter("lo <> hi").select("token"), f"{folder}/several")
-    rows = written(rows.join(several, "token").withColumn("band", size_band("n")), f"{folder}/open")
+    several = written(rows.groupBy("token").agg(F.min("g").alias("lo"), F.max("g").alias("hi"), F.count("*").alias("c")).filter("lo <> hi").select("token", "c"), f"{folder}/several")
+    # A token's place in its prefix: those of no other group first, then by exact counts, rare ones first.
+    own = Window.partitionBy("k")
+    place = prefix_end(F.col("n")) - F.count("*").over(own) + F.row_number().over(own.orderBy("c", "token")) - 1
+    rows = rows.join(several, "token").withColumn("pos", place).drop("c").withColumn("band", size_band("n"))
+    rows = written(rows, f"{folder}/open")
     matrix = rows.select("token", F.col("g").alias("h"), F.col("band").alias("hband")).distinct()
     sizes = rows.groupBy(F.col("g").alias("h"), F.col("band").alias("hband")).agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
     matrix = written(matrix.join(sizes, ["h", "hband"]), f"{folder}/matrix")
