@@ -191,3 +191,19 @@ def test_line_dedup_clashing_names_and_nothing(spark):
     out = line_dedup.dedup_lines(df, min_words=10).collect()
     assert sorted((r.doc_id, r.text, r.seqs, r.th) for r in out) == [(1, run, "a", 5), (2, "", "b", 6)]
     assert line_dedup.dedup_lines(df.limit(0)).count() == 0
+
+
+def test_a_hub_of_many_near_copies(spark):
+    """More near copies of one text than a part verifies, none alike enough but through it; exact copies and a very long text beside them."""
+    rng = random.Random(17)
+    base = [f"w{i}" for i in range(60)]
+    rows = [(0, " ".join(base))]
+    for i in range(1, 2 * ngram_join.PAIRS_A_PART + 200):
+        words = list(base)
+        words[6 + i % 48] = f"x{i}"
+        rows.append((i, " ".join(words)))
+    long = " ".join(f"v{rng.randrange(10**6)}" for _ in range(60_000))
+    rows += [(9000, long), (9001, long), (9002, long + " end"), (9003, "other words here"), (None, rows[5][1])]
+    got = [tuple(r) for r in ngram_join.jaccard_classes(frame(spark, rows)).collect()]
+    assert len(got) == len(rows)
+    assert {c for i, _, c in got if i is None or i < 9000} == {0} and {i: c for i, _, c in got if i and i >= 9000} == {9000: 9000, 9001: 9000, 9002: 9000, 9003: 9003}
