@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..ship import ship
-from . import decontam, flac, license_scan, line_dedup, ngram_join, piece_lattice, token_counts, token_files, toxicity, warc
+from . import alignment, conv_trie, decontam, flac, license_scan, line_dedup, ngram_join, piece_lattice, quality, token_counts, token_files, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -68,6 +68,21 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_classes(_table(spark, sf_dir, "documents"))
 
 
+def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
+    model = quality.learn(docs, _table(spark, sf_dir, "labels"))
+    return quality.score(docs, model).select("doc_id", F.coalesce(toxicity.held_out(), F.lit(False)).alias("held_out"), "score", "predicted")
+
+
+def op12_conv_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per distinct beginning of the rebuilt conversations: members, children, leaves, savings."""
+    return conv_trie.trie(conv_trie.paths(_table(spark, sf_dir, "conversations")))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.links(_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"), _tokenizer("piece_bpe_32k.model"))
+
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_toxicity": op2_toxicity,
@@ -79,6 +94,9 @@ QUERIES = {
     "op8_flac": op8_flac,
     "op9_piece_lattice": op9_piece_lattice,
     "op10_ngram_join": op10_ngram_join,
+    "op11_quality": op11_quality,
+    "op12_conv_trie": op12_conv_trie,
+    "op13_alignment": op13_alignment,
 }
 
 SQL: dict[str, str] = {
@@ -142,4 +160,34 @@ SQL: dict[str, str] = {
         )
         SELECT n.doc_id, n.n AS n_shingles, min(c.root) AS component_id FROM n JOIN c ON c.id = n.doc_id GROUP BY 1, 2
     """,
+    "op12_conv_trie": r"""
+        WITH t AS (
+            SELECT conv_id, turn, md5(CAST(length(coalesce(role, '')) AS VARCHAR) || ':' || coalesce(role, '') || coalesce(text, '')) AS h,
+                   coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+        ), own AS (
+            SELECT conv_id, list({'role': role, 'text': text} ORDER BY turn NULLS FIRST, h) AS turns FROM t GROUP BY 1
+        ), c(crc) AS (
+            SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(CAST(i AS UBIGINT), CAST(range(8) AS UBIGINT[])),
+                   lambda x, y: CASE WHEN x % 2 = 1 THEN xor(x // 2, CAST(3988292384 AS UBIGINT)) ELSE x // 2 END))
+        ), hashed AS (
+            SELECT conv_id, turns, CAST(xor(list_reduce(list_prepend(CAST(4294967295 AS UBIGINT), list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS UBIGINT))),
+                   lambda x, y: xor(x // 256, crc[CAST(xor(x, y) % 256 AS INT) + 1])), CAST(4294967295 AS UBIGINT)) % 6 AS INT) AS h FROM own, c
+        ), rebuilt AS (
+            SELECT o.conv_id, list_concat(coalesce(b.turns[1:o.h], []), o.turns[o.h + 1:]) AS turns
+            FROM hashed o LEFT JOIN own b ON b.conv_id = o.conv_id - o.conv_id % 100
+        ), member AS (
+            SELECT conv_id, turns[1:d] AS way, d AS depth, d = len(turns) AS ends FROM (SELECT *, unnest(range(len(turns) + 1)) AS d FROM rebuilt)
+        ), node AS (
+            SELECT way, any_value(depth) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, coalesce(length(way[-1].text), 0) AS chars,
+                   coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '') AS ended FROM member GROUP BY way
+        ), kids AS (
+            SELECT way[:-2] AS way, count(*) AS n_children FROM node WHERE depth > 0 GROUP BY 1
+        ), below AS (
+            SELECT way[1:k] AS way, sum(CASE WHEN leaf THEN 1 ELSE 0 END) AS n_leaves, sum((n_convs - 1) * chars) AS saved_tokens
+            FROM (SELECT n.*, kids.way IS NULL AS leaf, unnest(range(n.depth + 1)) AS k FROM node n LEFT JOIN kids ON kids.way = n.way) GROUP BY 1
+        )
+        SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(k.n_children, 0) AS n_children,
+               CAST(b.n_leaves AS BIGINT) AS n_leaves, CAST(b.saved_tokens AS BIGINT) AS saved_tokens, sha256(n.ended) AS ends_sha256
+        FROM node n LEFT JOIN node p ON n.depth > 0 AND p.way = n.way[:-2] LEFT JOIN kids k ON k.way = n.way JOIN below b ON b.way = n.way
+    """,
 }
