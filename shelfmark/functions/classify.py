@@ -87,7 +87,7 @@ def product_like(df: DataFrame, url: str, dictionary: DataFrame, key: str) -> Da
     marked = F.arrays_overlap("before", F.array(*map(F.lit, vocab.MARKERS)))
     rows = rows.withColumn("easy", F.when(bad, "none").when(prefixed, "D:product-prefix").when(marked, "A:path-marker"))
 
-    keys = dictionary.select(F.col("key").alias("k")).filter(F.length("k") >= 3).distinct()
+    keys = dictionary.filter("by_key").select(F.col("place").alias("k")).filter(F.length("k") >= 3).distinct()
     open_rows = rows.filter("easy is null")
     words = open_rows.select(key, F.explode("before").alias("seg"))
     parts = words.select(key, F.explode(F.array_union(F.array(norm("seg")), F.transform(F.filter(F.split("seg", "[-_]+"), lambda p: F.length(p) >= 3), norm))).alias("k"))
@@ -242,7 +242,7 @@ def discovery_funnel(names: DataFrame, dictionary: DataFrame, queue: DataFrame,
     counts = names.filter(F.col(name).isNotNull()).groupBy(F.col(name).alias("name")).agg(F.count("*").alias("n"))
     counts = counts.withColumn("_key", F.nullif(norm("name"), F.lit(""))).withColumn("_lower", F.lower(F.trim("name")))
     exact = dictionary.filter("exact").select(F.col("lower_name").alias("_lower"), F.lit(True).alias("_e"))
-    keyed = dictionary.filter("by_key").select(F.col("key").alias("_key"), F.lit(True).alias("_k"))
+    keyed = dictionary.filter("by_key").select(F.col("place").alias("_key"), F.lit(True).alias("_k"))
     queued = queue.select(F.lower(F.trim("name")).alias("_lower")).distinct().withColumn("_q", F.lit(True))
     rows = counts.join(exact, "_lower", "left").join(keyed, "_key", "left").join(queued, "_lower", "left")
     junk = F.col("_lower").isin(*vocab.LISTING_JUNK) | seller_text("name")

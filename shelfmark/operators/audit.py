@@ -10,13 +10,14 @@ from pyspark.sql import functions as F
 from ..functions.classify import product_like, title_verdict
 from ..functions.extract import label_year
 from ..functions.keys import domain_of, host_suffixes, is_blank, norm
+from .reports import counted_ids
 from .resolve import contained_name, relink, split_slug
 
 
 def classify_queue(queue: DataFrame, makers: DataFrame, dictionary: DataFrame) -> DataFrame:
     """Q1: (id, class, maker_id): found rows as out_of_scope, stale, stub, contained or open."""
     rows = queue.filter("status = 'found'").select("id", "name", norm("name").alias("key"))
-    known = dictionary.filter("by_key").select("key", "maker_id").filter("key <> ''")
+    known = dictionary.filter("by_key").select(F.col("place").alias("key"), "maker_id")
     state = makers.select(F.col("id").alias("maker_id"), "confidence", "scope")
     exact = rows.join(known, "key").join(state, "maker_id")
     kind = F.when(F.col("scope") == "out_of_scope", "out_of_scope").when(F.col("confidence") != "unresearched", "stale").otherwise("stub")
@@ -115,9 +116,10 @@ def source_shape(products: DataFrame, domains: DataFrame, fewest: int = 5, ratio
     """Q9: (domain, products, urls, shape): too_small, list or per_model."""
     rows = products.filter(~is_blank("source_url")).select("id", "source_url", F.explode(host_suffixes(domain_of("source_url"))).alias("domain"))
     rows = rows.join(domains.select("domain").distinct(), "domain")
-    out = rows.groupBy("domain").agg(F.countDistinct("id").alias("products"), F.countDistinct("source_url").alias("urls"))
+    urls = rows.select("domain", "source_url").distinct().groupBy("domain").agg(F.count("*").alias("urls"))
+    out = counted_ids(rows, ["domain"], F.col("id"), {"products": F.lit(True)}).join(urls, "domain")
     shape = F.when(F.col("urls") < fewest, "too_small").when(F.col("urls") / F.col("products") < ratio, "list").otherwise("per_model")
-    return out.withColumn("shape", shape)
+    return out.select("domain", "products", "urls", shape.alias("shape"))
 
 
 def detector_recall(products: DataFrame, domains: DataFrame, dictionary: DataFrame, least: float = 0.80) -> DataFrame:

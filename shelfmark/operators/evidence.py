@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import vocab
 from ..functions.keys import domain_of, first_by, is_blank, norm, nulls_last, value_key
+from ..sources.store import Kept, scratch, written
 from .resolve import resolve_maker, source_key
 
 
@@ -77,6 +78,14 @@ def append_new(df: DataFrame, existing: DataFrame, keys: Sequence[str], order: S
     return once.join(held, condition, "left_anti")
 
 
+def append_to(table: Kept, batch: DataFrame, order: Sequence[str] = ()) -> None:
+    """Add to a kept table the rows of ``batch`` whose keys it hasn't; the table's keys tell rows apart.
+
+    Only the partitions of the batch's keys are read and written; again, it changes nothing.
+    """
+    table.apply(batch, lambda held, new: held.unionByName(append_new(new.select(*held.columns), held, table.keys, order)))
+
+
 def make_stubs(relations: DataFrame, makers: DataFrame, queue: DataFrame) -> tuple[DataFrame, DataFrame]:
     """K6: (new maker stubs, new queue rows) for related companies (related) that nobody knows."""
     names = first_by(relations.filter(~is_blank("related")).select(F.trim("related").alias("name")).withColumn("_l", F.lower("name")), ["_l"], F.col("name"))
@@ -146,6 +155,19 @@ def apply_facts(entities: DataFrame, facts: DataFrame, claims: DataFrame, fields
     return out, append_new(rows, claims, ["entity_id", "field_name", "derived_from"])
 
 
+def apply_facts_to(entities: Kept, claims: Kept, facts: DataFrame, fields: Sequence[str], unknown: dict[str, str] | None = None) -> None:
+    """K10 on kept tables, ``entities`` by id and ``claims`` by entity_id, field_name and derived_from.
+
+    Provenance is written first: a run that is killed in between has filled nothing yet, so
+    the next one derives the same facts again.  Only partitions of the facts' entities change.
+    """
+    facts = written(facts, scratch(facts.sparkSession, "facts"))  # they may be derived from the tables that change
+    rows = facts.filter(F.col("field").isin(*fields)).select("entity_id", F.col("field").alias("field_name"), "value", "source_url", F.col("tier").alias("source_tier"), "derived_from")
+    append_to(claims, rows)
+    none = rows.limit(0)
+    entities.apply(facts.select(F.col("entity_id").alias("id")).distinct(), lambda held, _: apply_facts(held, facts, none, fields, unknown)[0])
+
+
 def retract_rule(claims: DataFrame, rule: str) -> DataFrame:
     """Claims without those that a rule derived."""
     return claims.filter(~F.coalesce(F.startswith("derived_from", F.lit(rule)), F.lit(False)))

@@ -2,17 +2,36 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.keys import domain_of, host_suffixes, is_blank
 from ..functions.vocab import AUDIO_FILE, DOC_FILE
+from .ranks import Sort, down, ranked, up, up_nulls_last
+
+
+def counted_ids(df: DataFrame, by: list[str], of: Column, numbers: dict[str, Column], sums: dict[str, Column] | None = None) -> DataFrame:
+    """``by``, for each name in ``numbers`` how many different ids (integers) meet its condition, and plain sums.
+
+    Ids become bits, 32,768 to a bitmap; bitmaps combine before the shuffle, so a key
+    sends what it has of different ids, not its rows.  Null is no id.
+    """
+    sums = sums or {}
+    rows = df.select(*by, of.cast("long").alias("_id"), *[c.alias(f"_n{i}") for i, c in enumerate(numbers.values())], *[c.cast("long").alias(f"_s{i}") for i, c in enumerate(sums.values())])
+    rows = rows.withColumn("_bucket", F.bitmap_bucket_number("_id")).withColumn("_bit", F.bitmap_bit_position("_id"))
+    maps = rows.groupBy(*by, "_bucket").agg(
+        *[F.bitmap_count(F.bitmap_construct_agg(F.when(F.col(f"_n{i}"), F.col("_bit")))).alias(f"_n{i}") for i in range(len(numbers))],
+        *[F.sum(f"_s{i}").alias(f"_s{i}") for i in range(len(sums))],
+    )
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    return maps.groupBy(*by).agg(*[total(f"_s{i}").alias(n) for i, n in enumerate(sums)], *[total(f"_n{i}").alias(n) for i, n in enumerate(numbers)])
 
 
 def domain_graph(links: DataFrame) -> DataFrame:
     """A1: (domain, links, spread): links and distinct owners of each domain."""
     owner = F.coalesce("product_id", -F.col("maker_id"))
-    return links.filter(F.coalesce("domain", F.lit("")) != "").groupBy("domain").agg(F.count("*").alias("links"), F.countDistinct(owner).alias("spread"))
+    rows = links.filter(F.coalesce("domain", F.lit("")) != "")
+    return counted_ids(rows, ["domain"], owner, {"spread": F.lit(True)}, {"links": F.lit(1)})
 
 
 def last_harvest(domains: DataFrame, products: DataFrame, links: DataFrame) -> DataFrame:
@@ -30,15 +49,15 @@ def confidence_counts(makers: DataFrame) -> DataFrame:
     return makers.agg(*[n(company & ~out & (F.col("confidence") == k)).alias(k) for k in ("confirmed", "needs_review", "unresearched")], n(company & out).alias("out_of_scope"), n(F.col("entity_type") == "individual").alias("individuals"))
 
 
-def logo_order() -> list[Column]:
+def logo_order() -> list[Sort]:
     """A4: approved, other, outdated; open end first; null start last, newest start, highest id."""
     review = F.when(F.col("review_status") == "approved", 0).when(F.col("review_status") == "outdated", 2).otherwise(1)
-    return [review, F.col("end_year").isNotNull(), F.col("start_year").isNull(), F.desc("start_year"), F.desc("id")]
+    return [up(review), up(F.col("end_year").isNotNull()), down("start_year"), down("id")]
 
 
 def rank_logos(logos: DataFrame) -> DataFrame:
     """A4: logos with their rank within a maker."""
-    return logos.withColumn("rank", F.row_number().over(Window.partitionBy("maker_id").orderBy(*logo_order())))
+    return ranked(logos, "maker_id", logo_order())
 
 
 def logo_state(makers: DataFrame, logos: DataFrame) -> DataFrame:
@@ -56,8 +75,9 @@ def coverage(products: DataFrame, links: DataFrame, membership: DataFrame) -> Da
     """A5: one row: products, categorised, with a document, with audio; links to files and to audio."""
     audio, doc = F.col("url").rlike(AUDIO_FILE), F.col("url").rlike(DOC_FILE)
     of_products = products.agg(F.count("*").alias("products"))
-    categorised = membership.agg(F.countDistinct("product_id").alias("categorised"))
-    of_links = links.agg(F.countDistinct(F.when(doc, F.col("product_id"))).alias("with_document"), F.countDistinct(F.when(audio, F.col("product_id"))).alias("with_audio"), F.coalesce(F.sum((doc | audio).cast("long")), F.lit(0)).alias("file_links"), F.coalesce(F.sum(audio.cast("long")), F.lit(0)).alias("audio_links"))
+    categorised = counted_ids(membership, [], F.col("product_id"), {"categorised": F.lit(True)})
+    sums = {"file_links": (doc | audio).cast("long"), "audio_links": audio.cast("long")}
+    of_links = counted_ids(links, [], F.col("product_id"), {"with_document": doc, "with_audio": audio}, sums)
     return of_products.join(F.broadcast(categorised)).join(F.broadcast(of_links))
 
 
@@ -101,8 +121,9 @@ def maker_links(links: DataFrame, products: DataFrame) -> DataFrame:
     own = products.select(F.col("id").alias("_p"), F.col("maker_id").alias("_m"))
     rows = links.join(own, F.col("product_id") == F.col("_p"), "left").withColumn("maker_id", F.coalesce("maker_id", "_m")).filter("maker_id is not null")
     state = F.when(F.col("status") == "live", 0).when(F.col("status") == "redirected", 1).when(F.col("status") == "unchecked", 2).when(F.col("status") == "blocked", 3).otherwise(4)
-    w = Window.partitionBy("maker_id").orderBy(F.col("product_id").isNotNull(), state, F.col("link_type").asc_nulls_last(), "url", F.col("product_id").asc_nulls_first(), "id")
-    return rows.select("id", "maker_id", "product_id", "url", "link_type", F.row_number().over(w).alias("position"))
+    rows = rows.select("id", "maker_id", "product_id", "url", "link_type", state.alias("_state"))
+    order = [up(F.col("product_id").isNotNull()), up("_state"), up_nulls_last("link_type"), up("url"), up("product_id"), up("id")]
+    return ranked(rows, "maker_id", order, "position").drop("_state")
 
 
 def az_index(makers: DataFrame) -> DataFrame:
@@ -131,8 +152,7 @@ def toggled(actions: DataFrame, makers: DataFrame) -> DataFrame:
 
 def toggle_log(actions: DataFrame, makers: DataFrame) -> DataFrame:
     """The log row of every approval: previous and new confidence, by the parity of its number."""
-    w = Window.partitionBy("maker_id").orderBy("created_at", "id")
-    rows = actions.filter("action = 'approve'").withColumn("_n", F.row_number().over(w)).join(makers.select(F.col("id").alias("maker_id"), F.col("confidence").alias("_c")), "maker_id")
+    rows = ranked(actions.filter("action = 'approve'"), "maker_id", [up("created_at"), up("id")], "_n").join(makers.select(F.col("id").alias("maker_id"), F.col("confidence").alias("_c")), "maker_id")
     flip = lambda even: F.when(F.col("_c") == "unresearched", F.col("_c")).when(even, F.col("_c")).when(F.col("_c") == "confirmed", "needs_review").otherwise("confirmed")
     return rows.select("id", "maker_id", "action", flip(F.col("_n") % 2 == 1).alias("previous_confidence"), flip(F.col("_n") % 2 == 0).alias("new_confidence"), "created_at")
 

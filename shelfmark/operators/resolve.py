@@ -14,13 +14,16 @@ from pyspark.sql import functions as F
 
 from ..functions.keys import base_name, domain_of, first_by, is_blank, norm, prefixes, spaced_key, title_case_slug
 from ..functions.vocab import STOP_TAGS
+from ..sources.store import Versions
 
 
 def name_dictionary(makers: DataFrame, names: DataFrame, sources: Sequence[str] = ("canonical", "long", "history"), extra: DataFrame | None = None) -> DataFrame:
-    """(name, key, exact, maker_id, source): one maker for each exact spelling and each key.
+    """(name, lower_name, key, place, maker_id, source, exact, by_key): one maker for each exact spelling and each key.
 
     On a clash canonical beats long beats history beats extra, then the lowest id.  A row
     with ``exact`` true has won its lower-case spelling, one with ``by_key`` its compact key.
+    ``place`` is the key, or the spelling where the key is empty: equal spellings have equal
+    places, so all that a name can meet is met in one join, and rows are dealt by it once.
     """
     parts = {
         "canonical": makers.select(F.col("id").alias("maker_id"), F.col("canonical_name").alias("name"), F.lit(0).alias("rank")),
@@ -35,10 +38,37 @@ def name_dictionary(makers: DataFrame, names: DataFrame, sources: Sequence[str]
             part = part.withColumn("source", F.lit(source))
             rows = part if rows is None else rows.unionByName(part)
     rows = rows.filter(~is_blank("name")).withColumn("lower_name", F.lower(F.trim("name"))).withColumn("key", norm("name"))
+    rows = rows.withColumn("place", name_place("name"))
     order = [F.col("rank"), F.col("maker_id"), F.col("name")]
-    exact = F.row_number().over(Window.partitionBy("lower_name").orderBy(*order)) == 1
-    by_key = (F.col("key") != "") & (F.row_number().over(Window.partitionBy("key").orderBy(*order)) == 1)
-    return rows.withColumn("exact", exact).withColumn("by_key", by_key).filter("exact or by_key").select("name", "lower_name", "key", "maker_id", "source", "exact", "by_key")
+    exact = F.row_number().over(Window.partitionBy("place", "lower_name").orderBy(*order)) == 1
+    by_key = (F.col("key") != "") & (F.row_number().over(Window.partitionBy("place").orderBy(*order)) == 1)
+    rows = rows.repartition("place").withColumn("exact", exact).withColumn("by_key", by_key).filter("exact or by_key")
+    return rows.select("name", "lower_name", "key", "place", "maker_id", "source", "exact", "by_key")
+
+
+def name_place(c: Column | str) -> Column:
+    """Where a name stands in a dictionary: its compact key, or its lower-case spelling if that is empty."""
+    c = F.col(c) if isinstance(c, str) else c
+    return F.coalesce(F.nullif(norm(c), F.lit("")), F.lower(F.trim(c)))
+
+
+def store_dictionary(dictionary: DataFrame, path: str, buckets: int = 8) -> DataFrame:
+    """Write another version of a dictionary, bucketed by place, and read it.
+
+    Joins and groupings by place then need no exchange on its side, and no window runs
+    again.  ``Versions(path, "place", buckets).read(spark)`` opens it in another session.
+    """
+    store = Versions(path, "place", buckets)
+    return store.read(dictionary.sparkSession, store.write(dictionary))
+
+
+def _lookup(dictionary: DataFrame) -> DataFrame:
+    """(_place, _keyed, _spelled): a place's maker by key, and its makers by spelling.
+
+    The spellings of a place differ in punctuation and blanks only.
+    """
+    spelled = F.map_from_entries(F.collect_list(F.when(F.col("exact"), F.struct("lower_name", "maker_id"))))
+    return dictionary.groupBy(F.col("place").alias("_place")).agg(F.max(F.when(F.col("by_key"), F.col("maker_id"))).alias("_keyed"), spelled.alias("_spelled"))
 
 
 def _exact(dictionary: DataFrame, out: str) -> DataFrame:
@@ -46,7 +76,7 @@ def _exact(dictionary: DataFrame, out: str) -> DataFrame:
 
 
 def _keyed(dictionary: DataFrame, out: str) -> DataFrame:
-    return dictionary.filter("by_key").select(F.col("key").alias("_key"), F.col("maker_id").alias(out))
+    return dictionary.filter("by_key").select(F.col("place").alias("_key"), F.col("maker_id").alias(out))  # there the place is the key
 
 
 def resolve_maker(df: DataFrame, name: str, dictionary: DataFrame, aliases: DataFrame | None = None) -> DataFrame:
@@ -56,10 +86,10 @@ def resolve_maker(df: DataFrame, name: str, dictionary: DataFrame, aliases: Data
         known = first_by(aliases.select(F.lower(F.trim("alias")).alias("_alias"), F.col("name").alias("_real")), ["_alias"], F.col("_real"))
         df = df.withColumn("_alias", F.lower(F.trim(asked))).join(known, "_alias", "left")
         asked = F.coalesce(F.col("_real"), asked)
-    df = df.withColumn("_lower", F.lower(F.trim(asked))).withColumn("_key", F.nullif(norm(asked), F.lit("")))
-    df = df.join(_exact(dictionary, "_m1"), "_lower", "left").join(_keyed(dictionary, "_m2"), "_key", "left")
-    kind = F.when(F.col("_m1").isNotNull(), "exact").when(F.col("_m2").isNotNull(), "key")
-    return df.withColumn("maker_id", F.coalesce("_m1", "_m2")).withColumn("match_kind", kind).drop("_alias", "_real", "_lower", "_key", "_m1", "_m2")
+    df = df.withColumn("_lower", F.lower(F.trim(asked))).withColumn("_place", name_place(asked))
+    df = df.join(_lookup(dictionary), "_place", "left").withColumn("_exact", F.col("_spelled")[F.col("_lower")])
+    kind = F.when(F.col("_exact").isNotNull(), "exact").when(F.col("_keyed").isNotNull(), "key")
+    return df.withColumn("maker_id", F.coalesce("_exact", "_keyed")).withColumn("match_kind", kind).drop("_alias", "_real", "_lower", "_place", "_exact", "_keyed", "_spelled")
 
 
 def find_maker(df: DataFrame, name: str, makers: DataFrame, names: DataFrame) -> DataFrame:
@@ -116,14 +146,17 @@ def split_slug(df: DataFrame, slug: str, dictionary: DataFrame, key: str, most:
 
 def contained_name(df: DataFrame, name: str, dictionary: DataFrame, key: str) -> DataFrame:
     """(key, maker_id, contained): longest known name within a name as whole words; no exact hits."""
-    known = dictionary.select(spaced_key("name").alias("_gram"), "maker_id").filter("_gram <> ''").groupBy("_gram").agg(F.min("maker_id").alias("maker_id"))
+    known = dictionary.select("place", spaced_key("name").alias("_gram"), "maker_id").filter("_gram <> ''").groupBy("place", "_gram").agg(F.min("maker_id").alias("maker_id"))
+    counts = _word_counts(known, F.split("_gram", " "))
+    # a gram's place is its letters and digits, so names meet by place, as the dictionary is dealt
+    known = known.groupBy("place").agg(F.map_from_entries(F.collect_list(F.struct("_gram", "maker_id"))).alias("_grams"))
     words = F.split("_all", " ")
     n = F.size(words)
     # only as many words as known names have
     grams = F.flatten(F.transform(F.sequence(F.lit(1), n), lambda i: F.transform(F.filter("_counts", lambda c: c <= n - i + 1), lambda k: F.array_join(F.slice(words, i, k), " "))))
-    rows = df.select(key, spaced_key(name).alias("_all")).crossJoin(F.broadcast(_word_counts(known, F.split("_gram", " "))))
+    rows = df.select(key, spaced_key(name).alias("_all")).crossJoin(F.broadcast(counts))
     rows = rows.select(key, "_all", F.explode(grams).alias("_gram")).filter("_gram <> _all and _gram <> ''")
-    hits = rows.join(known, "_gram")
+    hits = rows.withColumn("place", F.replace("_gram", F.lit(" "), F.lit(""))).join(known, "place").withColumn("maker_id", F.col("_grams")[F.col("_gram")]).filter("maker_id is not null")
     return hits.groupBy(key).agg(F.max_by(F.struct("maker_id", "_gram"), F.struct(F.length("_gram"), "_gram")).alias("b")).select(key, "b.maker_id", F.col("b._gram").alias("contained"))
 
 

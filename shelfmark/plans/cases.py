@@ -11,9 +11,8 @@ from pyspark.sql import functions as F
 
 from ..functions import classify, extract, keys, vocab
 from ..operators import audit, evidence, reports, resolve
-from ..sources import readers
+from ..sources import readers, store
 from .catalogue import HOST, LABEL, NORM, TECHNOLOGY, dictionary_sql, query
-from .tables import scratch
 
 
 def quoted(value) -> str:
@@ -559,7 +558,7 @@ def _(t):
 def _json_files(t, rows, head: str, tail: str) -> str:
     """A folder of JSON files, one for every hundred parts, from ``rows`` (p_partkey, text)."""
     texts = rows.groupBy(F.floor(F.col("p_partkey") / 100).alias("batch")).agg(F.concat(F.lit(head), F.array_join(F.array_sort(F.collect_list("text")), ","), F.lit(tail)).alias("value"))
-    folder = scratch(t.part.sparkSession)
+    folder = store.scratch(t.part.sparkSession)
     texts.write.partitionBy("batch").text(folder)
     return f"{folder}/batch=*"
 

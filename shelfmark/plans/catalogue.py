@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 
 from ..functions import classify, extract, keys, vocab
 from ..operators import audit, evidence, reports, resolve, taxonomy
-from ..sources import readers
+from ..sources import readers, store
 from .tables import table, with_tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
+_DICTIONARIES: dict[tuple, store.Versions] = {}
 
 
 class Tables:
@@ -26,7 +27,15 @@ class Tables:
         return table(*self._at, name)
 
     def dictionary(self, *sources: str) -> DataFrame:
-        return resolve.name_dictionary(self.makers, self.maker_names, sources or ("canonical", "long", "history"))
+        """The name dictionary, written once for all queries over the same files."""
+        spark, sf_dir = self._at
+        sources = sources or ("canonical", "long", "history")
+        key = (spark.sparkContext.applicationId, sources, store.fingerprint(spark, [f"{sf_dir}/part.parquet"]))
+        if key not in _DICTIONARIES:
+            kept = store.Versions(store.scratch(spark, "dictionary"), "place")
+            kept.write(resolve.name_dictionary(self.makers, self.maker_names, sources))
+            _DICTIONARIES[key] = kept
+        return _DICTIONARIES[key].read(spark)
 
 
 def query(name: str, sql: str | None = None, *tables: str):
@@ -860,4 +869,4 @@ def _(t):
     return readers.flatten_bindings(t.part.select(body.alias("body"))).select("label", "qid", "year")
 
 
-from . import cases  # noqa: E402, F401  # registers its queries here
+from . import cases, kept  # noqa: E402, F401  # register their queries here

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
 from ..ship import ship
@@ -119,13 +116,3 @@ def with_tables(sql: str, *names: str) -> str:
             text = text.replace("{" + s + "}", s)
         parts.append(f"{n} AS ({text})")
     return f"WITH {', '.join(parts)} {sql}"
-
-
-def scratch(spark: SparkSession) -> str:
-    """A new folder name in the shared folder of the cluster; a temporary one where a single machine names none."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        base = "file://" + tempfile.mkdtemp(prefix="spark-files-")
-    return f"{base.rstrip('/')}/files-{uuid.uuid4().hex}"

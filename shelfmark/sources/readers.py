@@ -96,7 +96,8 @@ def listing_entries(df: DataFrame, key: str, html: str = "html", extensions: str
 def publish(makers: DataFrame, names: DataFrame, products: DataFrame, relations: DataFrame, logos: DataFrame) -> DataFrame:
     """A row a maker with its names, products, relations and logos as ordered arrays.
 
-    What is gathered is one maker's; the caller writes the result with ``write.json``.
+    What is gathered is one maker's, so this is for makers of a bounded size; ``catalogue.publish_files``
+    writes catalogues of any.
     """
     def gathered(df: DataFrame, alias: str, *columns: str | Column) -> DataFrame:
         return df.groupBy("maker_id").agg(F.array_sort(F.collect_list(F.struct(*columns))).alias(alias))
