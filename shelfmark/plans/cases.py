@@ -555,12 +555,18 @@ def _(t):
     return found.groupBy("id").agg(F.array_join(F.array_sort(F.collect_list(F.concat("kind", F.lit(":"), "entry"))), "|").alias("entries"))
 
 
-def _json_files(t, rows, head: str, tail: str) -> str:
-    """A folder of JSON files, one for every hundred parts, from ``rows`` (p_partkey, text)."""
-    texts = rows.groupBy(F.floor(F.col("p_partkey") / 100).alias("batch")).agg(F.concat(F.lit(head), F.array_join(F.array_sort(F.collect_list("text")), ","), F.lit(tail)).alias("value"))
-    folder = store.scratch(t.part.sparkSession)
-    texts.write.partitionBy("batch").text(folder)
-    return f"{folder}/batch=*"
+#: Rows of a JSON file, about.
+FILE_ROWS = 5000
+
+
+def json_files(rows, head: str, tail: str) -> str:
+    """A folder of JSON files from ``rows`` (p_partkey, text), FILE_ROWS to each, about, by a hash of the key."""
+    n = max(1, rows.count() // FILE_ROWS)
+    texts = rows.groupBy(F.pmod(F.xxhash64("p_partkey"), F.lit(n)).alias("batch")).agg(F.concat(F.lit(head), F.array_join(F.array_sort(F.collect_list("text")), ","), F.lit(tail)).alias("value"))
+    folder = store.scratch(rows.sparkSession)
+    # each line is a document, and a file of its own
+    texts.repartition(n, "batch").select("value").write.option("maxRecordsPerFile", 1).text(folder)
+    return folder
 
 
 def _batches(t):
@@ -569,7 +575,7 @@ def _batches(t):
     items = F.concat(F.lit('["Solo", " ", {"name": "'), "p_name", F.lit('", "year": '), (F.col("p_size") + 1950).cast("string"), F.lit("}]"))
     sources = F.when(key % 2 == 0, '[{"field_name": "country", "value": "x", "source_url": "https://a.example.com"}]').otherwise("[]")
     text = F.concat(F.lit('{"canonical_name": "'), name, F.lit('", "country": "Land '), (key % 3).cast("string"), F.lit('", "instruments": '), items, F.lit(', "sources": '), sources, F.lit("}"))
-    return readers.read_batches(t.part.sparkSession, _json_files(t, t.part.select("p_partkey", text.alias("text")), '{"manufacturers": [', "]}"))
+    return readers.read_batches(t.part.sparkSession, json_files(t.part.select("p_partkey", text.alias("text")), '{"manufacturers": [', "]}"))
 
 
 @query("s1_read_batches", """SELECT CASE WHEN p_partkey % 6 = 4 THEN p_brand ELSE p_brand || ' New ' || p_partkey END AS canonical_name, 'Solo:0|' || p_name || ':' || (1950 + p_size) AS items, CAST(CASE WHEN p_partkey % 2 = 0 THEN 1 ELSE 0 END AS INT) AS n_sources FROM part WHERE p_partkey % 6 <> 5""")
@@ -583,14 +589,14 @@ def _(t):
     key = F.col("p_partkey")
     specs = F.when(key % 7 == 0, "{}").when(F.col("p_size") % 2 == 0, '{"Keys": "61"}').otherwise('{"Keys": "61", "FX": "2"}')
     page = F.concat(F.lit('{"model_slug": "'), F.when(key % 5 == 0, "").otherwise(F.concat(F.lit("m-"), key.cast("string"))), F.lit('", "maker_slug": "s'), (key % 4).cast("string"), F.lit('", "specs": '), specs, F.lit("}"))
-    path = _json_files(t, t.part.select("p_partkey", page.alias("text")), '{"source": "s", "pages": [', "]}")
+    path = json_files(t.part.select("p_partkey", page.alias("text")), '{"source": "s", "pages": [', "]}")
     return readers.read_page_batches(t.part.sparkSession, path).select(F.substring("maker_slug", 2, 9).cast("long").alias("source"), "model_slug", F.size("specs").alias("n_specs"))
 
 
 def _cache(t):
     text = F.when(F.col("p_partkey") % 10 == 0, "No such synth here").when(F.col("p_partkey") % 10 == 1, F.lit(None)).otherwise(F.concat(F.lit("Device:\nSynth\nProduced: "), (F.col("p_size") + 1950).cast("string"), F.lit("\nTechnology:\nAnalog")))
     page = F.to_json(F.struct(F.col("p_brand").alias("manufacturer"), F.col("p_name").alias("model"), F.concat(F.lit("https://c.example.com/"), F.col("p_partkey").cast("string")).alias("url"), text.alias("text")))
-    return readers.read_page_cache(t.part.sparkSession, _json_files(t, t.part.select("p_partkey", page.alias("text")), "[", "]"))
+    return readers.read_page_cache(t.part.sparkSession, json_files(t.part.select("p_partkey", page.alias("text")), "[", "]"))
 
 
 @query("s3_read_page_cache", "SELECT 'https://c.example.com/' || p_partkey AS url, p_brand AS manufacturer, p_partkey % 10 = 0 AS dead FROM part")

@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from ..operators import evidence, reports
 from ..sources import catalogue as published
+from ..sources import readers, store
 from ..sources.store import Kept, scratch
+from .cases import json_files
 from .catalogue import TECHNOLOGY, query
 
 
@@ -87,3 +89,57 @@ def _(t):
 def _(t):
     actions = t.events.select(F.col("event_id").alias("id"), (F.col("user_id") % 25).alias("maker_id"), F.when(F.col("event_type") == "click", "approve").otherwise("look").alias("action"), F.col("ts").alias("created_at"))
     return reports.toggle_log(actions, t.makers).select("id", "previous_confidence", "new_confidence")
+
+
+@query("s1_mixed_batches", """SELECT p_partkey AS id, p_name AS name, CASE p_partkey % 4 WHEN 0 THEN NULL WHEN 3 THEN NULL ELSE 1950 + p_size END AS year,
+    CASE p_partkey % 4 WHEN 0 THEN 'STRING' WHEN 1 THEN 'BIGINT' WHEN 2 THEN 'STRING' ELSE 'BOOLEAN' END AS kind, CASE WHEN p_partkey % 2 = 0 THEN p_brand END AS unknown FROM part""")
+def _(t):
+    """Instruments by turns: a string, a struct with a year as number, as text, as no year at all; every other entry has a field that nobody knows."""
+    key = F.col("p_partkey")
+    year = (F.col("p_size") + 1950).cast("string")
+    item = F.when(key % 4 == 0, F.concat(F.lit('"'), "p_name", F.lit('"'))).otherwise(
+        F.concat(F.lit('{"name": "'), "p_name", F.lit('", "year": '), F.when(key % 4 == 1, year).when(key % 4 == 2, F.concat(F.lit('"'), year, F.lit('"'))).otherwise("true"), F.lit("}"))
+    )
+    extra = F.when(key % 2 == 0, F.concat(F.lit(', "grade": {"by": ["'), "p_brand", F.lit('"]}'))).otherwise("")
+    text = F.concat(F.lit('{"canonical_name": "n'), key.cast("string"), F.lit('"'), extra, F.lit(', "instruments": [" ", '), item, F.lit("]}"))
+    path = json_files(t.part.select("p_partkey", text.alias("text")), '{"manufacturers": [', "]}")
+    rows = readers.read_batches(t.part.sparkSession, path).withColumn("x", F.element_at("instruments", 1))
+    given = F.when(F.schema_of_variant("x.given") == "STRING", "STRING").otherwise(F.schema_of_variant(F.try_variant_get("x.given", "$.year", "variant")))
+    # true is no year, though it can be cast to one
+    year = F.when(given != "BOOLEAN", F.col("x.year"))
+    return rows.select(F.substring("canonical_name", 2, 20).cast("long").alias("id"), "x.name", year.alias("year"), given.alias("kind"), F.try_variant_get("entry", "$.grade.by[0]", "string").alias("unknown"))
+
+
+@query("s4_sitemap_files", """SELECT DISTINCT 'd' || p_size % 9 AS domain, 'https://d' || p_size % 9 || '/p/' || p_partkey AS url FROM part WHERE p_partkey % 4 < 2 OR p_partkey % 4 = 2 AND p_size % 2 = 0""")
+def _(t):
+    """Gzipped sitemap files of each domain (one of its own; products, in an index; others, of which the index matches half) and its index, written as XML and read back."""
+    spark = t.part.sparkSession
+    turn, domain = F.col("p_partkey") % 4, F.concat(F.lit("d"), (F.col("p_size") % 9).cast("string"))
+    name = F.when(turn == 0, "own").when(turn == 1, "product").when(turn == 2, F.when(F.col("p_size") % 2 == 0, "product-b").otherwise("blog")).otherwise("hidden")
+    rows = t.part.select(domain.alias("domain"), name.alias("map"), F.concat(F.lit("https://"), domain, F.lit("/p/"), F.col("p_partkey").cast("string")).alias("loc"))
+    folder = store.scratch(spark, "sitemaps")
+    rows.repartition("domain", "map").write.format("xml").partitionBy("domain", "map").options(rootTag="urlset", rowTag="url", compression="gzip").save(f"{folder}/maps")
+    index = rows.filter("map <> 'own'").select("domain", "map").distinct()
+    # the hidden map is named, but its name doesn't end as those that are followed
+    ending = F.when(F.col("map") == "hidden", ".txt").otherwise(".xml.gz")
+    index = index.select("domain", F.lit("index").alias("map"), F.concat(F.lit("https://"), "domain", F.lit("/"), "map", ending).alias("loc"))
+    index.repartition("domain").write.format("xml").partitionBy("domain", "map").options(rootTag="sitemapindex", rowTag="sitemap", compression="gzip").save(f"{folder}/index")
+    locs = readers.read_sitemap_files(spark, f"{folder}/*/*/*")
+    at = F.regexp_extract("file", "domain=([^/]+)/map=([^/]+)/", 1), F.regexp_extract("file", "domain=([^/]+)/map=([^/]+)/", 2)
+    listing = locs.select("file").distinct().select("file", at[0].alias("domain"), at[1].alias("map"))
+    listing = listing.select("file", "domain", F.concat(F.lit("https://"), "domain", F.lit("/"), "map", F.when(F.col("map") == "hidden", ".txt").otherwise(".xml.gz")).alias("url"))
+    return readers.sitemap_file_urls(locs, listing, include="product")
+
+
+@query("s6_mixed_bindings", """SELECT 'l' || p_partkey AS label, p_partkey AS qid, 1950 + p_size AS year, CASE WHEN p_partkey % 3 = 0 THEN p_brand END AS unknown FROM part""")
+def _(t):
+    """Bindings whose variables are structs or, by turns, plain values; every third has a variable that nobody knows."""
+    key = F.col("p_partkey").cast("string")
+    date = F.concat(F.lit('"'), (F.col("p_size") + 1950).cast("string"), F.lit('-05"'))
+    plain = F.col("p_partkey") % 2 == 0
+    text = F.concat(
+        F.lit('{"item": {"value": "http://w.example.com/entity/'), key, F.lit('"}, "itemLabel": '), F.when(plain, F.concat(F.lit('"l'), key, F.lit('"'))).otherwise(F.concat(F.lit('{"value": "l'), key, F.lit('"}'))),
+        F.lit(', "date": '), F.when(plain, F.concat(F.lit('{"type": "literal", "value": '), date, F.lit("}"))).otherwise(date), F.when(F.col("p_partkey") % 3 == 0, F.concat(F.lit(', "note": {"value": "'), "p_brand", F.lit('"}'))).otherwise(""), F.lit("}"),
+    )
+    rows = readers.flatten_bindings(t.part.select(F.concat(F.lit('{"results": {"bindings": ['), text, F.lit("]}}")).alias("body")))
+    return rows.select("label", F.col("qid").cast("long").alias("qid"), "year", F.get_json_object("binding", "$.note.value").alias("unknown"))

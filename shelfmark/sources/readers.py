@@ -8,32 +8,43 @@ from pyspark.sql import functions as F
 from ..functions.extract import unescaped_hrefs
 from ..functions.keys import first_by, is_blank
 
-BATCH = """manufacturers array<struct<canonical_name string, long_name string, country string, city string, founders string,
-    short_history string, long_history string, official_website string, status string, entity_type string, queue_name string,
-    review_note string, founded_year int, ended_year int,
-    name_history array<struct<name string, start_year int, end_year int>>,
-    relations array<struct<related_company string, relation_type string, year int>>,
-    sources array<struct<field_name string, value string, source_url string, source_tier string>>,
-    instruments array<string>, conflicts array<string>>>"""
-INSTRUMENT = "name string, year int, category string, source_url string"
+#: Fields of a research batch's entry; others stay in its ``entry``.
+BATCH_FIELDS = {
+    "string": ("canonical_name", "long_name", "country", "city", "founders", "short_history", "long_history", "official_website", "status", "entity_type", "queue_name", "review_note"),
+    "int": ("founded_year", "ended_year"),
+    "array<struct<name string, start_year int, end_year int>>": ("name_history",),
+    "array<struct<related_company string, relation_type string, year int>>": ("relations",),
+    "array<struct<field_name string, value string, source_url string, source_tier string>>": ("sources",),
+    "array<string>": ("conflicts",),
+}
+INSTRUMENT_FIELDS = {"year": "int", "category": "string", "source_url": "string"}
 PAGE_BATCH = """source string, pages array<struct<source_url string, maker_slug string, model_slug string, display_name string,
     links array<struct<url string, label string, block string>>, specs map<string, string>>>"""
 CACHED_PAGE = "manufacturer string, model string, url string, fetched_at string, text string"
 
 
-def either(c: Column, schema: str, name: str) -> Column:
-    """An element that is a JSON struct, or a plain string that is its ``name``."""
-    parsed = F.from_json(c, schema)
-    plain = F.from_json(F.to_json(F.struct(c.alias(name))), schema)
-    return F.when(F.startswith(F.ltrim(c), F.lit("{")), parsed).otherwise(plain)
+def _plain(v: Column) -> Column:
+    """The text of a variant that is a string."""
+    return F.when(F.schema_of_variant(v) == "STRING", F.try_variant_get(v, "$", "string"))
 
 
 def read_batches(spark: SparkSession, path: str) -> DataFrame:
-    """One row an entry of research batches; ``instruments`` as structs, blank names dropped."""
-    rows = spark.read.schema(BATCH).json(path, multiLine=True).select(F.explode("manufacturers").alias("m")).select("m.*")
-    rows = rows.filter(~is_blank("canonical_name"))
-    items = F.transform(F.coalesce("instruments", F.array().cast("array<string>")), lambda x: either(x, INSTRUMENT, "name"))
-    return rows.withColumn("instruments", F.filter(items, lambda x: F.coalesce(F.trim(x["name"]), F.lit("")) != ""))
+    """One row an entry of research batches, blank names dropped.
+
+    ``instruments`` may be strings or structs, mixed: each becomes a struct with what it was
+    as ``given``; those without a name are dropped.  ``entry`` is the whole entry, so fields
+    that nobody knows yet, and values of other types than expected (null in their columns
+    unless they can be cast), are still there.
+    """
+    rows = spark.read.schema("manufacturers array<variant>").json(path, multiLine=True).select(F.explode("manufacturers").alias("entry"))
+    fields = [F.try_variant_get("entry", f"$.{n}", kind).alias(n) for kind, names in BATCH_FIELDS.items() for n in names]
+    items = F.transform(
+        F.try_variant_get("entry", "$.instruments", "array<variant>"),
+        lambda x: F.struct(F.coalesce(_plain(x), F.try_variant_get(x, "$.name", "string")).alias("name"), *[F.try_variant_get(x, f"$.{n}", kind).alias(n) for n, kind in INSTRUMENT_FIELDS.items()], x.alias("given")),
+    )
+    rows = rows.select(*fields, items.alias("instruments"), "entry").filter(~is_blank("canonical_name"))
+    named = F.filter("instruments", lambda x: F.coalesce(F.trim(x["name"]), F.lit("")) != "")
+    return rows.withColumn("instruments", F.coalesce(named, F.filter(F.array(F.col("instruments")[0]), lambda x: F.lit(False))))
 
 
 def read_page_batches(spark: SparkSession, path: str) -> DataFrame:
@@ -68,6 +79,33 @@ def sitemap_urls(df: DataFrame, include: str | None = None, most: int | None = N
     return roots.union(below).select("domain", F.explode(loc).alias("url")).distinct()
 
 
+def read_sitemap_files(spark: SparkSession, path: str) -> DataFrame:
+    """(file, kind, loc) of sitemap files, plain or gzip by their names: kind url, or sitemap in an index.
+
+    Spark's XML reader streams through a file; no document is held whole.
+    """
+    parts = []
+    for kind in ("url", "sitemap"):
+        rows = spark.read.format("xml").schema("loc string").load(path, rowTag=kind)
+        parts.append(rows.select(F.col("_metadata.file_path").alias("file"), F.lit(kind).alias("kind"), F.trim("loc").alias("loc")))
+    return parts[0].union(parts[1]).filter(~is_blank("loc"))
+
+
+def sitemap_file_urls(locs: DataFrame, listing: DataFrame, include: str | None = None) -> DataFrame:
+    """(domain, url) of sitemap files by ``listing`` (domain, url, file): where each was fetched from.
+
+    An index is followed one level, as in ``sitemap_urls``.
+    """
+    rows = locs.join(listing.withColumnRenamed("url", "at"), "file")
+    named = rows.filter("kind = 'sitemap'").select("domain", F.col("loc").alias("at")).distinct()
+    subs = named.filter(F.col("at").rlike(r"(?i)\.xml(\.gz)?$"))
+    if include:
+        subs = subs.filter(F.col("at").rlike(include))
+    urls = rows.filter("kind = 'url'")
+    found = urls.join(named, ["domain", "at"], "left_anti").select("domain", "loc").union(urls.join(subs, ["domain", "at"], "left_semi").select("domain", "loc"))
+    return found.select("domain", F.col("loc").alias("url")).distinct()
+
+
 def flatten_feed(df: DataFrame, body: str = "body") -> DataFrame:
     """(title, summary, labels, url, published) of feed JSON; tags stripped from the summary."""
     schema = "feed struct<entry array<struct<title struct<`$t` string>, summary struct<`$t` string>, published struct<`$t` string>, category array<struct<term string>>, link array<struct<rel string, href string>>>>>"
@@ -77,12 +115,19 @@ def flatten_feed(df: DataFrame, body: str = "body") -> DataFrame:
 
 
 def flatten_bindings(df: DataFrame, body: str = "body") -> DataFrame:
-    """(label, qid, maker, year) of SPARQL JSON; bare ids as labels dropped, the first row of a label stays."""
-    schema = "results struct<bindings array<struct<item struct<value string>, itemLabel struct<value string>, makerLabel struct<value string>, date struct<value string>>>>"
-    rows = df.select(F.posexplode(F.from_json(body, schema)["results"]["bindings"]).alias("pos", "b"))
-    rows = rows.select("pos", F.col("b.itemLabel.value").alias("label"), F.substring_index("b.item.value", "/", -1).alias("qid"), F.col("b.makerLabel.value").alias("maker"), F.substring("b.date.value", 1, 4).alias("y"))
+    """(label, qid, maker, year, binding) of SPARQL JSON; bare ids as labels dropped, the first row of a label stays.
+
+    A variable is a struct with its ``value``, or the value itself; ``binding`` is all that
+    the row had, as JSON.
+    """
+    rows = df.select(F.posexplode(F.from_json(body, "results struct<bindings array<variant>>")["results"]["bindings"]).alias("pos", "b"))
+
+    def value(name: str) -> Column:
+        return F.coalesce(_plain(F.try_variant_get("b", f"$.{name}", "variant")), F.try_variant_get("b", f"$.{name}.value", "string"))
+
+    rows = rows.select("pos", value("itemLabel").alias("label"), F.substring_index(value("item"), "/", -1).alias("qid"), value("makerLabel").alias("maker"), F.substring(value("date"), 1, 4).alias("y"), F.to_json("b").alias("binding"))
     rows = rows.filter(~is_blank("label") & ~F.col("label").rlike(r"^Q\d+$"))
-    return first_by(rows, ["label"], F.col("pos"), F.col("qid")).select("label", "qid", "maker", F.when(F.col("y").rlike(r"^\d{4}$"), F.col("y").cast("int")).alias("year"))
+    return first_by(rows, ["label"], F.col("pos"), F.col("qid")).select("label", "qid", "maker", F.when(F.col("y").rlike(r"^\d{4}$"), F.col("y").cast("int")).alias("year"), "binding")
 
 
 def listing_entries(df: DataFrame, key: str, html: str = "html", extensions: str = r"(?i)\.(pdf|zip|jpe?g|gif|png|tiff?|doc|djvu)$") -> DataFrame:
