@@ -141,8 +141,8 @@ def sitemap_yield(urls: DataFrame, dictionary: DataFrame, alarm: float = 0.90) -
 
 
 def audit_sample(df: DataFrame, n: int, seed: int, url: str = "url", domain: str = "domain") -> DataFrame:
-    """Q12: ``n`` rows of each domain, chosen by a seeded hash of the URL: a sampling operator."""
-    w = Window.partitionBy(domain).orderBy(F.xxhash64(url, F.lit(seed)), url)
+    """Q12: ``n`` rows of each domain, chosen by the MD5 of URL and seed: a sampling operator."""
+    w = Window.partitionBy(domain).orderBy(F.md5(F.concat(F.col(url), F.lit(str(seed))).cast("binary")), url)
     return df.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= n).drop("_n")
 
 

@@ -89,10 +89,14 @@ SQL["n4_compare_key"] = with_tables("", "queue").rstrip() + f""", w AS (SELECT i
     SELECT id, array_to_string(CASE WHEN len(list_filter(ws, lambda x: x NOT IN ('{_NOISE}'))) > 0 THEN list_filter(ws, lambda x: x NOT IN ('{_NOISE}')) ELSE ws END, ' ') AS k FROM w"""
 
 
+@query("n5_name_core_over_tables")
 def _(t):
     return t.makers.select("id", keys.name_core("canonical_name").alias("core"), keys.names_match("canonical_name", F.concat(F.lit("brand "), F.col("id").cast("string"), F.lit(" GmbH"))).alias("same"))
 
 
+SQL["n5_name_core_over_tables"] = with_tables("SELECT id, 'brand' || id AS core, true AS same FROM makers", "makers")
+
+
 @query("n6_n13_domains", f"SELECT page_id, {HOST.format('url')} AS host, {LABEL.format(HOST.format('url'))} AS label FROM pages")
 def _(t):
     return t.pages.select("page_id", keys.domain_of("url").alias("host"), keys.domain_label(keys.domain_of("url")).alias("label"))
@@ -110,11 +114,13 @@ def _(t):
     return t.products.select("id", keys.base_name("name").alias("base"), keys.is_variant("name").alias("variant"))
 
 
+@query("n11_strip_maker_prefix_over_tables", "SELECT id, name AS model FROM products", "products")
 def _(t):
     titled = t.products.join(t.makers.select(F.col("id").alias("maker_id"), "canonical_name"), "maker_id").select("id", "maker_id", F.concat("canonical_name", F.lit(" "), F.initcap("name")).alias("name"))
     return keys.strip_maker_prefix(titled, t.makers.select(F.col("id").alias("maker_id"), F.col("canonical_name").alias("alias"))).select("id", F.lower("model").alias("model"))
 
 
+@query("n12_split_axes_over_tables", "SELECT id, p_type AS form, p_brand AS function FROM (SELECT p_partkey AS id, p_type, p_brand FROM part)")
 def _(t):
     rows = t.part.select(F.col("p_partkey").alias("id"), keys.split_axes(F.concat_ws(" - ", "p_type", "p_brand")).alias("a"))
     return rows.select("id", "a.form", "a.function")
@@ -146,11 +152,13 @@ def _(t):
     return resolve.resolve_unique_prefix(t.queue, "name", t.dictionary()).select("id", "maker_id")
 
 
+@query("r5_match_title_over_tables", dictionary_sql("""SELECT p_partkey AS id, max_by(b.maker_id, length(b.lower_name)) AS maker_id FROM part JOIN by_name b ON starts_with(lower('Old Brand ' || substr(p_brand, 7) || ' ' || p_name) || ' ', b.lower_name || ' ') GROUP BY 1"""))
 def _(t):
     titles = t.part.select(F.col("p_partkey").alias("id"), F.concat(F.lit("Old Brand "), F.substring("p_brand", 7, 9), F.lit(" "), F.col("p_name")).alias("title"))
     return resolve.match_title(titles, "title", t.dictionary(), "id").select("id", "maker_id")
 
 
+@query("r6_split_slug_over_tables", dictionary_sql("SELECT p_partkey AS id, CAST(substr(p_brand, 7) AS BIGINT) AS maker_id, p_name AS model, 'matched' AS status FROM part"))
 def _(t):
     slugs = t.part.select(F.col("p_partkey").alias("id"), F.concat(F.lit("old-brand-"), F.substring("p_brand", 7, 9), F.lit("-"), F.translate("p_name", " ", "-")).alias("slug"))
     return resolve.split_slug(slugs, "slug", t.dictionary(), "id")
@@ -273,19 +281,23 @@ def _contains_any(text: str, words) -> str:
     return "(" + " OR ".join("contains({0}, '{1}')".format(text, w) for w in words) + ")"
 
 
+@query("c2_link_types_over_tables", "SELECT id, CASE WHEN regexp_matches(url, '(?i)\\.(mp3|wav|flac|ogg|m4a|aiff?)(\\?|$)') THEN 'audio_demo' " + " ".join(f"WHEN {_contains_any('hay', w)} THEN '{k}'" for k, w in (("archive", vocab.ARCHIVE), ("community", vocab.COMMUNITY), ("service_mod", vocab.SERVICE), ("samples", vocab.SAMPLES), ("retailer", vocab.RETAIL), ("media", vocab.MEDIA))) + " ELSE 'other' END AS link_type FROM (SELECT id, url, lower(label || ' ' || url) AS hay FROM links)", "links")
 def _(t):
     return t.links.select("id", classify.link_type("url", "label", "domain", F.lit(False)).alias("link_type"))
 
 
+@query("c1_official_over_tables", f"SELECT page_id, {LABEL.format(HOST.format('url'))} = 'example' AS official FROM pages")
 def _(t):
     return t.pages.select("page_id", classify.is_official(keys.domain_of("url"), F.lit("Example Corporation")).alias("official"))
 
 
+@query("c4_product_urls_over_tables", dictionary_sql("SELECT source_url AS url, 'A:path-marker' AS signal FROM products WHERE source_url IS NOT NULL GROUP BY 1", "products"))
 def _(t):
     urls = t.products.filter("source_url is not null").select(F.col("source_url").alias("url")).distinct()
     return classify.product_like(urls, "url", t.dictionary("canonical", "history"), "url")
 
 
+@query("c5_product_hint_over_tables", r"SELECT page_id, regexp_matches(url, '(?i)/(products?|instruments?|synths?|synthesizers?|keyboards?|modules?|gear)/[^/]+') AS hint FROM pages")
 def _(t):
     return t.pages.select("page_id", classify.product_hint("url").alias("hint"))
 
@@ -294,14 +306,17 @@ def _title(c: str = "html"):
     return F.regexp_extract(c, r"(?is)<title[^>]*>(.*?)</title>", 1)
 
 
+@query("c6_title_verdicts_over_tables")
 def _(t):
     return t.pages.select("page_id", classify.title_verdict(F.lit(""), F.lit(""), _title()).alias("verdict"))
 
 
+@query("c7_title_category_over_tables", r"SELECT page_id, coalesce(lower(list_extract(regexp_extract_all(split_part(title, '|', 1), '(?i)\b(synthesi[sz]er|synth|piano|organ|drum machine|drum|sampler|sequencer|keyboard|workstation|vocoder|arranger)\b', 1), -1)), '') AS category FROM (SELECT page_id, regexp_extract(html, '<title[^>]*>(.*?)</title>', 1, 'is') AS title FROM pages)")
 def _(t):
     return t.pages.select("page_id", classify.title_category(_title()).alias("category"))
 
 
+@query("c8_scope_over_tables", f"SELECT p_partkey AS id, CASE WHEN regexp_matches(p_name, '{vocab.OUT_OF_SCOPE}') OR regexp_matches(p_name, '{vocab.EFFECT_ONLY}') THEN 'out' WHEN regexp_matches(p_name, '{vocab.IN_SCOPE}') THEN 'in' ELSE 'ask' END AS bucket FROM part")
 def _(t):
     return t.part.select(F.col("p_partkey").alias("id"), classify.scope_bucket("p_name").alias("bucket"))
 
@@ -324,6 +339,7 @@ def _(t):
     return classify.discovery_funnel(names, t.dictionary(), t.queue)
 
 
+@query("x1_page_text_over_tables")
 def _(t):
     text = extract.html_to_text("html")
     return t.pages.select("page_id", F.size(F.split(text, "\n")).alias("lines"), F.md5(text).alias("text_md5"))
@@ -339,6 +355,8 @@ def _(t):
     return t.links.select("id", extract.label_year("label", 2024).alias("label_year"))
 
 
+@query("s7_listing_entries_over_tables", r"""SELECT page_id, count(*) AS entries FROM (SELECT DISTINCT page_id, replace(replace(replace(unnest(regexp_extract_all(html, 'href=["'']([^"'']+)["'']', 1, 'i')), '&#39;', ''''), '&quot;', '"'), '&amp;', '&') AS e FROM pages)
+    WHERE NOT regexp_matches(e, '^(http|mailto|\?|/|#)') AND e NOT IN ('..', '../') AND (ends_with(e, '/') OR regexp_matches(e, '(?i)\.(pdf|zip|jpe?g|gif|png|tiff?|doc|djvu)$')) GROUP BY 1""")
 def _(t):
     return readers.listing_entries(t.pages, "page_id").groupBy("page_id").agg(F.count("*").alias("entries"))
 
@@ -436,6 +454,8 @@ def _(t):
     return evidence.best_value(t.claims)
 
 
+@query("k17_promote_official_over_tables", """SELECT m.id, 'https://' || d.lo || '/' AS official_website FROM makers m JOIN (SELECT maker_id, min(domain) AS lo, max(domain) AS hi FROM links
+    WHERE link_type = 'manufacturer_official' AND status IN ('live', 'redirected', 'blocked') AND maker_id IS NOT NULL GROUP BY 1) d ON d.maker_id = m.id AND d.lo = d.hi WHERE m.official_website IS NULL""", "makers", "links")
 def _(t):
     return evidence.promote_official(t.makers, t.links.withColumn("final_url", F.lit(None).cast("string")))[0]
 
@@ -516,16 +536,19 @@ def _(t):
     return audit.source_shape(t.products, t.domains)
 
 
+@query("q10_detector_recall_over_tables", dictionary_sql(f"""SELECT coalesce(domain, '') AS domain, count(*) AS urls, count(*) AS found FROM (SELECT DISTINCT {HOST.format('source_url')} AS domain, source_url FROM products WHERE source_url IS NOT NULL)
+    WHERE domain IN (SELECT h FROM (SELECT {HOST.format('source_url')} AS h, source_url FROM products WHERE source_url IS NOT NULL) GROUP BY 1 HAVING count(DISTINCT source_url) >= 5 AND count(DISTINCT source_url) / count(*) >= 0.5) GROUP BY ROLLUP (domain)""", "products"))
 def _(t):
     return audit.detector_recall(t.products, t.domains, t.dictionary("canonical", "history")).select("domain", "urls", "found")
 
 
+@query("q11_sitemap_yield_over_tables", dictionary_sql(f"SELECT {HOST.format('source_url')} AS domain, count(DISTINCT source_url) AS total, count(DISTINCT source_url) AS product_like FROM products WHERE source_url IS NOT NULL GROUP BY 1", "products"))
 def _(t):
     urls = t.products.filter("source_url is not null").select(keys.domain_of("source_url").alias("domain"), F.col("source_url").alias("url")).distinct()
     return audit.sitemap_yield(urls, t.dictionary("canonical", "history")).select("domain", "total", "product_like")
 
 
-@query("q12_audit_sample")
+@query("q12_audit_sample", """SELECT url, domain FROM (SELECT url, domain, row_number() OVER (PARTITION BY domain ORDER BY md5(url || '7'), url) AS n FROM (SELECT DISTINCT url, domain FROM links)) WHERE n <= 10""", "links")
 def _(t):
     return audit.audit_sample(t.links.select("url", "domain").distinct(), 10, 7)
 
@@ -541,6 +564,7 @@ def _(t):
     return audit.drop_chrome(t.links.select("url", "maker_id"), "url", "maker_id", 2)
 
 
+@query("q15_reread_links_over_tables")
 def _(t):
     title = F.concat("p_name", F.when(F.col("p_partkey") % 3 == 0, " Synthesizer | Shop").when(F.col("p_partkey") % 3 == 1, " Amplifier | Shop").otherwise(""))
     links = t.part.select(F.col("p_partkey").alias("id"), F.concat(F.lit("old-brand-"), (F.col("p_size") % 30).cast("string"), F.lit("-"), F.translate("p_name", " ", "-")).alias("slug"), F.lit("").alias("label"), title.alias("title"))
@@ -702,6 +726,7 @@ def _(t):
     return reports.search(t.makers, "LTD").select("id")
 
 
+@query("a17_logo_work_list_over_tables", "SELECT id, canonical_name FROM makers WHERE confidence <> 'unresearched' AND id NOT IN (SELECT maker_id FROM logos WHERE has_file)", "makers", "logos")
 def _(t):
     return reports.logo_work_list(t.makers, t.logos.filter("has_file"))
 
@@ -720,20 +745,24 @@ def _(t):
 # More scalars, classifiers, extraction and evidence
 
 
+@query("n8_slug_titles_over_tables", "SELECT p_partkey AS id, array_to_string(list_transform(string_split(p_name, ' '), lambda w: CASE WHEN length(w) <= 3 AND w NOT IN ('new', 'old') THEN upper(w) ELSE upper(w[1]) || w[2:] END), ' ') AS title FROM part")
 def _(t):
     return t.part.select(F.col("p_partkey").alias("id"), keys.title_case_slug(F.translate("p_name", " ", "-")).alias("title"))
 
 
+@query("n9_models_over_tables", "SELECT p_partkey AS id, upper(replace(p_name, ' ', '-') || '-' || p_size) AS model, upper(replace(p_name, ' ', '')) AS family FROM part")
 def _(t):
     model = keys.tidy_model(F.concat(F.translate("p_name", " ", "-"), F.lit("-"), F.col("p_size").cast("string")))
     return t.part.select(F.col("p_partkey").alias("id"), model.alias("model"), keys.collapse_variant(F.concat(F.regexp_replace("p_name", " ", ""), F.lit("bk"))).alias("family"))
 
 
+@query("n14_doc_models_over_tables", "SELECT p_partkey AS id, p_name AS model, 'Service Manual' AS doc_type FROM part")
 def _(t):
     doc = keys.doc_model("p_type", F.concat(F.lower("p_type"), F.lit("_"), F.translate("p_name", " ", "_"), F.lit("_SERVICE_MANUAL.pdf")))
     return t.part.select(F.col("p_partkey").alias("id"), doc.alias("d")).select("id", "d.model", "d.doc_type")
 
 
+@query("r16_identify_over_tables", "SELECT id AS maker_id, CASE WHEN id % 2 = 0 THEN 'Q' || (id * 10 + 2) ELSE 'Q' || (id * 10 + 1) END AS qid FROM makers", "makers")
 def _(t):
     makers = t.makers.select(F.col("id").alias("maker_id"), F.col("canonical_name").alias("name"), "official_website")
     none = F.array().cast("array<string>")
@@ -742,6 +771,7 @@ def _(t):
     return resolve.identify(makers, own.union(site), ["school"], ["company"]).select("maker_id", "qid")
 
 
+@query("c3_route_links_over_tables", "SELECT DISTINCT CASE WHEN product_id IS NULL THEN maker_id END AS maker_id, product_id, url FROM links", "links")
 def _(t):
     pages = t.links.select("maker_id", F.lit("Nobody").alias("maker"), "product_id", F.array(F.struct("url", "label")).alias("links"))
     return classify.route_links(pages).select("maker_id", "product_id", "url")
@@ -754,11 +784,13 @@ def _(t):
     return classify.sitemap_products(urls, config, r"/([^/]+)/products/([^/]+)/([^/]+)/?$").select("path", "slug", "status")
 
 
+@query("c10_c17_types_over_tables", "SELECT p_partkey AS id, CASE WHEN p_size % 2 = 0 THEN 'module' ELSE 'manual' END AS decision FROM part WHERE p_type IN ('ECONOMY', 'SMALL') AND p_brand <> 'Brand#1'")
 def _(t):
     rows = t.part.select(F.col("p_partkey").alias("id"), F.col("p_type").alias("product_type"), F.when(F.col("p_size") % 2 == 0, F.col("p_size")).alias("external_id"), F.array("p_brand").alias("types"))
     return classify.split_hardware(classify.filter_types(rows, reject=["Brand#1"]), ["ECONOMY", "SMALL"]).select("id", "decision")
 
 
+@query("c11_c12_documents_over_tables", "SELECT p_partkey AS id, CASE WHEN p_partkey % 2 = 0 THEN p_brand ELSE 'Vermona' END AS brand, CASE WHEN p_partkey % 2 = 0 THEN 'folder' ELSE 'section' END AS reason, 'service_mod' AS link_type FROM part")
 def _(t):
     folder = F.when(F.col("p_partkey") % 2 == 0, F.concat(F.lit("Archiv_Hans_Ohms/"), F.replace("p_brand", F.lit("#"), F.lit("%23")))).otherwise(F.lit("files"))
     url = F.concat(F.lit("https://b.example.de/"), folder, F.lit("/a.pdf"))
@@ -767,6 +799,7 @@ def _(t):
     return t.part.select(F.col("p_partkey").alias("id"), brand.alias("b"), classify.doc_link_type(section).alias("link_type")).select("id", "b.brand", "b.reason", "link_type")
 
 
+@query("c14_domain_verdicts_over_tables", """SELECT domain, CASE WHEN product_urls % 5 = 0 THEN 'manual' WHEN sitemap_urls % 3 = 0 THEN 'harvestable' WHEN product_urls % 2 = 0 THEN 'html_only' ELSE 'blocked_bot' END AS verdict FROM domains""", "domains")
 def _(t):
     probes = t.domains.select("domain", F.lit("").alias("robots_text"), F.when(F.col("sitemap_urls") % 3 == 0, 200).otherwise(404).alias("sitemap_code"), F.lit("<loc>x</loc>").alias("sitemap_text"), F.when(F.col("product_urls") % 2 == 0, 200).otherwise(403).alias("home_code"), F.lit(None).cast("string").alias("error"))
     manual = t.domains.filter("product_urls % 5 = 0").select("domain", F.lit("manual").alias("verdict"))
@@ -780,27 +813,32 @@ def _(t):
     return classify.label_candidates(labels, known)
 
 
+@query("x2_x4_cached_pages_over_tables", "SELECT p_partkey AS id, p_partkey % 50 = 0 AS dead, CASE WHEN p_partkey % 50 <> 0 THEN 1950 + p_size END AS year, CASE WHEN p_partkey % 50 <> 0 THEN p_type END AS device, CASE WHEN p_partkey % 50 <> 0 AND p_size % 2 = 0 THEN 'analog' END AS technology FROM part")
 def _(t):
     live = F.concat(F.lit("Device:\n"), "p_type", F.lit("\nProduced:\n"), (F.col("p_size") + 1950).cast("string"), F.lit(" - later\nTechnology:\n"), F.when(F.col("p_size") % 2 == 0, "Analog").otherwise("Steam"))
     pages = t.part.select(F.col("p_partkey").alias("id"), F.when(F.col("p_partkey") % 50 == 0, "No such synth").otherwise(live).alias("text"))
     return extract.read_specs(pages).select("id", "dead", "year", "device", "technology")
 
 
+@query("x5_spec_blocks_over_tables", "SELECT p_partkey AS id, 'keys' AS field, CAST(p_size AS VARCHAR) AS value FROM part UNION ALL SELECT p_partkey, 'body_type', p_type FROM part")
 def _(t):
     text = F.concat(F.lit("About\nTECHNICAL SPECIFICATIONS\nKeys: "), F.col("p_size").cast("string"), F.lit("\nBody type:\n"), "p_type", F.lit("\nKeys: 0"))
     return extract.spec_blocks(t.part.select(F.col("p_partkey").alias("id"), text.alias("text")), "id").select("id", "field", "value")
 
 
+@query("x12_specs_long_over_tables", "SELECT p_partkey AS id, 'body_type' AS field, p_type AS value FROM part UNION ALL SELECT p_partkey, 'size', CAST(p_size AS VARCHAR) FROM part")
 def _(t):
     specs = F.create_map(F.lit("Body Type"), F.col("p_type"), F.lit("Size"), F.col("p_size").cast("string"), F.lit("Empty"), F.lit(" "))
     return extract.specs_long(t.part.select(F.col("p_partkey").alias("id"), specs.alias("specs")), "id").select("id", "field", "value")
 
 
+@query("k3_flatten_conflict_over_tables", "SELECT p_partkey AS id, 'year: ' || p_size || ' (u1) vs ' || p_brand || ' -- ' || p_type AS conflict FROM part")
 def _(t):
     values = F.array(F.struct(F.col("p_size").cast("string").alias("value"), F.lit("u1").alias("url")), F.struct(F.col("p_brand").alias("value"), F.lit(None).cast("string").alias("url")))
     return t.part.select(F.col("p_partkey").alias("id"), evidence.flatten_conflict(F.lit("year"), values, F.col("p_type")).alias("conflict"))
 
 
+@query("k7_close_queue_over_tables", "SELECT id, CASE WHEN status <> 'done' AND id % 2 = 0 AND contains(name, 'Supplier') THEN 'done' ELSE status END AS status FROM queue", "queue")
 def _(t):
     entries = t.supplier.filter("s_suppkey % 2 = 0").select(F.array(F.lit("nobody"), F.upper("s_name")).alias("names"), F.lit("confirmed").alias("confidence"))
     return evidence.close_queue(t.queue, entries).select("id", "status")
@@ -814,6 +852,7 @@ def _(t):
     return evidence.fill_from_cache(t.products, pages).select("id", "year", "review_status")
 
 
+@query("s4_sitemap_urls_over_tables", "SELECT 'd' || p_size AS domain, 'https://d' || p_size || '/' || p_partkey AS url FROM part")
 def _(t):
     size = F.col("p_size").cast("string")
     sub = F.concat(F.lit("https://d"), size, F.lit("/sub.xml"))
@@ -824,6 +863,7 @@ def _(t):
     return readers.sitemap_urls(subs.union(index))
 
 
+@query("x7_table_rows_over_tables", "SELECT p_partkey AS id, p_brand AS first_cell, 'https://h.example.com/' || p_partkey AS href FROM part WHERE p_size % 2 = 0")
 def _(t):
     cells = [F.concat(F.lit("<td>"), "p_brand", F.lit("</td><td><a href='https://h.example.com/"), F.col("p_partkey").cast("string"), F.lit("'>x</a></td>"))]
     row = F.concat(*cells, F.lit("<td>3</td><td>4</td><td>5</td><td>6</td>"), F.when(F.col("p_size") % 2 == 0, "<td>7</td>").otherwise(""))
@@ -831,6 +871,7 @@ def _(t):
     return extract.table_rows(pages, "id").select("id", F.get("cells", F.lit(0)).alias("first_cell"), "href")
 
 
+@query("x10_post_taxonomy_over_tables", "SELECT p_partkey AS id, p_name AS title, p_type AS category, p_brand AS tag, 1950 + p_size AS year FROM part")
 def _(t):
     link = lambda rel, c: F.concat(F.lit(f'<a rel="{rel}" href="#">'), c, F.lit("</a>"))
     html = F.concat(F.lit("<title>"), "p_name", F.lit("</title>"), link("category", F.col("p_type")), link("tag", F.col("p_brand")), link("tag", (F.col("p_size") + 1950).cast("string")))
@@ -838,6 +879,7 @@ def _(t):
     return found.select("id", "title", F.array_join("categories", ",").alias("category"), F.array_join("tags", ",").alias("tag"), "year")
 
 
+@query("x11_logo_candidates_over_tables", "SELECT page_id, 'https://x.example.com/' || page_id || '/logo.png' AS logo FROM pages")
 def _(t):
     html = F.concat(F.lit('<img alt="logo" src="'), F.col("page_id").cast("string"), F.lit('/logo.png">'))
     pages = t.pages.select("page_id", F.lit("https://x.example.com/").alias("url"), F.concat(F.regexp_replace("html", "(?i)<img[^>]*>", ""), html).alias("html"))
@@ -853,6 +895,7 @@ def _(t):
     return audit.mark_queue(t.queue, classes, kinds, "2024-01-01").select("id", "status")
 
 
+@query("s5_feed_over_tables", "SELECT 'https://p.example.com/' || p_partkey AS url, p_name AS title, p_brand AS label FROM part")
 def _(t):
     key = F.col("p_partkey").cast("string")
     text = lambda c: F.struct(c.alias("$t"))
@@ -861,6 +904,7 @@ def _(t):
     return readers.flatten_feed(feeds).select("url", "title", F.array_join("labels", ",").alias("label"))
 
 
+@query("s6_bindings_over_tables", "SELECT p_name || ' ' || p_partkey AS label, 'Q' || p_partkey AS qid, 1950 + p_size AS year FROM part")
 def _(t):
     value = lambda c: F.struct(c.alias("value"))
     key = F.col("p_partkey").cast("string")
