@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.classify import product_like, title_verdict
 from ..functions.extract import label_year
 from ..functions.keys import domain_of, host_suffixes, is_blank, norm
+from .ranks import first_of
 from .reports import counted_ids
 from .resolve import contained_name, relink, split_slug
 
@@ -59,12 +60,20 @@ def reissue_conflicts(products: DataFrame, links: DataFrame, as_of_year: int, ga
     return rows.select("id", "year", "label_year", kind.alias("kind")).filter("kind is not null")
 
 
-def cross_maker_names(products: DataFrame, shortest: int = 3) -> DataFrame:
-    """Q5: (model_key, n_makers, n, shown): keys that several makers use."""
+def cross_maker_rows(products: DataFrame, shortest: int = 3) -> DataFrame:
+    """Q5: (model_key, maker_id, name): products whose key several makers use, a row each."""
     rows = products.select(norm("name").alias("model_key"), "maker_id", "name").filter(F.length("model_key") >= shortest)
     several = rows.groupBy("model_key").agg(F.min("maker_id").alias("lo"), F.max("maker_id").alias("hi")).filter("lo <> hi").select("model_key")
-    held = rows.join(several, "model_key")
-    return held.groupBy("model_key").agg(F.countDistinct("maker_id").alias("n_makers"), F.count("*").alias("n"), F.array_join(F.array_sort(F.collect_set(F.concat(F.col("maker_id").cast("string"), F.lit(":"), "name"))), ", ").alias("shown"))
+    return rows.join(several, "model_key")
+
+
+def cross_maker_names(products: DataFrame, shortest: int = 3, most: int = 50) -> DataFrame:
+    """Q5: (model_key, n_makers, n, shown): keys that several makers use; the first ``most`` makers and names shown."""
+    held = cross_maker_rows(products, shortest)
+    counts = counted_ids(held, ["model_key"], F.col("maker_id"), {"n_makers": F.lit(True)}, {"n": F.lit(1)})
+    shown = first_of(held.filter("maker_id is not null"), ["model_key"], F.struct("maker_id", "name"), most)
+    shown = shown.select("model_key", F.array_join(F.transform("items", lambda x: F.concat(x["maker_id"].cast("string"), F.lit(":"), x["name"])), ", ").alias("shown"))
+    return counts.join(shown, "model_key").select("model_key", "n_makers", "n", "shown")
 
 
 def split_editions(products: DataFrame, decisions: DataFrame, links: DataFrame, domain: str) -> tuple[DataFrame, DataFrame]:

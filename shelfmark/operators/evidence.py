@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import vocab
 from ..functions.keys import domain_of, first_by, is_blank, norm, nulls_last, value_key
 from ..sources.store import Kept, scratch, written
+from .ranks import first_of
 from .resolve import resolve_maker, source_key
 
 
@@ -207,12 +208,21 @@ def fill_from_cache(products: DataFrame, pages: DataFrame, note: str = "source p
     )
 
 
-def conflicts(claims: DataFrame, entity: str = "entity_id") -> DataFrame:
-    """(entity, field_name, n_values, shown): fields with more than one value key; values and sources listed."""
-    rows = claims.filter(~is_blank("value")).withColumn("_v", value_key("value"))
-    shown = F.array_join(F.array_sort(F.collect_set(F.concat("_v", F.lit(" ("), F.coalesce("source_url", F.lit("")), F.lit(")")))), " vs ")
-    several = rows.groupBy(entity, "field_name").agg(F.min("_v").alias("lo"), F.max("_v").alias("hi")).filter("lo <> hi").select(entity, "field_name")
-    return rows.join(several, [entity, "field_name"]).groupBy(entity, "field_name").agg(F.countDistinct("_v").alias("n_values"), shown.alias("shown"))
+def conflict_rows(claims: DataFrame, entity: str = "entity_id") -> DataFrame:
+    """(entity, field_name, value_key, source_url): claims of fields with more than one value key, a row each."""
+    rows = claims.filter(~is_blank("value")).select(entity, "field_name", value_key("value").alias("value_key"), "source_url")
+    several = rows.groupBy(entity, "field_name").agg(F.min("value_key").alias("lo"), F.max("value_key").alias("hi")).filter("lo <> hi").select(entity, "field_name")
+    return rows.join(several, [entity, "field_name"])
+
+
+def conflicts(claims: DataFrame, entity: str = "entity_id", most: int = 50) -> DataFrame:
+    """(entity, field_name, n_values, shown): fields with more than one value key; the first ``most`` values and sources shown."""
+    rows = conflict_rows(claims, entity)
+    by = [entity, "field_name"]
+    counts = rows.select(*by, "value_key").distinct().groupBy(*by).agg(F.count("*").alias("n_values"))
+    shown = first_of(rows, by, F.struct("value_key", F.coalesce("source_url", F.lit("")).alias("url")), most)
+    text = F.array_join(F.transform("items", lambda x: F.concat(x["value_key"], F.lit(" ("), x["url"], F.lit(")"))), " vs ")
+    return counts.join(shown, by).select(*by, "n_values", text.alias("shown"))
 
 
 def best_value(claims: DataFrame, entity: str = "entity_id", tiers: Sequence[str] = vocab.TIERS) -> DataFrame:

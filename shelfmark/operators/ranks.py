@@ -72,3 +72,18 @@ def running(df: DataFrame, order: Sequence[Sort], weight: str, name: str = "upto
     sums = sums.select("_r", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_before"))
     out = rows.withColumn("_within", F.coalesce(F.sum(weight).over(within), F.lit(0))).join(F.broadcast(sums), F.col("_range") == F.col("_r"))
     return out.withColumn(name, F.col("_within") + F.col("_before")).select(*df.columns, name)
+
+
+def first_of(df: DataFrame, by: Sequence[str], item: Column, most: int, distinct: bool = True) -> DataFrame:
+    """``by``, ``n`` (how many items, different ones unless not ``distinct``) and ``items``: the first ``most`` in order.
+
+    Each task sends the first ``most`` of a key at most, and counts; no list grows with its key.
+    """
+    rows = df.select(*by, item.alias("_item")).filter(F.col("_item").isNotNull())
+    if distinct:
+        rows = rows.distinct()
+    counts = rows.groupBy(*by).agg(F.count("*").alias("n"))
+    place = F.row_number().over(Window.partitionBy(*by).orderBy("_item"))
+    first = rows.withColumn("_place", place).filter(F.col("_place") <= most)
+    items = first.groupBy(*by).agg(F.sort_array(F.collect_list("_item")).alias("items"))
+    return counts.join(items, list(by)).select(*by, "n", "items")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.keys import domain_of, host_suffixes, is_blank
 from ..functions.vocab import AUDIO_FILE, DOC_FILE
-from .ranks import Sort, down, ranked, up, up_nulls_last
+from .ranks import Sort, down, first_of, ranked, up, up_nulls_last
 
 
 def counted_ids(df: DataFrame, by: list[str], of: Column, numbers: dict[str, Column], sums: dict[str, Column] | None = None) -> DataFrame:
@@ -110,10 +110,10 @@ def verdict_counts(domains: DataFrame) -> DataFrame:
     return domains.groupBy("verdict").agg(F.count("*").alias("n"))
 
 
-def spec_summary(specs: DataFrame) -> DataFrame:
-    """(product_id, n, summary): "label: value" pairs joined by " | ", in order of label and value."""
+def spec_summary(specs: DataFrame, most: int = 50) -> DataFrame:
+    """(product_id, n, summary): how many specs, and the first ``most`` "label: value" pairs in order, joined by " | "."""
     pair = F.concat(F.coalesce("label", F.lit("")), F.lit(": "), F.coalesce("value", F.lit("")))
-    return specs.groupBy("product_id").agg(F.count("*").alias("n"), F.array_join(F.array_sort(F.collect_list(pair)), " | ").alias("summary"))
+    return first_of(specs, ["product_id"], pair, most, distinct=False).select("product_id", "n", F.array_join("items", " | ").alias("summary"))
 
 
 def maker_links(links: DataFrame, products: DataFrame) -> DataFrame:

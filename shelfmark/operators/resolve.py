@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.keys import base_name, domain_of, first_by, is_blank, norm, prefixes, spaced_key, title_case_slug
 from ..functions.vocab import STOP_TAGS
 from ..sources.store import Versions
+from .ranks import first_of
 
 
 def name_dictionary(makers: DataFrame, names: DataFrame, sources: Sequence[str] = ("canonical", "long", "history"), extra: DataFrame | None = None) -> DataFrame:
@@ -160,12 +161,17 @@ def contained_name(df: DataFrame, name: str, dictionary: DataFrame, key: str) ->
     return hits.groupBy(key).agg(F.max_by(F.struct("maker_id", "_gram"), F.struct(F.length("_gram"), "_gram")).alias("b")).select(key, "b.maker_id", F.col("b._gram").alias("contained"))
 
 
-def name_variants(df: DataFrame, name: str, dictionary: DataFrame, key: str) -> DataFrame:
-    """(key, variants): known longer names that begin with a name and a space, joined by " | "."""
+def name_variant_rows(df: DataFrame, name: str, dictionary: DataFrame, key: str) -> DataFrame:
+    """(key, variant): known longer names that begin with a name and a space, a row each."""
     words = F.split(F.lower(F.trim("name")), " +")
-    known = dictionary.select("name", F.explode(_heads(words, F.size(words))).alias("h"), F.size(words).alias("_n")).filter("h.n < _n").select("name", F.col("h.head").alias("_lower"))
-    rows = df.select(key, F.lower(F.trim(F.col(name))).alias("_lower")).join(known, "_lower")
-    return rows.groupBy(key).agg(F.array_join(F.array_sort(F.collect_set("name")), " | ").alias("variants"))
+    known = dictionary.select("name", F.explode(_heads(words, F.size(words))).alias("h"), F.size(words).alias("_n")).filter("h.n < _n").select(F.col("name").alias("variant"), F.col("h.head").alias("_lower"))
+    return df.select(key, F.lower(F.trim(F.col(name))).alias("_lower")).join(known, "_lower").select(key, "variant")
+
+
+def name_variants(df: DataFrame, name: str, dictionary: DataFrame, key: str, most: int = 50) -> DataFrame:
+    """(key, n, variants): how many known longer names begin with a name and a space, the first ``most`` joined by " | "."""
+    out = first_of(name_variant_rows(df, name, dictionary, key), [key], F.col("variant"), most)
+    return out.select(key, "n", F.array_join("items", " | ").alias("variants"))
 
 
 def is_known_prefix(df: DataFrame, name: str, dictionary: DataFrame, key: str, shortest: int = 3) -> DataFrame:
@@ -315,12 +321,17 @@ def category_members(edges: DataFrame, roots: Sequence[str]) -> DataFrame:
     return first.select(F.col("member").alias("title"), F.element_at(F.array(*map(F.lit, roots)), F.col("_root").cast("int")).alias("root"))
 
 
-def lead_gap(leads: DataFrame, products: DataFrame) -> DataFrame:
-    """(maker_id, n, models): listed models (maker_id, name) that are not held, by maker."""
+def lead_gap_rows(leads: DataFrame, products: DataFrame) -> DataFrame:
+    """(maker_id, model_key, name): listed models (maker_id, name) that are not held, a row each."""
     keyed = leads.withColumn("model_key", norm("name")).filter("model_key <> ''")
     missing = keyed.join(product_keys(products), ["maker_id", "model_key"], "left_anti")
-    once = first_by(missing, ["maker_id", "model_key"], F.col("name"))
-    return once.groupBy("maker_id").agg(F.count("*").alias("n"), F.array_join(F.array_sort(F.collect_list("name")), ", ").alias("models"))
+    return first_by(missing, ["maker_id", "model_key"], F.col("name")).select("maker_id", "model_key", "name")
+
+
+def lead_gap(leads: DataFrame, products: DataFrame, most: int = 50) -> DataFrame:
+    """(maker_id, n, models): how many listed models are not held, and the first ``most`` by name, by maker."""
+    out = first_of(lead_gap_rows(leads, products), ["maker_id"], F.struct("name", "model_key"), most)
+    return out.select("maker_id", "n", F.array_join(F.transform("items", lambda x: x["name"]), ", ").alias("models"))
 
 
 def new_products(found: DataFrame, products: DataFrame) -> DataFrame:
@@ -331,9 +342,15 @@ def new_products(found: DataFrame, products: DataFrame) -> DataFrame:
     return first_by(rows, ["maker_id", "model_key"], F.col("name"), F.col("slug")).select("maker_id", "name", "slug")
 
 
-def brand_from_tags(posts: DataFrame, dictionary: DataFrame, out_of_scope: Sequence[str] = ()) -> DataFrame:
-    """(post_id, maker_id, tag, model): first tag that is a held maker; each tag in turn is cut off the title's start."""
-    rows = posts.filter(~F.coalesce(F.lower(F.get("categories", F.lit(0))).isin(*out_of_scope), F.lit(False))) if out_of_scope else posts
+def brand_from_tags(posts: DataFrame, dictionary: DataFrame, out_of_scope: Sequence[str] = (), aliases: DataFrame | None = None) -> DataFrame:
+    """(post_id, maker_id, tag, model): first tag that is a held maker, by ``aliases`` (alias, name) or else itself.
+
+    Each tag in turn is cut off the title's start; posts without a title, or whose first
+    category is out of scope, are left out.
+    """
+    rows = posts.filter(~is_blank("title"))
+    if out_of_scope:
+        rows = rows.filter(~F.coalesce(F.lower(F.trim(F.get("categories", F.lit(0)))).isin(*out_of_scope), F.lit(False)))
 
     def cut(title: Column, tag: Column) -> Column:
         rest = F.substr(title, F.length(tag) + 1)
@@ -341,5 +358,11 @@ def brand_from_tags(posts: DataFrame, dictionary: DataFrame, out_of_scope: Seque
 
     known = F.filter(F.coalesce("tags", F.array().cast("array<string>")), lambda x: x.isNotNull())
     tags = rows.select("post_id", F.aggregate(known, F.col("title"), cut).alias("model"), F.posexplode("tags").alias("pos", "tag"))
-    hits = resolve_maker(tags, "tag", dictionary).filter("maker_id is not null")
-    return hits.groupBy("post_id").agg(F.min_by(F.struct("maker_id", "tag", "model"), "pos").alias("b")).select("post_id", "b.*")
+    names = F.array("tag")
+    if aliases is not None:
+        real = first_by(aliases.select(F.lower(F.trim("alias")).alias("_alias"), F.col("name").alias("_real")), ["_alias"], F.col("_real"))
+        tags = tags.withColumn("_alias", F.lower(F.trim("tag"))).join(real, "_alias", "left")
+        names = F.array("_real", "tag")
+    tags = tags.select("post_id", "model", "pos", "tag", F.posexplode(names).alias("_turn", "_name"))
+    hits = resolve_maker(tags, "_name", dictionary).filter("maker_id is not null")
+    return hits.groupBy("post_id").agg(F.min_by(F.struct("maker_id", "tag", "model"), F.struct("pos", "_turn")).alias("b")).select("post_id", "b.*")

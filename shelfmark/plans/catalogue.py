@@ -171,7 +171,7 @@ def _(t):
     return resolve.contained_name(t.queue, "name", t.dictionary(), "id")
 
 
-@query("r8_name_variants", dictionary_sql("""SELECT p_partkey AS id, string_agg(DISTINCT b.name, ' | ' ORDER BY b.name) AS variants FROM part JOIN names b ON starts_with(lower(b.name), lower(p_brand) || ' ') GROUP BY 1"""))
+@query("r8_name_variants", dictionary_sql("""SELECT p_partkey AS id, count(DISTINCT b.name) AS n, array_to_string(list_sort(list(DISTINCT b.name))[1:50], ' | ') AS variants FROM part JOIN names b ON starts_with(lower(b.name), lower(p_brand) || ' ') GROUP BY 1"""))
 def _(t):
     return resolve.name_variants(t.part.select(F.col("p_partkey").alias("id"), "p_brand"), "p_brand", t.dictionary(), "id")
 
@@ -240,13 +240,20 @@ def _(t):
     return resolve.category_members(edges.union(below), ["ECONOMY", "SMALL"])
 
 
-@query("r18_lead_gap", f"""SELECT maker_id, count(*) AS n, string_agg(name, ', ' ORDER BY name) AS models FROM (
+@query("r18_lead_gap", f"""SELECT maker_id, count(*) AS n, array_to_string(list(name ORDER BY name, k)[1:50], ', ') AS models FROM (
     SELECT maker_id, {NORM.format('name')} AS k, min(name) AS name FROM (SELECT (CAST(substr(p_brand, 7) AS BIGINT) + 1) % 25 AS maker_id, p_name AS name FROM part) GROUP BY 1, 2) l
     WHERE NOT EXISTS (SELECT 1 FROM {PRODUCT_KEYS} p WHERE p.maker_id = l.maker_id AND p.k = l.k) GROUP BY 1""", "products")
 def _(t):
     return resolve.lead_gap(t.part.select(((F.substring("p_brand", 7, 9).cast("long") + 1) % 25).alias("maker_id"), F.col("p_name").alias("name")), t.products)
 
 
+@query("r18_lead_rows", f"""SELECT maker_id, k AS model_key, name FROM (
+    SELECT maker_id, {NORM.format('name')} AS k, min(name) AS name FROM (SELECT (CAST(substr(p_brand, 7) AS BIGINT) + 1) % 25 AS maker_id, p_name AS name FROM part) GROUP BY 1, 2) l
+    WHERE NOT EXISTS (SELECT 1 FROM {PRODUCT_KEYS} p WHERE p.maker_id = l.maker_id AND p.k = l.k)""", "products")
+def _(t):
+    return resolve.lead_gap_rows(t.part.select(((F.substring("p_brand", 7, 9).cast("long") + 1) % 25).alias("maker_id"), F.col("p_name").alias("name")), t.products)
+
+
 @query("r19_new_products", f"""SELECT maker_id, min(name) AS name, min(slug) AS slug FROM (SELECT (CAST(substr(p_brand, 7) AS BIGINT) + 1) % 25 AS maker_id, p_name AS name, replace(p_name, ' ', '-') AS slug FROM part) f
     WHERE NOT EXISTS (SELECT 1 FROM {PRODUCT_KEYS} p WHERE p.maker_id = f.maker_id AND p.k = {NORM.format('f.name')}) GROUP BY maker_id, {NORM.format('name')}""", "products")
 def _(t):
@@ -254,6 +261,21 @@ def _(t):
     return resolve.new_products(found.union(found.withColumn("slug", F.concat("slug", F.lit("-0")))), t.products)
 
 
+@query("r20_brand_aliases", """SELECT p_partkey AS post_id, CAST(substr(p_brand, 7) AS BIGINT) AS maker_id, CASE WHEN p_partkey % 3 = 1 THEN p_brand ELSE 'OB ' || substr(p_brand, 7) END AS tag,
+    CASE WHEN p_partkey % 3 = 1 THEN 'OB ' || substr(p_brand, 7) || ' ' || p_name ELSE p_name END AS model FROM part
+    WHERE p_partkey % 5 > 0 AND p_partkey % 7 > 0 AND (p_partkey % 3 <> 1 OR CAST(substr(p_brand, 7) AS INT) % 5 > 0)""")
+def _(t):
+    """Makers go by "OB n"; by turns the tag is the alias, the name, or an alias of nobody before the alias; every fifth maker has a longer name; titles may be blank, first categories end in blanks."""
+    number, key = F.substring("p_brand", 7, 9), F.col("p_partkey")
+    alias = F.concat(F.lit("OB "), number)
+    aliases = t.part.select(F.concat(F.lit(" ob "), number).alias("alias"), F.concat(F.lit("Old Brand "), number).alias("name")).distinct()
+    aliases = aliases.union(aliases.sparkSession.createDataFrame([("ghost", "Nobody At All")], "alias string, name string"))
+    tags = F.when(key % 3 == 0, F.array(alias)).when(key % 3 == 1, F.array("p_brand")).otherwise(F.array(F.lit("Ghost"), alias))
+    title = F.when(key % 5 == 0, " ").otherwise(F.concat(alias, F.lit(" "), "p_name"))
+    posts = t.part.select(key.alias("post_id"), title.alias("title"), tags.alias("tags"), F.array(F.when(key % 7 == 0, " Downloads ").otherwise("reviews")).alias("categories"))
+    return resolve.brand_from_tags(posts, t.dictionary(), ("downloads",), aliases)
+
+
 @query("r20_brand_from_tags", dictionary_sql(r"""SELECT p_partkey AS post_id, CAST(CASE p_partkey % 4 WHEN 1 THEN '1' ELSE substr(p_brand, 7) END AS BIGINT) AS maker_id,
     CASE p_partkey % 4 WHEN 0 THEN 'Old Brand ' || substr(p_brand, 7) WHEN 1 THEN 'Brand#1' ELSE 'old brand ' || substr(p_brand, 7) END AS tag,
     CASE p_partkey % 4 WHEN 0 THEN p_name WHEN 1 THEN 'Nobody ' || p_name ELSE regexp_replace(p_name, '^Brand#1\s+', '', 'i') END AS model FROM part WHERE p_partkey % 4 <> 3"""))
@@ -306,7 +328,15 @@ def _title(c: str = "html"):
     return F.regexp_extract(c, r"(?is)<title[^>]*>(.*?)</title>", 1)
 
 
-@query("c6_title_verdicts_over_tables")
+def _words(pattern: str) -> str:
+    return pattern.replace("(?iu)", "(?i)").replace("(?U)", "").replace("(?iU)", "(?i)").replace("'", "''")
+
+
+@query("c6_title_verdicts_over_tables", f"""WITH t AS (SELECT page_id, replace(replace(replace(replace(replace(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&amp;', '&') AS title FROM pages),
+    s AS (SELECT *, list_filter(string_split(title, '|'), lambda x: trim(x) <> '') AS segs FROM t),
+    w AS (SELECT *, array_to_string(CASE WHEN len(segs) > 1 THEN segs[1:len(segs) - 1] ELSE segs END, ' ') AS text FROM s),
+    v AS (SELECT *, regexp_matches(text, '{_words(vocab.INSTRUMENT_WORD)}') AS i, regexp_matches(text, '{_words(vocab.NOT_SOUND_SOURCE)}') AS o, regexp_matches(title, '{_words(vocab.DECISIVE_NOT)}') AS d FROM w)
+    SELECT page_id, CASE WHEN d THEN 'not-instrument' WHEN i AND NOT o THEN CASE WHEN len(segs) < 2 THEN 'undecided' ELSE 'instrument' END WHEN o AND NOT i THEN 'not-instrument' ELSE 'undecided' END AS verdict FROM v""")
 def _(t):
     return t.pages.select("page_id", classify.title_verdict(F.lit(""), F.lit(""), _title()).alias("verdict"))
 
@@ -339,12 +369,6 @@ def _(t):
     return classify.discovery_funnel(names, t.dictionary(), t.queue)
 
 
-@query("x1_page_text_over_tables")
-def _(t):
-    text = extract.html_to_text("html")
-    return t.pages.select("page_id", F.size(F.split(text, "\n")).alias("lines"), F.md5(text).alias("text_md5"))
-
-
 @query("x6_page_links", f"WITH {ANCHORS} SELECT page_id, count(DISTINCT href) AS links FROM a GROUP BY 1")
 def _(t):
     return extract.page_links(t.pages, "page_id").groupBy("page_id").agg(F.count("*").alias("links"))
@@ -443,9 +467,14 @@ def _(t):
     return evidence.fill_years(t.products, pages, t.dictionary())
 
 
-@query("k15_conflicts", f"SELECT entity_id, field_name, count(DISTINCT {VALUE_KEY.format('value')}) AS n_values FROM claims GROUP BY 1, 2 HAVING count(DISTINCT {VALUE_KEY.format('value')}) > 1", "claims")
+@query("k15_conflicts", f"SELECT entity_id, field_name, count(DISTINCT {VALUE_KEY.format('value')}) AS n_values, array_to_string(list_transform(list_sort(list(DISTINCT {{'v': {VALUE_KEY.format('value')}, 'u': source_url}}))[1:50], lambda x: x.v || ' (' || x.u || ')'), ' vs ') AS shown FROM claims GROUP BY 1, 2 HAVING count(DISTINCT {VALUE_KEY.format('value')}) > 1", "claims")
 def _(t):
-    return evidence.conflicts(t.claims).select("entity_id", "field_name", "n_values")
+    return evidence.conflicts(t.claims)
+
+
+@query("k15_conflict_rows", f"SELECT entity_id, field_name, value_key, source_url FROM (SELECT *, {VALUE_KEY.format('value')} AS value_key FROM claims) QUALIFY min(value_key) OVER (PARTITION BY entity_id, field_name) <> max(value_key) OVER (PARTITION BY entity_id, field_name)", "claims")
+def _(t):
+    return evidence.conflict_rows(t.claims)
 
 
 @query("k16_best_value", """SELECT DISTINCT ON (entity_id, field_name) entity_id, field_name, value, source_tier FROM claims
@@ -504,9 +533,14 @@ def _(t):
     return audit.reissue_conflicts(t.products, t.links, 2024)
 
 
-@query("q5_cross_maker_names", f"SELECT {NORM.format('name')} AS model_key, count(DISTINCT maker_id) AS n_makers, count(*) AS n FROM products WHERE length({NORM.format('name')}) >= 3 GROUP BY 1 HAVING count(DISTINCT maker_id) > 1", "products")
+@query("q5_cross_maker_names", f"SELECT {NORM.format('name')} AS model_key, count(DISTINCT maker_id) AS n_makers, count(*) AS n, array_to_string(list_transform(list_sort(list(DISTINCT {{'m': maker_id, 'n': name}}))[1:50], lambda x: x.m || ':' || x.n), ', ') AS shown FROM products WHERE length({NORM.format('name')}) >= 3 GROUP BY 1 HAVING count(DISTINCT maker_id) > 1", "products")
+def _(t):
+    return audit.cross_maker_names(t.products)
+
+
+@query("q5_cross_maker_rows", f"SELECT model_key, maker_id, name FROM (SELECT {NORM.format('name')} AS model_key, maker_id, name FROM products) WHERE length(model_key) >= 3 QUALIFY min(maker_id) OVER (PARTITION BY model_key) <> max(maker_id) OVER (PARTITION BY model_key)", "products")
 def _(t):
-    return audit.cross_maker_names(t.products).select("model_key", "n_makers", "n")
+    return audit.cross_maker_rows(t.products)
 
 
 @query("q6_split_editions", "SELECT edition, count(*) AS n, count(year) AS dated FROM (SELECT CASE WHEN id % 10 = 0 THEN 'reissue' ELSE edition END AS edition, year FROM products UNION ALL SELECT 'original', NULL FROM products WHERE id % 10 = 0) GROUP BY 1", "products")
@@ -564,13 +598,6 @@ def _(t):
     return audit.drop_chrome(t.links.select("url", "maker_id"), "url", "maker_id", 2)
 
 
-@query("q15_reread_links_over_tables")
-def _(t):
-    title = F.concat("p_name", F.when(F.col("p_partkey") % 3 == 0, " Synthesizer | Shop").when(F.col("p_partkey") % 3 == 1, " Amplifier | Shop").otherwise(""))
-    links = t.part.select(F.col("p_partkey").alias("id"), F.concat(F.lit("old-brand-"), (F.col("p_size") % 30).cast("string"), F.lit("-"), F.translate("p_name", " ", "-")).alias("slug"), F.lit("").alias("label"), title.alias("title"))
-    return audit.reread_links(links, t.products, t.dictionary()).groupBy("outcome").agg(F.count("*").alias("n"))
-
-
 @query("q16_orphans", "SELECT maker_id, count(*) AS n FROM links WHERE maker_id IS NOT NULL GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 20", "links")
 def _(t):
     return audit.orphans(t.links, t.products)
@@ -682,7 +709,7 @@ def _(t):
     return reports.next_to_probe(t.domains, 5)
 
 
-@query("a9_spec_summary", "SELECT product_id, count(*) AS n, string_agg(label || ': ' || value, ' | ' ORDER BY label || ': ' || value) AS summary FROM specs GROUP BY 1", "specs")
+@query("a9_spec_summary", "SELECT product_id, count(*) AS n, array_to_string(list_sort(list(label || ': ' || value))[1:50], ' | ') AS summary FROM specs GROUP BY 1", "specs")
 def _(t):
     return reports.spec_summary(t.specs)
 
