@@ -12,7 +12,7 @@ from pyspark.sql import SparkSession
 from shelfmark.plans import catalogue
 
 HEADLINES = [
-    "w2_link_graph", "r2_resolve_maker", "r7_contained_name", "r10_match_pages", "r12_match_contained", "k1_field_confidence", "k2_roll_up",
+    "w2_link_graph", "r1_name_dictionary", "r2_resolve_maker", "r7_contained_name", "r10_match_pages", "r12_match_contained", "k1_field_confidence", "k2_roll_up",
     "k9_derive_technology", "k16_best_value", "q1_classify_queue", "q4_reissues", "q5_cross_maker_names", "q7_freshness", "q10_detector_recall",
     "a1_domain_graph", "a9_spec_summary", "a10_maker_links", "s8_publish",
 ]
@@ -31,6 +31,8 @@ def main() -> None:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    # the first query of a session would also be charged for its start
+    catalogue.QUERIES["a12_review_list"](spark, sf_dir).write.format("noop").mode("overwrite").save()
     seconds = {}
     for name in HEADLINES:
         began = time.time()

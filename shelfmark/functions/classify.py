@@ -62,18 +62,26 @@ def route_links(pages: DataFrame, own_domain: str | None = None) -> DataFrame:
     return first_by(rows, keys, *nulls_last("label"), F.col("domain"), F.col("link_type")).select(F.col("owner_maker").alias("maker_id"), F.col("owner_product").alias("product_id"), "url", "label", "domain", "link_type")
 
 
+def _held(df: DataFrame, key: str) -> DataFrame:
+    """``df`` as it is, its columns made once for all that use them: Spark would put their expressions in each place."""
+    rest = [c for c in df.columns if c != key]
+    return df.select(key, F.explode(F.array(F.struct(*rest))).alias("_row")).select(key, "_row.*")
+
+
 def product_like(df: DataFrame, url: str, dictionary: DataFrame, key: str) -> DataFrame:
     """C4: (key, signal): why a URL looks like a product page, null if it doesn't.
 
-    The regex rules need no join; segments and slug heads meet maker keys by equality,
-    and beginnings of five letters or more of either meet the other by equality.
+    The regex rules need no join; segments, slug heads and beginnings of five letters or
+    more of segments and keys meet by equality, in one join.
     """
     path = F.url_decode(F.regexp_replace(F.regexp_extract(F.col(url), r"^[^:/?#]+://[^/?#]*([^?#]*)", 1), r"\+", "%2B"))
     segments = F.filter(F.split(path, "/"), lambda s: s != "")
-    rows = df.select(key, segments.alias("segs")).withColumn("low", F.transform("segs", F.lower))
-    rows = rows.withColumn("last", F.regexp_replace(F.get("segs", F.size("segs") - 1), r"(?i)\.(php|html?|aspx)$", ""))
-    before = F.slice(F.col("low"), F.lit(1), F.greatest(F.size("low") - 1, F.lit(0)))
-    rows = rows.withColumn("before", before)
+    rows = _held(df.select(key, segments.alias("segs")), key)
+    last = F.regexp_replace(F.get("segs", F.size("segs") - 1), r"(?i)\.(php|html?|aspx)$", "")
+    low = F.transform("segs", F.lower)
+    before = F.slice(low, F.lit(1), F.greatest(F.size("segs") - 1, F.lit(0)))
+    slug = F.filter(F.split(F.lower(last), "[-_ ]+"), lambda p: p != "")
+    rows = _held(rows.select(key, "segs", low.alias("low"), last.alias("last"), before.alias("before"), slug.alias("slug"), F.transform(before, norm).alias("normed")), key)
     bad = (
         (F.size("segs") == 0)
         | F.get("segs", F.size("segs") - 1).rlike(vocab.SKIP_FILE)
@@ -87,23 +95,26 @@ def product_like(df: DataFrame, url: str, dictionary: DataFrame, key: str) -> Da
     marked = F.arrays_overlap("before", F.array(*map(F.lit, vocab.MARKERS)))
     rows = rows.withColumn("easy", F.when(bad, "none").when(prefixed, "D:product-prefix").when(marked, "A:path-marker"))
 
-    keys = dictionary.filter("by_key").select(F.col("place").alias("k")).filter(F.length("k") >= 3).distinct()
-    open_rows = rows.filter("easy is null")
-    words = open_rows.select(key, F.explode("before").alias("seg"))
-    parts = words.select(key, F.explode(F.array_union(F.array(norm("seg")), F.transform(F.filter(F.split("seg", "[-_]+"), lambda p: F.length(p) >= 3), norm))).alias("k"))
-    by_segment = parts.filter("k <> ''").join(keys, "k", "left_semi").select(key)
-    five = words.select(key, norm("seg").alias("n")).filter(F.length("n") >= 5)
-    long_keys = keys.filter(F.length("k") >= 5)
-    begins = five.join(long_keys.select(F.explode(prefixes("k", 5)).alias("n")).distinct(), "n", "left_semi").select(key)
-    begun = five.select(key, F.explode(prefixes("n", 5)).alias("k")).join(long_keys, "k", "left_semi").select(key)
-    by_start = begins.union(begun)
-    segment = by_segment.union(by_start).distinct().withColumn("_b", F.lit(True))
-
-    slug = F.filter(F.split(F.lower("last"), "[-_ ]+"), lambda p: p != "")
-    heads = F.transform(F.sequence(F.lit(1), F.greatest(F.least(F.lit(4), F.size(slug)), F.lit(1))), lambda i: F.struct(i.alias("n"), norm(F.array_join(F.slice(slug, F.lit(1), i), "")).alias("k")))
-    slugs = open_rows.select(key, F.size(slug).alias("all"), F.explode(heads).alias("h")).select(key, "all", "h.n", "h.k").filter("k <> ''").join(keys, "k", "left_semi")
-    longest = slugs.groupBy(key).agg((F.first("all") - F.max("n")).alias("rest")).filter(F.col("rest").between(1, 5)).select(key, F.lit(True).alias("_c"))
-    out = rows.select(key, "easy").join(segment, key, "left").join(longest, key, "left")
+    # every known key, and every beginning of five letters or more of one
+    whole = dictionary.filter("by_key").select(F.col("place").alias("k")).filter(F.length("k") >= 3)
+    begins = F.when(F.length("k") >= 5, prefixes("k", 5))
+    roles = F.concat(F.array(F.struct("k", F.lit(True).alias("is_key"))), F.coalesce(F.transform(begins, lambda b: F.struct(b.alias("k"), F.lit(False).alias("is_key"))), F.array().cast("array<struct<k:string,is_key:boolean>>")))
+    known = whole.select(F.explode(roles).alias("r")).groupBy("r.k").agg(F.max("r.is_key").alias("is_key"), F.max(~F.col("r.is_key")).alias("is_begin"))
+
+    # what a URL asks for, all in one list: whole parts and slug heads that are keys, segments that begin one, beginnings that are one
+    def probes(kind: str, n: Column, strings: Column) -> Column:
+        return F.transform(strings, lambda k: F.struct(F.lit(kind).alias("kind"), n.cast("int").alias("n"), k.alias("k")))
+
+    long = F.filter("normed", lambda k: F.length(k) >= 5)
+    parts = F.concat("normed", F.transform(F.filter(F.flatten(F.transform("before", lambda seg: F.split(seg, "[-_]+"))), lambda p: F.length(p) >= 3), norm))
+    heads = F.transform(F.sequence(F.lit(1), F.greatest(F.least(F.lit(4), F.size("slug")), F.lit(1))), lambda i: F.struct(F.lit("head").alias("kind"), i.cast("int").alias("n"), norm(F.array_join(F.slice("slug", F.lit(1), i), "")).alias("k")))
+    none = F.lit(0)
+    asked = F.concat(probes("key", none, parts), probes("begins", none, long), probes("key", none, F.flatten(F.transform(long, lambda k: prefixes(k, 5)))), heads)
+    asked = rows.filter("easy is null").select(key, F.size("slug").alias("all"), F.explode(F.array_distinct(asked)).alias("p")).filter("p.k <> ''")
+    hits = asked.select(key, "all", "p.kind", "p.n", "p.k").join(known, "k").filter("case when kind = 'begins' then is_begin else is_key end")
+    longest = F.first("all") - F.max(F.when(F.col("kind") == "head", F.col("n")))
+    hits = hits.groupBy(key).agg(F.max(F.col("kind") != "head").alias("_b"), longest.between(1, 5).alias("_c"))
+    out = rows.select(key, "easy").join(hits, key, "left")
     signal = F.when(F.col("easy") == "none", F.lit(None)).when(F.col("easy").isNotNull(), F.col("easy")).when(F.col("_b"), "B:maker-segment").when(F.col("_c"), "C:maker-slug")
     return out.select(key, signal.cast("string").alias("signal"))
 

@@ -1,8 +1,9 @@
 """Ranks and running sums over keys of any size.
 
-A window gathers a key in one task.  Here rows are dealt by ranges of key and order, so a
-famous key is spread over as many tasks as its rows fill, and the places in each range are
-shifted by what the ranges before it hold.
+A window gathers a key in one task.  Where a key has more than TASK_ROWS, rows are dealt by
+ranges of key and order instead, so a famous key is spread over as many tasks as its rows
+fill, and the places in each range are shifted by what the ranges before it hold.  Both ways
+give the same places; a count of the keys decides.
 """
 
 from __future__ import annotations
@@ -14,6 +15,10 @@ from pyspark.sql import functions as F
 
 from ..sources.store import scratch, written
 
+#: Rows of a key that one task may sort.
+TASK_ROWS = 1_000_000
+#: Items of a key that one list may hold before it is cut.
+LIST_ITEMS = 10_000
 _SHIFT = 33  # Spark numbers the rows of partition p from p << 33
 
 
@@ -49,11 +54,19 @@ def _dealt(df: DataFrame, order: Sequence[Column]) -> DataFrame:
     return rows.withColumn("_range", F.shiftright("_at", _SHIFT))
 
 
+def _largest(df: DataFrame, by: Sequence[str]) -> int:
+    """Rows of the largest key."""
+    return df.groupBy(*by).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+
+
 def ranked(df: DataFrame, by: str, order: Sequence[Sort], name: str = "rank") -> DataFrame:
     """``df`` with the place (from 1) of each row among those with its ``by``, in ``order``.
 
     The order must tell rows of a key apart; null is a key of its own.
     """
+    if _largest(df, [by]) <= TASK_ROWS:
+        place = F.row_number().over(Window.partitionBy(by).orderBy(*[getattr(o.column, o.how)() for o in order]))
+        return df.withColumn(name, place.cast("long"))
     rows = _dealt(df, [up(by), *order])
     ranges = rows.groupBy(F.col(by).alias("_by"), F.col("_range").alias("_r")).agg(F.min("_at").alias("_first"), F.count("*").alias("_n"))
     # one row for each key and range that has it: as many as there are keys and ranges, at most
@@ -77,11 +90,15 @@ def running(df: DataFrame, order: Sequence[Sort], weight: str, name: str = "upto
 def first_of(df: DataFrame, by: Sequence[str], item: Column, most: int, distinct: bool = True) -> DataFrame:
     """``by``, ``n`` (how many items, different ones unless not ``distinct``) and ``items``: the first ``most`` in order.
 
-    Each task sends the first ``most`` of a key at most, and counts; no list grows with its key.
+    Where a key has more than LIST_ITEMS, each task sends the first ``most`` of a key at
+    most, and counts, so no list grows with its key; the result is the same.
     """
     rows = df.select(*by, item.alias("_item")).filter(F.col("_item").isNotNull())
     if distinct:
         rows = rows.distinct()
+    if _largest(rows, by) <= LIST_ITEMS:
+        items = F.sort_array(F.collect_list("_item"))
+        return rows.groupBy(*by).agg(F.count("*").alias("n"), F.slice(items, 1, most).alias("items"))
     counts = rows.groupBy(*by).agg(F.count("*").alias("n"))
     place = F.row_number().over(Window.partitionBy(*by).orderBy("_item"))
     first = rows.withColumn("_place", place).filter(F.col("_place") <= most)

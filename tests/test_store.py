@@ -139,7 +139,7 @@ def test_a_stored_dictionary_is_joined_without_an_exchange(spark, tmp_path):
     assert plan.count("Exchange") == 1 and plan.count("FileScan") == 1  # only the asked names are shuffled
 
 
-def test_ranks_of_a_famous_key(spark):
+def test_ranks_of_a_famous_key(spark, monkeypatch):
     """One maker has 90 % of the rows: the same places as a window gives, and no task with more than its share."""
     rng = random.Random(1)
     rows = [(i, 7 if rng.random() < 0.9 else rng.choice([None, 1, 2, 3]), rng.choice([None, "a", "b"]), rng.randrange(50)) for i in range(4000)]
@@ -148,7 +148,10 @@ def test_ranks_of_a_famous_key(spark):
     from pyspark.sql import Window
 
     window = Window.partitionBy("maker_id").orderBy(F.col("kind").asc_nulls_last(), F.desc("n"), "id")
-    assert rows_of(ranks.ranked(df, "maker_id", order)) == rows_of(df.withColumn("rank", F.row_number().over(window).cast("long")))
+    want = rows_of(df.withColumn("rank", F.row_number().over(window).cast("long")))
+    assert rows_of(ranks.ranked(df, "maker_id", order)) == want
+    monkeypatch.setattr(ranks, "TASK_ROWS", 100)
+    assert rows_of(ranks.ranked(df, "maker_id", order)) == want
     spark.conf.set("spark.sql.shuffle.partitions", "20")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
@@ -161,6 +164,22 @@ def test_ranks_of_a_famous_key(spark):
     assert ranks.ranked(df.limit(0), "maker_id", order).count() == 0
 
 
+@pytest.mark.parametrize("distinct", [False, True])
+def test_first_of_a_generic_key(spark, monkeypatch, distinct):
+    """The same lists and counts whichever way they are made, and none above ``most``."""
+    rng = random.Random(4)
+    df = spark.createDataFrame([(rng.choice(["x", "x", "x", "y", None]), rng.choice([None, *range(40)])) for _ in range(600)], "k string, v int")
+    held = {}
+    for k, v in df.collect():
+        if v is not None:
+            held.setdefault(k, []).append(v)
+    held = {k: sorted(set(v) if distinct else v) for k, v in held.items()}
+    for limit in (10_000, 5):
+        monkeypatch.setattr(ranks, "LIST_ITEMS", limit)
+        got = ranks.first_of(df.filter("k is not null"), ["k"], F.col("v"), 7, distinct)
+        assert {r.k: (r.n, r["items"]) for r in got.collect()} == {k: (len(v), v[:7]) for k, v in held.items() if k is not None}
+
+
 def test_running_sums(spark):
     rng = random.Random(2)
     rows = [(i, rng.randrange(5)) for i in range(500)]
@@ -181,8 +200,9 @@ def test_bitmap_counts(spark):
     assert tuple(reports.counted_ids(df.limit(0), [], F.col("id"), {"ids": F.lit(True)}).first()) == (0,)
 
 
-def test_catalogue_of_a_famous_maker(spark, tmp_path):
+def test_catalogue_of_a_famous_maker(spark, tmp_path, monkeypatch):
     """Pieces and files are bounded, nothing is lost, and names are in order over the files."""
+    monkeypatch.setattr(ranks, "TASK_ROWS", 100)
     makers = spark.createDataFrame([(i, n) for i, n in enumerate(["beta", "Alpha", "gamma", None, "Alpha"])], "id long, canonical_name string")
     products = spark.createDataFrame([(i, 1 if i % 10 else i % 5, f"p{i}", None if i % 4 == 0 else 1900 + i % 50, "c") for i in range(900)] + [(5000, 77, "lost", 1, "c"), (5001, None, "none", 1, "c")], "id long, maker_id long, name string, year int, category string")
     names = spark.createDataFrame([(0, "Old Beta", 1960, None)], "maker_id long, name string, start_year int, end_year int")
