@@ -940,4 +940,4 @@ def _(t):
     return readers.flatten_bindings(t.part.select(body.alias("body"))).select("label", "qid", "year")
 
 
-from . import cases, kept  # noqa: E402, F401  # register their queries here
+from . import branches, cases, kept  # noqa: E402, F401  # register their queries here
