@@ -9,7 +9,9 @@ from ..functions import classify
 from ..operators import evidence, resolve
 from .catalogue import CONFIRMED, NORM, PRODUCT_KEYS, query
 
-_BRAND = F.substring("p_brand", 7, 9).cast("long")
+
+def _brand():
+    return F.substring("p_brand", 7, 9).cast("long")
 
 
 @query("r10_by_slug", f"""SELECT p.p_partkey AS id, k.product_id, CASE WHEN k.product_id IS NOT NULL THEN 'slug' END AS match_kind
@@ -28,7 +30,7 @@ def _(t):
     """Labels that hold a product's name as one part among others; another source's links stay as they are."""
     label = F.concat(F.when(F.col("p_partkey") % 2 == 0, "Manual/").otherwise("scan of "), F.replace("p_name", F.lit(" "), F.lit("-")), F.lit(" mkII rev"))
     source = F.when(F.col("p_partkey") % 4 == 0, "other").otherwise("a")
-    links = t.part.select(F.col("p_partkey").alias("id"), _BRAND.alias("maker_id"), F.lit(None).cast("long").alias("product_id"), label.alias("label"), source.alias("source_name"))
+    links = t.part.select(F.col("p_partkey").alias("id"), _brand().alias("maker_id"), F.lit(None).cast("long").alias("product_id"), label.alias("label"), source.alias("source_name"))
     return resolve.relink(links, t.products, ["a"])
 
 
@@ -70,7 +72,7 @@ def _(t):
     FROM makers m FULL JOIN (SELECT DISTINCT p_brand AS canonical_name, CAST(substr(p_brand, 7) AS INT) AS n FROM part) e ON e.canonical_name = m.canonical_name""", "makers")
 def _(t):
     """Every fourth entry has a conflict, which demotes a confirmed maker unless the owner, as for every eighth, confirmed it."""
-    brands = t.part.select(F.col("p_brand").alias("canonical_name"), _BRAND.alias("n")).distinct()
+    brands = t.part.select(F.col("p_brand").alias("canonical_name"), _brand().alias("n")).distinct()
     entries = brands.select("canonical_name", F.lit("Land").alias("country"), F.lit(1).alias("n_sources"), (F.col("n") % 4 == 0).cast("int").alias("n_conflicts"), F.lit("needs_review").alias("confidence"))
     log = brands.select("canonical_name", F.when(F.col("n") % 8 == 0, "owner_confirmed").otherwise("viewed").alias("action"))
     return evidence.merge_makers(t.makers, entries, ["country"], log=log).select("canonical_name", "confidence")
