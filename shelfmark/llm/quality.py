@@ -217,10 +217,10 @@ def _sparse(rows: DataFrame, metadata: Sequence[str]) -> DataFrame:
                 some = batch.slice(i, AT_ONCE)
                 f = features(some.column(0), [some.column(1 + k) for k in range(len(metadata))])
                 at = pa.array(f.at, pa.int32())
-                yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(at, pa.array(f.index, pa.int32())), pa.ListArray.from_arrays(at, pa.array(f.value, pa.float32())), some.column(some.num_columns - 1)], ["index", "value", "y"])
+                yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(at, pa.array(f.index, pa.int32())), pa.ListArray.from_arrays(at, pa.array(f.value, pa.float32())), some.column(some.num_columns - 2), some.column(some.num_columns - 1)], ["index", "value", "at", "y"])
 
-    rows = rows.select("text", *[F.col(m).cast("double") for m in metadata], F.col("label of it").alias("y"))
-    return rows.mapInArrow(of, "index array<int>, value array<float>, y int")
+    rows = rows.select("text", *[F.col(m).cast("double") for m in metadata], F.xxhash64("doc_id").alias("at"), F.col("label of it").alias("y"))
+    return rows.mapInArrow(of, "index array<int>, value array<float>, at long, y int")
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Rows, np.ndarray]]:
@@ -237,8 +237,8 @@ def learn(docs: DataFrame, labels: DataFrame, metadata: Sequence[str] = ("n_char
     spark = docs.sparkSession
     metadata = tuple(m for m in metadata if m in docs.columns)
     folder = shared_dir(spark)
-    # a text goes to the shard of its hash and in its order there, whatever the files' order is
-    rows = _sparse(labelled(docs, labels), metadata).repartition(SHARDS, F.xxhash64("index")).sortWithinPartitions(F.xxhash64("index"), "y")
+    # a row goes to the shard of its id's hash and in its order there, whatever the files' order is; copies of a text are spread
+    rows = _sparse(labelled(docs, labels), metadata).repartition(SHARDS, "at").sortWithinPartitions("at", F.xxhash64("index"), "y")
     rows = written(rows, f"{folder}/features")
     n, ones = rows.agg(F.count("*"), F.coalesce(F.sum("y"), F.lit(0))).first()
     if not 0 < ones < n:
