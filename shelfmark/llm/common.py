@@ -39,6 +39,17 @@ def written(df: DataFrame, path: str, codec: str = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def settled(df: DataFrame, path: str) -> DataFrame:
+    """As ``written``; the shuffle files of the write are deleted with it, not when the driver next collects garbage."""
+    conf, name = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(name)
+    conf.set(name, "true")
+    try:
+        return written(df, path)
+    finally:
+        conf.set(name, before)
+
+
 def drop(spark: SparkSession, *paths: str) -> None:
     """Delete scratch folders that nothing reads any more."""
     jvm = spark.sparkContext._jvm

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import components, drop, shared_dir, shingle_sets, written
+from .common import components, drop, settled, shared_dir, shingle_sets
 
 #: Similarity of 0.75 as a ratio of integers: 100 * intersection >= 75 * union.
 NUM, DEN = 75, 100
@@ -193,7 +193,7 @@ def shared_tokens(sketch: DataFrame, rows: np.ndarray, folder: str) -> DataFrame
     As in ``once_each`` the bit filter ``rows`` leaves one row of each set, or few.
     """
     tokens = once_each(sketch, rows).select(F.explode("prefix").alias("token"))
-    shared = written(tokens.groupBy("token").agg(F.count("*").alias("c")).filter("c > 1").select("token"), f"{folder}/shared")
+    shared = settled(tokens.groupBy("token").agg(F.count("*").alias("c")).filter("c > 1").select("token"), f"{folder}/shared")
     spark = sketch.sparkSession.sparkContext
     maps, once = spark.broadcast(bit_filter(shared, "token")), spark.broadcast(rows)
 
@@ -209,7 +209,9 @@ def shared_tokens(sketch: DataFrame, rows: np.ndarray, folder: str) -> DataFrame
 
     # one pass of Python workers, so both filters are in it
     some = sketch.filter("n > 0").select("row", "prefix", "k", "n", "rare").mapInArrow(only, "token long, k long, n long, rare long")
-    return written(some.join(shared, "token").distinct(), f"{folder}/rows")
+    rows = settled(some.join(shared, "token").distinct(), f"{folder}/rows")
+    drop(sketch.sparkSession, f"{folder}/shared")
+    return rows
 
 
 def verified(pairs: DataFrame, docs: DataFrame, firsts: DataFrame, size: int, folder: str) -> DataFrame:
@@ -225,7 +227,7 @@ def verified(pairs: DataFrame, docs: DataFrame, firsts: DataFrame, size: int, fo
     leads = pairs.groupBy("a").agg(F.count("*").alias("c"))
     led = pairs.select("a", "b").join(leads, "a").select("a", F.pmod(F.xxhash64("b"), parts).alias("part"), F.col("b").alias("k"), F.lit(True).alias("led"))
     leads = leads.select("a", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("part"), F.col("a").alias("k"), F.lit(False).alias("led"))
-    wanted = written(led.union(leads).join(firsts, "k"), f"{folder}-wanted")
+    wanted = settled(led.union(leads).join(firsts, "k"), f"{folder}-wanted")
     shared = docs.sparkSession.sparkContext.broadcast(bit_filter(wanted, "row"))
 
     def only(batches):
@@ -251,7 +253,9 @@ def verified(pairs: DataFrame, docs: DataFrame, firsts: DataFrame, size: int, fo
     texts = docs.select(_row_hash(), "text").mapInArrow(only, "row long, text string").join(wanted, "row").select("a", "part", "led", "k", "text")
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     links = texts.repartition(n, "a", "part").sortWithinPartitions("a", "part", "led").mapInArrow(compare, "a long, b long")
-    return written(links, f"{folder}-links")
+    links = settled(links, f"{folder}-links")
+    drop(docs.sparkSession, f"{folder}-wanted")
+    return links
 
 
 def fits(n, m):
@@ -316,12 +320,14 @@ def similar_groups(sets: DataFrame, docs: DataFrame, firsts: DataFrame, size: in
     keys = ["m", "band"]
     sets = sets.select("k", "rare", band.alias("band"), F.explode("mins").alias("m"))
     hubs = sets.groupBy(*keys).agg(F.min(F.struct("rare", "k"))["k"].alias("a"), F.min("k").alias("y"), F.max("k").alias("z"))
-    hubs = written(hubs.filter("y <> z").drop("y", "z"), f"{folder}/hubs")
+    hubs = settled(hubs.filter("y <> z").drop("y", "z"), f"{folder}/hubs")
     # one value in common may be a passage's; pairs left out here are looked at by the matrix
     pairs = sets.join(hubs, keys).filter("k <> a").groupBy("a", F.col("k").alias("b")).agg(F.count("*").alias("c")).filter("c > 1").select("a", "b")
-    pairs = written(pairs, f"{folder}/star-pairs")
+    pairs = settled(pairs, f"{folder}/star-pairs")
     links = verified(pairs, docs, firsts, size, f"{folder}/star")
-    return written(components(links, f"{folder}/star-cc").select(F.col("node").alias("k"), F.col("component").alias("g")), f"{folder}/groups")
+    groups = settled(components(links, f"{folder}/star-cc").select(F.col("node").alias("k"), F.col("component").alias("g")), f"{folder}/groups")
+    drop(docs.sparkSession, *(f"{folder}/{x}" for x in ("hubs", "star-pairs", "star-links", "star-cc")))
+    return groups
 
 
 def grouped(rows: DataFrame, groups: DataFrame) -> DataFrame:
@@ -334,54 +340,59 @@ def led_groups(rows: DataFrame, groups: DataFrame, docs: DataFrame, firsts: Data
 
     Strays of a large group of near copies join it here, so that it stands in the matrix once.
     """
-    leaders = written(rows.groupBy("token", "g").agg(F.min(F.struct("rare", "k", "n")).alias("l")), f"{folder}/leaders")
+    leaders = settled(rows.groupBy("token", "g").agg(F.min(F.struct("rare", "k", "n")).alias("l")), f"{folder}/leaders")
     first = leaders.groupBy("token").agg(F.min(F.struct("l", "g")).alias("f"), F.min("g").alias("y"), F.max("g").alias("z")).filter("y <> z")
-    first = written(first.select("token", F.col("f.g").alias("h"), F.col("f.l.k").alias("b"), F.col("f.l.n").alias("nb")), f"{folder}/first-leaders")
+    first = settled(first.select("token", F.col("f.g").alias("h"), F.col("f.l.k").alias("b"), F.col("f.l.n").alias("nb")), f"{folder}/first-leaders")
     met = leaders.join(first, "token").filter("g <> h").select(F.col("l.k").alias("a"), F.col("l.n").alias("na"), "b", "nb").filter(fits(F.col("na"), F.col("nb")))
     # tokens on which other members lead are not counted here, so some pairs are left for later
     pairs = met.groupBy("a", "b", "na", "nb").agg(F.count("*").alias("o")).filter(F.col("o") >= least_shared(F.col("na"), F.col("nb")))
-    links = verified(written(pairs.select("a", "b"), f"{folder}/led-pairs"), docs, firsts, size, f"{folder}/led")
+    links = verified(settled(pairs.select("a", "b"), f"{folder}/led-pairs"), docs, firsts, size, f"{folder}/led")
     edges = groups.select(F.col("k").alias("a"), F.col("g").alias("b")).union(links)
-    return written(components(edges, f"{folder}/led-cc").select(F.col("node").alias("k"), F.col("component").alias("g")), f"{folder}/led-groups")
+    merged = settled(components(edges, f"{folder}/led-cc").select(F.col("node").alias("k"), F.col("component").alias("g")), f"{folder}/led-groups")
+    drop(docs.sparkSession, *(f"{folder}/{x}" for x in ("leaders", "first-leaders", "led-pairs", "led-links", "led-cc", "groups")))
+    return merged
 
 
 def _classified(docs: DataFrame, size: int, folder: str) -> DataFrame:
     """(doc_id, th, n, c) per row of ``docs(doc_id, text)``: text hash, set size and class, null without words."""
     docs = docs.select("doc_id", "text")
-    sketch = written(sketched(docs, size), f"{folder}/sketch")
+    sketch = settled(sketched(docs, size), f"{folder}/sketch")
     # each set is looked at once, whatever its copies
-    firsts = written(sketch.filter("n > 0").groupBy("k").agg(F.min("row").alias("row")), f"{folder}/first-rows")
+    firsts = settled(sketch.filter("n > 0").groupBy("k").agg(F.min("row").alias("row")), f"{folder}/first-rows")
     once = bit_filter(firsts, "row")
     groups = similar_groups(once_each(sketch, once), docs, firsts, size, folder)
 
     rows = shared_tokens(sketch, once, folder)
-    ids = written(sketch.select("doc_id", "th", "n", "k"), f"{folder}/keys")
+    ids = settled(sketch.select("doc_id", "th", "n", "k"), f"{folder}/keys")
     drop(docs.sparkSession, f"{folder}/sketch")
     groups = led_groups(grouped(rows, groups), groups, docs, firsts, size, folder)
-    rows = written(grouped(rows, groups), f"{folder}/grouped")
+    rows = settled(grouped(rows, groups), f"{folder}/grouped")
+    drop(docs.sparkSession, f"{folder}/rows")
 
     # Token-group matrix: the token union of each group and size band, for tokens of several groups.
-    several = written(rows.groupBy("token").agg(F.min("g").alias("lo"), F.max("g").alias("hi"), F.count("*").alias("c")).filter("lo <> hi").select("token", "c"), f"{folder}/several")
+    several = settled(rows.groupBy("token").agg(F.min("g").alias("lo"), F.max("g").alias("hi"), F.count("*").alias("c")).filter("lo <> hi").select("token", "c"), f"{folder}/several")
     # A token's place in its prefix: those of no other group first, then by exact counts, rare ones first.
     own = Window.partitionBy("k")
     place = prefix_end(F.col("n")) - F.count("*").over(own) + F.row_number().over(own.orderBy("c", "token")) - 1
     rows = rows.join(several, "token").withColumn("pos", place).drop("c").withColumn("band", size_band("n"))
-    rows = written(rows, f"{folder}/open")
+    rows = settled(rows, f"{folder}/open")
+    drop(docs.sparkSession, f"{folder}/grouped", f"{folder}/several")
     matrix = rows.select("token", F.col("g").alias("h"), F.col("band").alias("hband")).distinct()
     sizes = rows.groupBy(F.col("g").alias("h"), F.col("band").alias("hband")).agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
-    matrix = written(matrix.join(sizes, ["h", "hband"]), f"{folder}/matrix")
+    matrix = settled(matrix.join(sizes, ["h", "hband"]), f"{folder}/matrix")
 
     # Who may qualify at all: a set asks groups of its own size band and smaller ones.
     asking = leading(rows, F.sequence(F.col("band") - REACH, F.col("band"))).select("token", "k", "g", "band", F.col("other").alias("hband"))
     asked = leading(rows, F.sequence(F.col("band"), F.col("band") + REACH)).select("token", F.col("g").alias("h"), F.col("band").alias("hband"), F.col("other").alias("band"))
     others = (F.col("g") != F.col("h")) & ((F.col("band") > F.col("hband")) | (F.col("g") > F.col("h")))
     some = asking.join(asked.distinct(), ["token", "band", "hband"]).filter(others).select("k", "h", "hband").distinct()
-    some = written(some, f"{folder}/candidates")
+    some = settled(some, f"{folder}/candidates")
     n, lo, hi = F.col("n"), F.col("lo"), F.col("hi")
     smallest, largest = F.greatest(lo, F.ceil(n * NUM / DEN)), F.least(hi, F.floor(n * DEN / NUM))
     bound = rows.select("token", "k", "n").join(some, "k").join(matrix, ["token", "h", "hband"]).groupBy("k", "n", "h", "hband", "lo", "hi").agg(F.count("*").alias("o"))
     opened = bound.filter((smallest <= largest) & (F.col("o") >= least_shared_within(n, smallest, largest))).select("k", "h", "hband")
-    opened = written(opened, f"{folder}/opened")
+    opened = settled(opened, f"{folder}/opened")
+    drop(docs.sparkSession, f"{folder}/candidates", f"{folder}/matrix")
 
     # Members of the opened groups that share a leading token with the query, then enough of the prefixes.
     asking = leading(rows, F.sequence(F.col("band") - REACH, F.col("band"))).select("token", F.col("k").alias("a"), "band", F.col("other").alias("hband"), F.col("n").alias("na"), F.col("pos").alias("pa"))
@@ -389,17 +400,20 @@ def _classified(docs: DataFrame, size: int, folder: str) -> DataFrame:
     members = leading(rows, F.sequence(F.col("band"), F.col("band") + REACH)).select("token", F.col("g").alias("h"), F.col("k").alias("b"), F.col("band").alias("hband"), F.col("other").alias("band"), F.col("n").alias("nb"), F.col("pos").alias("pb"))
     na, nb = F.col("na"), F.col("nb")
     leads = fits(na, nb) & (F.col("pa") <= prefix_end(na) - least_shared(na, nb)) & (F.col("pb") <= prefix_end(nb) - least_shared(na, nb))
-    pairs = written(asking.join(members, ["token", "h", "hband", "band"]).filter(leads).select("a", "b").distinct(), f"{folder}/met")
+    pairs = settled(asking.join(members, ["token", "h", "hband", "band"]).filter(leads).select("a", "b").distinct(), f"{folder}/met")
     prefixes = rows.groupBy("k", "n").agg(F.collect_list("token").alias("tokens"))
     pairs = pairs.join(prefixes.select(F.col("k").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta")), "a").join(prefixes.select(F.col("k").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("tb")), "b")
     enough = F.size(F.array_intersect("ta", "tb")) >= least_shared(na, nb)
-    pairs = written(pairs.filter(enough).select("a", "b"), f"{folder}/pairs")
+    pairs = settled(pairs.filter(enough).select("a", "b"), f"{folder}/pairs")
+    drop(docs.sparkSession, f"{folder}/opened", f"{folder}/met", f"{folder}/open")
     links = verified(pairs, docs, firsts, size, f"{folder}/rest")
 
     edges = groups.select(F.col("k").alias("a"), F.col("g").alias("b")).union(links)
     classes = components(edges, f"{folder}/cc")
     ids = ids.join(classes.withColumnRenamed("node", "k"), "k", "left").withColumn("c", F.coalesce("component", "k"))
-    return written(ids.select("doc_id", "th", "n", "c"), f"{folder}/ids")
+    ids = settled(ids.select("doc_id", "th", "n", "c"), f"{folder}/ids")
+    drop(docs.sparkSession, *(f"{folder}/{x}" for x in ("keys", "first-rows", "led-groups", "pairs", "rest-links", "cc")))
+    return ids
 
 
 def jaccard_classes(docs: DataFrame, size: int = 5) -> DataFrame:
@@ -409,7 +423,7 @@ def jaccard_classes(docs: DataFrame, size: int = 5) -> DataFrame:
     """
     folder = shared_dir(docs.sparkSession)
     ids = _classified(docs, size, folder).select("doc_id", "n", "c")
-    least = written(ids.filter(F.col("c").isNotNull()).groupBy("c").agg(F.min("doc_id").alias("least")), f"{folder}/least")
+    least = settled(ids.filter(F.col("c").isNotNull()).groupBy("c").agg(F.min("doc_id").alias("least")), f"{folder}/least")
     return ids.join(least, "c", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("c").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"))
 
 
@@ -425,11 +439,11 @@ def keep_one(docs: DataFrame) -> DataFrame:
     rows = ids.filter(F.col("c").isNotNull()).groupBy("c", "doc_id", "th").agg(F.count("*").alias("copies"))
     first = rows.groupBy("c").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "th", "copies")).alias("f")).select("f.doc_id", "f.th", "f.copies")
     blank = ids.filter(F.col("c").isNull()).select("doc_id", "th", F.lit(1).cast("long").alias("copies")).distinct()
-    stay = written(first.union(blank), f"{folder}/stay").select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"), F.col("copies").alias("_copies"))
+    stay = settled(first.union(blank), f"{folder}/stay").select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"), F.col("copies").alias("_copies"))
     same = docs["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_th"))
     repeated = stay.filter("_copies > 1")
     if not repeated.take(1):
         return docs.join(stay, same, "left_semi")
-    repeated = written(repeated, f"{folder}/repeated")
+    repeated = settled(repeated, f"{folder}/repeated")
     once = docs.join(repeated, same).dropDuplicates(["_id", "_th"]).select(*(docs[c] for c in docs.columns))
     return docs.join(stay.filter("_copies = 1"), same, "left_semi").unionByName(once)
