@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.llm import decontam, line_dedup, ngram_join, piece_lattice, toxicity
-from shelfmark.llm.common import shared_dir, written
+from shelfmark.llm.common import drop, settled, shared_dir
 from shelfmark.ship import ship
 
 
@@ -62,9 +62,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each one's rows are written and read again."""
+    """All stages over ``documents``; each one's rows are written and read again, and deleted once the next one's are."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     folder = shared_dir(spark)
     for i, (_, stage) in enumerate(STAGES[:-1]):
-        docs = written(stage(spark, docs, sf_dir), f"{folder}/stage{i}")
+        docs = settled(stage(spark, docs, sf_dir), f"{folder}/stage{i}")
+        if i:
+            drop(spark, f"{folder}/stage{i - 1}")
     return STAGES[-1][1](spark, docs, sf_dir)

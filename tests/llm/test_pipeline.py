@@ -44,3 +44,39 @@ def test_pipeline_stages(spark, tmp_path):
     assert kept[2] - kept[3] == {203}
     out = corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).collect()
     assert {r.doc_id for r in out} == kept[3] and all(r.round_trip for r in out)
+
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, k long, row string, th int"
+
+
+def tables(spark, folder, docs, labels=(), items=()):
+    spark.createDataFrame(docs, SCHEMA).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame(list(labels), "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    spark.createDataFrame(list(items), "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+
+
+def test_run_on_nulls_repeated_rows_and_clashing_names(spark, tmp_path):
+    """A repeated row stays once; null ids, null, empty and blank texts stay; columns named as an operator's own do no harm."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(30)) for x in "abc")
+    texts = [(1, a), (1, a), (None, b), (2, None), (3, ""), (4, c), (5, c + " more"), (6, " \n\t"), (None, None)]
+    tables(spark, tmp_path, [(i, t, None, None, None, 7, "x", 1) for i, t in texts])
+    out = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert sorted((r.doc_id for r in out), key=str) == sorted([1, None, 2, 3, 4, 6, None], key=str)
+    assert all(r.round_trip for r in out)
+
+
+def test_run_on_empty_tables(spark, tmp_path):
+    tables(spark, tmp_path, [])
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_run_leaves_the_last_stage_s_rows_only(spark, tmp_path, monkeypatch):
+    """A stage's rows are deleted when the next stage's are written, and the session's settings are as before."""
+    import os
+
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    tables(spark, tmp_path, [(i, f"text number {i}", None, None, None, None, None, None) for i in range(5)])
+    monkeypatch.setattr(corpus_pipeline, "shared_dir", lambda _: f"file://{tmp_path}/scratch")
+    before = spark.conf.get(name)
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 5
+    assert os.listdir(tmp_path / "scratch") == ["stage3"] and spark.conf.get(name) == before
