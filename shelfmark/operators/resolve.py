@@ -168,10 +168,10 @@ def name_variant_rows(df: DataFrame, name: str, dictionary: DataFrame, key: str)
     return df.select(key, F.lower(F.trim(F.col(name))).alias("_lower")).join(known, "_lower").select(key, "variant")
 
 
-def name_variants(df: DataFrame, name: str, dictionary: DataFrame, key: str, most: int = 50) -> DataFrame:
-    """(key, n, variants): how many known longer names begin with a name and a space, the first ``most`` joined by " | "."""
-    out = first_of(name_variant_rows(df, name, dictionary, key), [key], F.col("variant"), most)
-    return out.select(key, "n", F.array_join("items", " | ").alias("variants"))
+def name_variants(df: DataFrame, name: str, dictionary: DataFrame, key: str) -> DataFrame:
+    """(key, n, variants): how many known longer names begin with a name and a space, all of them in order, joined by " | "."""
+    out = name_variant_rows(df, name, dictionary, key).groupBy(key).agg(F.sort_array(F.collect_set("variant")).alias("_items"))
+    return out.select(key, F.size("_items").cast("long").alias("n"), F.array_join("_items", " | ").alias("variants"))
 
 
 def is_known_prefix(df: DataFrame, name: str, dictionary: DataFrame, key: str, shortest: int = 3) -> DataFrame:

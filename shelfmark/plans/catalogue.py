@@ -171,7 +171,7 @@ def _(t):
     return resolve.contained_name(t.queue, "name", t.dictionary(), "id")
 
 
-@query("r8_name_variants", dictionary_sql("""SELECT p_partkey AS id, count(DISTINCT b.name) AS n, array_to_string(list_sort(list(DISTINCT b.name))[1:50], ' | ') AS variants FROM part JOIN names b ON starts_with(lower(b.name), lower(p_brand) || ' ') GROUP BY 1"""))
+@query("r8_name_variants", dictionary_sql("""SELECT p_partkey AS id, count(DISTINCT b.name) AS n, array_to_string(list_sort(list(DISTINCT b.name)), ' | ') AS variants FROM part JOIN names b ON starts_with(lower(b.name), lower(p_brand) || ' ') GROUP BY 1"""))
 def _(t):
     return resolve.name_variants(t.part.select(F.col("p_partkey").alias("id"), "p_brand"), "p_brand", t.dictionary(), "id")
 

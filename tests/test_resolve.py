@@ -28,6 +28,15 @@ def test_variants_of_long_names(spark):
     assert {r.id: r.variants for r in resolve.name_variants(names, "name", dictionary(spark), "id").collect()} == {1: LONG, 2: LONG}
 
 
+def test_every_variant_is_listed(spark):
+    known = [f"Verein Nr {i:03}" for i in range(120)]
+    makers = spark.createDataFrame(list(enumerate(known)), "id long, canonical_name string")
+    names = spark.createDataFrame([(1, "Verein"), (2, "verein nr"), (3, "Verein Nr 1"), (1, "VEREIN"), (4, None)], "id long, name string")
+    dictionary = resolve.name_dictionary(makers, spark.createDataFrame([], "maker_id long, name string"), ("canonical", "history"))
+    got = {r.id: (r.n, r.variants) for r in resolve.name_variants(names, "name", dictionary, "id").collect()}
+    assert got == {1: (120, " | ".join(known)), 2: (120, " | ".join(known))}
+
+
 def test_long_product_keys_in_labels(spark):
     products = spark.createDataFrame([(1, 1, "Polyphonic Ensemble Orchestra 5000"), (2, 1, "Polyphonic"), (3, 1, "X5"), (4, 2, "Polyphonic Ensemble")], "id long, maker_id long, name string")
     links = spark.createDataFrame([(1, 1, "Manual: Polyphonic Ensemble Orchestra 5000.pdf"), (2, 1, "Polyphonic Ensemble"), (3, 2, "The polyphonic ensemble"), (4, 1, "X5"), (5, 9, "Polyphonic"), (6, 1, None)], "id long, maker_id long, label string")
