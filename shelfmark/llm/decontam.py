@@ -9,10 +9,10 @@ them with the item's answer (its last sentence) nearly whole.  An item of fewer
 MIN_WORDS words has too little for a vector; it is found where all its words stand one
 after the other.
 
-Document frequencies count all documents.  The SVD is fitted on FIT_PASSAGES passages
-at most, about, those of documents chosen by a hash, in FIT_PARTS parts, so that its sums
-don't grow with the corpus; everything else runs over all rows.  The benchmark is
-the query set: it is taken in blocks of BLOCK_ITEMS items, each a pass over the ids, so
+Document frequencies and the SVD take all passages of all documents: one pass counts how
+often words meet in a passage, exactly, in tables of the vocabulary's size, and the SVD's
+products are with these counts.  The benchmark is the query set: it is taken in blocks of
+BLOCK_ITEMS items and MAX_VOCAB words at most (or one item), each a pass over the ids, so
 its size is not bounded, while what a task holds is.
 
 Defined results: items and documents without words match nothing; null ids are kept as
@@ -30,11 +30,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import shared_dir, written
+from .common import drop, settled, shared_dir, written
 
 K, EXTRA = 192, 32
-FIT_PASSAGES, FIT_PARTS, PASSAGE = 100_000, 32, 64
-BLOCK_ITEMS, MAX_VOCAB = 512, 1 << 15
+PASSAGE = 64
+#: Tasks that count words meeting, at least, and passages of one, about, so that few tables are summed.
+FIT_PARTS, PART_PASSAGES = 12, 250_000
+#: Passages whose pairs are made together; after how many a task sends its table, so that no cell overflows.
+SLICE, FULL = 4096, 500_000
+BLOCK_ITEMS, MAX_VOCAB = 512, 4095
+#: Cells of a task's table of words that meet.
+MAX_CELLS = (MAX_VOCAB + 1) ** 2
 STEP = 16
 MIN_WORDS = 8
 COSINE = 0.42
@@ -151,31 +157,108 @@ def inverse_frequencies(ids: DataFrame, vocabulary: int) -> np.ndarray:
     return np.log((1 + n.get(-1, 0)) / (1 + np.array([n.get(i, 0) for i in range(vocabulary)], float)))
 
 
-def _gram_times(ids: DataFrame, weights: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """A'A right for the TF-IDF matrix A of the passages of ``ids``; partial sums meet by rows of terms."""
-    shared = ids.sparkSession.sparkContext.broadcast((weights, right))
-    rows_each = 512
+def cooccurrences(ids: DataFrame, vocabulary: int, passages: int, folder: str) -> DataFrame:
+    """(row, cells, counts): C'C of the word counts C of all passages, by blocks of rows, exact.
+
+    Its upper triangle, what is off the diagonal twice; a cell is its place in its block.
+    A task sorts the words of each passage and counts pairs of places, in one table of
+    MAX_CELLS cells at most; for more words it sends what a slice of passages has.
+    """
+    wide = vocabulary + 1  # the last place: other words, and what fills a passage up
+    rows_each = _rows_each(vocabulary)
+
+    def sent(cells, counts):
+        keep = (cells % wide < vocabulary) & (cells < vocabulary * wide)
+        cells, counts = cells[keep], counts[keep]
+        block = cells // (rows_each * wide)
+        for at in np.split(np.arange(len(cells)), np.flatnonzero(np.diff(block)) + 1) if len(cells) else ():
+            first = int(block[at[0]])
+            own = (cells[at] - first * rows_each * wide).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array([first * rows_each], pa.int64()), pa.array([own.tobytes()], pa.binary()), pa.array([counts[at].astype(np.int64).tobytes()], pa.binary())], ["row", "cells", "counts"])
+
+    def pairs(passages):
+        """Cells of the pairs of places in ``passages``, and how often each counts."""
+        passages = np.sort(passages, axis=1)
+        used = (passages < vocabulary).sum(axis=1)
+        by = np.argsort(used, kind="stable")
+        passages, used = passages[by].astype(np.int64), used[by]
+        for width in range(4, PASSAGE + 1, 4):  # passages with about as many words together
+            lo, hi = np.searchsorted(used, [width - 4, width], "right")
+            some = passages[lo:hi, :width]
+            for d in range(width if hi > lo else 0):
+                yield (some[:, : width - d] * wide + some[:, d:]).ravel(), 2 if d else 1
+
+    def slices(batches):
+        held, n = [], 0
+        for batch in batches:
+            for x in batch.column("ids"):
+                a = np.frombuffer(x.as_py(), np.int32)
+                for i in range(0, len(a), SLICE * PASSAGE):
+                    own = a[i : i + SLICE * PASSAGE]
+                    filled = np.full(-(-len(own) // PASSAGE) * PASSAGE, vocabulary, np.int32)
+                    filled[: len(own)] = np.where(own < 0, vocabulary, own)
+                    held.append(filled)
+                    n += len(filled)
+                    if n >= SLICE * PASSAGE:
+                        yield np.concatenate(held).reshape(-1, PASSAGE)
+                        held, n = [], 0
+        if held:
+            yield np.concatenate(held).reshape(-1, PASSAGE)
+
+    def tally(batches):
+        table, n = np.zeros(wide * wide if wide * wide <= MAX_CELLS else 0, np.int32), 0
+        for some in slices(batches):
+            if not len(table):
+                for cells, each in pairs(some):
+                    cells, counts = np.unique(cells, return_counts=True)
+                    yield from sent(cells, counts * each)
+                continue
+            for cells, each in pairs(some):
+                np.add.at(table, cells, np.int32(each))
+            n += len(some)
+            if n >= FULL:  # a passage adds less than 2 ** 12 to a cell
+                cells = np.flatnonzero(table)
+                yield from sent(cells, table[cells])
+                table[:], n = 0, 0
+        cells = np.flatnonzero(table)
+        yield from sent(cells, table[cells])
+
+    def add(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(rows_each * wide, np.int64)
+        for batch in batches:
+            for cells, counts in zip(batch.column("cells"), batch.column("counts"), strict=True):
+                total[np.frombuffer(cells.as_py(), np.int32)] += np.frombuffer(counts.as_py(), np.int64)
+        cells = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int64()), pa.array([cells.astype(np.int32).tobytes()], pa.binary()), pa.array([total[cells].tobytes()], pa.binary())], ["row", "cells", "counts"])
+
+    kind = "row long, cells binary, counts binary"
+    parts = ids.select("ids").coalesce(max(FIT_PARTS, -(-passages // PART_PASSAGES))).mapInArrow(tally, kind)
+    return settled(parts.groupBy("row").applyInArrow(add, kind), folder)
+
+
+def _rows_each(vocabulary: int) -> int:
+    """Rows of a block of ``cooccurrences``."""
+    return max(1, min(64, (1 << 21) // (vocabulary + 1)))
+
+
+def _gram_times(counts: DataFrame, weights: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """A'A right for the TF-IDF matrix A of which ``counts`` is ``cooccurrences``; partial sums meet by rows of terms."""
+    shared = counts.sparkSession.sparkContext.broadcast((weights, right * weights[:, None]))
+    rows_each, block, wide = 512, _rows_each(len(weights)), len(weights) + 1
 
     def multiply(batches):
         w, r = shared.value
         total, any_rows = np.zeros_like(r), False
         for batch in batches:
-            for x in batch.column("ids"):
-                a = np.frombuffer(x.as_py(), np.int32)
-                passage = np.arange(len(a)) // PASSAGE
-                inside = a >= 0
-                a, passage = a[inside], passage[inside]
-                if not len(a):
-                    continue
-                any_rows = True
-                starts = np.flatnonzero(np.diff(passage, prepend=-1))
-                product = np.add.reduceat(r[a] * w[a, None], starts)
-                by = np.argsort(a, kind="stable")
-                terms = a[by]
-                first = np.flatnonzero(np.diff(terms, prepend=-1))
-                which = np.cumsum(np.diff(passage, prepend=passage[0]) > 0)
-                total[terms[first]] += np.add.reduceat(product[which[by]], first) * w[terms[first], None]
+            for row, cells, n in zip(*(batch.column(c) for c in ("row", "cells", "counts")), strict=True):
+                any_rows, row = True, row.as_py()
+                upper = np.zeros(block * wide)
+                upper[np.frombuffer(cells.as_py(), np.int32)] = np.frombuffer(n.as_py(), np.int64) / 2
+                upper = upper.reshape(block, wide)[: len(r) - row, :-1]
+                total[row : row + len(upper)] += upper @ r
+                total += upper.T @ r[row : row + len(upper)]
         if any_rows:
+            total *= w[:, None]
             starts = range(0, len(total), rows_each)
             yield pa.RecordBatch.from_arrays([pa.array(list(starts), pa.int64()), pa.array([total[s : s + rows_each].tobytes() for s in starts], pa.binary())], ["row", "part"])
 
@@ -187,7 +270,7 @@ def _gram_times(ids: DataFrame, weights: np.ndarray, right: np.ndarray) -> np.nd
                 total = a.copy() if total is None else total + a
         yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int64()), pa.array([total.tobytes()], pa.binary())], ["row", "part"])
 
-    parts = ids.select("ids").mapInArrow(multiply, "row long, part binary").groupBy("row").applyInArrow(add, "row long, part binary")
+    parts = counts.coalesce(FIT_PARTS).mapInArrow(multiply, "row long, part binary").groupBy("row").applyInArrow(add, "row long, part binary")
     total = np.zeros_like(right)
     for r in parts.collect():  # as many numbers as ``right`` has
         a = np.frombuffer(r.part, float).reshape(-1, right.shape[1])
@@ -196,20 +279,19 @@ def _gram_times(ids: DataFrame, weights: np.ndarray, right: np.ndarray) -> np.nd
 
 
 def latent_space(ids: DataFrame, vocabulary: int, folder: str) -> np.ndarray:
-    """A row for each word: its weighted, whitened vector in the latent space."""
+    """A row for each word: its weighted, whitened vector in the latent space of all passages."""
     passages = ids.agg(F.sum(F.ceil(F.col("n") / PASSAGE))).first()[0] or 0
-    share = min(1.0, FIT_PASSAGES / max(passages, 1))
     weights = inverse_frequencies(ids, vocabulary)
     width = min(K + EXTRA, vocabulary)
-    some = ids if share == 1 else ids.filter(F.pmod(F.xxhash64("ids"), F.lit(1_000_000)) < int(1_000_000 * share))
-    some = written(some.select("ids").repartition(FIT_PARTS), folder)
+    counts = cooccurrences(ids, vocabulary, passages, folder)
     start = np.random.default_rng(SEED).standard_normal((vocabulary, width))
-    basis, _ = np.linalg.qr(_gram_times(some, weights, start))
-    squares, turn = np.linalg.eigh(basis.T @ _gram_times(some, weights, basis))
+    basis, _ = np.linalg.qr(_gram_times(counts, weights, start))
+    squares, turn = np.linalg.eigh(basis.T @ _gram_times(counts, weights, basis))
     order = np.argsort(squares)[::-1][:K]
     order = order[squares[order] > 1e-9 * max(float(squares.max(initial=0)), 1e-300)]
     vectors = (basis @ turn[:, order]) / np.sqrt(squares[order]) if len(order) else np.zeros((vocabulary, 1))
-    return (vectors * weights[:, None] * np.sqrt(max(passages * share, 1))).astype(np.float32)
+    drop(ids.sparkSession, folder)
+    return (vectors * weights[:, None] * np.sqrt(max(passages, 1))).astype(np.float32)
 
 
 def common_words(item: list[int], text: list[int]) -> int:

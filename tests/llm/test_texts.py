@@ -4,6 +4,7 @@ import random
 import struct
 import zlib
 
+import numpy as np
 import public_tokenizers
 import pytest
 
@@ -236,6 +237,32 @@ def test_decontamination_against_all_pairs(spark):
     assert len(expected & got) >= 0.95 * len(expected) and all(decontam.common_words(decontam.words_of(dict(items)[i]), decontam.words_of(dict(docs)[d])) >= decontam.PARAPHRASED * len(decontam.words_of(dict(items)[i])) for d, i in got - expected)
 
 
+@pytest.mark.parametrize("cells", [1 << 24, 0])
+def test_latent_space_takes_all_passages(spark, monkeypatch, tmp_path, cells):
+    """Against counts of all passages; once with a task's table, once by slices, both sent in several parts."""
+    monkeypatch.setattr(decontam, "FIT_PASSAGES", 20, raising=False)
+    for name, value in (("MAX_CELLS", cells), ("SLICE", 7), ("FULL", 25), ("PART_PASSAGES", 10)):
+        monkeypatch.setattr(decontam, name, value, raising=False)
+    rng = random.Random(12)
+    words = [f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(80)]
+    texts = [" ".join(rng.choices(words + ["other"] * 60, k=rng.choice([0, 1, 63, 64, 65, 700]))) for _ in range(90)] + [None, "other", "waa " * 200]
+    items = decontam.Items([(1, " ".join(words[:70]))])
+    counts = []
+    for text in texts:
+        own = decontam.words_of(text)
+        for i in range(0, len(own), decontam.PASSAGE):
+            counts.append([own[i : i + decontam.PASSAGE].count(w) for w in items.vocabulary])
+    counts = np.array(counts, float)
+    has = [set(decontam.words_of(t)) for t in texts]
+    weights = np.log((1 + len(texts)) / (1 + np.array([sum(w in h for h in has) for w in items.vocabulary])))
+    expected = len(counts) * np.linalg.inv(counts.T @ counts)  # of W V / S V' W and its transpose
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    ids = decontam.written(decontam.word_ids(docs, items), str(tmp_path / "ids"))
+    space = decontam.latent_space(ids, len(items.vocabulary), str(tmp_path / "fit")).astype(float)
+    assert len(counts) > 100 and weights.min() > 0
+    np.testing.assert_allclose(space @ space.T, expected, rtol=1e-2, atol=1e-3 * np.abs(expected).max())
+
+
 def test_clean_drops_leaked_rows_only(spark):
     """Rows that share a null or repeated id with a leaked row stay."""
     rng = random.Random(4)
