@@ -1,6 +1,9 @@
 import zlib
 
+import numpy as np
+
 import corpus_pipeline
+from shelfmark.llm import decontam
 
 
 def test_pipeline_stages(spark, tmp_path):
@@ -80,3 +83,23 @@ def test_run_leaves_the_last_stage_s_rows_only(spark, tmp_path, monkeypatch):
     before = spark.conf.get(name)
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 5
     assert os.listdir(tmp_path / "scratch") == ["stage3"] and spark.conf.get(name) == before
+
+
+def test_decontamination_is_fitted_on_all_passages(spark, monkeypatch, tmp_path):
+    """The stage's counts hold every passage of every document, whatever a sample's bound."""
+    seen, real = [], decontam.cooccurrences
+
+    def counted(*given):
+        counts = real(*given)
+        seen.extend(int(np.frombuffer(r.counts, np.int64).sum()) for r in counts.collect())
+        return counts
+
+    monkeypatch.setattr(decontam, "FIT_PASSAGES", 1, raising=False)
+    monkeypatch.setattr(decontam, "cooccurrences", counted)
+    words = [f"w{chr(97 + i)}" for i in range(20)]
+    texts = [" ".join(words[(i * 7 + j) % 20] for j in range(n)) for i, n in enumerate([10, 64, 65, 300, 0, 129])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    spark.createDataFrame([(1, " ".join(reversed(words)))], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    corpus_pipeline.drop_leaked(spark, docs, str(tmp_path)).collect()
+    lengths = [len(t.split()[i : i + 64]) for t in texts for i in range(0, len(t.split()), 64)]
+    assert sum(seen) == sum(n * n for n in lengths)
