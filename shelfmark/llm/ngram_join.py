@@ -48,6 +48,12 @@ BAND = 1.15
 REACH = 3
 #: Pairs of one leading set that a task verifies together, about.
 PAIRS_A_PART = 500
+#: Tokens of the sets that a task compares each with each, about.
+TOKENS_A_PART = 1_000_000
+#: Sets of a task are a group where they are connected by this share of common tokens; only speed depends on it.
+LOOSE = 0.1
+#: Cells of the table by which a task counts common tokens.
+TABLE = 1 << 22
 LONG_LIST = pa.list_(pa.int64())
 
 
@@ -214,25 +220,29 @@ def shared_tokens(sketch: DataFrame, rows: np.ndarray, folder: str) -> DataFrame
     return rows
 
 
+def _wanted_texts(wanted: DataFrame, docs: DataFrame) -> DataFrame:
+    """``wanted`` (row, ...) with the text of each row; a bit filter of bounded size keeps other texts from the join, which is exact."""
+    shared = docs.sparkSession.sparkContext.broadcast(bit_filter(wanted, "row"))
+
+    def only(batches):
+        for batch in _slices(batches):
+            yield batch.take(pa.array(np.flatnonzero(passing(shared.value, batch.column("row").to_numpy()))))
+
+    return docs.select(_row_hash(), "text").mapInArrow(only, "row long, text string").join(wanted, "row").drop("row")
+
+
 def verified(pairs: DataFrame, docs: DataFrame, firsts: DataFrame, size: int, folder: str) -> DataFrame:
     """The (a, b) of ``pairs`` whose whole sets reach the threshold.
 
     Each ``a`` leads one part or more of PAIRS_A_PART pairs, about, so that one with many
     pairs is no hot key.  The text of each set's first row, of ``firsts`` (k, row), goes to
-    the parts it is in, the leader's first, and is cut into shingles there.  A bit filter
-    of bounded size (Spark's bitmap aggregate) on the rows' hashes keeps other texts from
-    the join, which is exact.
+    the parts it is in, the leader's first, and is cut into shingles there.
     """
     parts = F.ceil(F.col("c") / PAIRS_A_PART)
     leads = pairs.groupBy("a").agg(F.count("*").alias("c"))
     led = pairs.select("a", "b").join(leads, "a").select("a", F.pmod(F.xxhash64("b"), parts).alias("part"), F.col("b").alias("k"), F.lit(True).alias("led"))
     leads = leads.select("a", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("part"), F.col("a").alias("k"), F.lit(False).alias("led"))
     wanted = settled(led.union(leads).join(firsts, "k"), f"{folder}-wanted")
-    shared = docs.sparkSession.sparkContext.broadcast(bit_filter(wanted, "row"))
-
-    def only(batches):
-        for batch in _slices(batches):
-            yield batch.take(pa.array(np.flatnonzero(passing(shared.value, batch.column("row").to_numpy()))))
 
     def compare(batches):
         lead, own = None, None
@@ -250,7 +260,7 @@ def verified(pairs: DataFrame, docs: DataFrame, firsts: DataFrame, size: int, fo
                     found_a.append(a), found_b.append(k)
             yield pa.RecordBatch.from_arrays([pa.array(found_a, pa.int64()), pa.array(found_b, pa.int64())], ["a", "b"])
 
-    texts = docs.select(_row_hash(), "text").mapInArrow(only, "row long, text string").join(wanted, "row").select("a", "part", "led", "k", "text")
+    texts = _wanted_texts(wanted, docs).select("a", "part", "led", "k", "text")
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     links = texts.repartition(n, "a", "part").sortWithinPartitions("a", "part", "led").mapInArrow(compare, "a long, b long")
     links = settled(links, f"{folder}-links")
@@ -258,6 +268,55 @@ def verified(pairs: DataFrame, docs: DataFrame, firsts: DataFrame, size: int, fo
     return links
 
 
+def common_tokens(sets: list[np.ndarray]) -> np.ndarray:
+    """How many tokens each two of ``sets`` share: a matrix product over the tokens of two sets or more."""
+    flat, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    by = np.argsort(flat, kind="stable")
+    flat, owner = flat[by], owner[by]
+    new = np.append(True, flat[1:] != flat[:-1])
+    column = np.cumsum(new) - 1
+    several = np.bincount(column)[column] > 1
+    owner, column = owner[several], (np.cumsum(new & several) - 1)[several]
+    both, width = np.zeros((len(sets), len(sets)), np.int64), max(1, TABLE // len(sets))
+    for first in range(0, int(column[-1]) + 1 if len(column) else 0, width):
+        lo, hi = np.searchsorted(column, [first, first + width])
+        table = np.zeros((len(sets), int(column[hi - 1]) - first + 1), np.float32)  # whole numbers below 2 ** 24
+        table[owner[lo:hi], column[lo:hi] - first] = 1
+        both += (table @ table.T).astype(np.int64)
+    np.fill_diagonal(both, [len(s) for s in sets])
+    return both
+
+
+def _connected(near: np.ndarray) -> np.ndarray:
+    """The first place that each place is connected with."""
+    label = np.arange(len(near))
+    while True:
+        low = np.where(near, label, len(near)).min(axis=1)
+        low = low[low]
+        if np.array_equal(low, label):
+            return label
+        label = low
+
+
+def told_apart(keys: list[int], sets: list[np.ndarray], alone: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(g, c, pure) of sets that are compared each with each; the first leads them.
+
+    c is a set of the same class: of those connected by links.  g is the group: any two of
+    a group have been compared, or are of one class.  The leader, if not ``alone``, leads other parts
+    too, so only its class is in its group there.  pure: the group is one class.
+    """
+    keys, n, both = np.array(keys, np.int64), np.array([len(s) for s in sets]), common_tokens(sets)
+    union = n[:, None] + n - both
+    label = _connected(both * DEN >= union * NUM)
+    group = _connected(both >= union * LOOSE)
+    if not alone:
+        others = (group == 0) & (label != 0)
+        group[others] = np.flatnonzero(others)[0] if others.any() else 0
+    pure = np.ones(len(keys), bool)
+    pure[group[label != label[group]]] = False
+    return keys[group], keys[label], pure[group]
+
+
 def fits(n, m):
     """Set sizes that can reach the threshold at all."""
     return (F.least(n, m) * DEN >= F.greatest(n, m) * NUM)
@@ -311,44 +370,80 @@ def leading(rows: DataFrame, bands) -> DataFrame:
 
 
 def similar_groups(sets: DataFrame, docs: DataFrame, firsts: DataFrame, size: int, folder: str) -> DataFrame:
-    """(k, g): groups of similar sets, from verified links to the group's first set.
+    """(k, g, c, pure): groups of similar sets and classes within them, see ``told_apart``; sets alone are left out.
 
-    Sets meet where a min-hash value and a size band agree; each is compared with one of
-    its bucket only, that with the fewest rare tokens: of near copies the least edited.
+    Sets meet where a min-hash value and a size band agree.  Each points to one of its
+    buckets' sets with the fewest rare tokens (of near copies the least edited): that met
+    most often.  The text of each set so connected goes once to a part of PAIRS_A_PART sets,
+    about, in which all are compared on whole sets.  So copies that are alike but not linked,
+    whose pairs grow with the square of their number, are no rows of a join.
     """
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(DEN / NUM)))
     keys = ["m", "band"]
+    known = sets.select("k", "n", "rare")
     sets = sets.select("k", "rare", band.alias("band"), F.explode("mins").alias("m"))
     hubs = sets.groupBy(*keys).agg(F.min(F.struct("rare", "k"))["k"].alias("a"), F.min("k").alias("y"), F.max("k").alias("z"))
     hubs = settled(hubs.filter("y <> z").drop("y", "z"), f"{folder}/hubs")
     # one value in common may be a passage's; pairs left out here are looked at by the matrix
-    pairs = sets.join(hubs, keys).filter("k <> a").groupBy("a", F.col("k").alias("b")).agg(F.count("*").alias("c")).filter("c > 1").select("a", "b")
-    pairs = settled(pairs, f"{folder}/star-pairs")
-    links = verified(pairs, docs, firsts, size, f"{folder}/star")
-    groups = settled(components(links, f"{folder}/star-cc").select(F.col("node").alias("k"), F.col("component").alias("g")), f"{folder}/groups")
-    drop(docs.sparkSession, *(f"{folder}/{x}" for x in ("hubs", "star-pairs", "star-links", "star-cc")))
+    pairs = sets.join(hubs, keys).filter("k <> a").groupBy("a", F.col("k").alias("b")).agg(F.count("*").alias("c")).filter("c > 1")
+    pairs = settled(pairs.groupBy("b").agg(F.max(F.struct("c", "a"))["a"].alias("a")).select("a", "b"), f"{folder}/star-pairs")
+    near = components(pairs, f"{folder}/star-cc").select(F.col("node").alias("k"), F.col("component").alias("near"))
+    near = settled(near.join(known, "k").distinct(), f"{folder}/near")
+
+    parts = F.greatest(F.ceil(F.count("*") / PAIRS_A_PART), F.ceil(F.sum("n") / TOKENS_A_PART))
+    leads = settled(near.groupBy("near").agg(F.min(F.struct("rare", "k"))["k"].alias("a"), parts.alias("parts")), f"{folder}/leads")
+    led = near.join(leads, "near").filter("k <> a").select("a", F.pmod(F.xxhash64("k"), "parts").alias("part"), "parts", "k", F.lit(True).alias("led"))
+    first = leads.select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), "parts", F.col("a").alias("k"), F.lit(False).alias("led"))
+    wanted = settled(led.union(first).join(firsts, "k"), f"{folder}/star-wanted")
+
+    def compare(batches):
+        at, keys, sets = None, [], []
+
+        def out():
+            g, c, pure = told_apart(keys, sets, at[2] == 1)
+            here = np.arange(1 if at[1] else 0, len(keys))  # part 0 tells of the leader
+            return pa.RecordBatch.from_arrays([pa.array(np.array(keys, np.int64)[here]), pa.array(g[here]), pa.array(c[here]), pa.array(pure[here])], ["k", "g", "c", "pure"])
+
+        for batch in _slices(batches):
+            for a, part, parts, k, s in zip(*(batch.column(x).to_pylist() for x in ("a", "part", "parts", "k")), shingle_sets(batch.column("text"), size), strict=True):
+                if at != (a, part, parts):
+                    if keys:
+                        yield out()
+                    at, keys, sets = (a, part, parts), [], []
+                keys.append(k)
+                sets.append(s)
+        if keys:
+            yield out()
+
+    texts = _wanted_texts(wanted, docs).select("a", "part", "parts", "led", "k", "text")
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    groups = texts.repartition(n, "a", "part").sortWithinPartitions("a", "part", "led").mapInArrow(compare, "k long, g long, c long, pure boolean")
+    groups = settled(groups, f"{folder}/groups")
+    drop(docs.sparkSession, *(f"{folder}/{x}" for x in ("hubs", "star-pairs", "star-cc", "near", "leads", "star-wanted")))
     return groups
 
 
 def grouped(rows: DataFrame, groups: DataFrame) -> DataFrame:
     """``rows`` with their group; a set in no group is one of its own."""
-    return rows.join(groups, "k", "left").select("token", "k", "n", "rare", F.coalesce("g", "k").alias("g"))
+    return rows.join(groups.select("k", "g", "pure"), "k", "left").select("token", "k", "n", "rare", F.coalesce("g", "k").alias("g"), F.coalesce("pure", F.lit(True)).alias("pure"))
 
 
 def led_groups(rows: DataFrame, groups: DataFrame, docs: DataFrame, firsts: DataFrame, size: int, folder: str) -> DataFrame:
-    """Groups after merging those whose leaders on a token qualify: one leader a group and token.
+    """Groups after merging those of one class whose leaders on a token qualify: one leader a group and token.
 
     Strays of a large group of near copies join it here, so that it stands in the matrix once.
     """
-    leaders = settled(rows.groupBy("token", "g").agg(F.min(F.struct("rare", "k", "n")).alias("l")), f"{folder}/leaders")
+    leaders = settled(rows.filter("pure").groupBy("token", "g").agg(F.min(F.struct("rare", "k", "n")).alias("l")), f"{folder}/leaders")
     first = leaders.groupBy("token").agg(F.min(F.struct("l", "g")).alias("f"), F.min("g").alias("y"), F.max("g").alias("z")).filter("y <> z")
     first = settled(first.select("token", F.col("f.g").alias("h"), F.col("f.l.k").alias("b"), F.col("f.l.n").alias("nb")), f"{folder}/first-leaders")
     met = leaders.join(first, "token").filter("g <> h").select(F.col("l.k").alias("a"), F.col("l.n").alias("na"), "b", "nb").filter(fits(F.col("na"), F.col("nb")))
     # tokens on which other members lead are not counted here, so some pairs are left for later
     pairs = met.groupBy("a", "b", "na", "nb").agg(F.count("*").alias("o")).filter(F.col("o") >= least_shared(F.col("na"), F.col("nb")))
     links = verified(settled(pairs.select("a", "b"), f"{folder}/led-pairs"), docs, firsts, size, f"{folder}/led")
-    edges = groups.select(F.col("k").alias("a"), F.col("g").alias("b")).union(links)
-    merged = settled(components(edges, f"{folder}/led-cc").select(F.col("node").alias("k"), F.col("component").alias("g")), f"{folder}/led-groups")
+    edges = groups.filter("pure").select(F.col("k").alias("a"), F.col("g").alias("b")).union(links)
+    merged = components(edges, f"{folder}/led-cc").select(F.col("node").alias("k"), F.col("component").alias("g"), F.lit(True).alias("pure"))
+    merged = merged.union(groups.filter("not pure").select("k", "g", "pure"))
+    merged = settled(merged.join(groups.select("k", "c"), "k", "left").select("k", "g", F.coalesce("c", "k").alias("c"), "pure"), f"{folder}/led-groups")
     drop(docs.sparkSession, *(f"{folder}/{x}" for x in ("leaders", "first-leaders", "led-pairs", "led-links", "led-cc", "groups")))
     return merged
 
@@ -366,7 +461,7 @@ def _classified(docs: DataFrame, size: int, folder: str) -> DataFrame:
     ids = settled(sketch.select("doc_id", "th", "n", "k"), f"{folder}/keys")
     drop(docs.sparkSession, f"{folder}/sketch")
     groups = led_groups(grouped(rows, groups), groups, docs, firsts, size, folder)
-    rows = settled(grouped(rows, groups), f"{folder}/grouped")
+    rows = settled(grouped(rows, groups).drop("pure"), f"{folder}/grouped")
     drop(docs.sparkSession, f"{folder}/rows")
 
     # Token-group matrix: the token union of each group and size band, for tokens of several groups.
@@ -408,7 +503,7 @@ def _classified(docs: DataFrame, size: int, folder: str) -> DataFrame:
     drop(docs.sparkSession, f"{folder}/opened", f"{folder}/met", f"{folder}/open")
     links = verified(pairs, docs, firsts, size, f"{folder}/rest")
 
-    edges = groups.select(F.col("k").alias("a"), F.col("g").alias("b")).union(links)
+    edges = groups.select(F.col("k").alias("a"), F.when(F.col("pure"), F.col("g")).otherwise(F.col("c")).alias("b")).union(links)
     classes = components(edges, f"{folder}/cc")
     ids = ids.join(classes.withColumnRenamed("node", "k"), "k", "left").withColumn("c", F.coalesce("component", "k"))
     ids = settled(ids.select("doc_id", "th", "n", "c"), f"{folder}/ids")

@@ -2,6 +2,9 @@
 
 import random
 
+import numpy as np
+import pytest
+
 from shelfmark.llm import line_dedup, ngram_join
 from shelfmark.llm.common import components
 
@@ -207,3 +210,23 @@ def test_a_hub_of_many_near_copies(spark):
     got = [tuple(r) for r in ngram_join.jaccard_classes(frame(spark, rows)).collect()]
     assert len(got) == len(rows)
     assert {c for i, _, c in got if i is None or i < 9000} == {0} and {i: c for i, _, c in got if i and i >= 9000} == {9000: 9000, 9001: 9000, 9002: 9000, 9003: 9003}
+
+
+@pytest.mark.parametrize("alone", [True, False])
+def test_sets_compared_each_with_each(alone, monkeypatch):
+    """Alike sets that aren't linked are one group, so that their pairs are no rows of a join."""
+    monkeypatch.setattr(ngram_join, "TABLE", 64)
+    rng = np.random.default_rng(5)
+    base = rng.integers(0, 2**63, 100).astype(np.uint64)
+    sets = [np.unique(np.append(base[:keep], rng.integers(0, 2**63, 100 - keep).astype(np.uint64))) for keep in (100, 90, 60, 62, 88, 55)]
+    sets += [np.unique(rng.integers(0, 2**63, 40).astype(np.uint64)) for _ in range(2)]
+    sets.append(sets[-1][:36])
+    both = ngram_join.common_tokens(sets)
+    assert both.tolist() == [[len(np.intersect1d(a, b)) for b in sets] for a in sets]
+    keys = [900, 7, 30, 31, 2, 40, 50, 60, 61]
+    g, c, pure = ngram_join.told_apart(keys, sets, alone)
+    linked = {(a, b) for i, a in enumerate(keys) for j, b in enumerate(keys) if 100 * both[i, j] >= 75 * (len(sets[i]) + len(sets[j]) - both[i, j])}
+    assert {(900, 7), (900, 2), (60, 61)} <= linked and (900, 30) not in linked
+    assert all(of == c[keys.index(b)] for a, of in zip(keys, c.tolist(), strict=True) for b in keys if (a, b) in linked)
+    assert g.tolist() == ([900] * 6 if alone else [900, 900, 30, 30, 900, 30]) + [50, 60, 60]
+    assert pure.tolist() == [len({b for b, h in zip(c.tolist(), g, strict=True) if h == of}) == 1 for of in g]
