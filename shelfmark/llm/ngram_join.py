@@ -2,8 +2,8 @@
 
 Documents become sets of hashed five-word shingles.  Similar documents are put in
 groups, each group keeps the union of its members' tokens, a query's overlap with a
-group's union bounds its overlap with every member, and only groups whose bound
-qualifies are opened.  What is opened is verified on whole sets, so the links are
+group's union bounds its overlap with every member, first by bits of all tokens, then by
+the prefixes' tokens, and only groups whose bound qualifies are opened.  What is opened is verified on whole sets, so the links are
 exactly the pairs with Jaccard similarity at or above the threshold.
 
 Only the first tokens of a set under one global order (its prefix) enter the matrix:
@@ -22,7 +22,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import components, drop, settled, shared_dir, shingle_sets
@@ -55,6 +55,8 @@ LOOSE = 0.1
 #: Cells of the table by which a task counts common tokens.
 TABLE = 1 << 22
 LONG_LIST = pa.list_(pa.int64())
+#: Columns of a set's bits, 64 in each: those at its tokens modulo their number; only speed depends on it.
+BITS = [f"s{i}" for i in range(8)]
 
 
 def _as_lists(parts: list[np.ndarray]) -> pa.Array:
@@ -113,7 +115,7 @@ def set_key(s: np.ndarray) -> int:
 
 
 def sketched(docs: DataFrame, size: int = 5) -> DataFrame:
-    """Per document: set size and key, min-hash values, and the prefix in the order.
+    """Per document: set size and key, min-hash values, the prefix in the order, and bits of all tokens.
 
     Min-hash values are taken of the frequency classes that most of its tokens are in, so
     that near copies meet by what they share with one another, not by a common passage.
@@ -125,7 +127,9 @@ def sketched(docs: DataFrame, size: int = 5) -> DataFrame:
         common, level = shared.value
         for batch in _slices(batches):
             n, key, rare, mins, prefixes = [], [], [], [], []
+            bits = np.zeros((batch.num_rows, 64 * len(BITS)), bool)
             for s in shingle_sets(batch.column("text"), size):
+                bits[len(n), s % np.uint64(bits.shape[1])] = True
                 n.append(len(s))
                 if not len(s):
                     key.append(None), rare.append(0), mins.append(s), prefixes.append(s)
@@ -145,13 +149,15 @@ def sketched(docs: DataFrame, size: int = 5) -> DataFrame:
                     last, by = s[rank > 0], rank[rank > 0]
                     first = np.concatenate([first, last[np.lexsort((last, by))]])
                 prefixes.append(first[:want])
+            packed = np.packbits(bits, axis=1).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("th"), batch.column("row"), pa.array(n, pa.int64()), pa.array(key, pa.int64()), pa.array(rare, pa.int64()), _as_lists(mins), _as_lists(prefixes)],
-                ["doc_id", "th", "row", "n", "k", "rare", "mins", "prefix"],
+                [batch.column("doc_id"), batch.column("th"), batch.column("row"), pa.array(n, pa.int64()), pa.array(key, pa.int64()), pa.array(rare, pa.int64()), _as_lists(mins), _as_lists(prefixes)]
+                + [pa.array(x) for x in packed.T],
+                ["doc_id", "th", "row", "n", "k", "rare", "mins", "prefix", *BITS],
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text", _text_hash(), _row_hash()).mapInArrow(sketch, f"doc_id {kind}, th long, row long, n long, k long, rare long, mins array<long>, prefix array<long>")
+    return docs.select("doc_id", "text", _text_hash(), _row_hash()).mapInArrow(sketch, f"doc_id {kind}, th long, row long, n long, k long, rare long, mins array<long>, prefix array<long>" + "".join(f", {x} long" for x in BITS))
 
 
 def _text_hash():
@@ -353,20 +359,60 @@ def prefix_end(n):
     return n - F.floor((n * NUM + DEN - 1) / DEN) + 1
 
 
-def leading(rows: DataFrame, bands) -> DataFrame:
-    """``rows`` with each of ``bands``, as ``other``, that may hold a partner, where the token leads for it.
+def least_missing(own, other):
+    """Tokens of a set with the bits ``own`` that no set within the bits ``other`` has, at least."""
+    return sum((F.bit_count(x.bitwiseAND(F.bitwise_not(y))) for x, y in zip(own, other, strict=True)), F.lit(0))
+
+
+def least_overlap(n, m):
+    """Tokens that two sets of these sizes share if they qualify, at least."""
+    return F.ceil(F.lit(NUM) * (n + m) / F.lit(NUM + DEN))
+
+
+def bits_allow(n, bits, lo, hi, some, every):
+    """Whether a set of n tokens may qualify with one of lo to hi tokens, by its bits and those that ``some`` or ``every`` such set has.
+
+    It shares no token whose bit no such set has, and they share none of theirs whose bit
+    it lacks.  What is left, less what must be shared, is most at ``lo`` in the first case
+    and at ``hi`` in the second.
+    """
+    return (n - least_missing(bits, some) >= least_overlap(n, lo)) & (hi - least_missing(every, bits) >= least_overlap(n, hi))
+
+
+def _of(sets: DataFrame, name: str, *more: str) -> DataFrame:
+    """``sets`` (k, n, bits and ``more``) as columns that begin with ``name``; k is ``name`` itself."""
+    return sets.select(F.col("k").alias(name), *(F.col(x).alias(f"{name}_{x}") for x in ("n", *BITS, *more)))
+
+
+def pair_allowed():
+    """``bits_allow`` of a and b as named by ``_of``."""
+    a, b = ([F.col(f"{x}_{s}") for s in BITS] for x in "ab")
+    return bits_allow(F.col("a_n"), a, F.col("b_n"), F.col("b_n"), b, b)
+
+
+def placed(sets: DataFrame) -> DataFrame:
+    """A row for each of ``tokens`` of ``sets``, with its place in the prefix; those that aren't in ``tokens`` come first."""
+    kept = [x for x in sets.columns if x != "tokens"]
+    return sets.select(*kept, F.size("tokens").alias("held"), F.posexplode("tokens").alias("at", "token")).withColumn("pos", prefix_end(F.col("n")) - F.col("held") + F.col("at")).drop("held", "at")
+
+
+def led_bands(step: int):
+    """The bands d steps from a token's own, as the bits d of a number, that may hold a partner and for which the token leads.
 
     Two sets that qualify share L = ``least_shared`` tokens of their prefixes.  In any
     common order of the prefixes' tokens (``pos``) the first of these has L - 1 more behind
     it in either prefix, so its place is L before the prefix's end at the latest.  Tokens further on open nothing: in a set
     with enough rare tokens a common passage's are never looked at.
     """
-    n, other = F.col("n"), F.col("other")
-    # a band's sizes, one more on either side against rounding, as far as they fit
-    lo = F.greatest(F.floor(F.pow(F.lit(BAND), other)) - 1, F.ceil(n * NUM / DEN))
-    hi = F.least(F.ceil(F.pow(F.lit(BAND), other + 1)) + 1, F.floor(n * DEN / NUM))
-    last = prefix_end(n) - least_shared_within(n, lo, hi)
-    return rows.withColumn("other", F.explode(bands)).filter((lo <= hi) & (F.col("pos") <= last))
+    n, out = F.col("n"), F.lit(0)
+    for d in range(REACH + 1):
+        other = F.col("band") + step * d
+        # a band's sizes, one more on either side against rounding, as far as they fit
+        lo = F.greatest(F.floor(F.pow(F.lit(BAND), other)) - 1, F.ceil(n * NUM / DEN))
+        hi = F.least(F.ceil(F.pow(F.lit(BAND), other + 1)) + 1, F.floor(n * DEN / NUM))
+        last = prefix_end(n) - least_shared_within(n, lo, hi)
+        out = out + F.when((lo <= hi) & (F.col("pos") <= last), 1 << d).otherwise(0)
+    return out
 
 
 def similar_groups(sets: DataFrame, docs: DataFrame, firsts: DataFrame, size: int, folder: str) -> DataFrame:
@@ -439,12 +485,14 @@ def led_groups(rows: DataFrame, groups: DataFrame, docs: DataFrame, firsts: Data
     met = leaders.join(first, "token").filter("g <> h").select(F.col("l.k").alias("a"), F.col("l.n").alias("na"), "b", "nb").filter(fits(F.col("na"), F.col("nb")))
     # tokens on which other members lead are not counted here, so some pairs are left for later
     pairs = met.groupBy("a", "b", "na", "nb").agg(F.count("*").alias("o")).filter(F.col("o") >= least_shared(F.col("na"), F.col("nb")))
-    links = verified(settled(pairs.select("a", "b"), f"{folder}/led-pairs"), docs, firsts, size, f"{folder}/led")
+    pairs = settled(pairs.select("a", "b"), f"{folder}/led-pairs")
+    pairs = pairs.join(_of(firsts, "a"), "a").join(_of(firsts, "b"), "b").filter(pair_allowed()).select("a", "b")
+    links = verified(settled(pairs, f"{folder}/led-allowed"), docs, firsts.select("k", "row"), size, f"{folder}/led")
     edges = groups.filter("pure").select(F.col("k").alias("a"), F.col("g").alias("b")).union(links)
     merged = components(edges, f"{folder}/led-cc").select(F.col("node").alias("k"), F.col("component").alias("g"), F.lit(True).alias("pure"))
     merged = merged.union(groups.filter("not pure").select("k", "g", "pure"))
     merged = settled(merged.join(groups.select("k", "c"), "k", "left").select("k", "g", F.coalesce("c", "k").alias("c"), "pure"), f"{folder}/led-groups")
-    drop(docs.sparkSession, *(f"{folder}/{x}" for x in ("leaders", "first-leaders", "led-pairs", "led-links", "led-cc", "groups")))
+    drop(docs.sparkSession, *(f"{folder}/{x}" for x in ("leaders", "first-leaders", "led-pairs", "led-allowed", "led-links", "led-cc", "groups")))
     return merged
 
 
@@ -453,9 +501,9 @@ def _classified(docs: DataFrame, size: int, folder: str) -> DataFrame:
     docs = docs.select("doc_id", "text")
     sketch = settled(sketched(docs, size), f"{folder}/sketch")
     # each set is looked at once, whatever its copies
-    firsts = settled(sketch.filter("n > 0").groupBy("k").agg(F.min("row").alias("row")), f"{folder}/first-rows")
+    firsts = settled(sketch.filter("n > 0").groupBy("k").agg(*(F.min(x).alias(x) for x in ("row", "n", *BITS))), f"{folder}/first-rows")
     once = bit_filter(firsts, "row")
-    groups = similar_groups(once_each(sketch, once), docs, firsts, size, folder)
+    groups = similar_groups(once_each(sketch, once), docs, firsts.select("k", "row"), size, folder)
 
     rows = shared_tokens(sketch, once, folder)
     ids = settled(sketch.select("doc_id", "th", "n", "k"), f"{folder}/keys")
@@ -464,44 +512,52 @@ def _classified(docs: DataFrame, size: int, folder: str) -> DataFrame:
     rows = settled(grouped(rows, groups).drop("pure"), f"{folder}/grouped")
     drop(docs.sparkSession, f"{folder}/rows")
 
-    # Token-group matrix: the token union of each group and size band, for tokens of several groups.
+    # Tokens of several groups; in a prefix those of no other group come first, then by exact counts, rare ones first.
     several = settled(rows.groupBy("token").agg(F.min("g").alias("lo"), F.max("g").alias("hi"), F.count("*").alias("c")).filter("lo <> hi").select("token", "c"), f"{folder}/several")
-    # A token's place in its prefix: those of no other group first, then by exact counts, rare ones first.
-    own = Window.partitionBy("k")
-    place = prefix_end(F.col("n")) - F.count("*").over(own) + F.row_number().over(own.orderBy("c", "token")) - 1
-    rows = rows.join(several, "token").withColumn("pos", place).drop("c").withColumn("band", size_band("n"))
-    rows = settled(rows, f"{folder}/open")
+    tokens = rows.join(several, "token").groupBy("k").agg(F.min("g").alias("g"), F.sort_array(F.collect_list(F.struct("c", "token")))["token"].alias("tokens"))
+    sets = settled(tokens.join(firsts.drop("row"), "k").withColumn("band", size_band("n")), f"{folder}/open")
     drop(docs.sparkSession, f"{folder}/grouped", f"{folder}/several")
-    matrix = rows.select("token", F.col("g").alias("h"), F.col("band").alias("hband")).distinct()
-    sizes = rows.groupBy(F.col("g").alias("h"), F.col("band").alias("hband")).agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
-    matrix = settled(matrix.join(sizes, ["h", "hband"]), f"{folder}/matrix")
 
     # Who may qualify at all: a set asks groups of its own size band and smaller ones.
-    asking = leading(rows, F.sequence(F.col("band") - REACH, F.col("band"))).select("token", "k", "g", "band", F.col("other").alias("hband"))
-    asked = leading(rows, F.sequence(F.col("band"), F.col("band") + REACH)).select("token", F.col("g").alias("h"), F.col("band").alias("hband"), F.col("other").alias("band"))
-    others = (F.col("g") != F.col("h")) & ((F.col("band") > F.col("hband")) | (F.col("g") > F.col("h")))
-    some = asking.join(asked.distinct(), ["token", "band", "hband"]).filter(others).select("k", "h", "hband").distinct()
+    rows = placed(sets.select("k", "n", "g", "band", "tokens"))
+    asking = rows.select("token", "k", "g", "band", led_bands(-1).alias("down")).filter("down > 0")
+    asked = rows.select("token", F.col("g").alias("h"), F.col("band").alias("hband"), led_bands(1).alias("up")).filter("up > 0")
+    asked = asked.repartition("token").groupBy("token", "h", "hband").agg(F.bit_or("up").alias("up"))
+    steps = F.col("band") - F.col("hband")
+    led = steps.between(0, REACH) & F.expr("shiftright(down & up, cast(band - hband as int)) & 1 = 1")
+    some = asking.join(asked, "token").filter(led & (F.col("g") != F.col("h")) & ((steps > 0) | (F.col("g") > F.col("h")))).select("k", "h", "hband").distinct()
     some = settled(some, f"{folder}/candidates")
+
+    # Of each group and size band: the bits that some member has and those that every one has.
+    group = [F.col("g").alias("h"), F.col("band").alias("hband")]
+    unions = sets.groupBy(*group).agg(F.min("n").alias("lo"), F.max("n").alias("hi"), *(F.bit_or(x).alias(f"some_{x}") for x in BITS), *(F.bit_and(x).alias(f"every_{x}") for x in BITS))
     n, lo, hi = F.col("n"), F.col("lo"), F.col("hi")
-    smallest, largest = F.greatest(lo, F.ceil(n * NUM / DEN)), F.least(hi, F.floor(n * DEN / NUM))
-    bound = rows.select("token", "k", "n").join(some, "k").join(matrix, ["token", "h", "hband"]).groupBy("k", "n", "h", "hband", "lo", "hi").agg(F.count("*").alias("o"))
-    opened = bound.filter((smallest <= largest) & (F.col("o") >= least_shared_within(n, smallest, largest))).select("k", "h", "hband")
-    opened = settled(opened, f"{folder}/opened")
-    drop(docs.sparkSession, f"{folder}/candidates", f"{folder}/matrix")
+    smallest, largest = F.greatest(lo, F.ceil(n * NUM / DEN)).alias("lo"), F.least(hi, F.floor(n * DEN / NUM)).alias("hi")
+    own, of_some, of_every = ([F.col(f"{x}{s}") for s in BITS] for x in ("", "some_", "every_"))
+    allowed = some.join(sets.select("k", "n", *BITS), "k").join(unions, ["h", "hband"]).select("k", "n", "h", "hband", smallest, largest, *own, *of_some, *of_every)
+    allowed = allowed.filter((lo <= hi) & bits_allow(n, own, lo, hi, of_some, of_every)).select("k", "n", "h", "hband", "lo", "hi")
+    allowed = settled(allowed, f"{folder}/allowed")
+
+    # Token-group matrix: the token union of each of these, and how much of it a set has.
+    matrix = sets.select("k", "n", *group, "tokens").join(allowed.select("h", "hband").distinct(), ["h", "hband"], "left_semi")
+    union = matrix.select("h", "hband", F.explode("tokens").alias("token")).distinct()
+    bound = sets.select("k", "tokens").join(allowed, "k").select("k", "n", "h", "hband", "lo", "hi", F.explode("tokens").alias("token")).join(union, ["token", "h", "hband"])
+    bound = bound.groupBy("k", "n", "h", "hband", "lo", "hi").agg(F.count("*").alias("o"))
+    opened = settled(bound.filter(F.col("o") >= least_shared_within(n, lo, hi)).select("k", "h", "hband"), f"{folder}/opened")
+    drop(docs.sparkSession, f"{folder}/candidates", f"{folder}/allowed")
 
     # Members of the opened groups that share a leading token with the query, then enough of the prefixes.
-    asking = leading(rows, F.sequence(F.col("band") - REACH, F.col("band"))).select("token", F.col("k").alias("a"), "band", F.col("other").alias("hband"), F.col("n").alias("na"), F.col("pos").alias("pa"))
-    asking = asking.join(opened.withColumnRenamed("k", "a"), ["a", "hband"])
-    members = leading(rows, F.sequence(F.col("band"), F.col("band") + REACH)).select("token", F.col("g").alias("h"), F.col("k").alias("b"), F.col("band").alias("hband"), F.col("other").alias("band"), F.col("n").alias("nb"), F.col("pos").alias("pb"))
+    asking = placed(sets.select("k", "n", "tokens").join(opened, "k")).select("token", "h", "hband", F.col("k").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"))
+    members = sets.select("k", "n", *group, "tokens").join(opened.select("h", "hband").distinct(), ["h", "hband"], "left_semi")
+    members = placed(members).select("token", "h", "hband", F.col("k").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"))
     na, nb = F.col("na"), F.col("nb")
     leads = fits(na, nb) & (F.col("pa") <= prefix_end(na) - least_shared(na, nb)) & (F.col("pb") <= prefix_end(nb) - least_shared(na, nb))
-    pairs = settled(asking.join(members, ["token", "h", "hband", "band"]).filter(leads).select("a", "b").distinct(), f"{folder}/met")
-    prefixes = rows.groupBy("k", "n").agg(F.collect_list("token").alias("tokens"))
-    pairs = pairs.join(prefixes.select(F.col("k").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta")), "a").join(prefixes.select(F.col("k").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("tb")), "b")
-    enough = F.size(F.array_intersect("ta", "tb")) >= least_shared(na, nb)
+    pairs = settled(asking.join(members, ["token", "h", "hband"]).filter(leads).select("a", "b").distinct(), f"{folder}/met")
+    pairs = pairs.join(_of(sets, "a", "tokens"), "a").join(_of(sets, "b", "tokens"), "b").filter(pair_allowed())
+    enough = F.size(F.array_intersect("a_tokens", "b_tokens")) >= least_shared(F.col("a_n"), F.col("b_n"))
     pairs = settled(pairs.filter(enough).select("a", "b"), f"{folder}/pairs")
     drop(docs.sparkSession, f"{folder}/opened", f"{folder}/met", f"{folder}/open")
-    links = verified(pairs, docs, firsts, size, f"{folder}/rest")
+    links = verified(pairs, docs, firsts.select("k", "row"), size, f"{folder}/rest")
 
     edges = groups.select(F.col("k").alias("a"), F.when(F.col("pure"), F.col("g")).otherwise(F.col("c")).alias("b")).union(links)
     classes = components(edges, f"{folder}/cc")

@@ -230,3 +230,42 @@ def test_sets_compared_each_with_each(alone, monkeypatch):
     assert all(of == c[keys.index(b)] for a, of in zip(keys, c.tolist(), strict=True) for b in keys if (a, b) in linked)
     assert g.tolist() == ([900] * 6 if alone else [900, 900, 30, 30, 900, 30]) + [50, 60, 60]
     assert pure.tolist() == [len({b for b, h in zip(c.tolist(), g, strict=True) if h == of}) == 1 for of in g]
+
+
+@pytest.mark.parametrize("words", [1, 8])
+def test_bits_lose_no_link(spark, monkeypatch, words):
+    """Variants, linked or only alike, too many for one part: the classes are right with many bits and with few."""
+    monkeypatch.setattr(ngram_join, "BITS", ngram_join.BITS[:words])
+    monkeypatch.setattr(ngram_join, "PAIRS_A_PART", 2)
+    rng, rows = random.Random(11), []
+    for f in range(4):
+        base = prose(rng, 120, 10**6)
+        for _ in range(14):
+            own = list(base)
+            for at in rng.sample(range(0, 120, 6), rng.choice([2, 4, 8, 8, 8])):
+                own[at] = f"x{rng.randrange(10**6)}"
+            rows.append((len(rows), " ".join(own)))
+    got = [tuple(r) for r in ngram_join.jaccard_classes(frame(spark, rows)).collect()]
+    assert sorted(got, key=str) == brute_classes(rows)
+
+
+def test_bound_by_bits_is_a_bound(spark):
+    """``bits_allow`` is never against a set that a group's bits hold and that qualifies."""
+    rng, rows = random.Random(23), []
+    for _ in range(400):
+        base = [rng.randrange(10**9) for _ in range(rng.randrange(4, 120))]
+        group = [{*rng.sample(base, len(base) - rng.randrange(min(len(base) - 2, 12))), *(rng.randrange(10**9) for _ in range(rng.randrange(8)))} for _ in range(rng.randrange(1, 5))]
+        own = {*base, *(rng.randrange(10**9) for _ in range(rng.randrange(20)))}
+        bits = [sum(1 << b for b in {t % 63 for t in s}) for s in (own, *group)]
+        some, every = bits[1], bits[1]
+        for b in bits[2:]:
+            some, every = some | b, every & b
+        good = any(100 * len(own & m) >= 75 * len(own | m) for m in group)
+        lo, hi = max(min(map(len, group)), -(-len(own) * 3 // 4)), min(max(map(len, group)), len(own) * 4 // 3)
+        rows.append((len(own), bits[0], lo, hi, some, every, good))
+    df = spark.createDataFrame(rows, "n long, own long, lo long, hi long, some long, every long, good boolean")
+    from pyspark.sql import functions as F
+
+    df = df.withColumn("may", (F.col("lo") <= F.col("hi")) & ngram_join.bits_allow(F.col("n"), [F.col("own")], F.col("lo"), F.col("hi"), [F.col("some")], [F.col("every")]))
+    assert df.filter("good").count() > 50 and df.filter("good and not may").count() == 0
+    assert df.filter("not may").count() > 0
