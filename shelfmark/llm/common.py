@@ -9,7 +9,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -186,23 +186,28 @@ def components(edges: DataFrame, folder: str) -> DataFrame:
 
     Alternating large-star and small-star steps; each round is written out.  No
     neighbour list is ever gathered, so a hub costs its links only.  It ends when a round
-    changes nothing, after a number of rounds that grows with the logarithm of the nodes.
+    changes nothing, after a number of rounds that grows with the logarithm of the nodes;
+    what a round leaves is counted and summed as it is written.
     """
+
+    def put(e, step):
+        seen = Observation()
+        e = written(e.observe(seen, F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("hashes")), f"{folder}/cc{step}")
+        return e, seen.get
+
     e = edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    e = written(e, f"{folder}/cc0")
-    before, step = None, 0
+    (e, state), step = put(e, 0), 0
     while True:
         step += 1
         both = e.select(F.col("u").alias("x"), F.col("v").alias("y")).union(e.select("v", "u"))
         low = both.groupBy("x").agg(F.least(F.min("y"), F.col("x")).alias("m"))
-        large = both.filter("y > x").join(low, "x").select(F.col("y").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
+        large = both.filter("y > x").join(low, "x").select(F.col("y").alias("u"), F.col("m").alias("v")).filter("u <> v")  # one row a link at most
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         joined = large.join(low, "u")
         small = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).union(joined.select("u", "m")).filter("u <> v").distinct()
-        e = written(small, f"{folder}/cc{step}")
-        state = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        before = state
+        e, state = put(small, step)
         if state == before:
             break
-        before = state
         drop(edges.sparkSession, f"{folder}/cc{step - 1}")
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).union(e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

@@ -140,6 +140,14 @@ def test_components(spark, tmp_path):
     assert got == {1: 1, 2: 1, 3: 1, 4: 4, 5: 4, 6: 4} | {100 + i: 100 for i in range(21)}
 
 
+def test_components_of_stars_take_one_round(spark, tmp_path):
+    """Stars are what groups are; a round that changes nothing is the only one, and what it leaves is not read again to see that."""
+    edges = spark.createDataFrame([(b, b % 3) for b in range(3, 60)], "a long, b long")
+    got = dict(tuple(r) for r in components(edges, str(tmp_path / "cc")).collect())
+    assert got == {i: i % 3 for i in range(60)}
+    assert not (tmp_path / "cc" / "cc2").exists()
+
+
 def brute_lines(rows, min_words):
     docs = sorted({(i if i is not None else -1, t or "") for i, t in rows})
     lines = [[x.strip() for x in t.split("\n") if x.strip()] for _, t in docs]
