@@ -52,6 +52,8 @@ PAIRS_A_PART = 500
 TOKENS_A_PART = 1_000_000
 #: Sets of a task are a group where they are connected by this share of common tokens; only speed depends on it.
 LOOSE = 0.1
+#: Tokens of a group's union that are a cell of the matrix, about.
+CELL = 2000
 #: Cells of the table by which a task counts common tokens.
 TABLE = 1 << 22
 LONG_LIST = pa.list_(pa.int64())
@@ -200,9 +202,10 @@ def once_each(sketch: DataFrame, rows: np.ndarray) -> DataFrame:
 
 
 def shared_tokens(sketch: DataFrame, rows: np.ndarray, folder: str) -> DataFrame:
-    """(token, k, n, rare): the prefix tokens that two sets at least have, once for each set.
+    """(k, n, rare, tokens), once for each set: the prefix tokens that another set has too, and few others.
 
-    As in ``once_each`` the bit filter ``rows`` leaves one row of each set, or few.
+    As in ``once_each`` the bit filter ``rows`` leaves one row of each set, or few.  A set's
+    tokens stay together until they have to meet, so that its group is joined once a set.
     """
     tokens = once_each(sketch, rows).select(F.explode("prefix").alias("token"))
     shared = settled(tokens.groupBy("token").agg(F.count("*").alias("c")).filter("c > 1").select("token"), f"{folder}/shared")
@@ -215,13 +218,14 @@ def shared_tokens(sketch: DataFrame, rows: np.ndarray, folder: str) -> DataFrame
             lists = batch.column("prefix")
             ends = lists.offsets.to_numpy()
             flat = lists.values.to_numpy()[ends[0] : ends[-1]]
-            keep = np.flatnonzero(passing(maps.value, flat))
-            at = pa.array(np.searchsorted(ends - ends[0], keep, "right") - 1)
-            yield pa.RecordBatch.from_arrays([pa.array(flat[keep]), batch.column("k").take(at), batch.column("n").take(at), batch.column("rare").take(at)], ["token", "k", "n", "rare"])
+            keep = passing(maps.value, flat)
+            ends = np.append(0, np.cumsum(keep))[ends - ends[0]]
+            kept = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat[keep]))
+            yield pa.RecordBatch.from_arrays([batch.column("k"), batch.column("n"), batch.column("rare"), kept], ["k", "n", "rare", "tokens"])
 
     # one pass of Python workers, so both filters are in it
-    some = sketch.filter("n > 0").select("row", "prefix", "k", "n", "rare").mapInArrow(only, "token long, k long, n long, rare long")
-    rows = settled(some.join(shared, "token").distinct(), f"{folder}/rows")
+    some = sketch.filter("n > 0").select("row", "prefix", "k", "n", "rare").mapInArrow(only, "k long, n long, rare long, tokens array<long>")
+    rows = settled(some.filter(F.size("tokens") > 0).dropDuplicates(["k"]), f"{folder}/rows")
     drop(sketch.sparkSession, f"{folder}/shared")
     return rows
 
@@ -396,23 +400,29 @@ def placed(sets: DataFrame) -> DataFrame:
     return sets.select(*kept, F.size("tokens").alias("held"), F.posexplode("tokens").alias("at", "token")).withColumn("pos", prefix_end(F.col("n")) - F.col("held") + F.col("at")).drop("held", "at")
 
 
-def led_bands(step: int):
-    """The bands d steps from a token's own, as the bits d of a number, that may hold a partner and for which the token leads.
+def last_leads(step: int):
+    """For a set and each band d steps from its own, the last place of its prefix that may lead it to a partner there; -1 if none fits.
 
     Two sets that qualify share L = ``least_shared`` tokens of their prefixes.  In any
     common order of the prefixes' tokens (``pos``) the first of these has L - 1 more behind
     it in either prefix, so its place is L before the prefix's end at the latest.  Tokens further on open nothing: in a set
     with enough rare tokens a common passage's are never looked at.
     """
-    n, out = F.col("n"), F.lit(0)
-    for d in range(REACH + 1):
+    n = F.col("n")
+
+    def last(d):
         other = F.col("band") + step * d
         # a band's sizes, one more on either side against rounding, as far as they fit
         lo = F.greatest(F.floor(F.pow(F.lit(BAND), other)) - 1, F.ceil(n * NUM / DEN))
         hi = F.least(F.ceil(F.pow(F.lit(BAND), other + 1)) + 1, F.floor(n * DEN / NUM))
-        last = prefix_end(n) - least_shared_within(n, lo, hi)
-        out = out + F.when((lo <= hi) & (F.col("pos") <= last), 1 << d).otherwise(0)
-    return out
+        return F.when(lo <= hi, prefix_end(n) - least_shared_within(n, lo, hi)).otherwise(F.lit(-1).cast("long"))
+
+    return F.transform(F.sequence(F.lit(0), F.lit(REACH)), last)
+
+
+def led_bands(last: str):
+    """The bands that a token at ``pos`` leads to by ``last``, a column of ``last_leads``, as the bits d of a number."""
+    return sum((F.when(F.col("pos") <= F.col(last)[d], 1 << d).otherwise(0) for d in range(REACH + 1)), F.lit(0))
 
 
 def similar_groups(sets: DataFrame, docs: DataFrame, firsts: DataFrame, size: int, folder: str) -> DataFrame:
@@ -471,7 +481,7 @@ def similar_groups(sets: DataFrame, docs: DataFrame, firsts: DataFrame, size: in
 
 def grouped(rows: DataFrame, groups: DataFrame) -> DataFrame:
     """``rows`` with their group; a set in no group is one of its own."""
-    return rows.join(groups.select("k", "g", "pure"), "k", "left").select("token", "k", "n", "rare", F.coalesce("g", "k").alias("g"), F.coalesce("pure", F.lit(True)).alias("pure"))
+    return rows.join(groups.select("k", "g", "pure"), "k", "left").select("k", "n", "rare", "tokens", F.coalesce("g", "k").alias("g"), F.coalesce("pure", F.lit(True)).alias("pure"))
 
 
 def led_groups(rows: DataFrame, groups: DataFrame, docs: DataFrame, firsts: DataFrame, size: int, folder: str) -> DataFrame:
@@ -479,9 +489,11 @@ def led_groups(rows: DataFrame, groups: DataFrame, docs: DataFrame, firsts: Data
 
     Strays of a large group of near copies join it here, so that it stands in the matrix once.
     """
-    leaders = settled(rows.filter("pure").groupBy("token", "g").agg(F.min(F.struct("rare", "k", "n")).alias("l")), f"{folder}/leaders")
+    # tokens meet once, for the leaders of groups, the first of these and their pairs with it
+    leaders = rows.filter("pure").select("k", "n", "rare", "g", F.explode("tokens").alias("token")).repartition("token")
+    leaders = leaders.groupBy("token", "g").agg(F.min(F.struct("rare", "k", "n")).alias("l"))
     first = leaders.groupBy("token").agg(F.min(F.struct("l", "g")).alias("f"), F.min("g").alias("y"), F.max("g").alias("z")).filter("y <> z")
-    first = settled(first.select("token", F.col("f.g").alias("h"), F.col("f.l.k").alias("b"), F.col("f.l.n").alias("nb")), f"{folder}/first-leaders")
+    first = first.select("token", F.col("f.g").alias("h"), F.col("f.l.k").alias("b"), F.col("f.l.n").alias("nb"))
     met = leaders.join(first, "token").filter("g <> h").select(F.col("l.k").alias("a"), F.col("l.n").alias("na"), "b", "nb").filter(fits(F.col("na"), F.col("nb")))
     # tokens on which other members lead are not counted here, so some pairs are left for later
     pairs = met.groupBy("a", "b", "na", "nb").agg(F.count("*").alias("o")).filter(F.col("o") >= least_shared(F.col("na"), F.col("nb")))
@@ -492,7 +504,7 @@ def led_groups(rows: DataFrame, groups: DataFrame, docs: DataFrame, firsts: Data
     merged = components(edges, f"{folder}/led-cc").select(F.col("node").alias("k"), F.col("component").alias("g"), F.lit(True).alias("pure"))
     merged = merged.union(groups.filter("not pure").select("k", "g", "pure"))
     merged = settled(merged.join(groups.select("k", "c"), "k", "left").select("k", "g", F.coalesce("c", "k").alias("c"), "pure"), f"{folder}/led-groups")
-    drop(docs.sparkSession, *(f"{folder}/{x}" for x in ("leaders", "first-leaders", "led-pairs", "led-allowed", "led-links", "led-cc", "groups")))
+    drop(docs.sparkSession, *(f"{folder}/{x}" for x in ("led-pairs", "led-allowed", "led-links", "led-cc", "groups")))
     return merged
 
 
@@ -513,50 +525,52 @@ def _classified(docs: DataFrame, size: int, folder: str) -> DataFrame:
     drop(docs.sparkSession, f"{folder}/rows")
 
     # Tokens of several groups; in a prefix those of no other group come first, then by exact counts, rare ones first.
-    several = settled(rows.groupBy("token").agg(F.min("g").alias("lo"), F.max("g").alias("hi"), F.count("*").alias("c")).filter("lo <> hi").select("token", "c"), f"{folder}/several")
-    tokens = rows.join(several, "token").groupBy("k").agg(F.min("g").alias("g"), F.sort_array(F.collect_list(F.struct("c", "token")))["token"].alias("tokens"))
-    sets = settled(tokens.join(firsts.drop("row"), "k").withColumn("band", size_band("n")), f"{folder}/open")
+    held = rows.select("k", "g", F.explode("tokens").alias("token"))
+    several = settled(held.groupBy("token").agg(F.min("g").alias("lo"), F.max("g").alias("hi"), F.count("*").alias("c")).filter("lo <> hi").select("token", "c"), f"{folder}/several")
+    tokens = held.join(several, "token").groupBy("k").agg(F.min("g").alias("g"), F.sort_array(F.collect_list(F.struct("c", "token")))["token"].alias("tokens"))
+    sets = tokens.join(firsts.drop("row"), "k").withColumn("band", size_band("n"))
+    sets = settled(sets.withColumns({"down": last_leads(-1), "up": last_leads(1)}), f"{folder}/open")
     drop(docs.sparkSession, f"{folder}/grouped", f"{folder}/several")
 
     # Who may qualify at all: a set asks groups of its own size band and smaller ones.
-    rows = placed(sets.select("k", "n", "g", "band", "tokens"))
-    asking = rows.select("token", "k", "g", "band", led_bands(-1).alias("down")).filter("down > 0")
-    asked = rows.select("token", F.col("g").alias("h"), F.col("band").alias("hband"), led_bands(1).alias("up")).filter("up > 0")
+    rows = placed(sets.select("k", "n", "g", "band", "tokens", "down", "up"))
+    asking = rows.select("token", "k", "g", "band", led_bands("down").alias("down")).filter("down > 0")
+    asked = rows.select("token", F.col("g").alias("h"), F.col("band").alias("hband"), led_bands("up").alias("up")).filter("up > 0")
     asked = asked.repartition("token").groupBy("token", "h", "hband").agg(F.bit_or("up").alias("up"))
     steps = F.col("band") - F.col("hband")
     led = steps.between(0, REACH) & F.expr("shiftright(down & up, cast(band - hband as int)) & 1 = 1")
     some = asking.join(asked, "token").filter(led & (F.col("g") != F.col("h")) & ((steps > 0) | (F.col("g") > F.col("h")))).select("k", "h", "hband").distinct()
     some = settled(some, f"{folder}/candidates")
 
-    # Of each group and size band: the bits that some member has and those that every one has.
+    # Of each group and size band: the bits that some member has and those that every one has, and parts of its members.
     group = [F.col("g").alias("h"), F.col("band").alias("hband")]
-    unions = sets.groupBy(*group).agg(F.min("n").alias("lo"), F.max("n").alias("hi"), *(F.bit_or(x).alias(f"some_{x}") for x in BITS), *(F.bit_and(x).alias(f"every_{x}") for x in BITS))
+    unions = sets.groupBy(*group).agg(F.ceil(F.count("*") / PAIRS_A_PART).alias("parts"), F.min("n").alias("lo"), F.max("n").alias("hi"), *(F.bit_or(x).alias(f"some_{x}") for x in BITS), *(F.bit_and(x).alias(f"every_{x}") for x in BITS))
     n, lo, hi = F.col("n"), F.col("lo"), F.col("hi")
     smallest, largest = F.greatest(lo, F.ceil(n * NUM / DEN)).alias("lo"), F.least(hi, F.floor(n * DEN / NUM)).alias("hi")
     own, of_some, of_every = ([F.col(f"{x}{s}") for s in BITS] for x in ("", "some_", "every_"))
-    allowed = some.join(sets.select("k", "n", *BITS), "k").join(unions, ["h", "hband"]).select("k", "n", "h", "hband", smallest, largest, *own, *of_some, *of_every)
-    allowed = allowed.filter((lo <= hi) & bits_allow(n, own, lo, hi, of_some, of_every)).select("k", "n", "h", "hband", "lo", "hi")
+    allowed = some.join(sets.select("k", "n", *BITS), "k").join(unions, ["h", "hband"]).select("k", "n", "h", "hband", "parts", smallest, largest, *own, *of_some, *of_every)
+    allowed = allowed.filter((lo <= hi) & bits_allow(n, own, lo, hi, of_some, of_every)).select("k", "n", "h", "hband", "parts", "lo", "hi")
     allowed = settled(allowed, f"{folder}/allowed")
 
-    # Token-group matrix: the token union of each of these, and how much of it a set has.
-    matrix = sets.select("k", "n", *group, "tokens").join(allowed.select("h", "hband").distinct(), ["h", "hband"], "left_semi")
-    union = matrix.select("h", "hband", F.explode("tokens").alias("token")).distinct()
-    bound = sets.select("k", "tokens").join(allowed, "k").select("k", "n", "h", "hband", "lo", "hi", F.explode("tokens").alias("token")).join(union, ["token", "h", "hband"])
-    bound = bound.groupBy("k", "n", "h", "hband", "lo", "hi").agg(F.count("*").alias("o"))
-    opened = settled(bound.filter(F.col("o") >= least_shared_within(n, lo, hi)).select("k", "h", "hband"), f"{folder}/opened")
-    drop(docs.sparkSession, f"{folder}/candidates", f"{folder}/allowed")
-
-    # Members of the opened groups that share a leading token with the query, then enough of the prefixes.
-    asking = placed(sets.select("k", "n", "tokens").join(opened, "k")).select("token", "h", "hband", F.col("k").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"))
-    members = sets.select("k", "n", *group, "tokens").join(opened.select("h", "hband").distinct(), ["h", "hband"], "left_semi")
-    members = placed(members).select("token", "h", "hband", F.col("k").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"))
-    na, nb = F.col("na"), F.col("nb")
-    leads = fits(na, nb) & (F.col("pa") <= prefix_end(na) - least_shared(na, nb)) & (F.col("pb") <= prefix_end(nb) - least_shared(na, nb))
-    pairs = settled(asking.join(members, ["token", "h", "hband"]).filter(leads).select("a", "b").distinct(), f"{folder}/met")
-    pairs = pairs.join(_of(sets, "a", "tokens"), "a").join(_of(sets, "b", "tokens"), "b").filter(pair_allowed())
-    enough = F.size(F.array_intersect("a_tokens", "b_tokens")) >= least_shared(F.col("a_n"), F.col("b_n"))
-    pairs = settled(pairs.filter(enough).select("a", "b"), f"{folder}/pairs")
-    drop(docs.sparkSession, f"{folder}/opened", f"{folder}/met", f"{folder}/open")
+    # Token-group matrix: the token union of each of these, in cells, and how much of it a set has.
+    matrix = sets.select(*group, "tokens").join(allowed.select("h", "hband").distinct(), ["h", "hband"], "left_semi")
+    union = settled(matrix.select("h", "hband", F.explode("tokens").alias("token")).distinct(), f"{folder}/union")
+    cells = union.join(union.groupBy("h", "hband").agg(F.ceil(F.count("*") / CELL).alias("cells")), ["h", "hband"])
+    cells = cells.groupBy("h", "hband", F.pmod(F.xxhash64("token"), "cells").alias("cell")).agg(F.collect_list("token").alias("union"))
+    bound = sets.select("k", "tokens").join(allowed, "k").join(cells, ["h", "hband"]).select(*allowed.columns, F.size(F.array_intersect("tokens", "union")).alias("o"))
+    bound = bound.groupBy(*allowed.columns).agg(F.sum("o").alias("o"))
+    opened = settled(bound.filter(F.col("o") >= least_shared_within(n, lo, hi)).select("k", "h", "hband", "parts"), f"{folder}/opened")
+    drop(docs.sparkSession, f"{folder}/candidates", f"{folder}/allowed", f"{folder}/union")
+
+    # Members of the opened groups whose bits and prefixes qualify; a query asks each part of a large group.
+    key = ["h", "hband", "part"]
+    asking = _of(sets, "a", "tokens").join(opened.withColumnRenamed("k", "a"), "a").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).drop("parts")
+    members = _of(sets, "b", "tokens", "g", "band").withColumnsRenamed({"b_g": "h", "b_band": "hband"}).join(opened.select("h", "hband", "parts").distinct(), ["h", "hband"])
+    members = members.withColumn("part", F.pmod(F.xxhash64("b"), "parts")).drop("parts")
+    na, nb = F.col("a_n"), F.col("b_n")
+    enough = F.size(F.array_intersect("a_tokens", "b_tokens")) >= least_shared(na, nb)
+    pairs = settled(asking.join(members, key).filter(fits(na, nb) & pair_allowed() & enough).select("a", "b"), f"{folder}/pairs")
+    drop(docs.sparkSession, f"{folder}/opened", f"{folder}/open")
     links = verified(pairs, docs, firsts.select("k", "row"), size, f"{folder}/rest")
 
     edges = groups.select(F.col("k").alias("a"), F.when(F.col("pure"), F.col("g")).otherwise(F.col("c")).alias("b")).union(links)

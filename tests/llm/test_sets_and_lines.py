@@ -277,3 +277,20 @@ def test_bound_by_bits_is_a_bound(spark):
     df = df.withColumn("may", (F.col("lo") <= F.col("hi")) & ngram_join.bits_allow(F.col("n"), [F.col("own")], F.col("lo"), F.col("hi"), [F.col("some")], [F.col("every")]))
     assert df.filter("good").count() > 50 and df.filter("good and not may").count() == 0
     assert df.filter("not may").count() > 0
+
+
+def test_groups_in_parts_and_unions_in_cells(spark, monkeypatch):
+    """Groups of several parts, and unions of several cells, that many strays ask; with few bits most of them are opened."""
+    monkeypatch.setattr(ngram_join, "BITS", ngram_join.BITS[:1])
+    monkeypatch.setattr(ngram_join, "CELL", 5)
+    monkeypatch.setattr(ngram_join, "PAIRS_A_PART", 4)
+    rng, rows = random.Random(41), []
+    for _ in range(4):
+        base = prose(rng, 70, 10**6)
+        for _ in range(24):
+            words = list(base)
+            for i in rng.sample(range(len(words)), rng.randrange(4)):
+                words[i] = f"x{rng.randrange(10**6)}"
+            rows.append((len(rows), " ".join(words[: rng.randrange(45, 71)])))
+    got = [tuple(r) for r in ngram_join.jaccard_classes(frame(spark, rows)).collect()]
+    assert sorted(got, key=str) == brute_classes(rows)
