@@ -338,7 +338,11 @@ def _words(pattern: str) -> str:
     v AS (SELECT *, regexp_matches(text, '{_words(vocab.INSTRUMENT_WORD)}') AS i, regexp_matches(text, '{_words(vocab.NOT_SOUND_SOURCE)}') AS o, regexp_matches(title, '{_words(vocab.DECISIVE_NOT)}') AS d FROM w)
     SELECT page_id, CASE WHEN d THEN 'not-instrument' WHEN i AND NOT o THEN CASE WHEN len(segs) < 2 THEN 'undecided' ELSE 'instrument' END WHEN o AND NOT i THEN 'not-instrument' ELSE 'undecided' END AS verdict FROM v""")
 def _(t):
-    return t.pages.select("page_id", classify.title_verdict(F.lit(""), F.lit(""), _title()).alias("verdict"))
+    # its SQL decodes these five entities, with their semicolons; html.unescape, the operator's own, also takes others and a cut "&amp"
+    title = _title()
+    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
+        title = F.replace(title, F.lit(entity), F.lit(char))
+    return t.pages.select("page_id", classify.title_verdict(F.lit(""), F.lit(""), title, decode=False).alias("verdict"))
 
 
 @query("c7_title_category_over_tables", r"SELECT page_id, coalesce(lower(list_extract(regexp_extract_all(split_part(title, '|', 1), '(?i)\b(synthesi[sz]er|synth|piano|organ|drum machine|drum|sampler|sequencer|keyboard|workstation|vocoder|arranger)\b', 1), -1)), '') AS category FROM (SELECT page_id, regexp_extract(html, '<title[^>]*>(.*?)</title>', 1, 'is') AS title FROM pages)")

@@ -45,3 +45,18 @@ def test_entry_imports_without_the_training_data_part(tmp_path):
     done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True)
     assert done.returncode == 0, done.stderr
     assert int(done.stdout) == len(catalogue.QUERIES)
+
+
+def test_title_verdicts_decode_what_their_sql_decodes(spark, tmp_path):
+    """Titles that end within an entity, and entities that the SQL leaves alone."""
+    import duckdb
+
+    titles = ["Hello the&amp;&amp", "Piano &amp; Organ &lt;x&gt; | X", "&quot;Synth&quot; &#39;x&#39; | X", "Tea &ampere | X", "Synth &amp;amp; Organ | X", "&eacute;", "Synth &#38; Drum | X", "Synth &AMP; Drum | X", "", "|", "a|b"]
+    pages = spark.createDataFrame([(i, f"<html><title>{t}</title></html>") for i, t in enumerate(titles)] + [(98, "no title"), (99, None)], "page_id long, html string")
+    pages.write.parquet(f"{tmp_path}/pages.parquet")
+    got = catalogue.QUERIES["c6_title_verdicts_over_tables"](spark, str(tmp_path)).collect()
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    want = con.sql(f"SELECT page_id, verdict FROM ({catalogue.SQL['c6_title_verdicts_over_tables']})").fetchall()
+    assert sorted(map(tuple, got)) == sorted(want)
+    assert dict(want)[0] == "not-instrument" and dict(want)[1] == "instrument"
