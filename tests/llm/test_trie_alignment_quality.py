@@ -155,6 +155,29 @@ def test_alignment_of_nothing(spark):
     assert alignment.links(spark.createDataFrame([], "doc_id long, text string"), BPE, PIECES).count() == 0
 
 
+def test_what_a_worker_remembers_has_a_bound_in_bytes(monkeypatch):
+    """Long units of which each is met once: their bytes are forgotten, common units stay, and results don't change."""
+    monkeypatch.setattr(alignment, "CACHE_BYTES", 200_000, raising=False)
+    monkeypatch.setattr(alignment, "BYTES_AT_ONCE", 20_000, raising=False)
+    monkeypatch.setattr(alignment, "UNITS_AT_ONCE", 7, raising=False)
+    rng = random.Random(11)
+    rows = list(enumerate(ODD[:-1])) + [(1000 + i, "the words and " + "".join(rng.choice("abcdé日▁1") for _ in range(rng.randrange(3000))).replace("▁", "▁" * (i % 7 == 0)) + " of the end") for i in range(400)]
+    known, chunk, most = alignment.Units(alignment.Tokenizers(BPE, PIECES)), alignment._Chunk(), 0
+    for i, n in alignment.portions(pa.array([t for _, t in rows], pa.string())):
+        assert n == 1 or sum(len((t or "").encode()) for _, t in rows[i : i + n]) <= 20_000
+        chunk.add([d for d, _ in rows[i : i + n]], known.numbers([t for _, t in rows[i : i + n]]), known)
+        most = max(most, sum(len(u) + (len(known.text[k]) if k >= 0 else 0) for u, k in known.items()))
+    assert most < 400_000 and len(" ".join(t or "" for _, t in rows)) > 500_000
+    assert known[" the"] >= 0 and known[" and"] >= 0
+    got = [(d, a, b, groups, links, sha) for d, a, b, groups, links, sha in chunk.docs]
+    assert sorted(got, key=str) == sorted([(*r[:5], r[7]) for r in aligned(rows)], key=str)
+
+
+def test_alignment_of_texts_without_tokens(spark):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate([None, "", "▁"])], "doc_id long, text string")
+    assert sorted(tuple(r) for r in alignment.links(df, BPE, PIECES).collect()) == [(i, 0, 0, 0, 0, 0, 0, "") for i in range(3)]
+
+
 def test_intervals_break_where_nothing_reaches_over():
     a_end, b_end = np.array([2, 5, 6]), np.array([3, 5, 6])
     a_start, b_start = np.array([0, 2, 5]), np.array([0, 3, 5])
